@@ -27,7 +27,8 @@ def upsert_rows(messages: DataFrame, batch_id_col: str | None = "batch_id") -> D
     """Strictly parsed ``name,order_id`` rows with their upsert order key."""
     keep = ["topic", "partition", "offset"] + ([batch_id_col] if batch_id_col else [])
     p = parsed_pairs(messages, True, keep)
-    p = p.where(F.col("ok"))
+    # the reference's ``val Array(name, order_id) = ...`` fails the batch
+    p = p.where(fail_unless(F.col("ok"), "malformed name,order_id message"))
     return p.select(
         F.col("id").alias("order_id"), "name",
         F.struct(*[F.col(c) if c in keep else F.lit(None) for c in ORDER]).alias("ord"))

@@ -1,0 +1,57 @@
+"""Stage a parquet log as micro-batch slices for Structured Streaming.
+
+Without a broker, a streaming read of the log needs inputs that arrive in
+order.  The log is written once to the shared folder (cutting its lineage),
+then every slice -- the messages one capped micro-batch reads, at most
+``cap`` per partition -- is written as one file, in slice order, so the file
+source with ``maxFilesPerTrigger=1`` turns slice k into micro-batch k.
+
+This is the producer side of the tests and registered stream queries; with
+Kafka, ``sources.kafka`` reads the broker and ``maxOffsetsPerTrigger`` caps
+batches instead.  A slice is bounded by ``cap`` x partitions rows, so one
+task per slice file is bounded too.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from streamledger.schemas import MESSAGE
+from streamledger.session import scratch_dir
+
+SLICE_COL = "batch_id"
+
+
+def stage_log(log_with_batches: DataFrame, root: str | None = None) -> str:
+    """Write the log once, partitioned by slice; return its folder."""
+    spark = log_with_batches.sparkSession
+    root = root or scratch_dir(spark, "log")
+    (log_with_batches.repartition(SLICE_COL)
+     .write.mode("overwrite").partitionBy(SLICE_COL).parquet(f"{root}/table"))
+    return f"{root}/table"
+
+
+def slice_ids(spark: SparkSession, table: str) -> list[int]:
+    """Slice numbers present in a staged log (one row per slice)."""
+    df = spark.read.parquet(table).select(SLICE_COL).distinct()
+    return sorted(r[0] for r in df.collect())
+
+
+def write_slices(spark: SparkSession, table: str, feed: str,
+                 first: int = 0, last: int | None = None) -> int:
+    """Append slices ``first..last`` of a staged log to ``feed``, one file
+    each, in order.  Returns the number written."""
+    ids = [k for k in slice_ids(spark, table) if k >= first and (last is None or k <= last)]
+    staged = spark.read.parquet(table)
+    for k in ids:
+        (staged.where(F.col(SLICE_COL) == k).drop(SLICE_COL).coalesce(1)
+         .write.mode("overwrite").parquet(f"{feed}/slice={k:09d}"))
+    return len(ids)
+
+
+def read_feed(spark: SparkSession, feed: str, files_per_trigger: int = 1) -> DataFrame:
+    """The staged slices as a stream of ``MESSAGE`` rows, one slice per batch."""
+    return (spark.readStream.schema(MESSAGE)
+            .option("maxFilesPerTrigger", files_per_trigger)
+            .parquet(f"{feed}/*/*.parquet"))
