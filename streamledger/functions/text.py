@@ -69,8 +69,14 @@ def text_lines(c) -> Column:
 
 
 def java_length(c) -> Column:
-    """``String.length()`` counts UTF-16 code units, not code points."""
-    return (F.octet_length(F.encode(_col(c), "UTF-16BE")) / 2).cast("bigint")
+    """``String.length()`` counts UTF-16 code units, not code points.
+
+    Pure-ASCII strings (bytes == characters) skip the UTF-16 encoding.
+    """
+    v = _col(c)
+    n = F.length(v).cast("bigint")
+    return F.when(F.octet_length(v) == n, n).otherwise(
+        (F.octet_length(F.encode(v, "UTF-16BE")) / 2).cast("bigint"))
 
 
 def parse_pair(c, strict: bool = True) -> Column:

@@ -108,15 +108,21 @@ def to_tall(current: DataFrame) -> DataFrame:
         "topic", "partition", "offset")
 
 
+TALL_KEY = r"^(.*)_(\d+)$"
+
+
+def tall_key_parts(rowkey) -> tuple[Column, Column]:
+    """(topic, partition) of a ``topic_partition`` key; the partition is the
+    digits after the *last* underscore, since topic names may contain ``_``."""
+    c = F.col(rowkey) if isinstance(rowkey, str) else rowkey
+    return (F.regexp_extract(c, TALL_KEY, 1).alias("topic"),
+            F.regexp_extract(c, TALL_KEY, 2).cast("int").alias("partition"))
+
+
 def from_tall(tall: DataFrame, group_id: str) -> DataFrame:
-    """Parse tall rows back; the partition is the digits after the *last*
-    underscore, since topic names may contain ``_``.  Tall rows carry no
-    group, so it is an argument."""
-    return tall.select(
-        F.lit(group_id).alias("group_id"),
-        F.regexp_extract("rowkey", r"^(.*)_(\d+)$", 1).alias("topic"),
-        F.regexp_extract("rowkey", r"^(.*)_(\d+)$", 2).cast("int").alias("partition"),
-        "offset")
+    """Parse tall rows back.  Tall rows carry no group, so it is an argument."""
+    return tall.select(F.lit(group_id).alias("group_id"), *tall_key_parts("rowkey"),
+                       "offset")
 
 
 def to_path(current: DataFrame) -> DataFrame:

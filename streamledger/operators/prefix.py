@@ -30,36 +30,71 @@ def running_total(df: DataFrame, keys: Sequence[str], pos: str, value: str | Non
     """Add ``out`` = inclusive running sum of ``value`` per ``keys`` by ``pos``.
 
     ``pos`` must be integral and unique within each key (ties would make the
-    result depend on row order, as in any ``ROWS`` frame).  ``value=None``
-    counts rows, i.e. ``out`` is the 1-based ``row_number``.
+    result depend on row order, as in any ``ROWS`` frame); null positions come
+    first, as in Spark's ascending order.  ``value=None`` counts rows, i.e.
+    ``out`` is the 1-based ``row_number``.
+
+    Rows whose keys are all non-null go through windows partitioned by the
+    key columns themselves, so Catalyst still pushes key predicates (e.g. a
+    topic list) below the windows into the scan.  Rows with a null key take a
+    second, null-safe branch; on parquet its ``IS NULL`` filter is answered
+    from column statistics, so it costs almost nothing when there are none.
     """
     keys = list(keys)
-    blk = "__blk"
+    if not keys:
+        raise ValueError("running_total needs at least one key")
+    all_set = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        all_set = all_set & F.col(k).isNotNull()
+    main = running_total_non_null(df.where(all_set), keys, pos, value, out, block)
+    rest = running_total_null_safe(df.where(~all_set), keys, pos, value, out, block)
+    return main.unionByName(rest)
+
+
+def running_total_non_null(df: DataFrame, keys: Sequence[str], pos: str,
+                           value: str | None, out: str,
+                           block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``running_total`` for input whose keys are known to be non-null."""
+    return _blocked_total(df, list(keys), pos, value, out, block)
+
+
+def running_total_null_safe(df: DataFrame, keys: Sequence[str], pos: str,
+                            value: str | None, out: str,
+                            block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``running_total`` where keys may be null: (value-or-default, is-null)
+    stand-ins make null keys group and join like any other value."""
+    return _null_safe_total(df, list(keys), pos, value, out, block)
+
+
+def _null_safe_total(df, keys, pos, value, out, block):
     types = dict(df.dtypes)
-    # Null keys must still group and join; hidden non-null stand-ins
-    # (value-or-default, is-null) keep the join a plain equi-join on exactly
-    # the window's partition columns, so the big side is not re-shuffled.
     hidden, exprs = [], []
     for i, k in enumerate(keys):
         default = F.lit("") if types[k] == "string" else F.lit(0).cast(types[k])
         hidden += [f"__kv{i}", f"__kn{i}"]
         exprs += [F.coalesce(F.col(k), default).alias(f"__kv{i}"),
                   F.col(k).isNull().alias(f"__kn{i}")]
+    return _blocked_total(df.select("*", *exprs), hidden, pos, value, out, block)
+
+
+def _blocked_total(df, part_keys, pos, value, out, block):
+    blk = "__blk"
+    cols = [c for c in df.columns if not c.startswith("__k")]
     val = F.lit(1).cast("bigint") if value is None else F.col(value).cast("bigint")
-    staged = df.select(
-        "*", *exprs, F.expr(f"`{pos}` div {int(block)}").alias(blk),
-        val.alias("__val"))
+    # null positions form their own first block instead of being dropped
+    blk_expr = F.coalesce(F.expr(f"`{pos}` div {int(block)}"), F.lit(-(1 << 62)))
+    staged = df.select("*", blk_expr.alias(blk), val.alias("__val"))
 
-    totals = staged.groupBy(*hidden, blk).agg(F.sum("__val").alias("__tot"))
-    before = Window.partitionBy(*hidden).orderBy(blk).rowsBetween(
+    totals = staged.groupBy(*part_keys, blk).agg(F.sum("__val").alias("__tot"))
+    before = Window.partitionBy(*part_keys).orderBy(blk).rowsBetween(
         Window.unboundedPreceding, -1)
     base = totals.select(
-        *hidden, blk,
+        *part_keys, blk,
         F.coalesce(F.sum("__tot").over(before), F.lit(0)).alias("__base"))
 
-    upto = Window.partitionBy(*hidden, blk).orderBy(pos).rowsBetween(
+    upto = Window.partitionBy(*part_keys, blk).orderBy(pos).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = staged.withColumn("__local", F.sum("__val").over(upto))
 
-    joined = local.join(base, [*hidden, blk], "inner")
-    return joined.select(*df.columns, (F.col("__base") + F.col("__local")).alias(out))
+    joined = local.join(base, [*part_keys, blk], "inner")
+    return joined.select(*cols, (F.col("__base") + F.col("__local")).alias(out))

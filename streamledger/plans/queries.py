@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from streamledger.functions.text import parse_pair, text_lines
 from streamledger.operators import counts, offsets, upsert
-from streamledger.session import load_table
+from streamledger.session import load_table, spread
 from streamledger.sources import log as logsrc
 
 # Fixed parameters of the registered queries (shared with the oracles).
@@ -68,19 +68,19 @@ def _current(spark, sf_dir, group, topics=None):
 
 def q_word_count(spark, sf_dir):
     """P1 P3 A1 (flagship): whitespace tokens of every document, counted."""
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("text"))
     return counts.word_count(docs, "text")
 
 
 def q_space_tokens(spark, sf_dir):
     """Lines -> space tokens -> (length, 1) -> count, avg."""
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("text"))
     return counts.length_summary(counts.token_lengths(docs, "text"))
 
 
 def q_text_lines(spark, sf_dir):
     """The lines a text file of the documents would yield."""
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "line"))
 
 
@@ -183,10 +183,7 @@ def q_offsets_seed(spark, sf_dir):
 def q_offsets_tall(spark, sf_dir):
     """Tall layout; topic and partition parsed back from the row key."""
     tall = offsets.to_tall(_current(spark, sf_dir, GROUP_A))
-    back = offsets.from_tall(tall, GROUP_A)
-    return tall.select("rowkey", "offset").join(
-        back.select(F.concat_ws("_", "topic", F.col("partition").cast("string"))
-                    .alias("rowkey"), "topic", "partition"), "rowkey")
+    return tall.select("rowkey", "offset", *offsets.tall_key_parts("rowkey"))
 
 
 def q_offsets_path(spark, sf_dir):

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamledger.operators.prefix import running_total
+from streamledger.operators.prefix import running_total_non_null, running_total_null_safe
 from streamledger.schemas import MESSAGE_COLUMNS, OFFSET_RANGE, PARTITION_KEY
 
 # Width of the order blocks used to number offsets (see operators.prefix).
@@ -30,17 +30,25 @@ def message_log(events: DataFrame, partitions: int = 3,
     Offsets are numbered by ``running_total`` so that no task ever holds a
     whole log partition, however skewed the topics are.
     """
-    keyed = events.select(
-        F.col("event_id"),
-        F.col("event_type").alias("topic"),
-        (F.col("user_id") % partitions).cast("int").alias("partition"),
-        F.col("user_id").cast("string").alias("key"),
-        F.concat(F.col("event_type"), F.lit(","), F.col("user_id").cast("string"))
-        .alias("value"),
-        F.col("ts").alias("timestamp"),
-    )
-    numbered = running_total(keyed, PARTITION_KEY, "event_id", None, "__n", block)
-    return numbered.select(
+    def keyed(ev: DataFrame) -> DataFrame:
+        return ev.select(
+            F.col("event_id"),
+            F.col("event_type").alias("topic"),
+            (F.col("user_id") % partitions).cast("int").alias("partition"),
+            F.col("user_id").cast("string").alias("key"),
+            F.concat(F.col("event_type"), F.lit(","), F.col("user_id").cast("string"))
+            .alias("value"),
+            F.col("ts").alias("timestamp"),
+        )
+
+    # Split on the *source* columns so both predicates reach the parquet scan;
+    # row groups without nulls skip the second branch from their statistics.
+    has_key = F.col("event_type").isNotNull() & F.col("user_id").isNotNull()
+    main = running_total_non_null(
+        keyed(events.where(has_key)), PARTITION_KEY, "event_id", None, "__n", block)
+    rest = running_total_null_safe(
+        keyed(events.where(~has_key)), PARTITION_KEY, "event_id", None, "__n", block)
+    return main.unionByName(rest).select(
         "topic", "partition", (F.col("__n") - 1).alias("offset"), "key", "value",
         "timestamp")
 
