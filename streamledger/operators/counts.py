@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from streamledger.functions.text import (
     java_length, space_tokens, text_lines, whitespace_tokens)
-from streamledger.operators.prefix import running_total
+from streamledger.operators.prefix import running_total_non_null
 
 # Width of the batch-id blocks used for running counts (operators.prefix).
 BATCH_BLOCK = 1 << 12
@@ -59,7 +59,8 @@ def running_word_count_update(batch_counts: DataFrame, block: int = BATCH_BLOCK)
     Cumulative sums per word use the two-level running total, so a word seen
     in every batch is still spread over many tasks.
     """
-    return running_total(batch_counts, ["word"], "batch_id", "n", "total", block).select(
+    # tokens are never null (split yields no null elements): one branch
+    return running_total_non_null(batch_counts, ["word"], "batch_id", "n", "total", block).select(
         "batch_id", "word", F.col("total").alias("n"))
 
 
@@ -86,6 +87,6 @@ def running_word_count_complete(batch_counts: DataFrame, last_batch,
         .alias("batch_id"))
     filled = grid.join(batch_counts, ["word", "batch_id"], "left").select(
         "batch_id", "word", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-    return running_total(filled, ["word"], "batch_id", "n", "total", block).select(
+    return running_total_non_null(filled, ["word"], "batch_id", "n", "total", block).select(
         "batch_id", "word", F.col("total").alias("n"))
 

@@ -63,13 +63,14 @@ class OffsetStore:
 
 
 def guarded(store: OffsetStore, group_id: str, work: BatchFn,
-            before_commit: Hook = None) -> BatchFn:
+            before_commit: Hook = None, after_commit: Hook = None) -> BatchFn:
     """K5 / K6 shape: check the guard, do the work, then commit the offsets.
 
     ``skip``: the batch's offsets are already committed -- a replay whose
     output is also complete; nothing is done.  ``raise``: the ranges do not
-    continue the stored offsets.  ``before_commit`` is a test hook that may
-    raise to simulate a crash between output and commit.
+    continue the stored offsets.  ``before_commit`` / ``after_commit`` are
+    test hooks that may raise, to simulate a crash between output and offset
+    commit, or between offset commit and the engine's own batch commit.
     """
     def run(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():                      # F1
@@ -86,6 +87,8 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
             if before_commit is not None:
                 before_commit(batch_id)
             store.commit(ranges, group_id, batch_id)
+            if after_commit is not None:
+                after_commit(batch_id)
         finally:
             ranges.unpersist()
     return run

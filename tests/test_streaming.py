@@ -1,0 +1,146 @@
+"""Real micro-batch streams over staged slices: stream = batch, restart
+and crash tests for the guarded sinks (K4, K5, K6)."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from streamledger.operators import counts, upsert
+from streamledger.session import load_table
+from streamledger.sources import log as logsrc
+from streamledger.streaming import jobs, sinks, slices
+from tests.conftest import SF_SMALL
+
+CAP = 20   # small cap so the small fixture spans several batches
+
+
+@pytest.fixture(scope="module")
+def staged(spark):
+    from streamledger.session import scratch_dir
+    log = logsrc.with_batch_ids(
+        logsrc.message_log(load_table(spark, SF_SMALL, "events")), CAP)
+    root = scratch_dir(spark, "staged")
+    table = slices.stage_log(log, root)
+    return log, table
+
+
+def _rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_per_batch_counts_equal_batch_query(spark, staged, workdir):
+    log, table = staged
+    n = slices.write_slices(spark, table, f"{workdir}/feed")
+    assert n >= 3
+    jobs.run_foreach(slices.read_feed(spark, f"{workdir}/feed"),
+                     sinks.word_count_sink(f"{workdir}/out"), f"{workdir}/chk")
+    got = sinks.read_batches(spark, f"{workdir}/out")
+    want = counts.word_count(log, "value", ["batch_id"])
+    cols = ["batch_id", "word", "n"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_running_count_survives_restart(spark, staged, workdir):
+    log, table = staged
+    feed, out, chk = f"{workdir}/feed", f"{workdir}/out", f"{workdir}/chk"
+    slices.write_slices(spark, table, feed, last=1)
+    jobs.run_running_word_count(slices.read_feed(spark, feed), out, chk)
+    slices.write_slices(spark, table, feed, first=2)          # more data arrives
+    jobs.run_running_word_count(slices.read_feed(spark, feed), out, chk)
+    got = sinks.read_batches(spark, out)
+    bc = counts.word_count(log, "value", ["batch_id"])
+    last = bc.selectExpr("max(batch_id)").scalar()
+    want = counts.running_word_count_complete(bc, last)
+    cols = ["batch_id", "word", "n"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_update_mode_emits_changed_words_only(spark, staged, workdir):
+    log, table = staged
+    slices.write_slices(spark, table, f"{workdir}/feed")
+    jobs.run_running_word_count(slices.read_feed(spark, f"{workdir}/feed"),
+                                f"{workdir}/out", f"{workdir}/chk", mode="update")
+    got = sinks.read_batches(spark, f"{workdir}/out")
+    want = counts.running_word_count_update(counts.word_count(log, "value", ["batch_id"]))
+    cols = ["batch_id", "word", "n"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+class Crash(RuntimeError):
+    pass
+
+
+def _crash_once(at: int):
+    state = {"done": False}
+
+    def hook(batch_id):
+        if batch_id == at and not state["done"]:
+            state["done"] = True
+            raise Crash(f"simulated crash in batch {batch_id}")
+    return hook
+
+
+@pytest.mark.parametrize("where", ["before_commit", "after_commit"])
+def test_upsert_effectively_once_across_crash(spark, staged, workdir, where):
+    log, table = staged
+    feed = f"{workdir}/feed"
+    slices.write_slices(spark, table, feed)
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    hook = {where: _crash_once(1)}
+    fn = sinks.guarded(store, "g", sinks.upsert_work(f"{workdir}/rows"), **hook)
+    with pytest.raises(StreamingQueryException):
+        jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
+    # restart from the same checkpoint: the engine replays batch 1
+    jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
+    got = sinks.upsert_view(spark, f"{workdir}/rows")
+    want = upsert.upsert(None, upsert.upsert_rows(log)).select("order_id", "name")
+    assert _rows(got, ["order_id", "name"]) == _rows(want, ["order_id", "name"])
+    # one commit per batch, ending at the end of every partition
+    hist = store.history()
+    ends = {(r[0], r[1]): r[2] for r in store.current("g").select(
+        "topic", "partition", "offset").collect()}
+    want_ends = {(r[0], r[1]): r[2] for r in logsrc.partition_extents(log).select(
+        "topic", "partition", "latest").collect()}
+    assert ends == want_ends
+    per_batch = hist.groupBy("batch_id", "topic", "partition").count()
+    assert per_batch.where("count > 1").count() == 0
+
+
+def test_guard_refuses_a_stale_store(spark, staged, workdir):
+    _, table = staged
+    feed = f"{workdir}/feed"
+    slices.write_slices(spark, table, feed)
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    # another writer has already moved partition offsets past batch 0's start
+    spark.createDataFrame([("g", "click", 0, 5, 99)],
+                          "group_id string, topic string, partition int, offset bigint, "
+                          "batch_id bigint").write.parquet(f"{workdir}/offsets/other")
+    fn = sinks.guarded(store, "g", lambda df, bid: None)
+    with pytest.raises(StreamingQueryException, match="do not continue"):
+        jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
+
+
+def test_append_with_offsets_exactly_once_on_rerun(spark, staged, workdir):
+    log, table = staged
+    feed, out, chk = f"{workdir}/feed", f"{workdir}/out", f"{workdir}/chk"
+    slices.write_slices(spark, table, feed, last=1)
+    jobs.run_append_with_offsets(slices.read_feed(spark, feed), out, chk)
+    first = spark.read.parquet(out).count()
+    jobs.run_append_with_offsets(slices.read_feed(spark, feed), out, chk)   # no new data
+    assert spark.read.parquet(out).count() == first
+    slices.write_slices(spark, table, feed, first=2)
+    jobs.run_append_with_offsets(slices.read_feed(spark, feed), out, chk)
+    got = spark.read.parquet(out)
+    assert got.count() == log.count()
+    derived = upsert.offsets_from_rows(got, "g").select("topic", "partition", "offset")
+    ext = logsrc.partition_extents(log).selectExpr("topic", "partition", "latest as offset")
+    assert _rows(derived, ["topic", "partition", "offset"]) == _rows(
+        ext, ["topic", "partition", "offset"])
+
+
+def test_console_sink_prints_first_rows(spark, capsys):
+    df = spark.createDataFrame([(i,) for i in range(30)], "x int")
+    sinks.console_sink(num_rows=10)(df, 7)
+    out = capsys.readouterr().out
+    assert "batch 7" in out and "only showing top 10 rows" in out
+    sinks.console_sink()(df.limit(0), 8)
+    assert "batch 8" not in capsys.readouterr().out
