@@ -37,29 +37,66 @@ def read_batches(spark: SparkSession, folder: str, schema: str | None = None) ->
 
 
 class OffsetStore:
-    """``OFFSETS_LOG`` in the shared folder: one sub-folder per (group, batch)."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    """``OFFSETS_LOG`` in the shared folder.
+
+    Every commit is its own folder ``commits/<group>-<batch>``; every
+    ``snapshot_every`` batches the current offsets are also written to
+    ``snapshots/<group>-<batch>``.  Reading the current offsets touches the
+    latest snapshot plus at most ``snapshot_every`` later commits, so the cost
+    of a guard check stays bounded however long the stream runs.  Only
+    folders with a ``_SUCCESS`` marker (completed writes) are read.
+    """
 
-    def history(self) -> DataFrame:
-        try:
-            return (self.spark.read.schema(OFFSETS_LOG)
-                    .parquet(f"{self.folder}/*/*.parquet"))
-        except Exception as exc:  # nothing committed yet
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return self.spark.createDataFrame([], OFFSETS_LOG)
-            raise
+    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 100):
+        self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
+
+    def _entries(self, sub: str, group_id: str | None) -> list[tuple[str, int]]:
+        """(group, batch) of completed folders under ``sub`` (driver metadata)."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{sub}")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            group, _, batch = name.rpartition("-")
+            if not batch.isdigit() or (group_id is not None and group != group_id):
+                continue
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append((group, int(batch)))
+        return sorted(out, key=lambda e: e[1])
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], OFFSETS_LOG)
+        return self.spark.read.schema(OFFSETS_LOG).parquet(*paths)
+
+    def history(self, group_id: str | None = None) -> DataFrame:
+        """Every commit (all groups unless ``group_id`` is given)."""
+        return self._read([f"{self.folder}/commits/{g}-{b:09d}"
+                           for g, b in self._entries("commits", group_id)])
 
     def current(self, group_id: str) -> DataFrame:
-        return offsets.current_offsets(self.history(), group_id)
+        snaps = self._entries("snapshots", group_id)
+        since = snaps[-1][1] if snaps else -1
+        paths = [f"{self.folder}/snapshots/{group_id}-{since:09d}"] if snaps else []
+        paths += [f"{self.folder}/commits/{g}-{b:09d}"
+                  for g, b in self._entries("commits", group_id) if b > since]
+        return offsets.current_offsets(self._read(paths), group_id)
 
     def verdict(self, ranges: DataFrame, group_id: str) -> str:
         return offsets.batch_verdict(offsets.guard(ranges, self.current(group_id)))
 
     def commit(self, ranges: DataFrame, group_id: str, batch_id: int) -> None:
         rows = offsets.commit_rows(ranges, group_id, batch_id)
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{group_id}-{batch_id:09d}")
+        rows.write.mode("overwrite").parquet(
+            f"{self.folder}/commits/{group_id}-{batch_id:09d}")
+        if self.every > 0 and batch_id % self.every == self.every - 1:
+            snap = self.current(group_id).withColumn(
+                "batch_id", F.lit(batch_id).cast("bigint"))
+            snap.write.mode("overwrite").parquet(
+                f"{self.folder}/snapshots/{group_id}-{batch_id:09d}")
 
 
 def guarded(store: OffsetStore, group_id: str, work: BatchFn,

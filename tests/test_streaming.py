@@ -84,7 +84,7 @@ def test_upsert_effectively_once_across_crash(spark, staged, workdir, where):
     log, table = staged
     feed = f"{workdir}/feed"
     slices.write_slices(spark, table, feed)
-    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets", snapshot_every=2)
     hook = {where: _crash_once(1)}
     fn = sinks.guarded(store, "g", sinks.upsert_work(f"{workdir}/rows"), **hook)
     with pytest.raises(StreamingQueryException):
@@ -113,7 +113,8 @@ def test_guard_refuses_a_stale_store(spark, staged, workdir):
     # another writer has already moved partition offsets past batch 0's start
     spark.createDataFrame([("g", "click", 0, 5, 99)],
                           "group_id string, topic string, partition int, offset bigint, "
-                          "batch_id bigint").write.parquet(f"{workdir}/offsets/other")
+                          "batch_id bigint").write.parquet(
+                              f"{workdir}/offsets/commits/g-000000099")
     fn = sinks.guarded(store, "g", lambda df, bid: None)
     with pytest.raises(StreamingQueryException, match="do not continue"):
         jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
@@ -144,3 +145,18 @@ def test_console_sink_prints_first_rows(spark, capsys):
     assert "batch 7" in out and "only showing top 10 rows" in out
     sinks.console_sink()(df.limit(0), 8)
     assert "batch 8" not in capsys.readouterr().out
+
+
+def test_offset_store_snapshots_bound_the_read(spark, workdir):
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets", snapshot_every=3)
+    rng = "topic string, partition int, from_offset bigint, until_offset bigint"
+    for b in range(8):
+        ranges = spark.createDataFrame([("t", 0, b * 10, b * 10 + 10),
+                                        ("t", 1, b * 5, b * 5 + 5)], rng)
+        assert store.verdict(ranges, "g") == "commit"
+        store.commit(ranges, "g", b)
+        assert store.verdict(ranges, "g") == "skip"        # a replay
+    assert [b for _, b in store._entries("snapshots", "g")] == [2, 5]
+    cur = {r[0]: r[1] for r in store.current("g").select("partition", "offset").collect()}
+    assert cur == {0: 80, 1: 40}
+    assert store.history("g").count() == 16
