@@ -36,6 +36,18 @@ def run_foreach(stream: DataFrame, fn, checkpoint: str, available_now: bool = Tr
     return q
 
 
+def run_console(stream: DataFrame, checkpoint: str, num_rows: int = 10,
+                output_mode: str = "append", available_now: bool = True):
+    """K2: print each batch -- ``print()`` shows the first 10 rows, the
+    reference's ``foreach(println)`` every row (pass a large ``num_rows``)."""
+    q = _start(stream.writeStream.format("console").outputMode(output_mode)
+               .option("numRows", num_rows).option("truncate", False)
+               .option("checkpointLocation", checkpoint), available_now)
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def run_running_word_count(stream: DataFrame, out: str, checkpoint: str,
                            mode: str = "complete", available_now: bool = True):
     """A2: ``updateStateByKey`` -> streaming aggregation with a state store.
