@@ -14,11 +14,13 @@ stream over the slices must equal the batch query over the whole log.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamledger.operators import counts, upsert
 from streamledger.plans import queries as Q
 from streamledger.plans.oracles import ORACLES
 from streamledger.session import scratch_dir
+from streamledger.sources import log as logsrc
 from streamledger.streaming import sinks, slices
 
 
@@ -80,6 +82,22 @@ def run_append_with_offsets(stream: DataFrame, out: str, checkpoint: str,
     return q
 
 
+def resume_from_store(stream: DataFrame, extents: DataFrame, store: sinks.OffsetStore,
+                      group_id: str, policy: str = "earliest") -> DataFrame:
+    """Section 3.3 on a new checkpoint: start every partition where the offset
+    table says (O2 -> S4), else by policy, and read from there (S2).
+
+    The starts have one row per log partition, so the stream-static join
+    broadcasts a frame bounded by the topic metadata.  With Kafka the same
+    starts go into ``startingOffsets`` instead (``sources.kafka``).
+    """
+    stored = store.current(group_id).select("topic", "partition", "offset")
+    starts = logsrc.resolve_starts(extents, stored, policy).select(
+        "topic", "partition", F.col("offset").alias("__start"))
+    return (stream.join(F.broadcast(starts), ["topic", "partition"], "inner")
+            .where(F.col("offset") >= F.col("__start")).drop("__start"))
+
+
 # --- registered stream queries ------------------------------------------
 
 _STAGED: dict[tuple[str, str], str] = {}

@@ -50,8 +50,21 @@ def write_slices(spark: SparkSession, table: str, feed: str,
     return len(ids)
 
 
-def read_feed(spark: SparkSession, feed: str, files_per_trigger: int = 1) -> DataFrame:
-    """The staged slices as a stream of ``MESSAGE`` rows, one slice per batch."""
-    return (spark.readStream.schema(MESSAGE)
+def read_feed(spark: SparkSession, feed: str, files_per_trigger: int = 1,
+              schema=None) -> DataFrame:
+    """The staged slices as a stream, one slice per micro-batch.
+
+    The schema is taken from the staged files (the log keeps its source's
+    timestamp type), or from ``schema`` / ``MESSAGE`` when given.
+    """
+    pattern = f"{feed}/*/*.parquet"
+    if schema is None:
+        try:
+            schema = spark.read.parquet(pattern).schema
+        except Exception as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
+            schema = MESSAGE
+    return (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(f"{feed}/*/*.parquet"))
+            .parquet(pattern))
