@@ -59,10 +59,13 @@ def guard(ranges: DataFrame, current: DataFrame) -> DataFrame:
 
     ``commit`` when the stored offset equals the range start (or nothing is
     stored); ``skip`` when it already equals the range end (a replayed batch);
-    ``raise`` otherwise (stale or gapped).
+    ``raise`` otherwise (stale or gapped).  ``current`` must hold at most one
+    row per partition (as ``current_offsets`` returns).
     """
+    # ``current`` has one row per log partition (topic metadata, not data),
+    # so broadcasting it is bounded by the partition count
     cur = current.select(*PARTITION_KEY, F.col("offset").alias("stored"))
-    j = ranges.join(cur, PARTITION_KEY, "left")
+    j = ranges.join(F.broadcast(cur), PARTITION_KEY, "left")
     start = F.coalesce(F.col("stored"), F.col("from_offset"))
     verdict = (F.when(start == F.col("from_offset"), "commit")
                .when(F.col("stored") == F.col("until_offset"), "skip")

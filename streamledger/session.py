@@ -62,21 +62,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  Only when neither is set -- local tests -- create one under the temp
-    folder and register it, so later calls agree.
+    dir).  Only when neither is set and the master is local -- tests -- create
+    one under the temp folder and register it on the context, so later calls
+    agree.  On a cluster an unset folder is an error, never a local path.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; on a cluster it must name a "
                 "shared folder")
-        root = tempfile.mkdtemp(prefix="streamledger-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="streamledger-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

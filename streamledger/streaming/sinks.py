@@ -47,7 +47,7 @@ class OffsetStore:
     folders with a ``_SUCCESS`` marker (completed writes) are read.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 100):
+    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 10):
         self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
 
     def _entries(self, sub: str, group_id: str | None) -> list[tuple[str, int]]:
@@ -110,10 +110,13 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
     commit, or between offset commit and the engine's own batch commit.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():                      # F1
-            return
+        # The micro-batch is bounded by the rate cap; cache it for the range
+        # aggregate and the work.  Ranges have one row per partition.
+        df.persist()
         ranges = offsets.batch_ranges(df).persist()
         try:
+            if ranges.isEmpty():                 # F1: empty batch, no commit
+                return
             verdict = store.verdict(ranges, group_id)
             if verdict == "skip":
                 return
@@ -128,6 +131,7 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
                 after_commit(batch_id)
         finally:
             ranges.unpersist()
+            df.unpersist()
     return run
 
 
