@@ -14,6 +14,12 @@ TABLES = (
 ).split()
 
 
+# State of streaming aggregations (A2) off the JVM heap, checkpointed
+# incrementally: a large vocabulary does not have to fit in executor memory.
+ROCKSDB_STATE = ("org.apache.spark.sql.execution.streaming.state."
+                 "RocksDBStateStoreProvider")
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "streamledger") -> SparkSession:
     """Session for tests and the bench.
@@ -33,6 +39,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,6 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
+    from streamledger.session import ROCKSDB_STATE
+
     root = tempfile.mkdtemp(prefix="streamledger-tests-")
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
@@ -21,6 +23,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.checkpoint.dir", root)
+         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
