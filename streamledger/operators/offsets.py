@@ -156,7 +156,7 @@ def to_wide(current: DataFrame, partitions: Iterable[int]) -> DataFrame:
         F.concat_ws("-", "topic", "group_id").alias("rowkey"),
         F.col("partition").cast("string").alias("partition"), "offset")
     return keyed.groupBy("rowkey").pivot("partition", [str(p) for p in parts]).agg(
-        F.first("offset"))
+        F.max("offset"))
 
 
 def from_wide(wide: DataFrame, topic_group_sep: str = "-") -> DataFrame:

@@ -181,3 +181,13 @@ def test_resume_from_offset_table_on_new_checkpoint(spark, staged, workdir):
     want = {(r[0], r[1]): r[2] for r in extents.select(
         "topic", "partition", "latest").collect()}
     assert ends == want
+
+
+def test_console_stream_reads_every_message(spark, staged, workdir):
+    """K2 as a console sink: every batch printed (JVM stdout), none lost."""
+    log, table = staged
+    slices.write_slices(spark, table, f"{workdir}/feed")
+    q = jobs.run_console(slices.read_feed(spark, f"{workdir}/feed"), f"{workdir}/chk",
+                         num_rows=5)
+    seen = sum(p["numInputRows"] for p in q.recentProgress)
+    assert seen == log.count()
