@@ -33,7 +33,9 @@ def read_batches(spark: SparkSession, folder: str, schema: str | None = None) ->
     reader = spark.read.option("basePath", folder)
     if schema is not None:
         reader = reader.schema(schema + ", batch_id bigint")
-    return reader.parquet(f"{folder}/batch_id=*")
+    df = reader.parquet(f"{folder}/batch_id=*")
+    # partition discovery would infer ``int`` from the folder names
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 class OffsetStore:
