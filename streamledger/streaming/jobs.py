@@ -151,7 +151,7 @@ def q_upsert_latest_stream(spark, sf_dir):
     return sinks.upsert_view(spark, f"{work}/rows")
 
 
-def q_append_rows_stream(spark, sf_dir):
+def q_append_with_offsets(spark, sf_dir):
     """Rows with their offsets through the exactly-once file sink."""
     feed = staged_feed(spark, sf_dir)
     work = scratch_dir(spark, "app")
@@ -159,6 +159,26 @@ def q_append_rows_stream(spark, sf_dir):
     return spark.read.parquet(f"{work}/out")
 
 
+def q_resume_from_offsets_stream(spark, sf_dir):
+    """Section 3.3: O2 -> S4 -> S2 -> O4 -> A3 -> O3.  Count the first two
+    batches, then restart on a *new* checkpoint that starts from the offset
+    table; return the final offsets (every message consumed exactly once
+    ends every partition at its latest offset)."""
+    log = Q.batched_log(spark, sf_dir)
+    work = scratch_dir(spark, "res")
+    table = slices.stage_log(log, work)
+    feed = f"{work}/feed"
+    store = sinks.OffsetStore(spark, f"{work}/offsets")
+    fn = sinks.guarded(store, Q.GROUP_A, sinks.record_count_work(f"{work}/out"))
+    slices.write_slices(spark, table, feed, last=1)
+    run_foreach(slices.read_feed(spark, feed), fn, f"{work}/chk-1")
+    slices.write_slices(spark, table, feed, first=2)
+    extents = logsrc.partition_extents(spark.read.parquet(table))
+    resumed = resume_from_store(slices.read_feed(spark, feed), extents, store, Q.GROUP_A)
+    run_foreach(resumed, fn, f"{work}/chk-2")
+    return store.current(Q.GROUP_A)
+
+
 def q_stream_offsets(spark, sf_dir):
     """O1 O3 on a real stream: offsets committed by the guarded sink, read
     back as the history (group, topic, partition, offset, batch_id)."""
@@ -175,7 +195,8 @@ STREAM_QUERIES = {
     "running_word_count_stream": q_running_word_count_stream,
     "batch_record_count_stream": q_batch_record_count_stream,
     "upsert_latest_stream": q_upsert_latest_stream,
-    "append_rows_stream": q_append_rows_stream,
+    "append_with_offsets": q_append_with_offsets,
+    "resume_from_offsets_stream": q_resume_from_offsets_stream,
     "offsets_log_stream": q_stream_offsets,
 }
 
@@ -184,7 +205,8 @@ STREAM_ORACLES = {
     "running_word_count_stream": ORACLES["running_word_count"],
     "batch_record_count_stream": ORACLES["batch_record_count"],
     "upsert_latest_stream": ORACLES["upsert_latest"],
-    "append_rows_stream": ORACLES["append_rows"],
+    "append_with_offsets": ORACLES["append_rows"],
+    "resume_from_offsets_stream": ORACLES["committed_offsets"],
     "offsets_log_stream": ORACLES["batch_ranges"].replace(
         "SELECT * FROM R",
         "SELECT 'stream-a' AS group_id, topic, \"partition\", until_offset AS \"offset\", "
