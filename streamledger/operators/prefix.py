@@ -55,7 +55,7 @@ def running_total_non_null(df: DataFrame, keys: Sequence[str], pos: str,
                            value: str | None, out: str,
                            block: int = DEFAULT_BLOCK) -> DataFrame:
     """``running_total`` for input whose keys are known to be non-null."""
-    return _blocked_total(df, list(keys), pos, value, out, block)
+    return _blocked_total(df, list(keys), pos, value, out, block, df.columns)
 
 
 def running_total_null_safe(df: DataFrame, keys: Sequence[str], pos: str,
@@ -74,13 +74,16 @@ def _null_safe_total(df, keys, pos, value, out, block):
         hidden += [f"__kv{i}", f"__kn{i}"]
         exprs += [F.coalesce(F.col(k), default).alias(f"__kv{i}"),
                   F.col(k).isNull().alias(f"__kn{i}")]
-    return _blocked_total(df.select("*", *exprs), hidden, pos, value, out, block)
+    return _blocked_total(df.select("*", *exprs), hidden, pos, value, out, block,
+                          df.columns)
 
 
-def _blocked_total(df, part_keys, pos, value, out, block):
+def _blocked_total(df, part_keys, pos, value, out, block, cols):
     blk = "__blk"
-    cols = [c for c in df.columns if not c.startswith("__k")]
-    val = F.lit(1).cast("bigint") if value is None else F.col(value).cast("bigint")
+    # a null value adds nothing (SQL would give null while the prefix is all
+    # null; every caller here sums non-null counts)
+    val = (F.lit(1).cast("bigint") if value is None
+           else F.coalesce(F.col(value).cast("bigint"), F.lit(0).cast("bigint")))
     # null positions form their own first block instead of being dropped
     blk_expr = F.coalesce(F.expr(f"`{pos}` div {int(block)}"), F.lit(-(1 << 62)))
     staged = df.select("*", blk_expr.alias(blk), val.alias("__val"))
