@@ -168,7 +168,6 @@ def plan_ranges(starts: DataFrame, extents: DataFrame, max_per_partition: int) -
         .alias("until_offset"))
 
 
-
 def with_batch_ids(log: DataFrame, max_per_partition: int) -> DataFrame:
     """Tag each message with the batch that reads it when the whole log is
     consumed from the earliest offsets under a per-partition cap (S4 + S7).

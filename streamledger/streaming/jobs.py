@@ -107,10 +107,8 @@ def staged_feed(spark: SparkSession, sf_dir: str) -> str:
     """Stage the log once per session and table folder; reuse afterwards."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAGED:
-        root = scratch_dir(spark, "feed")
-        table = slices.stage_log(Q.batched_log(spark, sf_dir), root)
-        slices.write_slices(spark, table, f"{root}/feed")
-        _STAGED[key] = f"{root}/feed"
+        _STAGED[key] = slices.stage_feed(Q.batched_log(spark, sf_dir),
+                                         scratch_dir(spark, "feed"))
     return _STAGED[key]
 
 

@@ -1,15 +1,20 @@
 """Stage a parquet log as micro-batch slices for Structured Streaming.
 
 Without a broker, a streaming read of the log needs inputs that arrive in
-order.  The log is written once to the shared folder (cutting its lineage),
-then every slice -- the messages one capped micro-batch reads, at most
-``cap`` per partition -- is written as one file, in slice order, so the file
-source with ``maxFilesPerTrigger=1`` turns slice k into micro-batch k.
+order.  A slice -- the messages one capped micro-batch reads, at most ``cap``
+per partition -- becomes one file, and the file source with
+``maxFilesPerTrigger=1`` takes files oldest first, so slice k becomes
+micro-batch k.
+
+``stage_feed`` writes every slice in one distributed job (each slice is
+hashed into one task, bounded by cap x partitions rows) and then orders the
+files by setting their modification times (one metadata call per slice; the
+local and HDFS file systems support it).  ``write_slices`` appends slices
+one job at a time, for tests where data arrives in steps.
 
 This is the producer side of the tests and registered stream queries; with
 Kafka, ``sources.kafka`` reads the broker and ``maxOffsetsPerTrigger`` caps
-batches instead.  A slice is bounded by ``cap`` x partitions rows, so one
-task per slice file is bounded too.
+batches instead.
 """
 
 from __future__ import annotations
@@ -32,6 +37,37 @@ def stage_log(log_with_batches: DataFrame, root: str | None = None) -> str:
     return f"{root}/table"
 
 
+def stage_feed(log_with_batches: DataFrame, root: str) -> str:
+    """All slices in one job, then files ordered by slice; returns the feed."""
+    spark = log_with_batches.sparkSession
+    feed = f"{root}/feed"
+    (log_with_batches.repartition(SLICE_COL)
+     .write.mode("overwrite").partitionBy(SLICE_COL).parquet(feed))
+    order_files(spark, feed)
+    return feed
+
+
+def order_files(spark: SparkSession, feed: str) -> int:
+    """Give the files of slice k the k-th modification time (driver metadata:
+    one call per slice file).  Returns the number of files ordered."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    root = jvm.org.apache.hadoop.fs.Path(feed)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    base = jvm.java.lang.System.currentTimeMillis()
+    n = 0
+    for d in fs.listStatus(root):
+        name = d.getPath().getName()
+        if not name.startswith(f"{SLICE_COL}="):
+            continue
+        k = int(name.split("=", 1)[1])
+        for f in fs.listStatus(d.getPath()):
+            if f.getPath().getName().endswith(".parquet"):
+                fs.setTimes(f.getPath(), base + k, -1)
+                n += 1
+    return n
+
+
 def slice_ids(spark: SparkSession, table: str) -> list[int]:
     """Slice numbers present in a staged log (one row per slice)."""
     df = spark.read.parquet(table).select(SLICE_COL).distinct()

@@ -191,3 +191,14 @@ def test_console_stream_reads_every_message(spark, staged, workdir):
                          num_rows=5)
     seen = sum(p["numInputRows"] for p in q.recentProgress)
     assert seen == log.count()
+
+
+def test_one_job_feed_replays_slices_in_order(spark, staged, workdir):
+    log, _ = staged
+    feed = slices.stage_feed(log, workdir)
+    jobs.run_foreach(slices.read_feed(spark, feed), sinks.word_count_sink(f"{workdir}/out"),
+                     f"{workdir}/chk")
+    got = sinks.read_batches(spark, f"{workdir}/out")
+    want = counts.word_count(log, "value", ["batch_id"])
+    cols = ["batch_id", "word", "n"]
+    assert _rows(got, cols) == _rows(want, cols)
