@@ -30,10 +30,10 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
     """Everything written by ``write_batch``, with the ``batch_id`` column."""
-    reader = spark.read.option("basePath", folder)
+    reader = spark.read
     if schema is not None:
         reader = reader.schema(schema + ", batch_id bigint")
-    df = reader.parquet(f"{folder}/batch_id=*")
+    df = reader.parquet(folder)            # batch_id=<k> folders are partitions
     # partition discovery would infer ``int`` from the folder names
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
