@@ -76,8 +76,9 @@ def guard(ranges: DataFrame, current: DataFrame) -> DataFrame:
 def batch_verdict(verdicts: DataFrame) -> str:
     """Collapse per-range verdicts of one batch (bounded: one row per partition).
 
-    All ``skip`` -> ``skip``; all ``commit`` -> ``commit``; anything else
-    (a ``raise``, or a mix of skip and commit) -> ``raise``.
+    No ranges -> ``empty``; all ``skip`` -> ``skip``; all ``commit`` ->
+    ``commit``; anything else (a ``raise``, or a mix of skip and commit) ->
+    ``raise``.
     """
     row = verdicts.agg(
         F.count(F.lit(1)).alias("n"),
@@ -85,7 +86,9 @@ def batch_verdict(verdicts: DataFrame) -> str:
         F.sum(F.when(F.col("verdict") == "skip", 1).otherwise(0)).alias("s"),
     ).first()
     n, c, s = row["n"], row["c"] or 0, row["s"] or 0
-    if n == 0 or c == n:
+    if n == 0:
+        return "empty"
+    if c == n:
         return "commit"
     if s == n:
         return "skip"

@@ -38,6 +38,19 @@ def read_batches(spark: SparkSession, folder: str, schema: str | None = None) ->
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+def completed_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the sub-folders of ``folder`` whose write completed (they hold
+    a ``_SUCCESS`` marker).  Driver-side listing of metadata only."""
+    sc = spark.sparkContext
+    path_cls = sc._jvm.org.apache.hadoop.fs.Path
+    path = path_cls(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(path)
+            if st.isDirectory() and fs.exists(path_cls(st.getPath(), "_SUCCESS"))]
+
+
 class OffsetStore:
     """``OFFSETS_LOG`` in the shared folder.
 
@@ -54,18 +67,10 @@ class OffsetStore:
 
     def _entries(self, sub: str, group_id: str | None) -> list[tuple[str, int]]:
         """(group, batch) of completed folders under ``sub`` (driver metadata)."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{sub}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
         out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
+        for name in completed_folders(self.spark, f"{self.folder}/{sub}"):
             group, _, batch = name.rpartition("-")
-            if not batch.isdigit() or (group_id is not None and group != group_id):
-                continue
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if batch.isdigit() and (group_id is None or group == group_id):
                 out.append((group, int(batch)))
         return sorted(out, key=lambda e: e[1])
 
@@ -117,10 +122,8 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
         df.persist()
         ranges = offsets.batch_ranges(df).persist()
         try:
-            if ranges.isEmpty():                 # F1: empty batch, no commit
-                return
             verdict = store.verdict(ranges, group_id)
-            if verdict == "skip":
+            if verdict in ("empty", "skip"):     # F1, or a replayed batch
                 return
             if verdict == "raise":
                 raise RuntimeError(
@@ -153,19 +156,64 @@ def record_count_work(folder: str) -> BatchFn:
     return run
 
 
-def upsert_work(folder: str) -> BatchFn:
-    """K3 table form: append the batch's parsed rows; the table is the view
-    ``upsert_view`` (last row per key), so a batch writes O(batch) data."""
+class UpsertTable:
+    """K3 table form on plain parquet: each batch appends its parsed rows
+    (``rows/batch_id=<k>``, overwritten on replay), and every
+    ``snapshot_every`` batches the current table -- last row per key, with its
+    ordering key -- is written to ``snapshots/snap-<k>``.  A read covers the
+    latest snapshot plus the batches after it, so it costs O(table + recent
+    batches) however long the stream has run; each write is O(batch).
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 10):
+        self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
+
+    def _batches(self) -> list[int]:
+        names = completed_folders(self.spark, f"{self.folder}/rows")
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+
+    def _snapshots(self) -> list[int]:
+        names = completed_folders(self.spark, f"{self.folder}/snapshots")
+        return sorted(int(n.split("-", 1)[1]) for n in names if n.startswith("snap-"))
+
+    def _state(self, upto: int | None = None) -> DataFrame | None:
+        snaps = [b for b in self._snapshots() if upto is None or b <= upto]
+        since = snaps[-1] if snaps else -1
+        paths = [f"{self.folder}/snapshots/snap-{since:09d}"] if snaps else []
+        paths += [f"{self.folder}/rows/batch_id={b}" for b in self._batches()
+                  if b > since and (upto is None or b <= upto)]
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(*paths).select("order_id", "name", "ord")
+        return upsert.upsert(None, rows)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        write_batch(rows, f"{self.folder}/rows", batch_id)
+        if self.every > 0 and batch_id % self.every == self.every - 1:
+            state = self._state(upto=batch_id)
+            state.write.mode("overwrite").parquet(
+                f"{self.folder}/snapshots/snap-{batch_id:09d}")
+
+    def view(self) -> DataFrame:
+        state = self._state()
+        if state is None:
+            return self.spark.createDataFrame([], "order_id string, name string")
+        return state.select("order_id", "name")
+
+
+def upsert_work(folder: str, snapshot_every: int = 10) -> BatchFn:
+    """K3 work for ``guarded``: append the batch's strictly parsed rows to
+    an ``UpsertTable`` (O(batch) per batch)."""
     def run(df: DataFrame, batch_id: int) -> None:
-        rows = upsert.upsert_rows(df.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        write_batch(rows, folder, batch_id)
+        table = UpsertTable(df.sparkSession, folder, snapshot_every)
+        table.write(upsert.upsert_rows(
+            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))), batch_id)
     return run
 
 
 def upsert_view(spark: SparkSession, folder: str) -> DataFrame:
     """Current upsert table: last name per order_id over all committed batches."""
-    rows = read_batches(spark, folder).drop("batch_id")
-    return upsert.upsert(None, rows).select("order_id", "name")
+    return UpsertTable(spark, folder).view()
 
 
 def console_sink(num_rows: int = 10, truncate: bool = False) -> BatchFn:

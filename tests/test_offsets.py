@@ -40,7 +40,7 @@ def test_guard_verdicts(spark):
 
 
 @pytest.mark.parametrize("parts,expected", [
-    ([0, 1], "commit"), ([2], "skip"), ([0, 2], "raise"), ([3], "raise"), ([], "commit"),
+    ([0, 1], "commit"), ([2], "skip"), ([0, 2], "raise"), ([3], "raise"), ([], "empty"),
 ])
 def test_batch_verdict(spark, parts, expected):
     ranges = spark.createDataFrame(

@@ -202,3 +202,18 @@ def test_one_job_feed_replays_slices_in_order(spark, staged, workdir):
     want = counts.word_count(log, "value", ["batch_id"])
     cols = ["batch_id", "word", "n"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_upsert_table_snapshots_bound_the_read(spark, workdir):
+    table = sinks.UpsertTable(spark, f"{workdir}/t", snapshot_every=2)
+    msgs = "topic string, partition int, offset bigint, value string, batch_id bigint"
+    want = {}
+    for b in range(5):
+        vals = [(f"n{b}", str(k)) for k in range(b, b + 3)]
+        for name, key in vals:
+            want[key] = name
+        df = spark.createDataFrame(
+            [("t", 0, i, f"{n},{k}", b) for i, (n, k) in enumerate(vals)], msgs)
+        table.write(upsert.upsert_rows(df), b)
+    assert table._snapshots() == [1, 3]
+    assert dict(table.view().collect()) == want
