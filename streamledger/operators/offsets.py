@@ -73,28 +73,34 @@ def guard(ranges: DataFrame, current: DataFrame) -> DataFrame:
     return j.select(*ranges.columns, "stored", verdict.alias("verdict"))
 
 
-def batch_verdict(verdicts: DataFrame) -> str:
-    """Collapse per-range verdicts of one batch (bounded: one row per partition).
+def range_verdict(from_offset: int, until_offset: int, stored: int | None) -> str:
+    """O4 for one range held on the driver (bounded offset metadata); the
+    same rule as ``guard``."""
+    if (from_offset if stored is None else stored) == from_offset:
+        return "commit"
+    if stored == until_offset:
+        return "skip"
+    return "raise"
 
-    No ranges -> ``empty``; all ``skip`` -> ``skip``; all ``commit`` ->
-    ``commit``; anything else (a ``raise``, or a mix of skip and commit) ->
-    ``raise``.
-    """
-    row = verdicts.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("verdict") == "commit", 1).otherwise(0)).alias("c"),
-        F.sum(F.when(F.col("verdict") == "skip", 1).otherwise(0)).alias("s"),
-    ).first()
-    n, c, s = row["n"], row["c"] or 0, row["s"] or 0
-    if n == 0:
+
+def combine_verdicts(verdicts: list[str]) -> str:
+    """One verdict for a batch: no ranges -> ``empty``; all ``commit`` ->
+    ``commit``; all ``skip`` -> ``skip``; anything else (a ``raise``, or a mix
+    of skip and commit) -> ``raise``."""
+    if not verdicts:
         return "empty"
-    if c == n:
+    if all(v == "commit" for v in verdicts):
         return "commit"
-    if s == n:
+    if all(v == "skip" for v in verdicts):
         return "skip"
     return "raise"
 
 
+def batch_verdict(verdicts: DataFrame) -> str:
+    """``combine_verdicts`` over a ``guard`` result (one row per partition)."""
+    return combine_verdicts([r[0] for r in verdicts.select("verdict").collect()])
+
+
 def seed_missing(partitions: DataFrame, current: DataFrame, group_id: str,
                  start: int = 0) -> DataFrame:
     """Seed rows (offset ``start``) for partitions with no stored offset."""

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamledger.operators import counts, offsets, upsert
-from streamledger.schemas import OFFSETS_LOG
+from streamledger.schemas import OFFSET_RANGE, OFFSETS_LOG
 
 BatchFn = Callable[[DataFrame, int], None]
 Hook = Callable[[int], None] | None
@@ -38,17 +38,27 @@ def read_batches(spark: SparkSession, folder: str, schema: str | None = None) ->
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def completed_folders(spark: SparkSession, folder: str) -> list[str]:
+def completed_folders(spark: SparkSession, folder: str,
+                      with_times: bool = False) -> list:
     """Names of the sub-folders of ``folder`` whose write completed (they hold
-    a ``_SUCCESS`` marker).  Driver-side listing of metadata only."""
+    a ``_SUCCESS`` marker), optionally with the marker's modification time.
+    Driver-side listing of metadata only."""
     sc = spark.sparkContext
     path_cls = sc._jvm.org.apache.hadoop.fs.Path
     path = path_cls(folder)
     fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    return [st.getPath().getName() for st in fs.listStatus(path)
-            if st.isDirectory() and fs.exists(path_cls(st.getPath(), "_SUCCESS"))]
+    out = []
+    for st in fs.listStatus(path):
+        if not st.isDirectory():
+            continue
+        marker = path_cls(st.getPath(), "_SUCCESS")
+        if fs.exists(marker):
+            name = st.getPath().getName()
+            out.append((name, fs.getFileStatus(marker).getModificationTime())
+                       if with_times else name)
+    return out
 
 
 class OffsetStore:
@@ -64,6 +74,15 @@ class OffsetStore:
 
     def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 10):
         self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
+        self._cache: dict[str, tuple[tuple, dict]] = {}
+
+    def _signature(self, group_id: str) -> tuple:
+        """What is committed for a group, by folder name and write time."""
+        return tuple(sorted(
+            (sub, name, t)
+            for sub in ("commits", "snapshots")
+            for name, t in completed_folders(self.spark, f"{self.folder}/{sub}", True)
+            if name.rpartition("-")[0] == group_id))
 
     def _entries(self, sub: str, group_id: str | None) -> list[tuple[str, int]]:
         """(group, batch) of completed folders under ``sub`` (driver metadata)."""
@@ -92,10 +111,41 @@ class OffsetStore:
                   for g, b in self._entries("commits", group_id) if b > since]
         return offsets.current_offsets(self._read(paths), group_id)
 
-    def verdict(self, ranges: DataFrame, group_id: str) -> str:
-        return offsets.batch_verdict(offsets.guard(ranges, self.current(group_id)))
-
-    def commit(self, ranges: DataFrame, group_id: str, batch_id: int) -> None:
+    def current_map(self, group_id: str) -> dict[tuple[str, int], int]:
+        """Current offsets on the driver: one entry per log partition.
+
+        Cached between calls and re-read whenever the listing of the group's
+        folders (names and write times) changed, e.g. by another writer.
+        """
+        sig = self._signature(group_id)
+        hit = self._cache.get(group_id)
+        if hit is not None and hit[0] == sig:
+            return dict(hit[1])
+        cur = {(r["topic"], r["partition"]): r["offset"]
+               for r in self.current(group_id).collect()}
+        self._cache[group_id] = (sig, cur)
+        return dict(cur)
+
+    def verdict(self, ranges, group_id: str) -> str:
+        """O4 for a batch.  ``ranges`` is a range DataFrame or its collected
+        rows (one per partition: bounded metadata, decided on the driver)."""
+        rows = ranges.collect() if isinstance(ranges, DataFrame) else ranges
+        cur = self.current_map(group_id) if rows else {}
+        return offsets.combine_verdicts([
+            offsets.range_verdict(r["from_offset"], r["until_offset"],
+                                  cur.get((r["topic"], r["partition"])))
+            for r in rows])
+
+    def commit(self, ranges, group_id: str, batch_id: int) -> None:
+        """O3: append the batch's ranges as commits (DataFrame or rows)."""
+        if isinstance(ranges, DataFrame):
+            ranges = ranges.collect()            # one row per partition
+        ends = {(r["topic"], r["partition"]): r["until_offset"] for r in ranges}
+        ranges = self.spark.createDataFrame(
+            [(r["topic"], r["partition"], r["from_offset"], r["until_offset"])
+             for r in ranges], OFFSET_RANGE)
+        before = self._cache.get(group_id)
+        fresh = before is not None and before[0] == self._signature(group_id)
         rows = offsets.commit_rows(ranges, group_id, batch_id)
         rows.write.mode("overwrite").parquet(
             f"{self.folder}/commits/{group_id}-{batch_id:09d}")
@@ -104,6 +154,12 @@ class OffsetStore:
                 "batch_id", F.lit(batch_id).cast("bigint"))
             snap.write.mode("overwrite").parquet(
                 f"{self.folder}/snapshots/{group_id}-{batch_id:09d}")
+        if fresh:
+            # nobody else wrote in between: the new state is the old one plus
+            # this batch's ends (one entry per partition)
+            self._cache[group_id] = (self._signature(group_id), {**before[1], **ends})
+        else:
+            self._cache.pop(group_id, None)
 
 
 def guarded(store: OffsetStore, group_id: str, work: BatchFn,
@@ -118,10 +174,11 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
     """
     def run(df: DataFrame, batch_id: int) -> None:
         # The micro-batch is bounded by the rate cap; cache it for the range
-        # aggregate and the work.  Ranges have one row per partition.
+        # aggregate and the work.  Its ranges -- one row per partition --
+        # come to the driver, as a batch's offset ranges do in the reference.
         df.persist()
-        ranges = offsets.batch_ranges(df).persist()
         try:
+            ranges = offsets.batch_ranges(df).collect()
             verdict = store.verdict(ranges, group_id)
             if verdict in ("empty", "skip"):     # F1, or a replayed batch
                 return
@@ -135,7 +192,6 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
             if after_commit is not None:
                 after_commit(batch_id)
         finally:
-            ranges.unpersist()
             df.unpersist()
     return run
 

@@ -85,3 +85,15 @@ def test_wide_round_trip(spark):
     assert wide.columns == ["rowkey", "0", "1", "2"]
     back = offsets.from_wide(wide)
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_driver_side_verdict_agrees_with_guard(spark):
+    cases = [(100, 200, 100), (0, 50, None), (100, 200, 200), (100, 200, 150),
+             (100, 200, 50), (5, 5, 5), (0, 0, None)]
+    ranges = spark.createDataFrame(
+        [("t", i, a, b) for i, (a, b, _) in enumerate(cases)], RANGE)
+    cur = spark.createDataFrame(
+        [("g", "t", i, c) for i, (_, _, c) in enumerate(cases) if c is not None], OFFSETS)
+    by_df = {r["partition"]: r["verdict"] for r in offsets.guard(ranges, cur).collect()}
+    by_py = {i: offsets.range_verdict(a, b, c) for i, (a, b, c) in enumerate(cases)}
+    assert by_df == by_py

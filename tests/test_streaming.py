@@ -217,3 +217,17 @@ def test_upsert_table_snapshots_bound_the_read(spark, workdir):
         table.write(upsert.upsert_rows(df), b)
     assert table._snapshots() == [1, 3]
     assert dict(table.view().collect()) == want
+
+
+def test_offset_cache_sees_another_writer(spark, workdir):
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    rng = "topic string, partition int, from_offset bigint, until_offset bigint"
+    first = spark.createDataFrame([("t", 0, 0, 10)], rng).collect()
+    assert store.verdict(first, "g") == "commit"
+    store.commit(first, "g", 0)
+    nxt = spark.createDataFrame([("t", 0, 10, 20)], rng).collect()
+    assert store.verdict(nxt, "g") == "commit"               # served from the cache
+    # a second writer for the same group moves the partition on
+    other = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    other.commit(spark.createDataFrame([("t", 0, 10, 15)], rng), "g", 1)
+    assert store.verdict(nxt, "g") == "raise"                # cache invalidated
