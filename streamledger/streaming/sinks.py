@@ -146,6 +146,7 @@ class OffsetStore:
              for r in ranges], OFFSET_RANGE)
         before = self._cache.get(group_id)
         fresh = before is not None and before[0] == self._signature(group_id)
+        own = f"{group_id}-{batch_id:09d}"
         rows = offsets.commit_rows(ranges, group_id, batch_id)
         rows.write.mode("overwrite").parquet(
             f"{self.folder}/commits/{group_id}-{batch_id:09d}")
@@ -154,10 +155,12 @@ class OffsetStore:
                 "batch_id", F.lit(batch_id).cast("bigint"))
             snap.write.mode("overwrite").parquet(
                 f"{self.folder}/snapshots/{group_id}-{batch_id:09d}")
-        if fresh:
-            # nobody else wrote in between: the new state is the old one plus
-            # this batch's ends (one entry per partition)
-            self._cache[group_id] = (self._signature(group_id), {**before[1], **ends})
+        after = self._signature(group_id) if fresh else ()
+        changed = set(after) ^ set(before[0]) if fresh else set()
+        if fresh and all(name == own for _, name, _ in changed):
+            # only this batch's folders changed: the new state is the old one
+            # plus this batch's ends (one entry per partition)
+            self._cache[group_id] = (after, {**before[1], **ends})
         else:
             self._cache.pop(group_id, None)
 
