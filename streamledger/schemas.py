@@ -2,6 +2,7 @@
 
 # One message of a partitioned log: the column set of Spark's Kafka source with
 # key and value cast to string, so the same operators run on Kafka and parquet.
+# (The parquet log keeps its source's timestamp type, timestamp_ntz here.)
 MESSAGE = (
     "topic string, partition int, offset bigint, key string, value string, "
     "timestamp timestamp"

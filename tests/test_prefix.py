@@ -45,3 +45,20 @@ def test_running_total_does_not_reshuffle_big_side(spark):
     # rows: one exchange (the in-block window); block totals: partial
     # aggregate, block window, join side.  A re-shuffled big side would be 5.
     assert text.count("Exchange hashpartitioning") == 4
+
+
+def test_hot_key_is_split_into_bounded_window_groups(spark):
+    """One key holds a third of 300k rows; every window group stays <= block."""
+    n, block = 300_000, 4096
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise((F.col("id") % 997).cast("string")).alias("k"),
+        F.col("id").alias("pos"))
+    got = running_total_non_null(df, ["k"], "pos", None, "rn", block=block)
+    w = Window.partitionBy("k").orderBy("pos")
+    want = df.select("k", "pos", F.row_number().over(w).cast("bigint").alias("rn"))
+    assert got.select("k", "pos", "rn").exceptAll(want).count() == 0
+    assert got.count() == n
+    groups = df.groupBy("k", F.expr(f"pos div {block}").alias("b")).count()
+    assert groups.agg(F.max("count")).first()[0] <= block
+    assert df.where("k = 'hot'").count() == n // 3
