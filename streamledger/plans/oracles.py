@@ -161,6 +161,14 @@ SELECT S.topic, S."partition", S."offset" AS from_offset,
        greatest(S."offset", least(E.latest, S."offset" + {CAP})) AS until_offset
 FROM S JOIN E ON S.topic = E.topic AND S."partition" = E."partition\"""",
 
+    "next_batch": f"""{BASE},
+S AS ({starts('earliest')}),
+E AS ({EXTENTS})
+SELECT L.* FROM L
+JOIN S ON L.topic = S.topic AND L."partition" = S."partition"
+JOIN E ON L.topic = E.topic AND L."partition" = E."partition"
+WHERE L."offset" >= S."offset" AND L."offset" < least(E.latest, S."offset" + {CAP})""",
+
     "batch_ranges": f"""{BASE}
 SELECT * FROM R""",
 

@@ -158,6 +158,13 @@ def q_rate_limited_ranges(spark, sf_dir):
     return logsrc.plan_ranges(starts, extents, CAP)
 
 
+def q_next_batch(spark, sf_dir):
+    """S4 S7 S2 composed: the next capped batch of a group from its offsets."""
+    log = message_log(spark, sf_dir)
+    stored = _current(spark, sf_dir, GROUP_B).select("topic", "partition", "offset")
+    return logsrc.next_batch(log, stored, "earliest", CAP)
+
+
 def q_batch_ranges(spark, sf_dir):
     """O1: consumed range of every partition in every batch."""
     return offsets.batch_ranges(batched_log(spark, sf_dir), ["batch_id"])
@@ -245,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "start_earliest": q_start_earliest,
     "start_latest": q_start_latest,
     "rate_limited_ranges": q_rate_limited_ranges,
+    "next_batch": q_next_batch,
     "batch_ranges": q_batch_ranges,
     "offsets_current": q_offsets_current,
     "offsets_guard": q_offsets_guard,

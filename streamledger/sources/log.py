@@ -168,6 +168,17 @@ def plan_ranges(starts: DataFrame, extents: DataFrame, max_per_partition: int) -
         .alias("until_offset"))
 
 
+def next_batch(log: DataFrame, stored: DataFrame, policy: str,
+               max_per_partition: int) -> DataFrame:
+    """The messages of the next micro-batch of a consumer: start where the
+    offset table says (S4, else ``policy``), cap every partition (S7) and read
+    only those ranges (S2).  ``stored`` has (topic, partition, offset)."""
+    extents = partition_extents(log)
+    ranges = plan_ranges(resolve_starts(extents, stored, policy), extents,
+                         max_per_partition)
+    return read_ranges(log, ranges)
+
+
 def with_batch_ids(log: DataFrame, max_per_partition: int) -> DataFrame:
     """Tag each message with the batch that reads it when the whole log is
     consumed from the earliest offsets under a per-partition cap (S4 + S7).
