@@ -101,3 +101,26 @@ def test_projections(spark, events):
     assert logsrc.project(log, "tv").columns == ["topic", "value"]
     row = log.where(F.col("offset") == 0).first()
     assert row["value"] == f"{row['topic']},{row['key']}"
+
+
+def test_next_batch_iterated_reads_the_log_exactly_once(spark, events, workdir):
+    from streamledger.operators import offsets
+    from streamledger.streaming import sinks
+    log = logsrc.message_log(events).persist()
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    seen, b = 0, 0
+    while True:
+        stored = store.current("g").select("topic", "partition", "offset")
+        batch = logsrc.next_batch(log, stored, "earliest", 25).persist()
+        ranges = offsets.batch_ranges(batch).collect()
+        if not ranges or all(r["from_offset"] == r["until_offset"] for r in ranges):
+            break
+        assert max(r["until_offset"] - r["from_offset"] for r in ranges) <= 25
+        assert store.verdict(ranges, "g") == "commit"
+        seen += batch.count()
+        store.commit(ranges, "g", b)
+        batch.unpersist()
+        b += 1
+    assert seen == log.count() and b == -(-max(
+        r[0] for r in logsrc.partition_extents(log).select("latest").collect()) // 25)
+    log.unpersist()
