@@ -168,15 +168,22 @@ def to_wide(current: DataFrame, partitions: Iterable[int]) -> DataFrame:
         F.max("offset"))
 
 
-def from_wide(wide: DataFrame, topic_group_sep: str = "-") -> DataFrame:
-    """Unpivot a wide row back to (rowkey, partition, offset); the group is
-    the text after the last separator, since topics may contain ``-``."""
+def from_wide(wide: DataFrame, group_id: str) -> DataFrame:
+    """Unpivot wide rows of one group back to one row per partition.
+
+    Both topic names and group ids may contain ``-``, so the key
+    ``topic-group`` can only be split knowing the group: rows whose key ends
+    with ``-<group_id>`` are that group's, and the rest of the key is the
+    topic (the reader always asks for one group, as O2 does).
+    """
+    suffix = f"-{group_id}"
     cols = [c for c in wide.columns if c != "rowkey"]
-    long = wide.unpivot("rowkey", cols, "partition", "offset").where(
+    mine = wide.where(F.col("rowkey").endswith(suffix))
+    long = mine.unpivot("rowkey", cols, "partition", "offset").where(
         F.col("offset").isNotNull())
-    rx = f"^(.*){topic_group_sep}([^{topic_group_sep}]*)$"
     return long.select(
-        F.regexp_extract("rowkey", rx, 2).alias("group_id"),
-        F.regexp_extract("rowkey", rx, 1).alias("topic"),
+        F.lit(group_id).alias("group_id"),
+        F.col("rowkey").substr(F.lit(1), F.length("rowkey") - F.lit(len(suffix)))
+        .alias("topic"),
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("bigint").alias("offset"))

@@ -208,6 +208,12 @@ SELECT topic || '-' || group_id AS rowkey,
 {",".join(f'''       max(CASE WHEN "partition" = {p} THEN "offset" END) AS "{p}"''' for p in range(PARTITIONS))}
 FROM C GROUP BY topic || '-' || group_id""",
 
+    "offsets_unpivot": f"""{BASE}
+{current(GROUP_A)}""",
+
+    "offsets_path_parse": f"""{BASE}
+{current(GROUP_A)}""",
+
     "parse_pairs_strict": f"""{PAIRS}
 SELECT conv_id, turn, coalesce(len(fs) = 2, false) AS ok,
        CASE WHEN len(fs) = 2 THEN fs[1] END AS name,

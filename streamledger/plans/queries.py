@@ -203,6 +203,17 @@ def q_offsets_wide(spark, sf_dir):
     return offsets.to_wide(_current(spark, sf_dir, GROUP_A), range(PARTITIONS))
 
 
+def q_offsets_unpivot(spark, sf_dir):
+    """O7 back: the wide row unpivoted to one row per partition again."""
+    wide = offsets.to_wide(_current(spark, sf_dir, GROUP_A), range(PARTITIONS))
+    return offsets.from_wide(wide, GROUP_A)
+
+
+def q_offsets_path_parse(spark, sf_dir):
+    """O7 back: path-tree entries parsed to (group, topic, partition, offset)."""
+    return offsets.from_path(offsets.to_path(_current(spark, sf_dir, GROUP_A)))
+
+
 def _pairs(spark, sf_dir, strict):
     conv = load_table(spark, sf_dir, "conversations")
     return conv.select("conv_id", "turn", parse_pair("text", strict).alias("p"))
@@ -260,6 +271,8 @@ QUERIES: dict[str, Query] = {
     "offsets_tall": q_offsets_tall,
     "offsets_path": q_offsets_path,
     "offsets_wide": q_offsets_wide,
+    "offsets_unpivot": q_offsets_unpivot,
+    "offsets_path_parse": q_offsets_path_parse,
     "parse_pairs_strict": q_parse_pairs_strict,
     "parse_pairs_lenient": q_parse_pairs_lenient,
     "upsert_latest": q_upsert_latest,

@@ -79,11 +79,13 @@ def test_path_round_trip(spark):
 
 
 def test_wide_round_trip(spark):
-    rows = [("g1", "a-b", 0, 5), ("g1", "a-b", 2, 6), ("g1", "c", 1, 7)]
-    cur = spark.createDataFrame(rows, OFFSETS)
+    # topics and the group contain "-": the group decides where the key splits
+    rows = [("g-1", "a-b", 0, 5), ("g-1", "a-b", 2, 6), ("g-1", "c", 1, 7)]
+    other = [("x", "a-b-g", 0, 9)]           # key "a-b-g-x": another group's row
+    cur = spark.createDataFrame(rows + other, OFFSETS)
     wide = offsets.to_wide(cur, [0, 1, 2])
     assert wide.columns == ["rowkey", "0", "1", "2"]
-    back = offsets.from_wide(wide)
+    back = offsets.from_wide(wide, "g-1")
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
 
 
