@@ -33,10 +33,12 @@ def open_stream(spark: SparkSession, args: argparse.Namespace,
             stream = logsrc.subscribe_pattern(stream, args.pattern)
         return stream
     stored = store.current_map(args.group) if store is not None else {}
+    # the per-partition cap becomes a per-trigger total over the partitions
+    # known from the offset table (without one, the cap is the total)
     opts = kafka.source_options(
         args.bootstrap, topics=args.topics, pattern=args.pattern,
         stored=stored or None, reset=args.reset,
-        max_per_partition=args.max_per_partition)
+        max_per_partition=args.max_per_partition, partitions=sorted(stored))
     return kafka.read_stream(spark, opts)
 
 

@@ -66,3 +66,19 @@ def test_console_apps_run(spark, feed, workdir):
 def test_kafka_needs_bootstrap():
     with pytest.raises(SystemExit):
         apps.main(["direct-word-count", "--out", "/nonexistent", "--once"])
+
+
+def test_kafka_options_from_stored_offsets(spark, workdir, monkeypatch):
+    from streamledger.sources import kafka
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    rng = "topic string, partition int, from_offset bigint, until_offset bigint"
+    store.commit(spark.createDataFrame([("t", 0, 0, 7), ("t", 1, 0, 9)], rng), "g", 0)
+    seen = {}
+    monkeypatch.setattr(kafka, "read_stream", lambda s, opts: seen.update(opts) or None)
+    args = apps.parser().parse_args(
+        ["offsets-count", "--bootstrap", "h:9092", "--group", "g", "--topics", "t",
+         "--max-per-partition", "100", "--out", workdir])
+    apps.open_stream(spark, args, store)
+    assert seen["assign"] == '{"t": [0, 1]}'
+    assert seen["startingOffsets"] == '{"t": {"0": 7, "1": 9}}'
+    assert seen["maxOffsetsPerTrigger"] == "200"
