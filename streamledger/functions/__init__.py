@@ -1,0 +1 @@
+"""Column expressions: Java-compatible split, tokenisers, parsers."""

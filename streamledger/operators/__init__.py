@@ -1,0 +1 @@
+"""DataFrame operators: counts, running totals, offsets, upserts."""

@@ -1,0 +1 @@
+"""Inputs: the message log, Kafka options, text files."""

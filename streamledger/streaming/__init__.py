@@ -1,0 +1 @@
+"""Structured Streaming: staged feeds, per-batch sinks, jobs and apps."""
