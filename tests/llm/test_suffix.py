@@ -1,0 +1,87 @@
+import random
+
+import numpy as np
+import pytest
+
+from . import brute
+from streamledger.llm import suffix
+from streamledger.llm.queries import op5_suffix_dedup
+
+COLS = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+
+
+def rows(df):
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    return sorted((tuple(r[c] for c in COLS) for r in df.collect()), key=key)
+
+
+def expect(docs, length):
+    return sorted(brute.remove_repeats(docs, length), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
+
+
+def corpus(seed, n=120):
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choices("abcdeé", k=rnd.randint(1, 9))) for _ in range(400)]
+    say = lambda k: " ".join(rnd.choices(words, k=k))
+    passages = [say(30) for _ in range(5)] + ["x" * 300, "abc" * 90]
+    docs = []
+    for i in range(n):
+        parts = [say(rnd.randint(0, 40))]
+        if rnd.random() < .6:
+            parts += [rnd.choice(passages), say(rnd.randint(0, 12))]
+        docs.append((i, " ".join(parts)))
+    docs += [(n + k, docs[3 * k][1]) for k in range(10)]
+    docs += [(None, docs[0][1]), (n + 20, None), (n + 21, ""), (5, docs[7][1]), (5, docs[7][1]),
+             (n + 22, "y" * 99), (n + 23, "y" * 99), (n + 24, "\0" * 250), (n + 25, say(6000))]
+    return docs
+
+
+@pytest.mark.parametrize("seed,length,shard_bytes,split", [
+    (1, 100, 1 << 20, 64), (2, 100, 1500, 64), (3, 40, 1500, 2), (4, 64, 4000, 1)])
+def test_matches_brute_force(spark, seed, length, shard_bytes, split):
+    docs = corpus(seed)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert rows(suffix.remove_repeats(df, length, shard_bytes, split)) == expect(docs, length)
+
+
+def test_kept_text_and_spans(spark):
+    text = "q" * 30 + "".join(chr(97 + k % 26) for k in range(0, 700, 7))
+    df = spark.createDataFrame([(1, text), (2, "zz" + text + "tail")], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix.remove_repeats(df, 100, with_text=True).collect()}
+    assert got[1].spans == [] and bytes(got[1].kept) == text.encode()
+    assert got[2].spans == [[2, 2 + len(text)]] and bytes(got[2].kept) == b"zztail"
+
+
+def test_empty_table_and_clashing_columns(spark):
+    schema = "doc_id long, text string, shard string, hash int, n_bytes int"
+    assert suffix.remove_repeats(spark.createDataFrame([], schema)).collect() == []
+    df = spark.createDataFrame([(1, "a" * 150, "s", 1, 2)], schema)
+    assert rows(suffix.remove_repeats(df))[0][:4] == (1, 150, 149, 1)
+
+
+def test_suffix_array_and_common_prefixes():
+    rnd = random.Random(7)
+    text = "".join(rnd.choices("ab", k=600)) + "".join(rnd.choices("abcdefgh", k=300)) * 2
+    buf, _ = suffix.padded([text.encode()])
+    order = suffix.suffix_array(buf, len(text), 64)
+    pad = text.encode() + bytes(128)
+    assert [pad[p:p + 64] for p in order] == sorted(pad[p:p + 64] for p in range(len(text)))
+    shared = suffix.common_prefixes(buf, order, 50)[order]
+    for a, b, k in zip(order[:-1], order[1:], shared[1:]):
+        m = 0
+        while m < 50 and max(a, b) + m < len(text) and pad[a + m] == pad[b + m]:
+            m += 1
+        # beyond the text's end nothing is promised
+        assert k == m or max(a, b) + k >= len(text) - 8
+
+
+def test_fingerprint_clash_is_verified(monkeypatch):
+    monkeypatch.setattr(suffix, "_powers", lambda base, n: np.zeros(n, np.uint64))
+    a, b = b"a" * 99 + b"b", b"c" * 100
+    assert suffix.merge_windows([a, b, a, b], 100).tolist() == [False, False, True, True]
+
+
+def test_query_on_table(spark):
+    import duckdb
+    docs = duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    assert rows(op5_suffix_dedup(spark, "/root/testdata/sf0.001")) == expect(docs, 100)
