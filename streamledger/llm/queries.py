@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .simhash import near_duplicates
 from .suffix import remove_repeats
 
 
@@ -17,8 +18,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked at two or fewer bits."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 LLM_QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 LLM_ORACLES: dict[str, str] = {}

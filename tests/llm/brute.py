@@ -21,3 +21,35 @@ def remove_repeats(docs, length):
         out.append((None if null else i, len(text), sum(gone), spans,
                     hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def simhash(text, shingle):
+    import re
+
+    import xxhash
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_components(docs, shingle, max_bits):
+    prints = [simhash(t, shingle) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= max_bits:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return [(d, f"{p:016x}", least.get(find(i))) for i, ((d, _), p) in enumerate(zip(docs, prints))]
