@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .leaks import decontaminate
 from .simhash import near_duplicates
 from .suffix import remove_repeats
 
@@ -18,6 +19,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of benchmark items, found in whole documents."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer bits."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -25,6 +31,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
 

@@ -53,3 +53,30 @@ def simhash_components(docs, shingle, max_bits):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
     return [(d, f"{p:016x}", least.get(find(i))) for i, ((d, _), p) in enumerate(zip(docs, prints))]
+
+
+def bench_words(text):
+    import re
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def decontaminate(docs, items, window):
+    held = {}
+    for i, t in items:
+        ws = bench_words(t)
+        for k in range(max(1, len(ws) - window + 1) if ws else 0):
+            held.setdefault(tuple(ws[k:k + window]), set()).add(i)
+    sizes = {len(w) for w in held}
+    out = []
+    for d, t in docs:
+        ws, hit, ids = bench_words(t), set(), set()
+        for size in sizes:
+            for k in range(len(ws) - size + 1):
+                got = held.get(tuple(ws[k:k + size]))
+                if got:
+                    hit.update(range(k, k + size))
+                    ids |= {str(x) for x in got if x is not None}
+        out.append((d, len(ws), len(hit), len(ids),
+                    hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
+    return out
