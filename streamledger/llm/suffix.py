@@ -117,44 +117,53 @@ def anchor_runs(buf: np.ndarray, offsets: np.ndarray, length: int):
     return np.concatenate(los), np.concatenate(his), np.concatenate(hashes)
 
 
-def suffix_array(buf: np.ndarray, n: int, depth: int) -> np.ndarray:
-    """Positions 0..n-1 ordered by their next ``depth`` bytes or more.
+def suffix_array(buf: np.ndarray, n: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions 0..n-1 ordered by their next ``depth`` bytes or more; the
+    places in that order whose suffix shares at least half of ``depth`` bytes
+    with the one before it; and which of these share all of ``depth``.
 
     Larsson-Sadakane: order by 8 bytes, then double the compared length; only
     groups that are not yet settled are sorted again, by the rank of what
     follows them.  ``buf`` needs 8 bytes beyond n.
     """
-    order = np.argsort(_words(buf)[:n].byteswap(), kind="quicksort")
+    order = np.argsort(_words(buf)[:n].byteswap(), kind="quicksort").astype(np.int32)
     key = _words(buf)[order]
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
-    rank = np.zeros(n + 1, np.int64)            # rank[n]: beyond the end
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[order] = group + 1
+    rank = np.zeros(n + 1, np.int32)            # rank[n]: beyond the end
+    first = np.flatnonzero(new)
+    rank[order] = np.repeat((first + 1).astype(np.int32), np.diff(np.append(first, n)))
     done = 8
     alone = new & np.append(new[1:], True)
-    todo = np.flatnonzero(~alone)               # places in ``order`` to refine
+    todo = np.flatnonzero(~alone).astype(np.int32)      # places in ``order`` to refine
+    close = equal = None
     while done < depth and len(todo):
         pos = order[todo]
-        head = rank[pos]
-        follow = rank[np.minimum(pos + done, n)]
-        key = (head.astype(np.uint64) << np.uint64(32)) | follow.astype(np.uint64)
+        key = rank[pos].astype(np.uint64) << np.uint64(32)
+        key |= rank[np.minimum(pos + np.int32(done), np.int32(n))].view(np.uint32)
         by = np.argsort(key, kind="quicksort")
         pos, key = pos[by], key[by]
         order[todo] = pos
         new = np.ones(len(todo), bool)
         new[1:] = key[1:] != key[:-1]
-        at = np.maximum.accumulate(np.where(new, np.arange(len(todo)), 0))
-        rank[pos] = todo[at] + 1
+        first = np.flatnonzero(new)
+        rank[pos] = np.repeat(todo[first] + np.int32(1), np.diff(np.append(first, len(todo))))
+        done *= 2
+        if done >= depth:
+            head = key >> np.uint64(32)
+            joined = np.zeros(len(todo), bool)
+            joined[1:] = head[1:] == head[:-1]
+            close, equal = todo[joined], ~new[joined]
         alone = new & np.append(new[1:], True)
         todo = todo[~alone]
-        done *= 2
-    return order
+    if close is None:
+        close, equal = np.empty(0, np.int32), np.empty(0, bool)
+    return order, close, equal
 
 
-def common_prefixes(buf: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
-    """For every position, the bytes it shares with its predecessor in
-    ``order``, up to ``cap``.
+def common_prefixes(buf: np.ndarray, order: np.ndarray, places: np.ndarray, cap: int) -> np.ndarray:
+    """For every one of ``places`` in ``order``, the bytes that its suffix
+    shares with the suffix before it, up to ``cap``.
 
     Kasai's recurrence, run from the text's end: where a position and the next
     have predecessors at the same distance, the shared length of the earlier is
@@ -162,19 +171,21 @@ def common_prefixes(buf: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
     chain is compared, eight bytes at a time.
     """
     n = len(order)
-    before = np.empty(n, np.int64)
-    before[order[1:]] = order[:-1]
-    before[order[0]] = -1
-    chained = np.zeros(n, bool)
-    chained[:-1] = (before[1:] == before[:-1] + 1) & (before[:-1] >= 0) \
-        & (buf[:n - 1] == buf[before[:-1]])
+    if len(places) == 0:
+        return np.empty(0, np.int64)
+    by = np.argsort(order[places], kind="quicksort")
+    pos = order[places[by]]
+    before = np.where(places[by] > 0, order[places[by] - 1], np.int32(-1))
+    chained = np.zeros(len(pos), bool)
+    chained[:-1] = (pos[1:] == pos[:-1] + 1) & (before[1:] == before[:-1] + 1) \
+        & (before[:-1] >= 0) & (buf[pos[:-1]] == buf[before[:-1]])
     last = np.flatnonzero(~chained)
     value = np.zeros(len(last), np.int64)
     words = _words(buf)
     live = np.flatnonzero(before[last] >= 0)
     shift = 0
     while len(live) and shift < cap:
-        a, b = last[live] + shift, before[last[live]] + shift
+        a, b = pos[last[live]] + shift, before[last[live]] + shift
         inside = np.maximum(a, b) < n
         live, a, b = live[inside], a[inside], b[inside]
         diff = words[a] ^ words[b]
@@ -186,7 +197,9 @@ def common_prefixes(buf: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
         shift += 8
         value[live] = shift
     at = np.repeat(np.arange(len(last)), np.diff(np.concatenate(([-1], last))))
-    return np.minimum(value[at] + last[at] - np.arange(n), cap)
+    out = np.empty(len(pos), np.int64)
+    out[by] = np.minimum(value[at] + pos[last[at]] - pos, cap)
+    return out
 
 
 def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,15 +211,18 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def later_copies(buf: np.ndarray, windows: np.ndarray, n: int, length: int) -> np.ndarray:
     """Mask over positions 0..n-1: windows equal to one at a smaller position.
     ``windows`` masks the positions that are windows of ``length`` bytes."""
-    order = suffix_array(buf, n, length)
-    shared = common_prefixes(buf, order, length)[order]
-    breaks = np.flatnonzero(shared < length)
+    order, places, equal = suffix_array(buf, n, length)
     out = np.zeros(n, bool)
-    if len(breaks) == n:
+    equal[~equal] = common_prefixes(buf, order, places[~equal], length) >= length
+    places = places[equal]                  # same window as at the place before
+    if len(places) == 0:
         return out
-    least = np.minimum.reduceat(np.where(windows[order], order, n), breaks)
-    size = np.diff(np.append(breaks, n))
-    out[order] = order > np.repeat(least, size)
+    breaks = np.flatnonzero(np.diff(places, prepend=np.int32(-2)) != 1)
+    pos, lead = order[places], order[places[breaks] - 1]
+    least = np.minimum.reduceat(np.where(windows[pos], pos, np.int32(n)), breaks)
+    least = np.minimum(least, np.where(windows[lead], lead, np.int32(n)))
+    out[pos] = pos > np.repeat(least, np.diff(np.append(breaks, len(pos))))
+    out[lead] = lead > least
     return out & windows
 
 
@@ -234,19 +250,27 @@ def merge_windows(pieces: list[bytes], length: int) -> np.ndarray:
     np.cumsum((buf[:total].astype(np.uint64) + np.uint64(1)) * _powers(inverse, total), out=run[1:])
     prints = (run[pos + length] - run[pos]) * up[pos]
     prints ^= prints >> np.uint64(32)
-    merged = np.sort(prints)
+    by = np.argsort(prints, kind="quicksort")
+    merged = prints[by]
     distinct = merged[np.append(True, merged[1:] != merged[:-1])]
-    place = np.searchsorted(distinct, prints)            # each window's class
-    first = np.full(len(distinct), len(prints), np.int64)
-    first[place[::-1]] = np.arange(len(prints))[::-1]    # the last write wins: the earliest
+    place = np.empty(len(prints), np.int64)
+    place[by] = np.searchsorted(distinct, merged)        # each window's class
+    first = np.empty(len(distinct), np.int64)
+    first[place[::-1]] = np.arange(len(prints) - 1, -1, -1)   # the last write wins: the earliest
     lead = first[place]
     later = lead < np.arange(len(prints))
-    # Equal fingerprints are verified on the bytes.
+    # Equal fingerprints are verified on the bytes: in full where a run of
+    # neighbouring pairs begins, by the one new byte within it.
     words = _words(buf)
     a, b = pos[later], pos[lead[later]]
-    same = np.ones(len(a), bool)
+    head = np.ones(len(a), bool)
+    head[1:] = (np.diff(a) != 1) | (np.diff(b) != 1)
+    same = buf[a + length - 1] == buf[b + length - 1]
     for k in [*range(0, length - 7, 8), max(length - 8, 0)]:
-        same &= words[a + k] == words[b + k]
+        same[head] &= words[a[head] + k] == words[b[head] + k]
+    run = np.flatnonzero(head)
+    if len(run):
+        same = np.repeat(np.logical_and.reduceat(same, run), np.diff(np.append(run, len(a))))
     if not same.all():
         which = np.flatnonzero(later)
         clash = np.isin(place, place[which[~same]])
@@ -515,7 +539,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     pieces = by_shard.cogroup(repeated.groupBy("shard")).applyInArrow(
         _shard(length, shards, split), _PIECE)
     first = pieces.groupBy("bucket", "sub").applyInArrow(_merge(length, False), _PIECE)
-    spare = F.when(F.col("kind") == 0, F.lit(-1)).otherwise(F.col("shard"))
+    spare = F.when(F.col("kind") == 0, F.lit(-1)).otherwise(F.col("sub"))
     second = first.withColumn("place", spare).groupBy("bucket", "place") \
         .applyInArrow(_drop_place(_merge(length, True)), _PIECE)
     removed = second.where("kind = 1").select("shard", "doc_no", "start", "n")

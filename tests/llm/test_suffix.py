@@ -63,16 +63,18 @@ def test_suffix_array_and_common_prefixes():
     rnd = random.Random(7)
     text = "".join(rnd.choices("ab", k=600)) + "".join(rnd.choices("abcdefgh", k=300)) * 2
     buf, _ = suffix.padded([text.encode()])
-    order = suffix.suffix_array(buf, len(text), 64)
+    order, places, equal = suffix.suffix_array(buf, len(text), 64)
     pad = text.encode() + bytes(128)
     assert [pad[p:p + 64] for p in order] == sorted(pad[p:p + 64] for p in range(len(text)))
-    shared = suffix.common_prefixes(buf, order, 50)[order]
-    for a, b, k in zip(order[:-1], order[1:], shared[1:]):
-        m = 0
-        while m < 50 and max(a, b) + m < len(text) and pad[a + m] == pad[b + m]:
+    shared = dict(zip(places.tolist(), suffix.common_prefixes(buf, order, places, 50).tolist()))
+    same = dict(zip(places.tolist(), equal.tolist()))
+    for k in range(1, len(order)):
+        a, b, m = int(order[k - 1]), int(order[k]), 0
+        while m < 64 and pad[a + m] == pad[b + m]:
             m += 1
+        assert (k in places) == (m >= 32) and same.get(k, False) == (m == 64)
         # beyond the text's end nothing is promised
-        assert k == m or max(a, b) + k >= len(text) - 8
+        assert k not in shared or shared[k] == min(m, 50) or max(a, b) + m >= len(text) - 8
 
 
 def test_fingerprint_clash_is_verified(monkeypatch):
