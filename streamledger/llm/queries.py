@@ -12,6 +12,7 @@ from .common import table
 from .leaks import decontaminate
 from .simhash import near_duplicates
 from .suffix import remove_repeats
+from .toxicity import score, train
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of benchmark items, found in whole documents."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -31,6 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
