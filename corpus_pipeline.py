@@ -1,13 +1,86 @@
-"""Cleaning a document corpus: five stages, each one of the llm operators."""
+"""Cleaning a document corpus: five stages, each one of the llm operators.
+
+Every stage takes (spark, docs, sf_dir) and works on all the rows its
+predecessor kept.  All but the last return the columns of ``documents``:
+
+1. toxicity: documents predicted toxic go.
+2. simhash: of every group of near copies the smallest id stays.
+3. suffix: strings of 100 bytes that start earlier elsewhere are cut out of the
+   texts (a character cut in two goes as a whole); ``n_chars`` follows the text.
+   A document with nothing left stays, with an empty text.
+4. leaks: documents that hold a ten-word window of a benchmark item go.
+5. mixing: how many words of each document a mix by source takes.
+
+Rows without an id are documents too: they are told apart by their text, and
+order after all ids.  Rows that share an id count as one document in stage 2.
+An empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamledger.llm.common import materialize, table
+from streamledger.llm.leaks import decontaminate
+from streamledger.llm.mixing import mix
+from streamledger.llm.simhash import near_duplicates
+from streamledger.llm.suffix import remove_repeats
+from streamledger.llm.toxicity import drop_toxic, train
+
+_HALF = 1 << 62
+
+
+def _key() -> Column:
+    """A document's id, or for rows without one a number past any id."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_HALF) + F.pmod(F.xxhash64("text"), F.lit(_HALF)))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8, trained on these documents' labels."""
+    return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: three-word shingles, two bits."""
+    groups = near_duplicates(docs.select(_key().alias("doc_id"), "text"), shingle=3, max_bits=2)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__key")).distinct()
+    return docs.withColumn("__key", _key()).join(kept, "__key", "left_semi") \
+        .dropDuplicates(["__key"]).select(*docs.columns)
+
+
+def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: 100 bytes."""
+    cut = remove_repeats(docs, length=100, with_text=True, carry=tuple(docs.columns[:1] + [
+        c for c in docs.columns[1:] if c != "text"]))
+    text = F.when(F.col("n_bytes") > 0, F.col("kept"))
+    return cut.select(*(
+        _valid(text).alias(c) if c == "text" else
+        F.char_length(F.coalesce(_valid(text), F.lit(""))).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
+        F.col("rest")[c].alias(c) for c in docs.columns))
+
+
+def _valid(raw: Column) -> Column:
+    """Bytes as text without the pieces of characters that were cut."""
+    return F.regexp_replace(F.decode(raw, F.lit("UTF-8")), "�", "")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: ten words."""
+    found = decontaminate(docs.select(_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), window=10)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
+    return docs.withColumn("__key", _key()).join(bad, "__key", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: weights 5, 2, 1, one and a half times all words."""
+    return mix(docs, weights=(5, 2, 1), share=1.5, most=2)
+
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity), ("simhash", simhash), ("suffix", suffix), ("leaks", leaks), ("mixing", mixing)]
 
+# Training, links and suffix arrays have no SQL form; tests compare the stages
+# with brute-force versions.
 ORACLE_SQL = None
 
 
@@ -15,6 +88,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written as Parquet
     and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

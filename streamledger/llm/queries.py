@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .leaks import decontaminate
+from .mixing import mix
 from .simhash import near_duplicates
 from .suffix import remove_repeats
 from .toxicity import score, train
@@ -20,6 +21,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weighing 5, 2, 1 share one and a half times all words."""
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of the labelled rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
@@ -38,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_mixing": op6_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,

@@ -335,15 +335,16 @@ def _anchors(length: int):
     return task
 
 
-def _ordered_docs(docs: pa.Table) -> tuple[list, list[bytes], np.ndarray]:
-    """A shard's documents in order: ids, texts and ties among equal ids."""
+def _ordered_docs(docs: pa.Table) -> tuple[list, list[bytes], np.ndarray, list[int]]:
+    """A shard's documents in order: ids, texts, ties among equal ids, and the
+    rows they come from."""
     ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
-    rows = sorted(((i is None, i or 0, t or b"") for i, t in zip(ids, texts)))
+    rows = sorted((i is None, i or 0, t or b"", k) for k, (i, t) in enumerate(zip(ids, texts)))
     tie = np.zeros(len(rows), np.int32)
     for k in range(1, len(rows)):
         if rows[k][:2] == rows[k - 1][:2]:
             tie[k] = tie[k - 1] + 1
-    return [None if r[0] else r[1] for r in rows], [r[2] for r in rows], tie
+    return [None if r[0] else r[1] for r in rows], [r[2] for r in rows], tie, [r[3] for r in rows]
 
 
 def _piece_table(kind, bucket, sub, shard, doc_no, late, doc_id, tie, start, n, data) -> pa.Table:
@@ -357,7 +358,7 @@ def _piece_table(kind, bucket, sub, shard, doc_no, late, doc_id, tie, start, n,
 
 def _shard(length: int, shards: int, split: int):
     def task(key, docs, repeated):
-        ids, texts, tie = _ordered_docs(docs)
+        ids, texts, tie, _ = _ordered_docs(docs)
         empty = _piece_table(*[[]] * 11)
         if repeated.num_rows == 0 or not texts:
             return empty
@@ -482,7 +483,7 @@ def _merge(length: int, final: bool):
 
 def _finish(length: int, spans_out: bool):
     def task(key, docs, removed):
-        ids, texts, _ = _ordered_docs(docs)
+        ids, texts, _, place = _ordered_docs(docs)
         runs: dict[int, list[tuple[int, int]]] = {}
         for d, s, n in zip(*(removed.column(c).to_pylist() for c in ("doc_no", "start", "n"))):
             runs.setdefault(d, []).append((s, s + n + length - 1))
@@ -509,25 +510,31 @@ def _finish(length: int, spans_out: bool):
             names += ["kept", "spans"]
             types += [pa.binary(), pa.list_(pa.list_(pa.int64()))]
         cols = list(zip(*rows)) or [[]] * len(names)
-        return pa.table([pa.array(list(c), t) for c, t in zip(cols, types)], names)
+        out = pa.table([pa.array(list(c), t) for c, t in zip(cols, types)], names)
+        if "rest" in docs.column_names:
+            out = out.append_column("rest", docs.column("rest").take(pa.array(place, pa.int64())))
+        return out
     return task
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_BYTES,
-                   split: int = SPLIT_SHARDS, with_text: bool = False) -> DataFrame:
+                   split: int = SPLIT_SHARDS, with_text: bool = False,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: what remains once repeated strings are removed.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.  Returns
     doc_id, n_bytes, n_removed, n_spans, kept_sha256; ``with_text`` adds the
-    remaining bytes (``kept``) and the removed ``spans`` as [start, end).
+    remaining bytes (``kept``) and the removed ``spans`` as [start, end);
+    ``carry`` names columns of ``docs`` to return as the struct ``rest``.
     A document shorter than ``length`` loses nothing.  An empty table gives an
     empty result.
     """
     if length < K:
         raise ValueError(f"length must be at least {K}")
     shards = blocks_for(total_bytes(docs, "text"), shard_bytes)
+    rest = [F.struct(*map(F.col, carry)).alias("rest")] if carry else []
     dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
+        *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
     anchors = dealt.select("text", "shard").where(F.octet_length("text") >= length) \
         .mapInArrow(_anchors(length), _ANCHOR)
@@ -546,6 +553,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
         out += ", kept binary, spans array<array<long>>"
+    if carry:
+        out += f", rest {dealt.schema['rest'].dataType.simpleString()}"
     return by_shard.cogroup(removed.groupBy("shard")).applyInArrow(_finish(length, with_text), out)
 
 

@@ -386,3 +386,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     value = 1 / (1 + F.exp(-(F.lit(b) + w1 * F.col("x1") + w2 * F.col("x2"))))
     return tops.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), value.alias("score")) \
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values))
+    b, w1, w2 = map(float, model.weights)
+
+    def task(batches):
+        cost, keys, values = sent.value
+        decoder, cache, weights = Decoder(cost), {}, dict(zip(keys.tolist(), values.tolist()))
+        for batch in batches:
+            tops = (_two_strongest(t.as_py() or "", decoder, cache, weights) for t in batch.column("text"))
+            clean = [1 / (1 + math.exp(-(b + w1 * x + w2 * y))) < threshold for x, y in tops]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)

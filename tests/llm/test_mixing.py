@@ -1,0 +1,94 @@
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from streamledger.llm import mixing
+from streamledger.llm.queries import op6_mixing
+
+COLS = "doc_id", "size", "source_size", "target", "taken"
+
+
+def targets(rows, weights=(5, 2, 1), share=1.5, most=2):
+    """Sharing out round by round, as stated."""
+    size = defaultdict(int)
+    for _, text, source in rows:
+        size[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    names = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + ([None] if None in size else [])
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    fixed, total = {}, share * sum(size.values())
+    while True:
+        free = [s for s in names if s not in fixed]
+        rest, w = total - sum(fixed.values()), sum(weight[s] for s in free)
+        got = {s: rest * weight[s] / w for s in free}
+        over = [s for s in free if got[s] > most * size[s]]
+        if not over:
+            return {**fixed, **got}, size
+        fixed.update({s: float(most * size[s]) for s in over})
+
+
+def verify(rows, out, near):
+    want, size = targets(rows)
+    source = {i: s for i, _, s in rows}
+    got, longest = defaultdict(int), defaultdict(int)
+    assert len(out) == len(rows)
+    for r in out:
+        s = source[r.doc_id]
+        assert r.source_size == size[s] and math.isclose(r.target, want[s], rel_tol=1e-9, abs_tol=1e-9)
+        assert 0 <= r.taken <= 2 * r.size and r.copies >= r.taken / max(r.size, 1)
+        got[s] += r.taken
+        longest[s] = max(longest[s], r.size)
+    for s in want:
+        assert abs(got[s] - want[s]) <= max(1, near * longest[s]), (s, got[s], want[s])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_targets_and_limits(spark, monkeypatch, seed):
+    rnd = random.Random(seed)
+    monkeypatch.setattr(mixing, "_BLOCK_ROWS", 50)
+    sources = ["a", "B", "é", "zz", "\U0001F600", "￮", None]
+    rows = [(i, rnd.choice([" ", "\n\t"]).join(["w"] * rnd.choice([0, 1, 7, 7, 30, 200])), rnd.choices(
+        sources, [30, 1, 5, 9, 3, 2, 4])[0]) for i in range(300)]
+    rows += [(300, None, "a"), (301, "", "empty"), (302, " \x0b ", "empty"), (303, "x" * 9, "solo")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mixing.mix(df).collect()
+    verify(rows, out, 0)
+    assert sorted(map(str, out)) == sorted(map(str, mixing.mix(df.repartition(2)).collect()))
+
+
+def test_multipliers_solve_the_dual(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * i % 97)), "abcd"[i % 4]) for i in range(200)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    seen = 0
+    for target in {r.target for r in out}:
+        own = [r for r in out if r.target == target]
+        assert math.isclose(sum(r.rate * r.size for r in own), target, rel_tol=1e-4)
+        mean = sum(r.size for r in own) / len(own)
+        tilt = {round(math.log(r.rate) / r.size * mean, 3) for r in own if 0 < r.rate < 2 and r.size > 5}
+        assert len(tilt) <= 1            # one exponential tilt
+        seen += len(tilt)
+    assert seen >= 2
+
+
+def test_word_count(spark):
+    texts = [None, "", " ", "a", " a b\t\x0bc\x0c\r\n", "é　x\xa0y z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.word_count(F.col("t")))
+    assert [r[0] for r in df.collect()] == [0, 0, 0, 1, 3, 2]
+
+
+def test_one_hot_group_repeated_ids_and_clashing_columns(spark):
+    rows = [(i // 2, "w " * 10, "hot", "x", 1) for i in range(400)] + [(None, "a b", None, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, sid string, size int")
+    out = mixing.mix(df).collect()
+    assert len(out) == 401
+    assert sum(r.taken for r in out if r.doc_id is not None) == round(next(r.target for r in out if r.doc_id == 1))
+    assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_query_on_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
+    verify(rows, op6_mixing(spark, sf).collect(), 0.5)
