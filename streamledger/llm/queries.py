@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .leaks import decontaminate
 from .mixing import mix
+from .pagetext import extract
 from .simhash import near_duplicates
 from .suffix import remove_repeats
 from .toxicity import score, train
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that start earlier elsewhere go from every document."""
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
@@ -43,6 +49,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
     "op8_toxicity": op8_toxicity,

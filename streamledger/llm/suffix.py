@@ -537,7 +537,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
         *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
     anchors = dealt.select("text", "shard").where(F.octet_length("text") >= length) \
-        .mapInArrow(_anchors(length), _ANCHOR)
+        .mapInArrow(_anchors(length), _ANCHOR).repartition("hash")    # read twice below, dealt once
     spread = anchors.groupBy("hash").agg(F.sum("n").alias("total"), F.count("*").alias("shards")) \
         .where("total > 1")
     repeated = anchors.select("hash", "shard").join(spread.select("hash", "shards"), "hash") \

@@ -1,0 +1,62 @@
+import html
+import re
+
+import pytest
+
+from streamledger.llm.pagetext import extract, main_text
+from streamledger.llm.queries import op1_html_extraction
+
+LONG = "This sentence belongs to the article and has a fair number of words in it, as articles do."
+PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
+<header><a href=/>Site</a> slogan of the site</header><nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav>
+<div class="cookie-notice">We use cookies, a great many of them, and you had better like it.</div>
+%s
+<div id="comments"><p>First! A reader's comment of some length, longer than one would like it to be.</p></div>
+<aside><p>Read this other thing next, it is nearly as good as the thing you are reading.</p></aside>
+<form><p>Your mail address goes here, and we will send you letters every day.</p><button>Go</button></form>
+<footer>All rights reserved</footer><script>var x = "<p>no</p>" < 3;</script></body></html>"""
+
+
+@pytest.mark.parametrize("article", [
+    "<article><h1>Head</h1><p>{0}<p>{0}</p></article>",
+    "<div class='post-content'><h1>Head</h1><p>{0}</p><div class=share-buttons>Share this</div><p>{0}</p></div>",
+    "<main><div><h1>Head</h1></div><div>{0}<br></div><div>{0}</div></main>",
+    "<div class='content with-sidebar'><div class=a><h1>Head</h1><p>{0}</p></div><div class=b><p>{0}</p></div></div>",
+    "<table><tr><td><h1>Head</h1><p>{0}<td><p>{0}</table>"])
+def test_article_without_the_rest(article):
+    assert main_text(PAGE % article.format(LONG)) == f"Head\n{LONG}\n{LONG}"
+
+
+def test_references_space_and_malformed_markup():
+    page = "<body><p>a &amp; b&nbsp;&eacute; &#x41;\n\t c<b>d</b>e <i title='x > y'>f</i> 1 < 2<p>g<!-- <p>no --> h</body"
+    assert main_text(page) == "a & b é A cde f 1 < 2\ng h</body"
+    assert main_text("<p>open <a href=x title=\"unclosed>link</a> end") == "open link end"
+    assert main_text("x" * 200_000) == "x" * 200_000
+    assert main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+
+
+def test_script_and_comment_run_to_the_end():
+    assert main_text("<p>a</p><script>b") == "a" and main_text("<p>a</p><!-- b") == "a"
+
+
+def test_only_named_elements_still_give_text():
+    assert main_text("<div class=banner><p>All there is.</p></div>") == "All there is."
+
+
+def test_edge_rows(spark):
+    schema = "page_id long, url string, html string, text int, n_chars string"
+    rows = [(1, None, None, 1, ""), (None, "u", "", 1, ""), (2, "u", "<p>é\U0001F600</p>", 1, ""), (2, "u", "<p>é\U0001F600</p>", 1, "")]
+    got = sorted(map(tuple, extract(spark.createDataFrame(rows, schema)).collect()), key=str)
+    assert got == sorted([(1, None, "", 0), (None, "u", "", 0), (2, "u", "é\U0001F600", 2), (2, "u", "é\U0001F600", 2)], key=str)
+    assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_query_against_the_articles(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in op1_html_extraction(spark, sf).collect()}
+    assert got.keys() == pages.keys()
+    for i, source in pages.items():
+        inner = re.search(r"<article>(.*?)(?:</article>|<footer|$)", source, re.S).group(1).replace("<br>", " ")
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", inner))
+        assert got[i] == "\n".join(b for b in blocks if b)
