@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .balltree import top_k
 from .common import table
 from .leaks import decontaminate
 from .mixing import mix
@@ -22,6 +23,11 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that start earlier elsewhere go from every document."""
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
@@ -50,6 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op3_topk_search": op3_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
     "op8_toxicity": op8_toxicity,
@@ -57,4 +64,20 @@ LLM_QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op3_topk_search": """
+        WITH codes AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS code
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT q.vec_id AS query_id, v.vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.code, v.code), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM codes q JOIN codes v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id),
+        ranked AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+          FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

@@ -1,0 +1,74 @@
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from streamledger.llm import balltree
+from streamledger.llm.queries import LLM_ORACLES, op3_topk_search
+
+
+def brute(rows, k, every, scale):
+    codes = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, q) in enumerate(codes):
+        if i % every == 0:
+            scored = sorted((-sum(x * y for x, y in zip(q, v)), j) for b, (j, v) in enumerate(codes)
+                            if a != b and len(v) == len(q))
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard_rows,query_rows,shape", [(50, 7, "normal"), (8192, 4096, "spread"), (64, 1000, "ties")])
+def test_matches_brute_force(spark, shard_rows, query_rows, shape):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        v = rng.normal(size=6) * (10 ** rng.integers(0, 3) if shape == "spread" else 1)
+        rows.append((i - 40, (np.round(v) if shape == "ties" else v).tolist()))
+    rows += [(None, [1.0] * 6), (900, None), (901, [1.0, None] + [1.0] * 4), (902, [math.nan] * 6), (903, [math.inf] * 6),
+             (1000, [2.0, 1.0]), (1001, [1.0, 1.0]), (1100, []), (1101, []), (0, [1.0] * 6), (0, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = balltree.top_k(df, 10, 10, 16, shard_rows, query_rows)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 10, 10, 16)
+
+
+def test_bounds_hold_and_prune(monkeypatch):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(20, 8)) * 50
+    codes = np.floor(centers[rng.integers(0, 20, 4000)] * 100 + rng.normal(size=(4000, 8)) * 20).astype(np.int64)
+    order, nodes, spheres = balltree.ball_tree(codes)
+    codes = codes[order]
+    for (lo, hi, _), s in zip(nodes.tolist(), spheres):
+        assert np.sqrt(((codes[lo:hi] - s[:-1]) ** 2).sum(axis=1)).max() <= s[-1] + 1e-6
+    seen = []
+    products = balltree._products
+    monkeypatch.setattr(balltree, "_products", lambda q, c: seen.append(len(q) * len(c)) or products(q, c))
+    top = balltree.TopK(30, 5)
+    balltree.search_shard(top, codes[:30], np.full((30, 2), -1), 0, np.arange(4000), codes, nodes, spheres)
+    want = np.sort(codes[:30] @ codes.T, axis=1)[:, ::-1][:, :5]
+    assert (top.scores == want).all() and sum(seen) < 0.5 * 30 * 4000
+
+
+def test_large_codes_stay_exact():
+    q = np.array([[2 ** 40 + 1, 3]], np.int64)
+    assert balltree._products(q, np.array([[2 ** 20 + 1, -7]], np.int64))[0, 0] == (2 ** 40 + 1) * (2 ** 20 + 1) - 21
+    top = balltree.TopK(1, 2)
+    top.add(np.array([0]), np.array([[2 ** 60, 2 ** 60 + 1, 2 ** 60]]), np.array([5, 6, 4]))
+    assert top.ids.tolist() == [[6, 4]]
+
+
+def test_empty_table_and_clashing_columns(spark):
+    schema = "vec_id long, embedding array<float>, score string, rank int, shard int"
+    assert balltree.top_k(spark.createDataFrame([], schema)).collect() == []
+    df = spark.createDataFrame([(100, [1.0], "", 1, 1), (7, [2.0], "", 1, 1)], schema)
+    assert list(map(tuple, balltree.top_k(df).collect())) == [(100, 1, 7, 1024 * 2048)]
+
+
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{sf}/embeddings.parquet')")
+    want = sorted(con.execute(LLM_ORACLES["op3_topk_search"]).fetchall())
+    assert sorted(map(tuple, op3_topk_search(spark, sf).collect())) == want
