@@ -16,6 +16,7 @@ from .pagetext import extract
 from .simhash import near_duplicates
 from .suffix import remove_repeats
 from .toxicity import score, train
+from .warc import round_trip
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives, normalised, and read back record by record."""
+    return round_trip(table(spark, sf_dir, "pages"), least=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of the labelled rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
@@ -59,6 +66,7 @@ LLM_QUERIES = {
     "op3_topk_search": op3_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
