@@ -13,22 +13,39 @@ from .common import table
 from .leaks import decontaminate
 from .mixing import mix
 from .pagetext import extract
+from .preference import format_pairs, swapped_replies
 from .simhash import near_duplicates
 from .suffix import remove_repeats
+from .tokencount import count_tokens
 from .toxicity import score, train
 from .warc import round_trip
 
+# The public byte-pair vocabulary that the token files are made with, and the
+# free id that ends a document in them.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+END_OF_DOCUMENT = 50256
+
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found in flat token files."""
+    return count_tokens(table(spark, sf_dir, "documents"), VOCABULARY, END_OF_DOCUMENT).select("doc_id", "n_tokens")
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten largest inner products of every hundredth vector."""
     return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
 
 
+def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations against themselves with a neighbour's last reply."""
+    return format_pairs(*swapped_replies(table(spark, sf_dir, "conversations")))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that start earlier elsewhere go from every document."""
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
@@ -63,7 +80,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_token_counts": op2_token_counts,
     "op3_topk_search": op3_topk_search,
+    "op4_preference_format": op4_preference_format,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
@@ -73,6 +92,35 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op4_preference_format": """
+        WITH turns AS (
+          SELECT DISTINCT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC) AS back
+          FROM turns WHERE role = 'assistant'),
+        swap AS (
+          SELECT a.pair_id, a.turn AS last, coalesce(b.text, '') AS other
+          FROM numbered a LEFT JOIN numbered b ON b.pair_id = xor(a.pair_id, 1) AND b.back = 1
+          WHERE a.back = 1),
+        rejected AS (
+          SELECT DISTINCT pair_id, turn, role,
+                 CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END AS text
+          FROM turns JOIN swap USING (pair_id)),
+        chosen AS (SELECT turns.* FROM turns JOIN swap USING (pair_id)),
+        differ AS (
+          (SELECT * FROM chosen EXCEPT SELECT * FROM rejected) UNION ALL
+          (SELECT * FROM rejected EXCEPT SELECT * FROM chosen)),
+        split AS (SELECT pair_id, min(turn) AS split FROM differ GROUP BY pair_id),
+        parts AS (
+          SELECT c.*, CASE WHEN s.split IS NULL OR turn < s.split THEN 'prompt' ELSE 'chosen' END AS part
+          FROM chosen c LEFT JOIN split s USING (pair_id)
+          UNION ALL
+          SELECT r.*, 'rejected' AS part FROM rejected r JOIN split s USING (pair_id) WHERE turn >= s.split)
+        SELECT pair_id, part, turn, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+               CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS INT) AS loss_mask
+        FROM parts
+    """,
     "op3_topk_search": """
         WITH codes AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS code
