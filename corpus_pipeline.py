@@ -51,18 +51,14 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: 100 bytes."""
-    cut = remove_repeats(docs, length=100, with_text=True, carry=tuple(docs.columns[:1] + [
-        c for c in docs.columns[1:] if c != "text"]))
-    text = F.when(F.col("n_bytes") > 0, F.col("kept"))
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    marked = docs.withColumn("__null", F.col("text").isNull())
+    cut = remove_repeats(marked, length=100, with_text=True, carry=(*others, "__null"))
+    text = F.when(~F.col("carried___null"), F.col("kept_text"))
+    size = F.char_length(F.coalesce(text, F.lit("")))
     return cut.select(*(
-        _valid(text).alias(c) if c == "text" else
-        F.char_length(F.coalesce(_valid(text), F.lit(""))).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
-        F.col("rest")[c].alias(c) for c in docs.columns))
-
-
-def _valid(raw: Column) -> Column:
-    """Bytes as text without the pieces of characters that were cut."""
-    return F.regexp_replace(F.decode(raw, F.lit("UTF-8")), "�", "")
+        text.alias(c) if c == "text" else size.cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+        else F.col("carried_" + c).alias(c) for c in docs.columns))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

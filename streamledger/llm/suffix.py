@@ -42,6 +42,7 @@ SHARD_BYTES = 1 << 20  # text in a shard; its arrays then fit in the cache
 K = 24                 # anchor k-gram
 SPLIT_SHARDS = 64      # an anchor in more shards than this is merged in two steps
 _TILE = 1 << 16
+_CARRIED = "carried_"
 
 _ANCHOR = "hash long, shard int, n int"
 _PIECE = ("kind int, bucket int, sub int, shard int, doc_no int, late int, "
@@ -503,16 +504,18 @@ def _finish(length: int, spans_out: bool):
                     pieces.append(text[at:s])
                 at = e
             row = [ids[i], len(text), sum(e - s for s, e in spans), len(spans), kept.hexdigest()]
-            rows.append([*row, b"".join(pieces), spans] if spans_out else row)
+            left = b"".join(pieces)
+            rows.append([*row, left, left.decode(errors="ignore"), spans] if spans_out else row)
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         if spans_out:
-            names += ["kept", "spans"]
-            types += [pa.binary(), pa.list_(pa.list_(pa.int64()))]
+            names += ["kept", "kept_text", "spans"]
+            types += [pa.binary(), pa.string(), pa.list_(pa.list_(pa.int64()))]
         cols = list(zip(*rows)) or [[]] * len(names)
         out = pa.table([pa.array(list(c), t) for c, t in zip(cols, types)], names)
-        if "rest" in docs.column_names:
-            out = out.append_column("rest", docs.column("rest").take(pa.array(place, pa.int64())))
+        for name in docs.column_names:
+            if name.startswith(_CARRIED):
+                out = out.append_column(name, docs.column(name).take(pa.array(place, pa.int64())))
         return out
     return task
 
@@ -524,15 +527,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.  Returns
     doc_id, n_bytes, n_removed, n_spans, kept_sha256; ``with_text`` adds the
-    remaining bytes (``kept``) and the removed ``spans`` as [start, end);
-    ``carry`` names columns of ``docs`` to return as the struct ``rest``.
+    remaining bytes (``kept``), their text without the pieces of characters
+    that were cut in two (``kept_text``) and the removed ``spans`` as [start, end);
+    ``carry`` names columns of ``docs`` to return as well, as ``carried_<name>``.
     A document shorter than ``length`` loses nothing.  An empty table gives an
     empty result.
     """
     if length < K:
         raise ValueError(f"length must be at least {K}")
     shards = blocks_for(total_bytes(docs, "text"), shard_bytes)
-    rest = [F.struct(*map(F.col, carry)).alias("rest")] if carry else []
+    rest = [F.col(c).alias(_CARRIED + c) for c in carry]
     dealt = docs.select(
         *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
@@ -552,9 +556,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     removed = second.where("kind = 1").select("shard", "doc_no", "start", "n")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
-        out += ", kept binary, spans array<array<long>>"
-    if carry:
-        out += f", rest {dealt.schema['rest'].dataType.simpleString()}"
+        out += ", kept binary, kept_text string, spans array<array<long>>"
+    for c in carry:
+        out += f", `{_CARRIED}{c}` {docs.schema[c].dataType.simpleString()}"
     return by_shard.cogroup(removed.groupBy("shard")).applyInArrow(_finish(length, with_text), out)
 
 
