@@ -98,6 +98,22 @@ def parse_pair(c, strict: bool = True) -> Column:
     )
 
 
+# Fixed value: what counts as a whole number in an id field.
+WHOLE_NUMBER = r"^[+-]?[0-9]+$"
+
+
+def typed_pair(c) -> Column:
+    """P7 with its id as a number: ``struct<ok, name, id bigint>``.
+
+    ``ok`` needs two or more fields and an id of digits that fits in 64 bits;
+    rows that fail have null fields.
+    """
+    p = parse_pair(c, strict=False)
+    number = F.when(p["id"].rlike(WHOLE_NUMBER), p["id"].try_cast("bigint"))
+    ok = p["ok"] & F.coalesce(number.isNotNull(), F.lit(False))
+    return F.struct(ok.alias("ok"), F.when(ok, p["name"]).alias("name"), F.when(ok, number).alias("id"))
+
+
 def fail_unless(ok: Column, message: str) -> Column:
     """Raise inside the task when ``ok`` is false (P6 ``fail`` mode)."""
     return F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(message)))

@@ -16,8 +16,10 @@ from streamledger.functions.text import (
     java_length, space_tokens, text_lines, whitespace_tokens)
 from streamledger.operators.prefix import running_total_non_null
 
-# Width of the batch-id blocks used for running counts (operators.prefix).
-BATCH_BLOCK = 1 << 12
+# Width of the batch-id blocks used for running counts, and how far batch ids
+# may go before blocks of blocks would pay (operators.prefix).
+BATCH_BLOCK = 1 << 20
+BATCH_SPAN = 1 << 40
 
 
 def tokens(df: DataFrame, col: str = "value", keep: Sequence[str] = (),
@@ -60,33 +62,12 @@ def running_word_count_update(batch_counts: DataFrame, block: int = BATCH_BLOCK)
     in every batch is still spread over many tasks.
     """
     # tokens are never null (split yields no null elements): one branch
-    return running_total_non_null(batch_counts, ["word"], "batch_id", "n", "total", block).select(
+    return running_total_non_null(batch_counts, ["word"], "batch_id", "n", "total", block, BATCH_SPAN).select(
         "batch_id", "word", F.col("total").alias("n"))
 
 
-def running_word_count_complete(batch_counts: DataFrame, last_batch,
-                                block: int = BATCH_BLOCK) -> DataFrame:
-    """A2, ``complete`` output (the reference's ``updateStateByKey``): every
-    word seen so far is emitted in every batch from its first one on.
-
-    ``last_batch`` is a scalar column (e.g. a scalar subquery) with the last
-    batch id.  The (word, batch) grid is generated per word in blocks of
-    ``block`` batch ids, so no single array holds a whole word's batches.
-    Output size is O(words x batches) by definition of complete mode.
-    """
-    first = batch_counts.groupBy("word").agg(F.min("batch_id").alias("first"))
-    b = int(block)
-    blocks = first.select(
-        "word", "first",
-        F.explode(F.sequence(F.expr(f"first div {b}"),
-                             F.floor(last_batch / F.lit(b)).cast("bigint"))).alias("__blk"))
-    grid = blocks.select(
-        "word",
-        F.explode(F.sequence(F.greatest(F.col("first"), F.col("__blk") * b),
-                             F.least(last_batch.cast("bigint"), F.col("__blk") * b + (b - 1))))
-        .alias("batch_id"))
-    filled = grid.join(batch_counts, ["word", "batch_id"], "left").select(
-        "batch_id", "word", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-    return running_total_non_null(filled, ["word"], "batch_id", "n", "total", block).select(
-        "batch_id", "word", F.col("total").alias("n"))
-
+def running_word_count_complete(batch_counts: DataFrame) -> DataFrame:
+    """A2, ``complete`` output (the reference's ``updateStateByKey``): the
+    table of every word seen so far, as it stands after the last batch.  Every
+    batch replaces it; none of its earlier states is kept."""
+    return batch_counts.groupBy("word").agg(F.sum("n").alias("n"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamledger.functions.text import fail_unless, parse_pair
+from streamledger.functions.text import fail_unless, parse_pair, typed_pair
 
 ORDER = ["batch_id", "offset", "topic", "partition"]
 
@@ -48,18 +48,18 @@ def append_rows(messages: DataFrame, mode: str = "fail") -> DataFrame:
     """K4 rows: leniently parsed ``name,id`` (P7) with the log coordinates,
     so committed offsets can be derived from committed rows.
 
-    ``fail``: a message with fewer than two fields fails the task, as in the
-    reference.  ``quarantine``: it is kept with ``ok = false`` and null
-    fields, so every consumed offset still has a row.
+    ``fail``: a message with fewer than two fields, or an id that is no whole
+    number of 64 bits, fails the task, as a strict database refuses it in the
+    reference.  ``quarantine``: it is kept with ``ok = false``, null fields and
+    its text in ``raw``, so every consumed offset still has a row.
     """
-    p = parsed_pairs(messages, False)
-    ok = fail_unless(F.col("ok"), "malformed name,id message") if mode == "fail" else F.col("ok")
-    cols = [F.col("name"), F.expr("try_cast(id as int)").alias("id"),
-            "topic", "partition", "offset"]
+    p = messages.select("topic", "partition", "offset", "value", typed_pair("value").alias("p")).select(
+        "topic", "partition", "offset", F.col("value").alias("raw"), "p.ok", "p.name", "p.id")
+    cols = ["name", "id", "topic", "partition", "offset"]
     if mode == "fail":
-        return p.where(ok).select(*cols)
+        return p.where(fail_unless(F.col("ok"), "malformed name,id message")).select(*cols)
     if mode == "quarantine":
-        return p.select(*cols, ok.alias("ok"))
+        return p.select(*cols, "ok", F.when(~F.col("ok"), F.col("raw")).alias("raw"))
     raise ValueError(f"unknown mode {mode!r}")
 
 

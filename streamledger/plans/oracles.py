@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from streamledger.plans.queries import (
     ASSIGNED, CAP, CURRENT_TOPICS, GROUP_A, GROUP_B, GROUP_B_LAST_BATCH,
-    GROUP_B_PARTITIONS, PARTITIONS, PATTERN, SUBSCRIBED)
+    GROUP_B_PARTITIONS, PARTITIONS, PATTERN, SPLIT, SUBSCRIBED)
 
 WS_CHARS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 WS_RX = r"[ \t\n\x0B\f\r]+"
@@ -88,7 +88,7 @@ BATCH_COUNTS = f"""BC AS (
   GROUP BY batch_id, word)"""
 
 _assigned_rows = ", ".join(
-    f"('{t}', {p}, {a}, {b})" for (t, p), (a, b) in sorted(ASSIGNED.items()))
+    f"('{t}', {p}, {a}, {'NULL' if b is None else b})" for (t, p), (a, b) in sorted(ASSIGNED.items(), key=lambda x: x[0]))
 
 UTF16_LEN = "(length({0}) + len(regexp_extract_all({0}, '[\\x{{10000}}-\\x{{10FFFF}}]')))"
 
@@ -112,15 +112,17 @@ FROM toks""",
 SELECT doc_id, CAST(unnest(range(len(arr))) AS INTEGER) AS line_no, unnest(arr) AS line
 FROM (SELECT doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS arr FROM documents)""",
 
+    "text_file_lines": """
+SELECT line, count(*) AS n
+FROM (SELECT unnest(string_split_regex(text || chr(10), '\\r\\n|\\r|\\n')[:-2]) AS line
+      FROM documents WHERE text IS NOT NULL)
+GROUP BY line""",
+
     "batch_word_count": f"""{BASE},\n{BATCH_COUNTS}
 SELECT batch_id, word, n FROM BC""",
 
-    "running_word_count": f"""{BASE},\n{BATCH_COUNTS},
-FW AS (SELECT word, min(batch_id) AS f FROM BC GROUP BY word),
-G AS (SELECT word, unnest(range(f, (SELECT max(batch_id) FROM BC) + 1)) AS batch_id FROM FW)
-SELECT G.batch_id, G.word,
-       CAST(sum(coalesce(BC.n, 0)) OVER (PARTITION BY G.word ORDER BY G.batch_id) AS BIGINT) AS n
-FROM G LEFT JOIN BC ON G.word = BC.word AND G.batch_id = BC.batch_id""",
+    "running_word_count": f"""{BASE},\n{BATCH_COUNTS}
+SELECT word, CAST(sum(n) AS BIGINT) AS n FROM BC GROUP BY word""",
 
     "running_word_count_update": f"""{BASE},\n{BATCH_COUNTS}
 SELECT batch_id, word,
@@ -146,7 +148,7 @@ SELECT topic, value FROM L""",
 SELECT L.* FROM L
 JOIN (VALUES {_assigned_rows}) AS A(t, p, from_offset, until_offset)
   ON L.topic = A.t AND L."partition" = A.p
-WHERE L."offset" >= A.from_offset AND L."offset" < A.until_offset""",
+WHERE L."offset" >= A.from_offset AND (A.until_offset IS NULL OR L."offset" < A.until_offset)""",
 
     "start_earliest": f"""{BASE}
 {starts('earliest')}""",
@@ -221,10 +223,10 @@ SELECT conv_id, turn, coalesce(len(fs) = 2, false) AS ok,
 FROM F""",
 
     "parse_pairs_lenient": f"""{PAIRS}
-SELECT conv_id, turn, coalesce(len(fs) >= 2, false) AS ok,
-       CASE WHEN len(fs) >= 2 THEN fs[1] END AS name,
-       CASE WHEN len(fs) >= 2 THEN TRY_CAST(fs[2] AS INTEGER) END AS id
-FROM F""",
+SELECT conv_id, turn, ok, CASE WHEN ok THEN fs[1] END AS name,
+       CASE WHEN ok THEN TRY_CAST(fs[2] AS BIGINT) END AS id
+FROM (SELECT *, coalesce(len(fs) >= 2 AND regexp_full_match(fs[2], '[+-]?[0-9]+')
+                         AND TRY_CAST(fs[2] AS BIGINT) IS NOT NULL, false) AS ok FROM F)""",
 
     "upsert_latest": f"""{BASE},
 P AS (SELECT batch_id, "offset", topic, "partition", {lit_split('value', ',')} AS fs FROM LB),
@@ -237,7 +239,7 @@ SELECT order_id, name FROM V WHERE rn = 1""",
 
     "append_rows": f"""{BASE},
 P AS (SELECT "offset", topic, "partition", {lit_split('value', ',')} AS fs FROM L)
-SELECT fs[1] AS name, TRY_CAST(fs[2] AS INTEGER) AS id, topic, "partition", "offset"
+SELECT fs[1] AS name, TRY_CAST(fs[2] AS BIGINT) AS id, topic, "partition", "offset"
 FROM P WHERE len(fs) >= 2""",
 
     "committed_offsets": f"""{BASE},
@@ -245,3 +247,9 @@ P AS (SELECT "offset", topic, "partition", {lit_split('value', ',')} AS fs FROM
 SELECT '{GROUP_A}' AS group_id, topic, "partition", max("offset") + 1 AS "offset"
 FROM P WHERE len(fs) >= 2 GROUP BY topic, "partition\"""",
 }
+
+
+def parts_sql(sql: str) -> str:
+    """An oracle with the log's parts for its batches (stream queries)."""
+    parts = f'LB AS (SELECT *, CAST(CASE WHEN "offset" < {SPLIT} THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM L)'
+    return sql.replace(LB, parts)

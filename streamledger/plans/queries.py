@@ -14,10 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamledger.functions.text import parse_pair, text_lines
+from streamledger.functions.text import parse_pair, text_lines, typed_pair
 from streamledger.operators import counts, offsets, upsert
-from streamledger.session import load_table, spread
+from streamledger.schemas import MESSAGE_COLUMNS
+from streamledger.session import load_table, scratch_dir
 from streamledger.sources import log as logsrc
+from streamledger.sources.text import read_lines, write_lines
 
 # Fixed parameters of the registered queries (shared with the oracles).
 CAP = 200                                  # messages per partition per batch
@@ -27,7 +29,7 @@ PATTERN = "c.*|p.*"                        # S3 topic pattern
 ASSIGNED = {                               # S2 assignment map [from, until)
     ("click", 0): (100, 350),
     ("click", 2): (0, 50),
-    ("view", 1): (600, 1_000_000_000_000),
+    ("view", 1): (600, None),             # to the end of the partition
     ("signup", 1): (5, 5),
 }
 GROUP_A = "stream-a"    # commits every batch of every partition
@@ -35,55 +37,100 @@ GROUP_B = "stream-b"    # stopped after batch 1, never read partition 2 (D8)
 GROUP_B_PARTITIONS = (0, 1)
 GROUP_B_LAST_BATCH = 1
 CURRENT_TOPICS = "click,purchase,view"     # O6 topic filter
+SPLIT = 400                                # streams: offsets below are part 0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # --- shared derivations ---------------------------------------------------
 
-def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logsrc.message_log(load_table(spark, sf_dir, "events"), PARTITIONS)
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+    """A table derived once per session and table folder, in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        path = scratch_dir(spark, name)
+        write(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
+def staged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message log, numbered and stored once, as a broker would hold it: a
+    folder per topic, rows in offset order, so that topic lists prune folders
+    and offset bounds prune row groups."""
+    def write(path: str) -> None:
+        log = logsrc.message_log(load_table(spark, sf_dir, "events"), PARTITIONS)
+        log.sortWithinPartitions("topic", "partition", "offset") \
+            .write.partitionBy("topic").parquet(path)
+
+    log = _staged(spark, sf_dir, "log", write)
+    return log.select(*MESSAGE_COLUMNS)
 
 
 def batched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logsrc.with_batch_ids(message_log(spark, sf_dir), CAP)
+    return logsrc.with_batch_ids(staged_log(spark, sf_dir), CAP)
+
+
+def part_of(offset):
+    """The part of the log that an offset lies in (stream queries)."""
+    return F.when(offset < SPLIT, 0).otherwise(1)
 
 
-def offsets_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``OFFSETS_LOG`` as two consumer groups would have written it (O3)."""
-    ranges = offsets.batch_ranges(batched_log(spark, sf_dir), ["batch_id"])
-    a = offsets.commit_rows(ranges, GROUP_A, F.col("batch_id"))
-    b = offsets.commit_rows(
-        ranges.where(F.col("partition").isin(list(GROUP_B_PARTITIONS))
-                     & (F.col("batch_id") <= GROUP_B_LAST_BATCH)),
-        GROUP_B, F.col("batch_id"))
-    return a.unionByName(b)
+    def write(path: str) -> None:
+        ranges = offsets.batch_ranges(batched_log(spark, sf_dir), ["batch_id"])
+        a = offsets.commit_rows(ranges, GROUP_A, F.col("batch_id"))
+        b = offsets.commit_rows(
+            ranges.where(F.col("partition").isin(list(GROUP_B_PARTITIONS))
+                         & (F.col("batch_id") <= GROUP_B_LAST_BATCH)),
+            GROUP_B, F.col("batch_id"))
+        a.unionByName(b).write.parquet(path)
+
+    return _staged(spark, sf_dir, "offsets", write)
+
+
+def staged_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earliest and latest offset of every log partition, as a broker knows."""
+    return _staged(spark, sf_dir, "extents", lambda path: logsrc.partition_extents(
+        staged_log(spark, sf_dir)).write.parquet(path))
 
 
 def _current(spark, sf_dir, group, topics=None):
-    return offsets.current_offsets(offsets_log(spark, sf_dir), group, topics)
+    return offsets.current_offsets(staged_offsets(spark, sf_dir), group, topics)
 
 
 # --- queries ----------------------------------------------------------------
 
 def q_word_count(spark, sf_dir):
     """P1 P3 A1 (flagship): whitespace tokens of every document, counted."""
-    docs = spread(load_table(spark, sf_dir, "documents").select("text"))
+    docs = load_table(spark, sf_dir, "documents").select("text")
     return counts.word_count(docs, "text")
 
 
 def q_space_tokens(spark, sf_dir):
     """Lines -> space tokens -> (length, 1) -> count, avg."""
-    docs = spread(load_table(spark, sf_dir, "documents").select("text"))
+    docs = load_table(spark, sf_dir, "documents").select("text")
     return counts.length_summary(counts.token_lengths(docs, "text"))
 
 
 def q_text_lines(spark, sf_dir):
     """The lines a text file of the documents would yield."""
-    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "line"))
 
 
+def q_text_file_lines(spark, sf_dir):
+    """Documents written as text files and read line by line, with how
+    often each line occurs."""
+    path = scratch_dir(spark, "lines")
+    write_lines(load_table(spark, sf_dir, "documents").where("text is not null"), "text", path)
+    return read_lines(spark, path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 def q_batch_word_count(spark, sf_dir):
     """A1 F1: per-batch word count, no memory between batches."""
     return counts.word_count(batched_log(spark, sf_dir), "value", ["batch_id"])
@@ -94,10 +141,8 @@ def _batch_counts(spark, sf_dir):
 
 
 def q_running_word_count(spark, sf_dir):
-    """A2 complete mode: every word seen so far, in every batch."""
-    bc = _batch_counts(spark, sf_dir)
-    last = bc.select(F.max("batch_id")).scalar()
-    return counts.running_word_count_complete(bc, last)
+    """A2 complete mode: the table of every word seen, after the last batch."""
+    return counts.running_word_count_complete(_batch_counts(spark, sf_dir))
 
 
 def q_running_word_count_update(spark, sf_dir):
@@ -112,34 +157,32 @@ def q_batch_record_count(spark, sf_dir):
 
 def q_topic_subscribe(spark, sf_dir):
     """Messages of a comma list of topics."""
-    return logsrc.subscribe(message_log(spark, sf_dir), SUBSCRIBED)
+    return logsrc.subscribe(staged_log(spark, sf_dir), SUBSCRIBED)
 
 
 def q_topic_pattern(spark, sf_dir):
     """S3: messages of the topics whose whole name matches a pattern."""
-    return logsrc.subscribe_pattern(message_log(spark, sf_dir), PATTERN)
+    return logsrc.subscribe_pattern(staged_log(spark, sf_dir), PATTERN)
 
 
 def q_message_kv(spark, sf_dir):
     """(key, message) handler."""
-    return logsrc.project(message_log(spark, sf_dir), "kv")
+    return logsrc.project(staged_log(spark, sf_dir), "kv")
 
 
 def q_message_tv(spark, sf_dir):
     """(topic, message) handler."""
-    return logsrc.project(message_log(spark, sf_dir), "tv")
+    return logsrc.project(staged_log(spark, sf_dir), "tv")
 
 
 def q_assigned_ranges(spark, sf_dir):
     """Only assigned partitions, only offsets inside their ranges."""
-    log = logsrc.subscribe(message_log(spark, sf_dir), {t for t, _ in ASSIGNED})
-    return logsrc.read_ranges(log, logsrc.ranges_frame(spark, ASSIGNED))
+    return logsrc.read_assigned(staged_log(spark, sf_dir), ASSIGNED)
 
 
 def _starts(spark, sf_dir, policy):
-    extents = logsrc.partition_extents(message_log(spark, sf_dir))
-    stored = _current(spark, sf_dir, GROUP_B)
-    return extents, logsrc.resolve_starts(extents, stored, policy)
+    extents = staged_extents(spark, sf_dir)
+    return extents, logsrc.resolve_starts(extents, _current(spark, sf_dir, GROUP_B), policy)
 
 
 def q_start_earliest(spark, sf_dir):
@@ -160,9 +203,9 @@ def q_rate_limited_ranges(spark, sf_dir):
 
 def q_next_batch(spark, sf_dir):
     """S4 S7 S2 composed: the next capped batch of a group from its offsets."""
-    log = message_log(spark, sf_dir)
-    stored = _current(spark, sf_dir, GROUP_B).select("topic", "partition", "offset")
-    return logsrc.next_batch(log, stored, "earliest", CAP)
+    ranges = q_rate_limited_ranges(spark, sf_dir).collect()     # a row per log partition
+    return logsrc.read_assigned(staged_log(spark, sf_dir), {
+        (r.topic, r.partition): (r.from_offset, r.until_offset) for r in ranges})
 
 
 def q_batch_ranges(spark, sf_dir):
@@ -183,8 +226,8 @@ def q_offsets_guard(spark, sf_dir):
 
 def q_offsets_seed(spark, sf_dir):
     """Seed rows for partitions the group has never committed."""
-    log = message_log(spark, sf_dir)
-    return offsets.seed_missing(log, _current(spark, sf_dir, GROUP_B), GROUP_B)
+    extents = staged_extents(spark, sf_dir)
+    return offsets.seed_missing(extents, _current(spark, sf_dir, GROUP_B), GROUP_B)
 
 
 def q_offsets_tall(spark, sf_dir):
@@ -225,9 +268,10 @@ def q_parse_pairs_strict(spark, sf_dir):
 
 
 def q_parse_pairs_lenient(spark, sf_dir):
-    """Two or more comma fields; id cast to int where it is one."""
-    return _pairs(spark, sf_dir, False).select(
-        "conv_id", "turn", "p.ok", "p.name", F.expr("try_cast(p.id as int)").alias("id"))
+    """Two or more comma fields and a whole number for an id."""
+    conv = load_table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", typed_pair("text").alias("p")).select(
+        "conv_id", "turn", "p.ok", "p.name", "p.id")
 
 
 def q_upsert_latest(spark, sf_dir):
@@ -239,7 +283,7 @@ def q_upsert_latest(spark, sf_dir):
 
 def q_append_rows(spark, sf_dir):
     """K4 rows: every message parsed leniently, with its log coordinates."""
-    return upsert.append_rows(message_log(spark, sf_dir))
+    return upsert.append_rows(staged_log(spark, sf_dir))
 
 
 def q_committed_offsets(spark, sf_dir):
@@ -251,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "space_tokens": q_space_tokens,
     "text_lines": q_text_lines,
+    "text_file_lines": q_text_file_lines,
     "batch_word_count": q_batch_word_count,
     "running_word_count": q_running_word_count,
     "running_word_count_update": q_running_word_count_update,

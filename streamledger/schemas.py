@@ -21,7 +21,7 @@ OFFSETS_LOG = OFFSETS + ", batch_id bigint"
 UPSERT_ROW = "order_id string, name string"
 
 # Appended rows carry their log coordinates so offsets derive from them.
-APPEND_ROW = "name string, id int, topic string, partition int, offset bigint"
+APPEND_ROW = "name string, id bigint, topic string, partition int, offset bigint"
 
 WORD_COUNT = "word string, n bigint"
 

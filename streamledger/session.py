@@ -51,20 +51,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer splits than cores.
-
-    A small input stored as one parquet row group is read by one task, and
-    the per-row work after it (tokenising, exploding) would run serially.
-    Large inputs already have many splits and are returned unchanged, so no
-    shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 

@@ -115,6 +115,17 @@ def read_ranges(log: DataFrame, ranges: DataFrame) -> DataFrame:
     ).select(*log.columns)
 
 
+def read_assigned(log: DataFrame, ranges: Mapping[tuple[str, int], tuple[int, int | None]]) -> DataFrame:
+    """S2 for an assignment held on the driver: the ranges become literals, one
+    group of conditions per log partition, which reach the scan of a stored log
+    as pushed filters.  An end of None is open."""
+    wanted = F.lit(False)
+    for (topic, partition), (lo, hi) in sorted(ranges.items(), key=lambda x: x[0]):
+        one = (F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") >= lo)
+        wanted = wanted | (one if hi is None else one & (F.col("offset") < hi))
+    return log.where(F.col("topic").isin(sorted({t for t, _ in ranges}))).where(wanted)
+
+
 def partition_extents(log: DataFrame) -> DataFrame:
     """Earliest and latest (next-to-write) offset of every log partition.
 

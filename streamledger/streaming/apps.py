@@ -1,44 +1,70 @@
 """The reference's streaming programs as runnable apps.
 
 Each app opens a ``MESSAGE`` stream -- Kafka through Spark's connector, or a
-staged parquet feed (``--feed``) where no broker is available -- and runs one
-of the jobs in ``streaming.jobs``.  Offsets live in an ``OffsetStore`` under
-the output folder; a new checkpoint starts from it (section 3.3).
+folder of parquet files (``--feed``) where no broker is available -- and runs
+one of the jobs in ``streaming.jobs``.  Offsets live in an ``OffsetStore`` under
+the output folder (K4: in its rows); a new checkpoint starts from them (section
+3.3), other partitions by ``--reset``.
 
     python -m streamledger <app> --bootstrap h:9092 --group g --topics a,b \
-        --out <shared folder> [--feed <folder>] [--once]
+        --partitions a:3,b:1 --out <shared folder> [--feed <folder>] [--once]
+
+``--partitions`` states how many partitions the topics have now (topic
+metadata, which Spark's source does not hand out): stored offsets are used for
+those, the policy for the rest, and the per-partition cap is multiplied by
+their number.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamledger.operators import counts
+from streamledger.operators import counts, upsert
 from streamledger.sources import kafka
 from streamledger.sources import log as logsrc
-from streamledger.streaming import jobs, sinks, slices
+from streamledger.streaming import jobs, sinks
+
+
+def known_partitions(text: str | None, topics: str | None) -> list[tuple[str, int]]:
+    """``a:3,b:1`` as (topic, partition) pairs, of the wanted topics only."""
+    out = []
+    for item in (text or "").split(","):
+        topic, _, n = item.rpartition(":")
+        if topic and (topics is None or topic in logsrc.topic_set(topics)):
+            out += [(topic, p) for p in range(int(n))]
+    return out
 
 
 def open_stream(spark: SparkSession, args: argparse.Namespace,
-                store: sinks.OffsetStore | None = None) -> DataFrame:
-    """The input stream: a staged feed, or Kafka from the stored offsets."""
+                stored: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
+    """The input stream.  ``stored``: offsets to go on from (None: the app keeps
+    none); partitions without one start by the policy."""
     if args.feed:
-        stream = slices.read_feed(spark, args.feed)
-        if args.topics:
-            stream = logsrc.subscribe(stream, args.topics)
-        elif args.pattern:
-            stream = logsrc.subscribe_pattern(stream, args.pattern)
-        return stream
-    stored = store.current_map(args.group) if store is not None else {}
-    # the per-partition cap becomes a per-trigger total over the partitions
-    # known from the offset table (without one, the cap is the total)
+        if args.max_per_partition is not None:
+            raise SystemExit("--max-per-partition needs Kafka: a folder has no offsets to cap by")
+        stream, rows = jobs.read_feed(spark, args.feed), None
+        if stored is not None or args.reset not in ("earliest", "smallest"):
+            rows = spark.read.schema(stream.schema).parquet(args.feed)
+        for pick, wanted in ((logsrc.subscribe, args.topics), (logsrc.subscribe_pattern, args.pattern)):
+            if wanted:
+                stream, rows = pick(stream, wanted), rows and pick(rows, wanted)
+                break
+        if rows is None:
+            return stream
+        return jobs.start_at(stream, jobs.resolve(logsrc.partition_extents(rows), stored or {}, args.reset))
+    partitions = known_partitions(args.partitions, args.topics)
+    wanted = {k: v for k, v in (stored or {}).items() if k in partitions}
+    if stored and not partitions:
+        raise SystemExit("--partitions is needed to go on from stored offsets")
+    if args.max_per_partition is not None and not partitions:
+        raise SystemExit("--partitions is needed to turn the cap per partition into one per trigger")
     opts = kafka.source_options(
-        args.bootstrap, topics=args.topics, pattern=args.pattern,
-        stored=stored or None, reset=args.reset,
-        max_per_partition=args.max_per_partition, partitions=sorted(stored))
+        args.bootstrap, topics=args.topics, pattern=args.pattern, stored=wanted, reset=args.reset,
+        max_per_partition=args.max_per_partition, partitions=partitions if stored is not None else (),
+        total_partitions=len(partitions))
     return kafka.read_stream(spark, opts)
 
 
@@ -46,52 +72,62 @@ def _store(spark, args):
     return sinks.OffsetStore(spark, f"{args.out}/offsets")
 
 
+def _guarded(spark, args, work):
+    """A guarded job on the stream from the group's stored offsets; with Kafka
+    the consumed ranges come from the checkpoint, as the source reported them."""
+    store = _store(spark, args)
+    chk = f"{args.out}/{args.checkpoint}"
+    ranges = None if args.feed else kafka.checkpoint_ranges(spark, chk)
+    fn = sinks.guarded(store, args.group, work, ranges)
+    return jobs.run_foreach(open_stream(spark, args, store.current_map(args.group)), fn, chk, args.once)
+
+
 def direct_word_count(spark, args):
     """Per-batch word count, printed (A1 F1 K1 K2)."""
-    stream = open_stream(spark, args)
-    show = sinks.console_sink(args.rows)
-    return jobs.run_foreach(
-        stream, lambda df, bid: show(counts.word_count(df, "value"), bid),
-        f"{args.out}/checkpoint", args.once)
+    show = sinks.console_sink(args.rows, summarise=lambda df: counts.word_count(df, "value"))
+    return jobs.run_foreach(open_stream(spark, args), show, f"{args.out}/{args.checkpoint}", args.once)
 
 
 def checkpoint_count(spark, args):
-    """Records per batch, resumable from its checkpoint."""
-    stream = open_stream(spark, args)
-    show = sinks.console_sink(args.rows)
-    return jobs.run_foreach(
-        stream, lambda df, bid: show(counts.record_count(df), bid),
-        f"{args.out}/checkpoint", args.once)
+    """Records per non-empty batch, resumable from its checkpoint."""
+    show = sinks.console_sink(args.rows, summarise=counts.record_count)
+    return jobs.run_foreach(open_stream(spark, args), show, f"{args.out}/{args.checkpoint}", args.once)
 
 
 def running_word_count(spark, args):
-    """Cumulative word count with state (A2), written per batch."""
+    """Cumulative word count with state (A2)."""
     return jobs.run_running_word_count(
-        open_stream(spark, args), f"{args.out}/counts", f"{args.out}/checkpoint",
+        open_stream(spark, args), f"{args.out}/counts", f"{args.out}/{args.checkpoint}",
         args.mode, args.once)
 
 
 def offsets_count(spark, args):
     """Count per batch, then a guarded offset commit."""
-    store = _store(spark, args)
-    fn = sinks.guarded(store, args.group, sinks.record_count_work(f"{args.out}/counts"))
-    return jobs.run_foreach(open_stream(spark, args, store), fn,
-                            f"{args.out}/checkpoint", args.once)
+    return _guarded(spark, args, sinks.record_count_work(f"{args.out}/counts"))
 
 
 def idempotent_upsert(spark, args):
     """Keyed upsert of ``name,order_id``, then offsets (K3 K5)."""
-    store = _store(spark, args)
-    fn = sinks.guarded(store, args.group, sinks.upsert_work(f"{args.out}/table"))
-    return jobs.run_foreach(open_stream(spark, args, store), fn,
-                            f"{args.out}/checkpoint", args.once)
+    return _guarded(spark, args, sinks.upsert_work(f"{args.out}/table"))
+
+
+def compact_upsert(spark, args):
+    """A new base of the upsert table; run it beside the stream."""
+    sinks.UpsertTable(spark, f"{args.out}/table", _store(spark, args), args.group).compact()
+
+
+def seed_offsets(spark, args):
+    """Offset 0 for partitions of ``--partitions`` without one."""
+    _store(spark, args).seed(known_partitions(args.partitions, args.topics), args.group)
 
 
 def transactional_append(spark, args):
-    """``name,id`` rows with their offsets through the file sink (K4)."""
+    """``name,id`` rows with their offsets through the file sink (K4), from the
+    offsets of the rows that are committed."""
+    rows = upsert.offsets_from_rows(jobs.appended_rows(spark, f"{args.out}/rows"), args.group)
+    stored = {(r.topic, r.partition): r.offset for r in rows.collect()}     # a row per log partition
     return jobs.run_append_with_offsets(
-        open_stream(spark, args), f"{args.out}/rows", f"{args.out}/checkpoint",
-        args.once)
+        open_stream(spark, args, stored), f"{args.out}/rows", f"{args.out}/{args.checkpoint}", args.once)
 
 
 APPS: dict[str, Callable] = {
@@ -101,6 +137,8 @@ APPS: dict[str, Callable] = {
     "offsets-count": offsets_count,
     "idempotent-upsert": idempotent_upsert,
     "transactional-append": transactional_append,
+    "compact-upsert": compact_upsert,
+    "seed-offsets": seed_offsets,
 }
 
 
@@ -116,9 +154,11 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--max-per-partition", type=int, default=None,
                     help="messages per partition per batch (S7)")
     ap.add_argument("--out", required=True, help="shared folder for state and output")
-    ap.add_argument("--feed", default=None, help="staged parquet feed instead of Kafka")
-    ap.add_argument("--mode", default="complete", choices=["complete", "update"])
-    ap.add_argument("--rows", type=int, default=10, help="rows shown per batch (K2)")
+    ap.add_argument("--feed", default=None, help="folder of parquet files instead of Kafka")
+    ap.add_argument("--partitions", default=None, help="current partitions of the topics, a:3,b:1")
+    ap.add_argument("--checkpoint", default="checkpoint", help="checkpoint folder under --out")
+    ap.add_argument("--mode", default="update", choices=["complete", "update"])
+    ap.add_argument("--rows", type=int, default=None, help="rows shown per batch (K2); all if not given")
     ap.add_argument("--once", action="store_true", help="drain the input and stop")
     return ap
 
@@ -130,6 +170,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     if spark is None:
         spark = SparkSession.builder.appName(f"streamledger {args.app}").getOrCreate()
     q = APPS[args.app](spark, args)
-    if not args.once:
+    if q is not None and not args.once:
         q.awaitTermination()
     return q

@@ -1,285 +1,313 @@
-"""Per-batch sinks for ``foreachBatch`` (K1, K2, K3, K5, K6) and the offset
-table they commit to (O3, O4).
-
-``foreachBatch`` is at least once: after a failure the engine replays the
-last batch with the same ``batch_id``.  Every write here is therefore keyed
-by ``batch_id`` and overwrites its own folder, and the offset commit is
-guarded (O4), whose ``skip`` verdict is exactly the replay case.  Output is
-written before offsets are committed (the reference stores offsets first,
-D2).
+"""Per-batch sinks for ``foreachBatch`` (K1-K3, K5, K6) and the offset table
+they commit to (O2-O5).
+
+``foreachBatch`` is at least once, and its batch ids start at 0 again on every
+new checkpoint.  Nothing here depends on them.  A group's commits carry a
+sequence of their own; a commit names the folder that its output went to, so
+output counts as written exactly when a commit names it, whichever run, batch
+or attempt wrote it.  Output is written before offsets are committed (the
+reference stores offsets first, D2).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Iterable
+from typing import NamedTuple
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamledger import fsio
 from streamledger.operators import counts, offsets, upsert
-from streamledger.schemas import OFFSET_RANGE, OFFSETS_LOG
+from streamledger.schemas import OFFSETS, OFFSETS_LOG
 
-BatchFn = Callable[[DataFrame, int], None]
+Ranges = Iterable[tuple[str, int, int, int]]
+
+
+class Slot(NamedTuple):
+    """Where a batch's output goes: the commit it will belong to, and the name
+    of its folder."""
+
+    seq: int
+    tag: str
+
+
+BatchFn = Callable[[DataFrame, Slot], None]
 Hook = Callable[[int], None] | None
 
 
-def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Idempotent per-batch write: a replay overwrites the batch's own folder."""
-    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-
-def read_batches(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
-    """Everything written by ``write_batch``, with the ``batch_id`` column."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema + ", batch_id bigint")
-    df = reader.parquet(folder)            # batch_id=<k> folders are partitions
-    # partition discovery would infer ``int`` from the folder names
-    return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
-def completed_folders(spark: SparkSession, folder: str,
-                      with_times: bool = False) -> list:
-    """Names of the sub-folders of ``folder`` whose write completed (they hold
-    a ``_SUCCESS`` marker), optionally with the marker's modification time.
-    Driver-side listing of metadata only."""
-    sc = spark.sparkContext
-    path_cls = sc._jvm.org.apache.hadoop.fs.Path
-    path = path_cls(folder)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        if not st.isDirectory():
-            continue
-        marker = path_cls(st.getPath(), "_SUCCESS")
-        if fs.exists(marker):
-            name = st.getPath().getName()
-            out.append((name, fs.getFileStatus(marker).getModificationTime())
-                       if with_times else name)
-    return out
+def write_batch(df: DataFrame, folder: str, batch_id: int, run: str = "0") -> None:
+    """Idempotent write of a sink without offsets: a replay of (run, batch)
+    overwrites its own folder; ``run`` names the checkpoint."""
+    df.write.mode("overwrite").parquet(f"{folder}/run={run}/batch_id={batch_id}")
+
+
+def read_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything written by ``write_batch``, with ``run`` and ``batch_id``."""
+    df = spark.read.parquet(folder)
+    # partition discovery would infer int from the folder names
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint")).withColumn("run", F.col("run").cast("string"))
+
+
+# ------------------------------------------------------------- the offset table
+
+class CommitConflict(RuntimeError):
+    """Another writer of the group committed first."""
+
+
+_LINE = OFFSETS_LOG + ", tag string, changed boolean, complete bigint"
 
 
 class OffsetStore:
-    """``OFFSETS_LOG`` in the shared folder.
-
-    Every commit is its own folder ``commits/<group>-<batch>``; every
-    ``snapshot_every`` batches the current offsets are also written to
-    ``snapshots/<group>-<batch>``.  Reading the current offsets touches the
-    latest snapshot plus at most ``snapshot_every`` later commits, so the cost
-    of a guard check stays bounded however long the stream runs.  Only
-    folders with a ``_SUCCESS`` marker (completed writes) are read.
+    """``OFFSETS_LOG`` in the shared folder, one small file per commit.
+
+    Commit ``n`` of a group is ``<folder>/<group>/c-<n>.json``, made by exclusive
+    creation, so of two writers one fails.  It holds the offsets of all the
+    group's partitions after the commit (one line each: topic metadata), marks
+    those it changed, and ends with a line that tells it is complete.  The
+    current offsets are the newest file: found from the last one known, or from
+    the hint that every commit leaves, by looking for the next.  The number of
+    file-system calls per batch does not depend on the number of commits.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 10):
-        self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
-        self._cache: dict[str, tuple[tuple, dict]] = {}
-
-    def _signature(self, group_id: str) -> tuple:
-        """What is committed for a group, by folder name and write time."""
-        return tuple(sorted(
-            (sub, name, t)
-            for sub in ("commits", "snapshots")
-            for name, t in completed_folders(self.spark, f"{self.folder}/{sub}", True)
-            if name.rpartition("-")[0] == group_id))
-
-    def _entries(self, sub: str, group_id: str | None) -> list[tuple[str, int]]:
-        """(group, batch) of completed folders under ``sub`` (driver metadata)."""
-        out = []
-        for name in completed_folders(self.spark, f"{self.folder}/{sub}"):
-            group, _, batch = name.rpartition("-")
-            if batch.isdigit() and (group_id is None or group == group_id):
-                out.append((group, int(batch)))
-        return sorted(out, key=lambda e: e[1])
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], OFFSETS_LOG)
-        return self.spark.read.schema(OFFSETS_LOG).parquet(*paths)
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._known: dict[str, tuple[int, dict[tuple[str, int], int]]] = {}
 
-    def history(self, group_id: str | None = None) -> DataFrame:
-        """Every commit (all groups unless ``group_id`` is given)."""
-        return self._read([f"{self.folder}/commits/{g}-{b:09d}"
-                           for g, b in self._entries("commits", group_id)])
+    def _path(self, group_id: str, name: str) -> str:
+        return f"{self.folder}/{quote(group_id, safe='')}/{name}"
 
-    def current(self, group_id: str) -> DataFrame:
-        snaps = self._entries("snapshots", group_id)
-        since = snaps[-1][1] if snaps else -1
-        paths = [f"{self.folder}/snapshots/{group_id}-{since:09d}"] if snaps else []
-        paths += [f"{self.folder}/commits/{g}-{b:09d}"
-                  for g, b in self._entries("commits", group_id) if b > since]
-        return offsets.current_offsets(self._read(paths), group_id)
+    def _load(self, group_id: str, seq: int) -> list[dict] | None:
+        """Lines of a commit, [] if its writer died half way, None if none."""
+        text = fsio.read_text(self.spark, self._path(group_id, f"c-{seq:012d}.json"))
+        if text is None:
+            return None
+        lines = text.splitlines()
+        if not lines or not lines[-1].startswith('{"complete"') or not text.endswith("\n"):
+            return []
+        return [json.loads(x) for x in lines[:-1]]
+
+    @staticmethod
+    def _state(lines: list[dict]) -> dict[tuple[str, int], int]:
+        return {(x["topic"], x["partition"]): x["offset"] for x in lines}
+
+    def tip(self, group_id: str) -> tuple[int, dict[tuple[str, int], int]]:
+        """Number of the last commit (-1: none) and the offsets after it."""
+        if group_id not in self._known:
+            hint = fsio.read_text(self.spark, self._path(group_id, "_latest"))
+            seq = int(hint) if hint else -1
+            lines = self._load(group_id, seq) if seq >= 0 else None
+            self._known[group_id] = (seq, self._state(lines)) if lines else (-1, {})
+        seq, state = self._known[group_id]
+        while (lines := self._load(group_id, seq + 1)) is not None:
+            seq, state = seq + 1, self._state(lines) if lines else state
+        self._known[group_id] = (seq, state)
+        return seq, dict(state)
 
     def current_map(self, group_id: str) -> dict[tuple[str, int], int]:
-        """Current offsets on the driver: one entry per log partition.
-
-        Cached between calls and re-read whenever the listing of the group's
-        folders (names and write times) changed, e.g. by another writer.
-        """
-        sig = self._signature(group_id)
-        hit = self._cache.get(group_id)
-        if hit is not None and hit[0] == sig:
-            return dict(hit[1])
-        cur = {(r["topic"], r["partition"]): r["offset"]
-               for r in self.current(group_id).collect()}
-        self._cache[group_id] = (sig, cur)
-        return dict(cur)
-
-    def verdict(self, ranges, group_id: str) -> str:
-        """O4 for a batch.  ``ranges`` is a range DataFrame or its collected
-        rows (one per partition: bounded metadata, decided on the driver)."""
-        rows = ranges.collect() if isinstance(ranges, DataFrame) else ranges
-        cur = self.current_map(group_id) if rows else {}
-        return offsets.combine_verdicts([
-            offsets.range_verdict(r["from_offset"], r["until_offset"],
-                                  cur.get((r["topic"], r["partition"])))
-            for r in rows])
-
-    def commit(self, ranges, group_id: str, batch_id: int) -> None:
-        """O3: append the batch's ranges as commits (DataFrame or rows)."""
-        if isinstance(ranges, DataFrame):
-            ranges = ranges.collect()            # one row per partition
-        ends = {(r["topic"], r["partition"]): r["until_offset"] for r in ranges}
-        ranges = self.spark.createDataFrame(
-            [(r["topic"], r["partition"], r["from_offset"], r["until_offset"])
-             for r in ranges], OFFSET_RANGE)
-        before = self._cache.get(group_id)
-        fresh = before is not None and before[0] == self._signature(group_id)
-        own = f"{group_id}-{batch_id:09d}"
-        rows = offsets.commit_rows(ranges, group_id, batch_id)
-        rows.write.mode("overwrite").parquet(
-            f"{self.folder}/commits/{group_id}-{batch_id:09d}")
-        if self.every > 0 and batch_id % self.every == self.every - 1:
-            snap = self.current(group_id).withColumn(
-                "batch_id", F.lit(batch_id).cast("bigint"))
-            snap.write.mode("overwrite").parquet(
-                f"{self.folder}/snapshots/{group_id}-{batch_id:09d}")
-        after = self._signature(group_id) if fresh else ()
-        changed = set(after) ^ set(before[0]) if fresh else set()
-        if fresh and all(name == own for _, name, _ in changed):
-            # only this batch's folders changed: the new state is the old one
-            # plus this batch's ends (one entry per partition)
-            self._cache[group_id] = (after, {**before[1], **ends})
-        else:
-            self._cache.pop(group_id, None)
+        """Current offsets on the driver: one entry per log partition."""
+        return self.tip(group_id)[1]
+
+    def current(self, group_id: str) -> DataFrame:
+        """O2: current offsets as a table."""
+        rows = [(group_id, t, p, o) for (t, p), o in sorted(self.current_map(group_id).items())]
+        return self.spark.createDataFrame(rows, OFFSETS)
+
+    def _lines(self, group_id: str | None) -> DataFrame:
+        groups = [quote(group_id, safe="")] if group_id is not None else fsio.folders(self.spark, self.folder)
+        known = [g for g in groups if g in fsio.folders(self.spark, self.folder)]
+        if not known:
+            return self.spark.createDataFrame([], _LINE + ", seq bigint")
+        read = self.spark.read.schema(_LINE).json([f"{self.folder}/{g}" for g in known])
+        return read.withColumn("file", F.col("_metadata.file_path")).withColumn(
+            "seq", F.regexp_extract("file", r"c-(\d+)\.json$", 1).cast("bigint"))
+
+    def commits(self, group_id: str | None = None) -> DataFrame:
+        """Lines of all complete commits: what they changed, with seq and tag."""
+        lines = self._lines(group_id)
+        if "file" not in lines.columns:
+            return lines
+        whole = lines.where("complete is not null").select("file")
+        return lines.where("changed").join(whole, "file", "left_semi")
+
+    def history(self, group_id: str | None = None) -> DataFrame:
+        """Every commit (all groups unless ``group_id`` is given), as
+        ``OFFSETS_LOG``; ``batch_id`` is the commit's number."""
+        return self.commits(group_id).select(
+            "group_id", "topic", "partition", "offset", F.col("seq").alias("batch_id"))
+
+    def verdict(self, ranges: Ranges, group_id: str) -> str:
+        """O4 for a batch's ranges (topic, partition, from, until)."""
+        now = self.current_map(group_id)
+        return offsets.combine_verdicts([offsets.range_verdict(a, b, now.get((t, p))) for t, p, a, b in ranges if b > a])
+
+    def commit(self, ranges: Ranges, group_id: str, slot: Slot | None = None) -> int:
+        """O3: the batch's ranges as the group's next commit, or the one that
+        ``slot`` was reserved for.  Fails if that commit exists already."""
+        seq, state = self.tip(group_id)
+        slot = slot or Slot(seq + 1, "")
+        if slot.seq != seq + 1:
+            raise CommitConflict(f"group {group_id}: commit {slot.seq} was made by another writer")
+        ends = {(t, p): b for t, p, a, b in ranges}
+        return self._create(group_id, slot, {**state, **ends}, set(ends))
+
+    def _create(self, group_id: str, slot: Slot, state: dict, changed: set) -> int:
+        lines = [json.dumps({"group_id": group_id, "topic": t, "partition": p, "offset": o, "batch_id": slot.seq,
+                             "tag": slot.tag, "changed": (t, p) in changed}) for (t, p), o in sorted(state.items())]
+        text = "\n".join([*lines, json.dumps({"complete": len(lines)})]) + "\n"
+        if not fsio.write_text(self.spark, self._path(group_id, f"c-{slot.seq:012d}.json"), text, overwrite=False):
+            raise CommitConflict(f"group {group_id}: commit {slot.seq} was made by another writer")
+        fsio.write_text(self.spark, self._path(group_id, "_latest"), str(slot.seq), overwrite=True)
+        self._known[group_id] = (slot.seq, state)
+        return slot.seq
+
+    def seed(self, partitions: Iterable[tuple[str, int]], group_id: str, start: int = 0) -> int:
+        """Store ``start`` for the partitions (topic, partition) that have
+        no offset yet; returns how many there were."""
+        seq, state = self.tip(group_id)
+        missing = sorted(set(partitions) - state.keys())
+        if missing:
+            self._create(group_id, Slot(seq + 1, ""), {**state, **dict.fromkeys(missing, start)}, set(missing))
+        return len(missing)
 
 
 def guarded(store: OffsetStore, group_id: str, work: BatchFn,
-            before_commit: Hook = None, after_commit: Hook = None) -> BatchFn:
+            ranges: Callable[[int], Ranges] | None = None,
+            before_commit: Hook = None, after_commit: Hook = None):
     """K5 / K6 shape: check the guard, do the work, then commit the offsets.
 
-    ``skip``: the batch's offsets are already committed -- a replay whose
-    output is also complete; nothing is done.  ``raise``: the ranges do not
-    continue the stored offsets.  ``before_commit`` / ``after_commit`` are
-    test hooks that may raise, to simulate a crash between output and offset
-    commit, or between offset commit and the engine's own batch commit.
+    ``ranges`` gives a batch's consumed ranges as the source reports them
+    (``sources.kafka.checkpoint_ranges``); it sees offsets that hold no message
+    and idle partitions.  Without it they come from the batch's rows, which is
+    right only for logs without missing offsets.
+
+    ``skip``: the batch's offsets are already committed, so its output is
+    complete too; nothing is done.  ``raise``: the ranges do not continue the
+    stored offsets.  The commit must be the one right after the offsets that
+    the verdict was given on.  ``before_commit`` / ``after_commit`` are test
+    hooks that may raise, to simulate a crash on either side of the commit.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        # The micro-batch is bounded by the rate cap; cache it for the range
-        # aggregate and the work.  Its ranges -- one row per partition --
-        # come to the driver, as a batch's offset ranges do in the reference.
-        df.persist()
-        try:
-            ranges = offsets.batch_ranges(df).collect()
-            verdict = store.verdict(ranges, group_id)
-            if verdict in ("empty", "skip"):     # F1, or a replayed batch
-                return
-            if verdict == "raise":
-                raise RuntimeError(
-                    f"batch {batch_id}: ranges do not continue the stored offsets")
-            work(df, batch_id)
-            if before_commit is not None:
-                before_commit(batch_id)
-            store.commit(ranges, group_id, batch_id)
-            if after_commit is not None:
-                after_commit(batch_id)
-        finally:
-            df.unpersist()
+        if ranges is not None:
+            consumed = [tuple(r) for r in ranges(batch_id)]
+        else:       # one row per partition
+            consumed = [tuple(r) for r in offsets.batch_ranges(df).collect()]
+        seq = store.tip(group_id)[0]
+        verdict = store.verdict(consumed, group_id)
+        if verdict in ("empty", "skip"):     # F1, or a replayed batch
+            return
+        if verdict == "raise":
+            raise RuntimeError(f"batch {batch_id}: ranges do not continue the stored offsets")
+        slot = Slot(seq + 1, f"{seq + 1:012d}-{uuid.uuid4().hex[:12]}")
+        work(df, slot)
+        if before_commit is not None:
+            before_commit(batch_id)
+        store.commit(consumed, group_id, slot)
+        if after_commit is not None:
+            after_commit(batch_id)
     return run
 
 
-def word_count_sink(folder: str) -> BatchFn:
+def write_tagged(df: DataFrame, folder: str, slot: Slot) -> None:
+    """Output of a guarded batch: a folder that only its commit will name."""
+    df.write.parquet(f"{folder}/tag={slot.tag}")
+
+
+def read_committed(spark: SparkSession, folder: str, store: OffsetStore, group_id: str,
+                   schema: str, after: int = -1) -> DataFrame:
+    """Output that commits after number ``after`` name, with their ``seq``."""
+    if not fsio.folders(spark, folder):
+        return spark.createDataFrame([], schema + ", seq bigint")
+    tags = store.commits(group_id).where(F.col("seq") > after).select("tag", "seq").distinct()
+    written = spark.read.schema(schema + ", tag string").parquet(folder)
+    return written.join(tags, "tag").drop("tag")
+
+
+# --------------------------------------------------------------------- the sinks
+
+def word_count_sink(folder: str, run: str = "0"):
     """K1 + A1 + F1: per-batch word count, written per batch."""
-    def run(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        write_batch(counts.word_count(df, "value"), folder, batch_id)
-    return run
+    def sink(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            write_batch(counts.word_count(df, "value"), folder, batch_id, run)
+    return sink
+
+
+RECORD_COUNT = "n bigint"
 
 
 def record_count_work(folder: str) -> BatchFn:
-    """A3: the batch's record count, written per batch."""
-    def run(df: DataFrame, batch_id: int) -> None:
-        write_batch(counts.record_count(df), folder, batch_id)
-    return run
+    """A3: the batch's record count."""
+    def work(df: DataFrame, slot: Slot) -> None:
+        write_tagged(counts.record_count(df), folder, slot)
+    return work
+
+
+def record_counts(spark: SparkSession, folder: str, store: OffsetStore, group_id: str) -> DataFrame:
+    """(batch_id, n) of every committed batch; ``batch_id`` is its commit."""
+    return read_committed(spark, folder, store, group_id, RECORD_COUNT).select(F.col("seq").alias("batch_id"), "n")
+
+
+UPSERT_ROWS = ("order_id string, name string, "
+               "ord struct<batch_id bigint, offset bigint, topic string, partition int>")
 
 
 class UpsertTable:
     """K3 table form on plain parquet: each batch appends its parsed rows
-    (``rows/batch_id=<k>``, overwritten on replay), and every
-    ``snapshot_every`` batches the current table -- last row per key, with its
-    ordering key -- is written to ``snapshots/snap-<k>``.  A read covers the
-    latest snapshot plus the batches after it, so it costs O(table + recent
-    batches) however long the stream has run; each write is O(batch).
+    (O(batch)); ``view`` reduces base and committed rows to the last row per
+    key.  ``compact`` writes a new base and is run beside the stream, on a
+    schedule of its own; the base states the commit it reaches, and rows of
+    later commits come on top.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, snapshot_every: int = 10):
-        self.spark, self.folder, self.every = spark, folder, int(snapshot_every)
-
-    def _batches(self) -> list[int]:
-        names = completed_folders(self.spark, f"{self.folder}/rows")
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+    def __init__(self, spark: SparkSession, folder: str, store: OffsetStore, group_id: str):
+        self.spark, self.folder, self.store, self.group_id = spark, folder, store, group_id
 
-    def _snapshots(self) -> list[int]:
-        names = completed_folders(self.spark, f"{self.folder}/snapshots")
-        return sorted(int(n.split("-", 1)[1]) for n in names if n.startswith("snap-"))
+    def _base(self) -> tuple[int, str | None]:
+        text = fsio.read_text(self.spark, f"{self.folder}/_base")
+        return (int(text.split()[0]), text.split()[1]) if text else (-1, None)
 
-    def _state(self, upto: int | None = None) -> DataFrame | None:
-        snaps = [b for b in self._snapshots() if upto is None or b <= upto]
-        since = snaps[-1] if snaps else -1
-        paths = [f"{self.folder}/snapshots/snap-{since:09d}"] if snaps else []
-        paths += [f"{self.folder}/rows/batch_id={b}" for b in self._batches()
-                  if b > since and (upto is None or b <= upto)]
-        if not paths:
-            return None
-        rows = self.spark.read.parquet(*paths).select("order_id", "name", "ord")
-        return upsert.upsert(None, rows)
+    def state(self) -> DataFrame:
+        reach, base = self._base()
+        rows = read_committed(self.spark, f"{self.folder}/rows", self.store, self.group_id, UPSERT_ROWS, reach) \
+            .select("order_id", "name", "ord")
+        old = self.spark.read.schema(UPSERT_ROWS).parquet(f"{self.folder}/{base}") if base else None
+        return upsert.upsert(old, rows)
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        write_batch(rows, f"{self.folder}/rows", batch_id)
-        if self.every > 0 and batch_id % self.every == self.every - 1:
-            state = self._state(upto=batch_id)
-            state.write.mode("overwrite").parquet(
-                f"{self.folder}/snapshots/snap-{batch_id:09d}")
+    def compact(self) -> None:
+        """A new base up to the last commit."""
+        reach = self.store.tip(self.group_id)[0]
+        name = f"base-{reach:012d}-{uuid.uuid4().hex[:12]}"
+        self.state().write.parquet(f"{self.folder}/{name}")
+        fsio.write_text(self.spark, f"{self.folder}/_base", f"{reach} {name}", overwrite=True)
 
     def view(self) -> DataFrame:
-        state = self._state()
-        if state is None:
-            return self.spark.createDataFrame([], "order_id string, name string")
-        return state.select("order_id", "name")
+        return self.state().select("order_id", "name")
 
 
-def upsert_work(folder: str, snapshot_every: int = 10) -> BatchFn:
-    """K3 work for ``guarded``: append the batch's strictly parsed rows to
-    an ``UpsertTable`` (O(batch) per batch)."""
-    def run(df: DataFrame, batch_id: int) -> None:
-        table = UpsertTable(df.sparkSession, folder, snapshot_every)
-        table.write(upsert.upsert_rows(
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))), batch_id)
-    return run
+def upsert_work(folder: str) -> BatchFn:
+    """K3 work for ``guarded``: append the batch's strictly parsed rows."""
+    def work(df: DataFrame, slot: Slot) -> None:
+        rows = upsert.upsert_rows(df.withColumn("batch_id", F.lit(slot.seq).cast("bigint")))
+        write_tagged(rows, f"{folder}/rows", slot)
+    return work
 
 
-def upsert_view(spark: SparkSession, folder: str) -> DataFrame:
-    """Current upsert table: last name per order_id over all committed batches."""
-    return UpsertTable(spark, folder).view()
-
-
-def console_sink(num_rows: int = 10, truncate: bool = False) -> BatchFn:
-    """K2: print the first rows of every non-empty batch."""
-    def run(df: DataFrame, batch_id: int) -> None:
+def console_sink(num_rows: int | None = None, truncate: bool = False, summarise=None):
+    """K2: print every non-empty batch, whole unless ``num_rows`` is given;
+    ``summarise`` is applied to a batch that holds rows (F1)."""
+    def sink(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
+        shown = summarise(df) if summarise else df
         print(f"---- batch {batch_id} ----")
-        df.show(num_rows, truncate)
-    return run
+        if num_rows is not None:
+            shown.show(num_rows, truncate)
+            return
+        print(" | ".join(shown.columns))
+        for row in shown.toLocalIterator():      # one partition at a time
+            print(" | ".join(map(str, row)))
+    return sink

@@ -12,8 +12,7 @@ files by setting their modification times (one metadata call per slice; the
 local and HDFS file systems support it).  ``write_slices`` appends slices
 one job at a time, for tests where data arrives in steps.
 
-This is the producer side of the tests and registered stream queries; with
-Kafka, ``sources.kafka`` reads the broker and ``maxOffsetsPerTrigger`` caps
+This is the producer side of the tests; with Kafka, ``sources.kafka`` reads the broker and ``maxOffsetsPerTrigger`` caps
 batches instead.
 """
 

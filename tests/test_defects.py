@@ -25,7 +25,7 @@ def test_d2_output_before_offsets(spark, workdir):
         order.append("commit")
         real_commit(*a, **k)
     store.commit = commit
-    fn = sinks.guarded(store, "g", lambda df, b: order.append("work"))
+    fn = sinks.guarded(store, "g", lambda df, slot: order.append("work"))
     batch = spark.createDataFrame([("t", 0, 0, "a,1")],
                                   "topic string, partition int, offset bigint, value string")
     fn(batch, 0)
@@ -42,7 +42,7 @@ def test_d3_d9_topic_and_group_by_equality(spark):
 
 def test_d4_empty_batch_commits_nothing(spark, workdir):
     store = sinks.OffsetStore(spark, f"{workdir}/offsets")
-    fn = sinks.guarded(store, "g", lambda df, b: None)
+    fn = sinks.guarded(store, "g", lambda df, slot: None)
     empty = spark.createDataFrame([], "topic string, partition int, offset bigint, value string")
     fn(empty, 0)
     assert store.history().count() == 0
@@ -58,9 +58,21 @@ def test_d8_new_partitions_are_read(spark):
     assert '"1": -2' in opts["startingOffsets"]
 
 
-def test_d10_read_errors_surface(spark, workdir):
-    with pytest.raises(Exception):
-        spark.read.parquet(f"{workdir}/missing").collect()
+def test_d10_read_errors_surface(spark, workdir, monkeypatch):
+    """A store that can't be read must not look like one without offsets."""
+    from streamledger import fsio
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    store.commit([("t", 0, 0, 5)], "g")
+
+    def broken(*args):
+        raise OSError("store unreachable")
+    monkeypatch.setattr(fsio, "read_text", broken)
+    ran = []
+    fn = sinks.guarded(sinks.OffsetStore(spark, f"{workdir}/offsets"), "g", lambda df, slot: ran.append(slot))
+    batch = spark.createDataFrame([("t", 0, 0, "a,1")], "topic string, partition int, offset bigint, value string")
+    with pytest.raises(OSError, match="unreachable"):
+        fn(batch, 0)
+    assert not ran
 
 
 def test_d7_d11_values_are_bound_not_spliced(spark):

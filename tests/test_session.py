@@ -1,16 +1,6 @@
-"""Session helpers: spread only small scans, checkpoint folder from the session."""
+"""Session helpers: the checkpoint folder comes from the session."""
 
-from streamledger.session import checkpoint_root, load_table, scratch_dir, spread
-from tests.conftest import SF_SMALL
-
-
-def test_spread_adds_no_shuffle_to_a_wide_scan(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide) is wide
-    narrow = load_table(spark, SF_SMALL, "documents")
-    if narrow.rdd.getNumPartitions() < cores:
-        assert spread(narrow).rdd.getNumPartitions() == cores
+from streamledger.session import checkpoint_root, scratch_dir
 
 
 def test_checkpoint_root_comes_from_the_session(spark):

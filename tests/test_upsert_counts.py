@@ -36,15 +36,20 @@ def test_strict_upsert_fails_the_batch_on_bad_rows(spark):
 
 
 def test_append_rows_modes(spark):
-    msgs = spark.createDataFrame(
-        [("t", 0, 0, "abc,3", 0), ("t", 0, 1, "a,b,c", 0), ("t", 0, 2, "abc,x", 0),
-         ("t", 0, 3, "abc,", 0)], MSG)
-    with pytest.raises(Exception, match="malformed"):
-        upsert.append_rows(msgs, "fail").collect()
+    texts = ["abc,3", "a,b,c", "abc,x", "abc,", "abc,3000000000", "abc,99999999999999999999", "abc, 4", "abc,-7,z"]
+    msgs = spark.createDataFrame([("t", 0, k, t, 0) for k, t in enumerate(texts)], MSG)
     got = sorted(tuple(r) for r in upsert.append_rows(msgs, "quarantine").select(
-        "offset", "ok", "name", "id").collect())
-    assert got == [(0, True, "abc", 3), (1, True, "a", None), (2, True, "abc", None),
-                   (3, False, None, None)]
+        "offset", "ok", "name", "id", "raw").collect())
+    good = {0: 3, 4: 3000000000, 7: -7}
+    assert got == [(k, True, "abc", good[k], None) if k in good else (k, False, None, None, t)
+                   for k, t in enumerate(texts)]
+    for k in range(len(texts)):
+        one = upsert.append_rows(msgs.where(F.col("offset") == k), "fail")
+        if k in good:
+            assert one.first()["id"] == good[k]
+        else:
+            with pytest.raises(Exception, match="malformed"):
+                one.collect()
 
 
 def test_word_count_matches_python(spark):
@@ -75,7 +80,5 @@ def test_running_counts_complete_and_update(spark):
         "batch_id bigint, word string, n bigint")
     upd = sorted(tuple(r) for r in counts.running_word_count_update(bc, block=2).collect())
     assert upd == [(0, "a", 2), (0, "b", 1), (2, "a", 3), (3, "c", 4)]
-    comp = counts.running_word_count_complete(bc, F.lit(3), block=2)
-    got = sorted(tuple(r) for r in comp.collect())
-    assert got == [(0, "a", 2), (0, "b", 1), (1, "a", 2), (1, "b", 1), (2, "a", 3),
-                   (2, "b", 1), (3, "a", 3), (3, "b", 1), (3, "c", 4)]
+    comp = dict(counts.running_word_count_complete(bc).collect())
+    assert comp == {"a": 3, "b": 1, "c": 4}
