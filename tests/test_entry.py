@@ -13,8 +13,14 @@ def test_entry_runs_on_smoke_data(spark):
     assert df.count() > 0
 
 
+def _own():
+    """Names of the library's own queries, whatever else is registered."""
+    return set(E.QUERIES) | set(E.STREAM_QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert _own() <= set(E.queries()) and _own() <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_oracles_parse_and_name_columns_like_queries(spark):
@@ -23,6 +29,8 @@ def test_oracles_parse_and_name_columns_like_queries(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_CHECK}/{t}.parquet'")
     q = E.queries()
     for name, sql in E.oracle_sql().items():
+        if name not in _own():
+            continue
         cols = [d[0] for d in con.execute(f"SELECT * FROM ({sql}) LIMIT 0").description]
         if name.endswith("_stream"):
             continue   # running these stages files; covered by test_streaming
