@@ -92,6 +92,34 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op9_decontamination": """
+        WITH d AS (
+          SELECT row_number() OVER () AS row, doc_id,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+        b AS (
+          SELECT item_id,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+        windows AS (
+          SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS words
+          FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM b WHERE len(ws) > 0)),
+        places AS (
+          SELECT row, size, p, array_to_string(ws[p:p + size - 1], ' ') AS words
+          FROM (SELECT row, ws, size, unnest(range(1, len(ws) - size + 2)) AS p
+                FROM d JOIN (SELECT DISTINCT size FROM windows) ON len(ws) >= size)),
+        hits AS (SELECT row, item_id, p, size FROM places JOIN windows USING (size, words)),
+        covered AS (
+          SELECT row, count(DISTINCT place) AS n_hit
+          FROM (SELECT row, unnest(range(p, p + size)) AS place FROM (SELECT DISTINCT row, p, size FROM hits)) GROUP BY row),
+        items AS (
+          SELECT row, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+          FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY row)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row)
+    """,
     "op4_preference_format": """
         WITH turns AS (
           SELECT DISTINCT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
