@@ -114,6 +114,8 @@ def _exclusive_prefix(totals, part_keys, blk, width, block, span):
     """
     before = lambda *by: Window.partitionBy(*part_keys, *by).orderBy(blk).rowsBetween(
         Window.unboundedPreceding, -1)
+    if width == block and block ** 5 < span:
+        raise ValueError(f"blocks of {block} are too small for positions up to {span}")
     if width * block >= span:
         return totals.select(*part_keys, blk, F.coalesce(F.sum("__tot").over(before()), F.lit(0)).alias("__base"))
     up = f"{blk}_up"

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamledger.operators.prefix import running_total_non_null, running_total_null_safe
+from streamledger.operators.prefix import SPAN, running_total_non_null, running_total_null_safe
 from streamledger.schemas import MESSAGE_COLUMNS, OFFSET_RANGE, PARTITION_KEY
 
 # Width of the order blocks used to number offsets (see operators.prefix).
@@ -20,7 +20,7 @@ OFFSET_BLOCK = 1 << 20
 
 
 def message_log(events: DataFrame, partitions: int = 3,
-                block: int = OFFSET_BLOCK) -> DataFrame:
+                block: int = OFFSET_BLOCK, span: int = SPAN) -> DataFrame:
     """The test log derived from ``events`` (FIXTURES.md section 2).
 
     topic = event_type; partition = user_id mod ``partitions``; offset =
@@ -45,9 +45,9 @@ def message_log(events: DataFrame, partitions: int = 3,
     # row groups without nulls skip the second branch from their statistics.
     has_key = F.col("event_type").isNotNull() & F.col("user_id").isNotNull()
     main = running_total_non_null(
-        keyed(events.where(has_key)), PARTITION_KEY, "event_id", None, "__n", block)
+        keyed(events.where(has_key)), PARTITION_KEY, "event_id", None, "__n", block, span)
     rest = running_total_null_safe(
-        keyed(events.where(~has_key)), PARTITION_KEY, "event_id", None, "__n", block)
+        keyed(events.where(~has_key)), PARTITION_KEY, "event_id", None, "__n", block, span)
     return main.unionByName(rest).select(
         "topic", "partition", (F.col("__n") - 1).alias("offset"), "key", "value",
         "timestamp")

@@ -24,7 +24,7 @@ def _brute_log(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def test_offsets_are_dense_positions_by_event_id(spark, events):
     # a tiny block forces many blocks per partition
-    got = logsrc.message_log(events, 3, block=17).select(
+    got = logsrc.message_log(events, 3, block=17, span=17 ** 3).select(
         "topic", "partition", "offset", "key").toPandas()
     want = _brute_log(events.select("event_id", "event_type", "user_id").toPandas())
     want["key"] = want["user_id"].astype(str)
@@ -41,7 +41,7 @@ def test_null_keys_are_numbered_not_dropped(spark):
          (5, None, 5, "x")],
         "event_id bigint, event_type string, user_id bigint, props string",
     ).withColumn("ts", F.current_timestamp())
-    rows = logsrc.message_log(ev, 3, block=2).select(
+    rows = logsrc.message_log(ev, 3, block=2, span=16).select(
         "topic", "partition", "offset").collect()
     assert len(rows) == 5
     nulls = sorted(r["offset"] for r in rows if r["topic"] is None)
@@ -118,9 +118,37 @@ def test_next_batch_iterated_reads_the_log_exactly_once(spark, events, workdir):
         assert max(r["until_offset"] - r["from_offset"] for r in ranges) <= 25
         assert store.verdict(ranges, "g") == "commit"
         seen += batch.count()
-        store.commit(ranges, "g", b)
+        assert store.commit(ranges, "g") == b
         batch.unpersist()
         b += 1
     assert seen == log.count() and b == -(-max(
         r[0] for r in logsrc.partition_extents(log).select("latest").collect()) // 25)
     log.unpersist()
+
+
+def _plan(df):
+    conf, key = df.sparkSession.conf, "spark.sql.maxMetadataStringLength"
+    before = conf.get(key)
+    conf.set(key, "100000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set(key, before)
+
+
+def test_stored_log_is_pruned_and_filtered(spark):
+    """S2, S4+S7 and O6: bounds reach the scan of the stored log and offset
+    table, and no offset query goes back to the events."""
+    import re
+
+    from streamledger.plans.queries import QUERIES
+    for name in ("assigned_ranges", "next_batch"):
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        pushed = re.search(r"PushedFilters: \[(.*?)ReadSchema", plan, re.S).group(1)
+        assert "GreaterThanOrEqual(offset" in pushed and "events.parquet" not in plan
+        assert re.search(r"PartitionFilters: \[[^\]]*topic", plan)
+    plan = _plan(QUERIES["offsets_current"](spark, SF_SMALL))
+    assert "EqualTo(group_id,stream-a)" in plan and "In(topic" in plan
+    for name in QUERIES:
+        if name.startswith(("offsets_", "start_", "rate_", "batch_ranges", "message_", "topic_")):
+            assert "events.parquet" not in _plan(QUERIES[name](spark, SF_SMALL)), name
