@@ -42,7 +42,10 @@ _FENCE = frozenset("ul ol dl table body article section div main blockquote".spl
 _NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar "
                    "menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr "
                    "notice notices popup modal overlay newsletter subscribe signup login share sharing social related "
-                   "recommended comment comments disqus reply replies pager pagination toolbar widget copyright".split())
+                   "recommended comment comments disqus reply replies discussion responses reactions feedback pager "
+                   "pagination toolbar widget copyright alert disclaimer".split())
+_STEMS = tuple("cookie comments commentlist commentbox advert adsby sidebar newsletter breadcrumb sponsor promobox "
+               "subscri popup navbar footer".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
                    "toolbar status note".split())
 _KEPT = frozenset(("html", "body", "main", "article"))
@@ -70,7 +73,7 @@ def _named_away(attributes: str) -> bool:
             for k, part in enumerate(parts):
                 if part in ("with", "has", "no", "without"):
                     break                    # content-with-sidebar
-                if part in _NAMES:
+                if part in _NAMES or part.startswith(_STEMS):
                     return True
     return False
 
