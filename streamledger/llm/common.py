@@ -9,6 +9,8 @@ from ..session import scratch_dir
 
 # One task's working set: texts are handled in blocks of about this size.
 BLOCK_BYTES = 4 << 20
+# Rows of text in an Arrow batch.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """``df``, after lowering the session's Arrow batch size to ``rows``: a batch
+    of texts is held by the JVM and by Python at once, and texts may be long."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = int(conf.get(key))
+    if held <= 0 or held > rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes; null stays null."""
     return F.col(column).cast("string").cast("binary")

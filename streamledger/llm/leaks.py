@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, materialize, total_bytes, utf8
+from .common import blocks_for, materialize, small_batches, total_bytes, utf8
 
 SEGMENT_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20       # benchmark text sent to the tasks at once
@@ -94,7 +94,7 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
         if ids:
             yield segment()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")) \
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")) \
         .mapInArrow(task, INDEX)
 
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # The kinds of elements.
 _SKIPPED = frozenset("nav header footer aside form button select option textarea input label fieldset dialog menu "
                      "noscript template svg math canvas iframe object embed applet audio video map head title".split())
@@ -247,6 +249,6 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+    return small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")) \
         .mapInArrow(task, "page_id long, url string, text string, n_chars long")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8
+from .common import materialize, small_batches, utf8
 from .components import components
 
 SEED = 42
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")) \
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")) \
         .mapInArrow(task, "doc_id long, fp long")
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, total_bytes, utf8
+from .common import blocks_for, small_batches, total_bytes, utf8
 
 SHARD_BYTES = 1 << 20  # text in a shard; its arrays then fit in the cache
 K = 24                 # anchor k-gram
@@ -537,7 +537,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
         raise ValueError(f"length must be at least {K}")
     shards = blocks_for(total_bytes(docs, "text"), shard_bytes)
     rest = [F.col(c).alias(_CARRIED + c) for c in carry]
-    dealt = docs.select(
+    dealt = small_batches(docs).select(
         *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
     anchors = dealt.select("text", "shard").where(F.octet_length("text") >= length) \

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import materialize
+from .common import materialize, small_batches
 from .files import own_name, random_reader, writer
 
 FILE_TOKENS = 16 << 20
@@ -89,7 +89,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, separator: int, dtype:
         if state is not None:
             yield close()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(task, "path string, tokens long, doc_ids array<long>")
 
 

@@ -35,13 +35,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 CLASSES = 64
 MAX_ROWS = 20_000
 MAX_FEATURES = 200_000
 _PREFIXES = (4, 5, 6)
 _SHRINK = 4.0
 _PIECE = 256            # longest stretch decoded at once
-_CACHE = 400_000
+_CACHE = 120_000
 
 # What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b",
@@ -80,7 +82,7 @@ def letter_counts(docs: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["trigram", "n"])
 
-    return docs.select(F.col("text").cast("string").alias("text")) \
+    return small_batches(docs).select(F.col("text").cast("string").alias("text")) \
         .mapInArrow(task, "trigram int, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
@@ -234,6 +236,8 @@ def _feature_rows(sent):
         for batch in batches:
             for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
                 words = document_words(text or "", decoder, cache)
+                if len(hashes) > _CACHE:
+                    hashes.clear()
                 for w in words:
                     if w not in hashes:
                         hashes[w] = np.array(features(w), np.uint64)
@@ -340,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) \
         .withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2)).cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most max_rows rows of three small columns
     rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "half")
     total = chosen.groupBy("half", "toxic").count().collect()
@@ -380,7 +384,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values))
-    tops = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+    tops = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(_summaries(sent, ["doc_id"]), "doc_id long, x1 double, x2 double")
     b, w1, w2 = map(float, model.weights)
     value = 1 / (1 + F.exp(-(F.lit(b) + w1 * F.col("x1") + w2 * F.col("x2"))))
@@ -401,4 +405,4 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
             clean = [1 / (1 + math.exp(-(b + w1 * x + w2 * y))) < threshold for x, y in tops]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return small_batches(docs).mapInArrow(task, docs.schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import materialize, utf8
+from .common import materialize, small_batches, utf8
 from .files import own_name, random_reader, reader, writer
 
 FILE_BYTES = 16 << 20       # inflated bytes of an archive
@@ -123,7 +123,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
     """Archives of one gzip stream each under ``folder``: their (path, records).
     ``pages`` needs page_id, url, html."""
     payload = F.coalesce(utf8("html"), F.lit(b""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload")) \
         .withColumn("key", F.when(F.octet_length("payload") >= least, F.sha1("payload")))
     per_page = rows.where("key is not null").groupBy("key", "page_id").agg(F.count("*").alias("n"))
