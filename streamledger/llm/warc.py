@@ -29,7 +29,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -123,19 +123,21 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
     """Archives of one gzip stream each under ``folder``: their (path, records).
     ``pages`` needs page_id, url, html."""
     payload = F.coalesce(utf8("html"), F.lit(b""))
-    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        payload.alias("payload")) \
-        .withColumn("key", F.when(F.octet_length("payload") >= least, F.sha1("payload")))
-    per_page = rows.where("key is not null").groupBy("key", "page_id").agg(F.count("*").alias("n"))
-    first = per_page.groupBy("key").agg(F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "n")).alias("first"))
-    joined = rows.join(first, "key", "left")
-    leads = F.col("first").isNotNull() & F.col("page_id").eqNullSafe(F.col("first.page_id"))
-    tied = F.coalesce(leads & (F.col("first.n") > 1), F.lit(False))
-    # Rows that share id and payload with the response: all but one refer to it.
-    turn = F.row_number().over(Window.partitionBy("key", "page_id").orderBy("url"))
-    names = ["page_id", "url", "payload", F.col("first.page_id").alias("refers_to")]
-    marked = joined.where(~tied).select(*names, (F.col("first").isNotNull() & ~leads).alias("revisit")).union(
-        joined.where(tied).withColumn("turn", turn).select(*names, (F.col("turn") > 1).alias("revisit")))
+    number = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
+    # Rows alike in id, url and payload are interchangeable: one name for them.
+    rows = small_batches(pages).select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+        payload.alias("payload"), F.sha1(payload).alias("key")) \
+        .withColumn("name", F.concat_ws(" ", number, "key", F.col("url").isNull().cast("string"), "url"))
+    # Which of them leads its payload is settled without the payloads ...
+    light = rows.where(F.octet_length("payload") >= least).select("name", "page_id", "key").distinct()
+    lead = light.groupBy("key").agg(F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "name")).alias("lead"))
+    roles = light.join(lead, "key").select(
+        "name", (F.col("lead.name") == F.col("name")).alias("leads"), F.col("lead.page_id").alias("refers_to"))
+    # ... which are dealt out once, by name.
+    alike = rows.groupBy("name").agg(F.first("page_id").alias("page_id"), F.first("url").alias("url"),
+                                     F.first("payload").alias("payload"), F.count("*").alias("n"))
+    marked = alike.join(roles, "name", "left").select("page_id", "url", "payload", "n", "leads", "refers_to")
 
     def task(batches):
         # a file is written as one stream, closed when it is full
@@ -148,19 +150,22 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], ["path", "records"])
 
         for batch in batches:
-            for i, url, payload, to, again in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "refers_to", "revisit"))):
-                if state is None:
-                    path = own_name(folder, count, ".warc.gz")
-                    context = writer(path)
-                    state = [path, context.__enter__(), context, zlib.compressobj(6, zlib.DEFLATED, 31), 0, 0]
-                    count += 1
-                raw = record(i.as_py(), url.as_py(), payload.as_py(), to.as_py(), again.as_py())
-                state[1].write(state[3].compress(raw))
-                state[4] += 1
-                state[5] += len(raw)
-                if state[5] >= file_bytes:
-                    yield close()
-                    state = None
+            for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "n", "leads", "refers_to"))):
+                i, url, payload, n, leads, to = (x.as_py() for x in row)
+                for k in range(n):
+                    if state is None:
+                        path = own_name(folder, count, ".warc.gz")
+                        context = writer(path)
+                        state = [path, context.__enter__(), context, zlib.compressobj(6, zlib.DEFLATED, 31), 0, 0]
+                        count += 1
+                    # no role: a payload too small to be shared
+                    raw = record(i, url, payload, to, leads is not None and not (leads and k == 0))
+                    state[1].write(state[3].compress(raw))
+                    state[4] += 1
+                    state[5] += len(raw)
+                    if state[5] >= file_bytes:
+                        yield close()
+                        state = None
         if state is not None:
             yield close()
 
