@@ -92,8 +92,7 @@ def test_upsert_effectively_once_across_crash(spark, staged, workdir, where):
     assert store.history().groupBy("batch_id", "topic", "partition").count().where("count > 1").count() == 0
 
 
-@pytest.mark.parametrize("compact", [False, True])
-@pytest.mark.parametrize("crash", [None, "before_commit", "after_commit"])
+@pytest.mark.parametrize("crash,compact", [(None, False), ("before_commit", True), ("after_commit", False)])
 def test_resume_on_a_new_checkpoint_loses_nothing(spark, staged, workdir, crash, compact):
     """A broker started from stored offsets delivers only what lies past them,
     to batch ids that start at 0 again: two batches, then three on a new
