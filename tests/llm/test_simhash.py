@@ -32,12 +32,12 @@ def test_matches_brute_force(spark):
             brute.simhash_components(docs, 3, bits), key=str)
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4])
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
 def test_links_find_every_pair(spark, bits):
     rnd = random.Random(bits)
-    base = [rnd.getrandbits(64) for _ in range(12)]
+    base = [rnd.getrandbits(64) for _ in range(10)]
     prints = {b ^ sum(1 << rnd.randrange(64) for _ in range(rnd.randint(0, 4))) & (2**64 - 1)
-              for b in base for _ in range(12)} | {0, 1, 3, 2**64 - 1, 2**63}
+              for b in base for _ in range(8)} | {0, 1, 3, 2**64 - 1, 2**63}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     df = spark.createDataFrame([(p,) for p in signed], "fp long")
     got = {tuple(r) for r in simhash.links(df, bits).collect()}
