@@ -3,7 +3,6 @@ offsets on a new checkpoint, and crash tests for the sinks (K3-K6)."""
 
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
 
 from streamledger import fsio
 from streamledger.operators import counts, upsert
