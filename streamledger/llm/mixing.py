@@ -32,6 +32,7 @@ _UNIT = 1_000_000           # rates are rounded to this part of a copy
 _BLOCK_ROWS = 100_000
 _STEPS = 60
 _FIXES = 3
+_SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -163,10 +164,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     for _ in range(_FIXES):
         out = materialize(_fix(out, goal, most), "mixing-taken")
     begun = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    return out.join(goal, "sid").select("doc_id", "size", "source_size", "target", "taken", "rate",
+    return _by_source(out, goal, "inner").select("doc_id", "size", "source_size", "target", "taken", "rate",
                                         begun.alias("copies"))
 
 
+def _by_source(rows: DataFrame, per_source: DataFrame, how: str) -> DataFrame:
+    """Join rows with a table of one row a source.  A source may hold any share
+    of the rows, so its row is repeated and the rows are dealt over the copies."""
+    copies = per_source.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(_SALTS)).cast("int"))
+    return dealt.join(copies, ["sid", "salt"], how).drop("salt")
+
+
 def _fix(out: DataFrame, goal: DataFrame, most: int) -> DataFrame:
     """``out`` with one document of each source taking the words it misses, or
     giving up those it has too many, as far as that document can."""
@@ -180,6 +189,6 @@ def _fix(out: DataFrame, goal: DataFrame, most: int) -> DataFrame:
             "sid", F.when(miss > 0, F.col("more.row")).otherwise(F.col("less.row")).alias("chosen"),
             F.when(miss > 0, F.least(miss, F.col("more.room")))
             .otherwise(F.greatest(miss, -F.col("less.room"))).alias("change"))
-    return out.join(change, "sid", "left").withColumn(
+    return _by_source(out, change, "left").withColumn(
         "taken", F.col("taken") + F.when(F.col("row") == F.col("chosen"), F.col("change")).otherwise(0)) \
         .drop("chosen", "change")
