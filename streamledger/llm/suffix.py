@@ -33,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks_for, small_batches, total_bytes, utf8
@@ -541,11 +541,12 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
         *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
     anchors = dealt.select("text", "shard").where(F.octet_length("text") >= length) \
-        .mapInArrow(_anchors(length), _ANCHOR).repartition("hash")    # read twice below, dealt once
-    spread = anchors.groupBy("hash").agg(F.sum("n").alias("total"), F.count("*").alias("shards")) \
-        .where("total > 1")
-    repeated = anchors.select("hash", "shard").join(spread.select("hash", "shards"), "hash") \
-        .select("shard", "hash", "shards")
+        .mapInArrow(_anchors(length), _ANCHOR)
+    # Dealt out once; an anchor has a row for each shard's block at most.
+    same = Window.partitionBy("hash")
+    repeated = anchors.select("hash", "shard", F.sum("n").over(same).alias("total"),
+                              F.count("*").over(same).alias("shards")) \
+        .where("total > 1").select("shard", "hash", "shards")
     by_shard = dealt.groupBy("shard")
     pieces = by_shard.cogroup(repeated.groupBy("shard")).applyInArrow(
         _shard(length, shards, split), _PIECE)
