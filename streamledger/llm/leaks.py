@@ -8,8 +8,13 @@ segment, the postings of every token: its positions in order, term by term
 a phrase starts at its rarest term in that segment, the posting list shifted
 to the phrase's start, and the lists of its other terms, shifted likewise, are
 intersected in order of rarity by binary search.  A phrase with a term that
-the segment lacks costs nothing more.  ``proximity`` relaxes this to terms
-that occur near the rarest one, in any order.
+the segment lacks costs nothing more.
+
+``proximity`` finds windows whose words were moved or parted: stretches of at
+most ``span`` words of one document that begin with a word of the window and
+hold every distinct word of it, in any order.  Only places near the window's
+rarest term in the segment are looked at; which term that is doesn't change
+what is found.
 
 Benchmark items are phrases cut into windows of ``window`` words.  They are
 sent to the tasks in blocks of at most ``block_bytes`` of text, one pass over
@@ -34,6 +39,7 @@ from .common import blocks_for, materialize, small_batches, total_bytes, utf8
 
 SEGMENT_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20       # benchmark text sent to the tasks at once
+_CANDIDATES = 1 << 18       # places of rarest terms looked at together
 
 # Separators become blanks, A-Z become a-z, digits, a-z and bytes over 0x7F stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
@@ -42,6 +48,7 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 INDEX = ("segment long, n_tokens long, doc_ids array<long>, doc_starts array<long>, "
          "terms binary, term_starts binary, deltas binary")
 HITS = "segment long, doc_no int, item_id string, spans array<array<int>>"
+NEAR = "segment long, doc_no int, item_id string, position int"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -133,6 +140,12 @@ class Postings:
         at = np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
         return which, self.positions[at]
 
+    def around(self, position: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last position at most ``near`` words away in the same document."""
+        doc = np.searchsorted(self.doc_starts, position, side="right")
+        return (np.maximum(position - near, self.doc_starts[doc - 1]),
+                np.minimum(position + near, self.doc_starts[doc] - 1))
+
     def same_document(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         doc = lambda p: np.searchsorted(self.doc_starts, p, side="right")
         return doc(lo) == doc(hi)
@@ -163,23 +176,59 @@ def phrase_matches(index: Postings, phrases: np.ndarray, lengths: np.ndarray):
     return possible[which[ok]], start[ok]
 
 
+def _near_rarest(index: Postings, terms: np.ndarray, lengths: np.ndarray, near: int):
+    """For rows of term codes, the places of a row's rarest term with all its
+    other terms at most ``near`` words away in the same document: (row, position)."""
+    width = terms.shape[1]
+    used = np.arange(width) < lengths[:, None]
+    size = np.where(used, index.counts(terms.ravel()).reshape(terms.shape), np.iinfo(np.int64).max)
+    possible = np.flatnonzero((lengths > 0) & (size.min(axis=1, initial=np.iinfo(np.int64).max) > 0))
+    rare = np.take_along_axis(terms, np.argsort(size, axis=1, kind="stable"), 1)[possible]
+    which, at = index.expand(rare[:, 0] if width else np.empty(0, np.int64))
+    lo, hi = index.around(at, near)
+    for k in range(1, width):
+        ok = lengths[possible[which]] <= k
+        base = rare[which, k] * (index.n + 1)
+        ok |= np.searchsorted(index.keys, base + hi, side="right") > np.searchsorted(index.keys, base + lo)
+        which, at, lo, hi = which[ok], at[ok], lo[ok], hi[ok]
+    return possible[which], at
+
+
 def proximity_matches(index: Postings, terms: np.ndarray, length: int, near: int):
     """Places where ``length`` terms all occur within ``near`` words after or
     before the rarest: positions of the rarest."""
-    terms = terms[:length]
-    size = index.counts(terms)
-    if length == 0 or size.min() == 0:
-        return np.empty(0, np.int64)
-    order = terms[np.argsort(size, kind="stable")]
-    _, at = index.expand(order[:1])
-    doc = np.searchsorted(index.doc_starts, at, side="right")
-    lo = np.maximum(at - near, index.doc_starts[doc - 1])
-    hi = np.minimum(at + near, index.doc_starts[doc] - 1)
-    for t in order[1:].tolist():
-        base = t * (index.n + 1)
-        found = np.searchsorted(index.keys, base + hi, side="right") > np.searchsorted(index.keys, base + lo)
-        at, lo, hi = at[found], lo[found], hi[found]
-    return at
+    return _near_rarest(index, terms[None, :length], np.array([length]), near)[1]
+
+
+def stretches(index: Postings, terms: np.ndarray, lengths: np.ndarray, span: int):
+    """Stretches of at most ``span`` words that begin with one of a row's terms
+    and hold them all: (row, first position), ascending."""
+    rows, firsts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    width = terms.shape[1]
+    row, at = _near_rarest(index, terms, lengths, span - 1)
+    for k in range(0, len(row), _CANDIDATES):
+        r, p = row[k:k + _CANDIDATES], at[k:k + _CANDIDATES]
+        lo, _ = index.around(p, span - 1)
+        found = []          # where a stretch that holds the rarest term may begin
+        for j in range(width):
+            live = np.flatnonzero(lengths[r] > j)
+            base = terms[r[live], j] * (index.n + 1)
+            a = np.searchsorted(index.keys, base + lo[live])
+            n = np.searchsorted(index.keys, base + p[live], side="right") - a
+            own = np.repeat(np.arange(len(live)), n)
+            key = a[own] + np.arange(len(own)) - (np.cumsum(n) - n)[own]
+            found.append(r[live[own]] * (index.n + 1) + index.positions[key])
+        r, first = np.divmod(np.unique(np.concatenate(found)), index.n + 1)
+        _, hi = index.around(first, span - 1)
+        for j in range(width):
+            ok = lengths[r] <= j
+            base = terms[r, j] * (index.n + 1)
+            ok |= np.searchsorted(index.keys, base + hi, side="right") > np.searchsorted(index.keys, base + first)
+            r, first, hi = r[ok], first[ok], hi[ok]
+        rows.append(r)
+        firsts.append(first)
+    both = np.unique(np.concatenate(rows) * (index.n + 1) + np.concatenate(firsts))
+    return np.divmod(both, index.n + 1)
 
 
 # ------------------------------------------------------------------ searching
@@ -242,10 +291,36 @@ def _search(sent, window: int):
     return task
 
 
-def search(index: DataFrame, items: DataFrame, window: int = 10,
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Occurrences of the items' windows: rows (segment, doc_no, item_id,
-    spans), spans as [first word, one past the last)."""
+def _proximity(sent, window: int, span: int):
+    def task(batches):
+        ids, item_words = sent.value
+        terms, table, lengths, starts, flat = _windows(item_words, window)
+        for row, held in enumerate(table):          # each term once
+            held = list(dict.fromkeys(held[:lengths[row]].tolist()))
+            table[row], lengths[row] = held + [-1] * (table.shape[1] - len(held)), len(held)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                get = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
+                index = Postings(get("terms"), get("term_starts"), get("deltas"), get("doc_starts"))
+                code = np.append(index.code(terms), -1)
+                if index.n == 0 or len(table) == 0:
+                    continue
+                which, at = stretches(index, code[table], lengths, span)
+                n = starts[which + 1] - starts[which]
+                own = np.repeat(np.arange(len(which)), n)
+                item = flat[starts[which][own] + np.arange(len(own)) - (np.cumsum(n) - n)[own]]
+                item, at = np.unique(np.stack((item, at[own])), axis=1) if len(own) else (item, at)
+                doc = np.searchsorted(index.doc_starts, at, side="right") - 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(at), get("segment"), np.int64)), pa.array(doc.astype(np.int32)),
+                    pa.array([ids[i] for i in item.tolist()], pa.string()),
+                    pa.array((at - index.doc_starts[doc]).astype(np.int32))],
+                    ["segment", "doc_no", "item_id", "position"])
+    return task
+
+
+def _by_block(index: DataFrame, items: DataFrame, block_bytes: int, task, schema: str) -> DataFrame:
+    """``task`` of every block of items, over all segments."""
     texts = items.select(F.col("item_id").cast("string").alias("item_id"),
                          F.col("text").cast("string").alias("text")).where(F.octet_length("text") > 0)
     blocks = blocks_for(total_bytes(texts, "text"), block_bytes)
@@ -255,11 +330,29 @@ def search(index: DataFrame, items: DataFrame, window: int = 10,
         rows = texts.where(block == k).collect()
         sent = index.sparkSession.sparkContext.broadcast(
             ([r.item_id for r in rows], [words(r.text.encode()) for r in rows]))
-        hits = index.mapInArrow(_search(sent, window), HITS)
+        hits = index.mapInArrow(task(sent), schema)
         found = hits if found is None else found.union(hits)
     return found
 
 
+def search(index: DataFrame, items: DataFrame, window: int = 10,
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Occurrences of the items' windows: rows (segment, doc_no, item_id,
+    spans), spans as [first word, one past the last)."""
+    return _by_block(index, items, block_bytes, lambda sent: _search(sent, window), HITS)
+
+
+def proximity(index: DataFrame, items: DataFrame, window: int = 10, span: int = 12,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Stretches of at most ``span`` words that hold all words of one of the
+    items' windows, in any order: rows (segment, doc_no, item_id, position),
+    position being the stretch's first word.  A position is listed once for
+    each row of ``items``."""
+    if span < window:
+        raise ValueError("span must be at least window, or exact phrases would be missed")
+    return _by_block(index, items, block_bytes, lambda sent: _proximity(sent, window, span), NEAR)
+
+
 def _digest(batches):
     """Union of spans and the list of items of each document."""
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]

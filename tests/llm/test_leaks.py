@@ -69,6 +69,41 @@ def test_proximity(spark):
     assert near(b"b", b"c", b"d", d=2) == [3]       # d is the rarest
 
 
+def near_by_brute_force(docs, items, window, span):
+    out = []
+    for d, t in docs:
+        ws = brute.bench_words(t)
+        for i, text in items:
+            b = brute.bench_words(text)
+            sets = [set(b[k:k + window]) for k in range(max(1, len(b) - window + 1) if b else 0)]
+            out += [(d, i, p) for p in range(len(ws)) if any(ws[p] in s and s <= set(ws[p:p + span]) for s in sets)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,window,span,segment,block", [(1, 10, 12, 1 << 20, 1 << 20), (2, 4, 7, 300, 200), (3, 3, 3, 1, 99)])
+def test_proximity_search_against_brute_force(spark, monkeypatch, seed, window, span, segment, block):
+    monkeypatch.setattr(leaks, "_CANDIDATES", 50)
+    docs, items = corpus(seed)
+    ws = brute.bench_words(items[7][1]) + ["v%d" % k for k in range(10)]
+    items.append((500, " ".join(ws[-10:])))
+    docs = [(k, t) for k, (_, t) in enumerate(docs)] + [
+        (300, " ".join(["q", *ws[-10:-4], "inserted", *ws[-4:], "q"])),
+        (301, " ".join([*ws[-10:-6], ws[-5], ws[-6], *ws[-4:]]))]
+    items = [(k, t) for k, (_, t) in enumerate(items)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    index = leaks.materialize(leaks.build_index(d, segment), "leaks-test")
+    ids = {(r.segment, k): i for r in index.collect() for k, i in enumerate(r.doc_ids)}
+    found = leaks.proximity(index, b, window, span, block).collect()
+    got = sorted((ids[r.segment, r.doc_no], int(r.item_id), r.position) for r in found)
+    assert got == near_by_brute_force(docs, items, window, span)
+    if window == 10:
+        moved = {(d, i) for d, i, _ in got if d >= 300}
+        assert moved >= {(300, len(items) - 1), (301, len(items) - 1)}
+        exact = {(ids[r.segment, r.doc_no], int(r.item_id)) for r in leaks.search(index, b, window).collect()}
+        assert not exact & moved
+
+
 def test_phrase_never_crosses_documents():
     texts = [[b"a", b"b"], [b"c"]]
     starts, terms, term_starts, deltas = leaks._segment(texts)
