@@ -18,8 +18,11 @@ How it runs, all as one Spark plan:
 3. ``_merge``: fragments meet by anchor, so equal windows of different shards
    meet in one task.  The windows' fingerprints are merged into one sorted
    array, every window finds its class there by binary search, and equality is
-   verified on the bytes.  Anchors found in many shards are dealt to several
-   sub-groups first; what survives there is merged in a second step.
+   verified on the bytes.  The windows of hot anchors (in over ``split`` shards,
+   or in over ``split`` * 64 runs) are dealt one by one instead, by a 128-bit
+   BLAKE2b digest of the whole window that stands for its bytes.  Equal windows
+   still meet, at most one of each shard, and no group holds a whole anchor: all
+   windows of a corpus come to about ``shard_bytes`` a group.
 4. ``_finish``: removed runs go back to their shard, where the documents'
    remaining bytes are counted and hashed.
 
@@ -40,8 +43,10 @@ from .common import blocks_for, small_batches, total_bytes, utf8
 
 SHARD_BYTES = 1 << 20  # text in a shard; its arrays then fit in the cache
 K = 24                 # anchor k-gram
-SPLIT_SHARDS = 64      # an anchor in more shards than this is merged in two steps
+SPLIT_SHARDS = 64      # windows of an anchor in more shards than this are dealt by content
+_SPLIT_RUNS = 64       # or with more runs than this, times the shards above
 _TILE = 1 << 16
+_DIGEST = 16           # bytes that stand for a window of a hot anchor
 _CARRIED = "carried_"
 
 _ANCHOR = "hash long, shard int, n int"
@@ -367,12 +372,13 @@ def _shard(length: int, shards: int, split: int):
         buf, offsets = padded(texts)
         lo, hi, h = anchor_runs(buf, offsets, length)
         known = repeated.column("hash").to_numpy().view(np.uint64)
-        spread = repeated.column("shards").to_numpy()
+        hot = (repeated.column("shards").to_numpy() > split) \
+            | (repeated.column("total").to_numpy() > split * _SPLIT_RUNS)
         by = np.argsort(known)
-        known, spread = known[by], spread[by]
+        known, hot = known[by], hot[by]
         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
         hit = known[at] == h
-        lo, hi, h, spread = lo[hit], hi[hit], h[hit], spread[at[hit]]
+        lo, hi, h, hot = lo[hit], hi[hit], h[hit], hot[at[hit]]
         if len(lo) == 0:
             return empty
         # Stretches of text that hold a window with a repeated anchor.
@@ -407,7 +413,8 @@ def _shard(length: int, shards: int, split: int):
         zero = np.zeros(len(rs), np.int64)
         out.append(_piece_table(zero + 1, zero + shard, zero, zero + shard, doc, zero, zero, zero,
                                 rs - offsets[doc], re - rs, [None] * len(rs)))
-        # The others go to their anchor's merge, a run of windows a piece.
+        # The others go to their anchor's merge, a run of windows a piece, or
+        # to their own if the anchor is hot.
         owner = np.full(size, -1, np.int64)
         widths = hi - lo
         fill = np.repeat(lo - np.concatenate(([0], np.cumsum(widths)[:-1])), widths) + np.arange(int(widths.sum()))
@@ -421,13 +428,23 @@ def _shard(length: int, shards: int, split: int):
         at, end, own = at[own >= 0], end[own >= 0], own[own >= 0]
         doc = np.searchsorted(offsets, at, side="right") - 1
         raw = buf.tobytes()
-        data = [raw[a:b] for a, b in zip(at.tolist(), (end + length - 1).tolist())]
-        groups = -(-spread[own] // split)
+        one = hot[own]
+        alone = np.flatnonzero(one)
+        n = (end - at)[alone]
+        window = np.repeat(at[alone] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        digests = [hashlib.blake2b(raw[a:a + length], digest_size=_DIGEST).digest() for a in window.tolist()]
         late = np.array([i is None for i in ids], np.int32)
         id8 = np.array([i or 0 for i in ids], np.int64)
+        d = np.repeat(doc[alone], n)
+        out.append(_piece_table(
+            np.full(len(d), 2), (_digest_words(digests)[:, 0] % np.uint64(shards)).astype(np.int64),
+            np.ones(len(d), np.int64), np.full(len(d), shard),
+            d, late[d], id8[d], tie[d], window - offsets[d], np.ones(len(d), np.int64), digests))
+        at, end, own, doc = at[~one], end[~one], own[~one], doc[~one]
+        data = [raw[a:b] for a, b in zip(at.tolist(), (end + length - 1).tolist())]
         out.append(_piece_table(
             np.zeros(len(at), np.int64), (h[own] % np.uint64(shards)).astype(np.int64),
-            np.where(groups > 1, 1 + shard % np.maximum(groups, 1), 0), np.full(len(at), shard),
+            np.zeros(len(at), np.int64), np.full(len(at), shard),
             doc, late[doc], id8[doc], tie[doc], at - offsets[doc], end - at, data))
         return pa.concat_tables(out)
     return task
@@ -442,42 +459,54 @@ def _cut(s: np.ndarray, e: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return np.sort(np.concatenate((s, cuts))), np.sort(np.concatenate((e, cuts)))
 
 
-def _merge(length: int, final: bool):
-    """Settle the pieces of one group; survivors of a sub-group go on."""
+def _digest_words(digests: list[bytes]) -> np.ndarray:
+    """Digests as rows of two words."""
+    return np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+
+
+def later_digests(t: dict[str, np.ndarray], words: np.ndarray) -> np.ndarray:
+    """Mask over single windows: those equal to an earlier one in the order of
+    late, doc_id, tie, start."""
+    by = np.lexsort([*(t[c] for c in reversed(_KEYS)), words[:, 1], words[:, 0]])
+    later = np.zeros(len(by), bool)
+    later[by[1:]] = (words[by[1:]] == words[by[:-1]]).all(axis=1)
+    return later
+
+
+def _merge(length: int):
+    """Settle the pieces of one group: what is removed, as runs of windows."""
     def task(key, pieces):
         kind = pieces.column("kind").to_numpy()
-        passed = pieces.filter(pa.array(kind == 1))
+        out = [pieces.filter(pa.array(kind == 1))]
+
+        def cut(c: dict[str, np.ndarray], start, n):
+            size = len(start)
+            out.append(_piece_table(np.ones(size, np.int64), c["bucket"], c["sub"], c["shard"], c["doc_no"], c["late"],
+                                    c["doc_id"], c["tie"], start, n, [None] * size))
+
+        single = pieces.filter(pa.array(kind == 2))
+        if single.num_rows:
+            cols = {c: single.column(c).to_numpy() for c in single.column_names if c != "data"}
+            later = later_digests(cols, _digest_words(single.column("data").to_pylist()))
+            cols = {c: v[later] for c, v in cols.items()}
+            cut(cols, cols["start"], cols["n"])
         live = pieces.filter(pa.array(kind == 0))
-        if live.num_rows == 0:
-            return passed
-        rank = _order_rank({c: live.column(c).to_numpy() for c in _KEYS})
-        live = live.take(pa.array(np.argsort(rank)))
-        data = live.column("data").to_pylist()
-        later = merge_windows(data, length)
-        n = live.column("n").to_numpy().astype(np.int64)
-        first = np.concatenate(([0], np.cumsum(n)[:-1]))
-        owner = np.repeat(np.arange(len(n)), n)
-        cols = {c: live.column(c).to_numpy() for c in live.column_names if c != "data"}
-
-        def pick(mask: np.ndarray, kind: int, keep_data: bool) -> pa.Table:
-            new = np.ones(len(mask), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (mask[1:] != mask[:-1])
+        if live.num_rows:
+            rank = _order_rank({c: live.column(c).to_numpy() for c in _KEYS})
+            live = live.take(pa.array(np.argsort(rank)))
+            later = merge_windows(live.column("data").to_pylist(), length)
+            cols = {c: live.column(c).to_numpy() for c in live.column_names if c != "data"}
+            n = cols["n"].astype(np.int64)
+            first = np.cumsum(n) - n
+            owner = np.repeat(np.arange(len(n)), n)
+            new = np.ones(len(later), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (later[1:] != later[:-1])
             at = np.flatnonzero(new)
-            end = np.append(at[1:], len(mask))
-            at, end = at[mask[at]], end[mask[at]]
+            end = np.append(at[1:], len(later))
+            at, end = at[later[at]], end[later[at]]
             o = owner[at]
-            off = at - first[o]
-            size = end - at
-            data_out = [data[i][a:a + b + length - 1] for i, a, b in
-                        zip(o.tolist(), off.tolist(), size.tolist())] if keep_data else [None] * len(o)
-            c = {k: v[o] for k, v in cols.items()}
-            return _piece_table(np.full(len(o), kind), c["bucket"], c["sub"] * 0 if keep_data else c["sub"],
-                                c["shard"], c["doc_no"], c["late"], c["doc_id"], c["tie"],
-                                c["start"] + off, size, data_out)
-
-        out = [passed, pick(later, 1, False)]
-        if not final and int(cols["sub"][0]) > 0:
-            out.append(pick(~later, 0, True))
+            cols = {c: v[o] for c, v in cols.items()}
+            cut(cols, cols["start"] + at - first[o], end - at)
         return pa.concat_tables(out)
     return task
 
@@ -546,24 +575,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     same = Window.partitionBy("hash")
     repeated = anchors.select("hash", "shard", F.sum("n").over(same).alias("total"),
                               F.count("*").over(same).alias("shards")) \
-        .where("total > 1").select("shard", "hash", "shards")
+        .where("total > 1").select("shard", "hash", "shards", "total")
     by_shard = dealt.groupBy("shard")
     pieces = by_shard.cogroup(repeated.groupBy("shard")).applyInArrow(
         _shard(length, shards, split), _PIECE)
-    first = pieces.groupBy("bucket", "sub").applyInArrow(_merge(length, False), _PIECE)
-    spare = F.when(F.col("kind") == 0, F.lit(-1)).otherwise(F.col("sub"))
-    second = first.withColumn("place", spare).groupBy("bucket", "place") \
-        .applyInArrow(_drop_place(_merge(length, True)), _PIECE)
-    removed = second.where("kind = 1").select("shard", "doc_no", "start", "n")
+    removed = pieces.groupBy("bucket", "sub").applyInArrow(_merge(length), _PIECE) \
+        .select("shard", "doc_no", "start", "n")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
         out += ", kept binary, kept_text string, spans array<array<long>>"
     for c in carry:
         out += f", `{_CARRIED}{c}` {docs.schema[c].dataType.simpleString()}"
     return by_shard.cogroup(removed.groupBy("shard")).applyInArrow(_finish(length, with_text), out)
-
-
-def _drop_place(task):
-    def run(key, pieces):
-        return task(key, pieces.drop_columns(["place"]))
-    return run

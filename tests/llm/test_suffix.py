@@ -1,4 +1,6 @@
+import os
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -6,6 +8,7 @@ import pytest
 from . import brute
 from streamledger.llm import suffix
 from streamledger.llm.queries import op5_suffix_dedup
+from streamledger.session import scratch_dir
 
 COLS = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
 
@@ -44,6 +47,45 @@ def test_matches_brute_force(spark, seed, length, shard_bytes, split):
     assert rows(suffix.remove_repeats(df, length, shard_bytes, split)) == expect(docs, length)
 
 
+def hot_line(n):
+    """A line of 80 bytes in every document, with other surroundings each time."""
+    rnd = random.Random(9)
+    say = lambda k: "".join(rnd.choices("abcdefghij ", k=k))
+    line, tail = say(80), say(60)
+    return [(i, say(150) + line + (tail if i % 5 == 0 else say(150))) for i in range(n)]
+
+
+def test_no_group_holds_a_hot_anchor(spark, monkeypatch):
+    docs, sizes = hot_line(300), scratch_dir(spark, "suffix-groups")
+    merge = suffix._merge
+
+    def counted(*args):
+        task = merge(*args)
+
+        def run(key, pieces):
+            n = sum(pieces.filter(pieces.column("kind").to_numpy() != 1).column("n").to_pylist())
+            path = sizes.removeprefix("file://")
+            os.makedirs(path, exist_ok=True)
+            with open(f"{path}/{n}-{uuid.uuid4().hex}", "w"):
+                pass
+            return task(key, pieces)
+        return run
+
+    monkeypatch.setattr(suffix, "_merge", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert rows(suffix.remove_repeats(df, 100, 2000, 8)) == expect(docs, 100)
+    most = [int(f.split("-")[0]) for f in os.listdir(sizes.removeprefix("file://"))]
+    # 300 runs of the line's anchor; all their windows in one group before
+    assert sum(most) > 4000 and max(most) < sum(most) / 10
+
+
+def test_hot_by_runs_in_few_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "_SPLIT_RUNS", 1)
+    docs = hot_line(80)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(suffix.remove_repeats(df, 100, 8000, 16)) == expect(docs, 100)
+
+
 def test_kept_text_and_spans(spark):
     text = "q" * 30 + "".join(chr(97 + k % 26) for k in range(0, 700, 7))
     df = spark.createDataFrame([(1, text), (2, "zz" + text + "tail")], "doc_id long, text string")
