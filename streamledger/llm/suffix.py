@@ -10,7 +10,8 @@ How it runs, all as one Spark plan:
    anchors, so a window whose anchor k-gram occurs once in the corpus cannot
    repeat.  Counting anchors (an aggregate over about 1/40 of the positions)
    leaves the stretches of text that can hold a repeat.
-2. ``_shard``: documents are dealt to shards of about 1 MB.  Each shard builds
+2. ``_shard``: documents are dealt to shards of about 1 MB by id and text, so
+   rows that share an id or have none spread as well.  Each shard builds
    the suffix array of its stretches by Larsson-Sadakane refinement, gets the
    common prefixes of neighbours by Kasai's recurrence, and settles the repeats
    that lie within the shard.  What is left goes out as fragments: an anchor's
@@ -27,7 +28,9 @@ How it runs, all as one Spark plan:
    remaining bytes are counted and hashed.
 
 Definitions: null text is empty; a null ``doc_id`` orders after every id;
-rows that share an id order by their text, identical rows by occurrence.
+rows that share an id order by their text, identical rows by occurrence.  The
+place of a text among its id's is stored (``_places``), so all shards agree on
+it; identical rows are in one shard.
 """
 
 from __future__ import annotations
@@ -36,22 +39,26 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, small_batches, total_bytes, utf8
+from .common import blocks_for, materialize, small_batches, total_bytes, utf8
 
 SHARD_BYTES = 1 << 20  # text in a shard; its arrays then fit in the cache
 K = 24                 # anchor k-gram
 SPLIT_SHARDS = 64      # windows of an anchor in more shards than this are dealt by content
 _SPLIT_RUNS = 64       # or with more runs than this, times the shards above
 _TILE = 1 << 16
+_SALTS = 64            # parts that the texts of one id are dealt to
+_HEAD = 128            # bytes of text that bounds of ranges are made of
 _DIGEST = 16           # bytes that stand for a window of a hot anchor
 _CARRIED = "carried_"
 
 _ANCHOR = "hash long, shard int, n int"
 _PIECE = ("kind int, bucket int, sub int, shard int, doc_no int, late int, "
-          "doc_id long, tie int, start long, n int, data binary")
+          "doc_id long, tie long, start long, n int, data binary")
+_PLACE = ("doc_id", "long"), ("digest", "binary"), ("place", "long")
 _KEYS = ("late", "doc_id", "tie", "start")
 
 
@@ -341,16 +348,38 @@ def _anchors(length: int):
     return task
 
 
-def _ordered_docs(docs: pa.Table) -> tuple[list, list[bytes], np.ndarray, list[int]]:
-    """A shard's documents in order: ids, texts, ties among equal ids, and the
-    rows they come from."""
+def _ordered_docs(docs: pa.Table) -> tuple[list, list[bytes], list[int]]:
+    """A shard's documents in order: ids, texts, and the rows they come from."""
     ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
     rows = sorted((i is None, i or 0, t or b"", k) for k, (i, t) in enumerate(zip(ids, texts)))
-    tie = np.zeros(len(rows), np.int32)
-    for k in range(1, len(rows)):
-        if rows[k][:2] == rows[k - 1][:2]:
-            tie[k] = tie[k - 1] + 1
-    return [None if r[0] else r[1] for r in rows], [r[2] for r in rows], tie, [r[3] for r in rows]
+    return [None if r[0] else r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows]
+
+
+def _ties(ids: list, texts: list[bytes], shared: pa.Table) -> np.ndarray:
+    """Places of a shard's texts among all texts of their ids; 0 for an id of one row."""
+    place = {(i, d): n for i, d, n in zip(*(shared.column(c).to_pylist() for c in ("doc_id", "digest", "place")))}
+    several = {i for i, _ in place}
+    return np.array([place[i, hashlib.sha256(t).digest()] if i in several else 0
+                     for i, t in zip(ids, texts)], np.int64)
+
+
+def _places(dealt: DataFrame) -> DataFrame | None:
+    """The order of texts that share an id (or have none) over all shards: rows
+    (shard, doc_id, digest, place).  None if every id is of one row."""
+    several = materialize(dealt.groupBy("doc_id").count().where("count > 1").select("doc_id"), "suffix-ids")
+    if several.isEmpty():
+        return None
+    # An id may have any number of rows: the join is salted with the text.
+    salted = several.select(F.col("doc_id").alias("__id"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__salt"))
+    texts = dealt.select("doc_id", "shard", F.coalesce("text", F.lit(b"")).alias("text")) \
+        .withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(_SALTS)).cast("int"))
+    texts = texts.join(salted, texts.doc_id.eqNullSafe(salted["__id"]) & (texts.salt == salted["__salt"]), "left_semi")
+    # Ranges go by the text's head, as their bounds are sampled by the driver.
+    order = F.col("doc_id").isNull(), F.col("doc_id")
+    ranged = texts.repartitionByRange(*order, F.substring("text", 1, _HEAD)).sortWithinPartitions(*order, "text")
+    return materialize(ranged.select("shard", "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"),
+                                     F.monotonically_increasing_id().alias("place")), "suffix-places") \
+        .groupBy("shard", "doc_id", "digest").agg(F.min("place").alias("place"))
 
 
 def _piece_table(kind, bucket, sub, shard, doc_no, late, doc_id, tie, start, n, data) -> pa.Table:
@@ -358,14 +387,17 @@ def _piece_table(kind, bucket, sub, shard, doc_no, late, doc_id, tie, start, n,
     return pa.table({
         "kind": pa.array(kind, i4), "bucket": pa.array(bucket, i4), "sub": pa.array(sub, i4),
         "shard": pa.array(shard, i4), "doc_no": pa.array(doc_no, i4), "late": pa.array(late, i4),
-        "doc_id": pa.array(doc_id, i8), "tie": pa.array(tie, i4), "start": pa.array(start, i8),
+        "doc_id": pa.array(doc_id, i8), "tie": pa.array(tie, i8), "start": pa.array(start, i8),
         "n": pa.array(n, i4), "data": pa.array(data, pa.binary())})
 
 
 def _shard(length: int, shards: int, split: int):
     def task(key, docs, repeated):
-        ids, texts, tie, _ = _ordered_docs(docs)
+        ids, texts, _ = _ordered_docs(docs)
         empty = _piece_table(*[[]] * 11)
+        shared = pc.is_valid(repeated.column("place"))
+        tie = _ties(ids, texts, repeated.filter(shared))
+        repeated = repeated.filter(pc.invert(shared))
         if repeated.num_rows == 0 or not texts:
             return empty
         shard = key[0].as_py()
@@ -513,7 +545,7 @@ def _merge(length: int):
 
 def _finish(length: int, spans_out: bool):
     def task(key, docs, removed):
-        ids, texts, _, place = _ordered_docs(docs)
+        ids, texts, place = _ordered_docs(docs)
         runs: dict[int, list[tuple[int, int]]] = {}
         for d, s, n in zip(*(removed.column(c).to_pylist() for c in ("doc_no", "start", "n"))):
             runs.setdefault(d, []).append((s, s + n + length - 1))
@@ -568,14 +600,19 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     rest = [F.col(c).alias(_CARRIED + c) for c in carry]
     dealt = small_batches(docs).select(
         *rest, F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(shards)).cast("int").alias("shard"))
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(utf8("text"), F.lit(b""))), F.lit(shards))
+        .cast("int").alias("shard"))
     anchors = dealt.select("text", "shard").where(F.octet_length("text") >= length) \
         .mapInArrow(_anchors(length), _ANCHOR)
     # Dealt out once; an anchor has a row for each shard's block at most.
     same = Window.partitionBy("hash")
     repeated = anchors.select("hash", "shard", F.sum("n").over(same).alias("total"),
                               F.count("*").over(same).alias("shards")) \
-        .where("total > 1").select("shard", "hash", "shards", "total")
+        .where("total > 1").select("shard", "hash", "shards", "total", *(F.lit(None).cast(t).alias(c) for c, t in _PLACE))
+    places = _places(dealt.select("doc_id", "text", "shard"))
+    if places is not None:
+        none = (F.lit(0).cast("long").alias(c) for c in ("hash", "shards", "total"))
+        repeated = repeated.unionByName(places.select("shard", *none, *(c for c, _ in _PLACE)))
     by_shard = dealt.groupBy("shard")
     pieces = by_shard.cogroup(repeated.groupBy("shard")).applyInArrow(
         _shard(length, shards, split), _PIECE)

@@ -79,6 +79,27 @@ def test_no_group_holds_a_hot_anchor(spark, monkeypatch):
     assert sum(most) > 4000 and max(most) < sum(most) / 10
 
 
+def test_rows_of_one_id_spread_over_shards(spark, monkeypatch):
+    docs = [(None if i % 3 else 7, t) for i, (_, t) in enumerate(corpus(6))] + [(7, None), (None, ""), (None, None)]
+    docs += [(k, t) for k, (_, t) in enumerate(corpus(6)[:40])] + docs[:9]
+    sizes, ordered = scratch_dir(spark, "suffix-shards").removeprefix("file://"), suffix._ordered_docs
+    os.makedirs(sizes)
+
+    def counted(table):
+        with open(f"{sizes}/{table.num_rows}-{uuid.uuid4().hex}", "w"):
+            pass
+        return ordered(table)
+
+    monkeypatch.setattr(suffix, "_ordered_docs", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    for split in (64, 1):
+        got = rows(suffix.remove_repeats(df, 100, 3000, split))
+        assert sorted(got, key=key) == expect(docs, 100)
+    most = max(int(f.split("-")[0]) for f in os.listdir(sizes))
+    assert most < len(docs) / 4        # two thirds have no id
+
+
 def test_hot_by_runs_in_few_shards(spark, monkeypatch):
     monkeypatch.setattr(suffix, "_SPLIT_RUNS", 1)
     docs = hot_line(80)
