@@ -5,9 +5,13 @@
 2. A disguised word (leetspeak, letters set apart, repeated letters) is a
    noisy-channel problem: ``Decoder`` lays out a lattice of what each character
    may stand for and finds the most likely letters by Viterbi search under the
-   language model.
+   language model.  Every token with a mark, a digit or a letter twice in a row
+   is decoded, and every run of letters set apart.
 3. Restored words and their prefixes are the features; a prefix counts only if
-   more than one word brought it into toxic rows.  How much a feature
+   more than one word brought it into toxic rows.  Letters set apart may be
+   several words: their stretches count as words wherever they start and end
+   (of up to ``_SPELLED`` letters while features are counted, and of any length
+   that a known word has after that).  How much a feature
    speaks for toxicity is counted on labelled rows; a logistic regression turns
    a document's two strongest words into a score.
 
@@ -44,6 +48,7 @@ _PREFIXES = (4, 5, 6)
 _SHRINK = 4.0
 _PIECE = 256            # longest stretch decoded at once
 _CACHE = 120_000
+_SPELLED = 64           # letters of a word set apart, where words aren't known yet
 
 # What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b",
@@ -159,15 +164,19 @@ class Decoder:
 
 _EDGES = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
-_TRIPLE = re.compile(r"(.)\1\1")
-_SET_APART = re.compile(r"(?<![^\s])(?:[^\s][ \t.\-_*]{1,3}){2,}[^\s](?![^\s])")
+_RUN = re.compile(r"(.)\1")
+# Three or more characters with marks or up to three blanks between them.
+# Marks and characters differ and blanks are never given back, so the time
+# grows with the text even where nothing matches.
+_GAP = r"(?:[ \t]{1,3}+(?:[.\-_*][ \t]{0,3}+)*+|(?:[.\-_*][ \t]{0,3}+)++)"
+_SET_APART = re.compile(r"(?<![^\s])[.\-_*]*+(?:[^\s.\-_*]" + _GAP + r"){2,}[^\s.\-_*][.\-_*]*+(?![^\s])")
 
 
 def readings(token: str, decoder: Decoder) -> set[str]:
     """The words a lower-case token may stand for: its own letters, and what a
     disguise in it hides."""
     lead, core, trail = _EDGES.match(token).groups()
-    if core.isalpha() and not lead and not trail and not _TRIPLE.search(core):
+    if core.isalpha() and not lead and not trail and not _RUN.search(core):
         return {core}
     out = set(_LETTERS.findall(core))
     hidden = core
@@ -175,7 +184,7 @@ def readings(token: str, decoder: Decoder) -> set[str]:
         hidden = lead[-1] + hidden
     if trail and trail[0] in "$@+" and trail[:3] != trail[0] * 3:
         hidden += trail[0] * (2 if trail[:2] == trail[0] * 2 else 1)
-    if any(c.isalpha() for c in hidden) and (not hidden.isalpha() or _TRIPLE.search(hidden)):
+    if any(c.isalpha() for c in hidden) and (not hidden.isalpha() or _RUN.search(hidden)):
         out.update(decoder.best(hidden))
     return out
 
@@ -193,30 +202,59 @@ def features(word: str) -> list[int]:
     return out
 
 
-def document_words(text: str, decoder: Decoder, cache: dict) -> set[str]:
-    """All restored words of a text."""
+def feature_sizes(word: str) -> list[int]:
+    """Letters of each of a word's features."""
+    return [len(word), *(k for k in _PREFIXES if len(word) >= k)]
+
+
+def spelled_features(letters: str) -> dict[int, tuple[int, int]]:
+    """Hashes that letters set apart bring in, with the word that brought each
+    and the feature's letters: stretches as words, and the prefixes of what is
+    left from each letter on."""
+    raw = xxhash.xxh64_intdigest
+    out = {}
+    for k in range(len(letters) - 2):
+        for size in range(3, min(_SPELLED, len(letters) - k) + 1):
+            word = raw(("=" + letters[k:k + size]).encode())
+            out[word] = word, size
+        rest = letters[k:k + _SPELLED]
+        held = features(rest)
+        out.update((f, (held[0], size)) for f, size in zip(held, feature_sizes(rest)))
+    return out
+
+
+def spelled_weight(letters: str, weights: dict, sizes: list[int]) -> float:
+    """The strongest feature of letters set apart: a word or a prefix anywhere."""
+    raw, top = xxhash.xxh64_intdigest, 0.0
+    kinds = [("=", size) for size in sizes if size > 2] + [("<", size) for size in _PREFIXES]
+    for kind, size in kinds:
+        for k in range(len(letters) - size + 1):
+            top = max(top, weights.get(raw((kind + letters[k:k + size]).encode()), 0.0))
+    return top
+
+
+def document_words(text: str, decoder: Decoder, cache: dict) -> tuple[set[str], list[str]]:
+    """All restored words of a text, and its letters set apart."""
     low = text.lower()
-    tokens = set(low.split())
     words: set[str] = set()
-    for token in tokens:
+    for token in set(low.split()):
         got = cache.get(token)
         if got is None:
             if len(cache) > _CACHE:
                 cache.clear()
             got = cache[token] = tuple(readings(token, decoder))
         words.update(got)
-    for letters in _apart(low, tokens, decoder):
-        words.update(letters[k:] for k in range(len(letters) - 2))
-    return words
+    return words, _apart(low, decoder)
 
 
-def _apart(low: str, tokens: set[str], decoder: Decoder) -> list[str]:
-    if sum(len(t) == 1 for t in tokens) < 3:
-        return []
-    out = []
+def _apart(low: str, decoder: Decoder) -> list[str]:
+    out: set[str] = set()
     for found in set(set_apart(low)):
-        out += [found] if found.isalpha() else decoder.best(found)
-    return out
+        if found.isalpha():
+            out.add(found)
+        if not found.isalpha() or _RUN.search(found):
+            out.update(decoder.best(found))
+    return sorted(out)
 
 
 # ----------------------------------------------------------------- the model
@@ -232,34 +270,40 @@ def _feature_rows(sent):
     def task(batches):
         decoder, cache = Decoder(sent.value), {}
         hashes: dict[str, np.ndarray] = {}
-        feats, own, marks = [], [], []
+        feats, own, marks, letters_of = [], [], [], []
         for batch in batches:
             for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
-                words = document_words(text or "", decoder, cache)
+                words, apart = document_words(text or "", decoder, cache)
                 if len(hashes) > _CACHE:
                     hashes.clear()
                 for w in words:
                     if w not in hashes:
                         hashes[w] = np.array(features(w), np.uint64)
-                if words:
-                    held = [hashes[w] for w in words]
-                    f, at = np.unique(np.concatenate(held), return_index=True)
+                spelled: dict[int, tuple[int, int]] = {}
+                for letters in apart:
+                    spelled |= spelled_features(letters)
+                held = [hashes[w] for w in words]
+                if held or spelled:
+                    f, at = np.unique(np.concatenate([*held, np.array(list(spelled), np.uint64)]), return_index=True)
+                    brought = [h[0] for h in held for _ in h] + [word for word, _ in spelled.values()]
+                    size = [k for w in words for k in feature_sizes(w)] + [k for _, k in spelled.values()]
                     feats.append(f)
-                    own.append(np.repeat([h[0] for h in held], [len(h) for h in held])[at])
+                    own.append(np.array(brought, np.uint64)[at])
                     marks.append(np.full(len(f), half * 2 + toxic, np.int8))
+                    letters_of.append(np.array(size, np.int32)[at])
         if not feats:
             return
         f, w, m = np.concatenate(feats), np.concatenate(own) >> np.uint64(1), np.concatenate(marks)
         by = np.argsort(f, kind="stable")
-        f, w, m = f[by], w[by].view(np.int64), m[by]
+        f, w, m, size = f[by], w[by].view(np.int64), m[by], np.concatenate(letters_of)[by]
         at = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
         toxic = m % 2 == 1
         yield pa.RecordBatch.from_arrays([
             pa.array(f[at].view(np.int64)),
             *(pa.array(np.add.reduceat(m == k, at, dtype=np.int64)) for k in range(4)),
             pa.array(np.minimum.reduceat(np.where(toxic, w, np.iinfo(np.int64).max), at)),
-            pa.array(np.maximum.reduceat(np.where(toxic, w, -1), at))],
-            ["feature", "c0", "t0", "c1", "t1", "least", "most"])
+            pa.array(np.maximum.reduceat(np.where(toxic, w, -1), at)), pa.array(size[at])],
+            ["feature", "c0", "t0", "c1", "t1", "least", "most", "size"])
     return task
 
 
@@ -269,13 +313,12 @@ def _evidence(toxic: np.ndarray, clean: np.ndarray, prior: float) -> np.ndarray:
     return np.log(p / (1 - p)) - math.log(prior / (1 - prior))
 
 
-def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict) -> tuple[float, float]:
+def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict, sizes: list[int]) -> tuple[float, float]:
     """The evidence of a text's two strongest words.  ``cache`` maps a token to
     its strongest reading's evidence."""
     low = text.lower()
-    tokens = set(low.split())
     found = []
-    for token in tokens:
+    for token in set(low.split()):
         e = cache.get(token)
         if e is None:
             if len(cache) > _CACHE:
@@ -283,8 +326,8 @@ def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict) -> t
             e = cache[token] = max((_weigh(w, weights) for w in readings(token, decoder)), default=0.0)
         if e:
             found.append(e)
-    for letters in _apart(low, tokens, decoder):
-        found.append(max((_weigh(letters[k:], weights) for k in range(len(letters) - 2)), default=0.0))
+    for letters in _apart(low, decoder):
+        found.append(spelled_weight(letters, weights, sizes))
     top = heapq.nlargest(2, found) + [0.0, 0.0]
     return top[0], top[1]
 
@@ -296,10 +339,10 @@ def _weigh(word: str, weights: dict) -> float:
 def _summaries(sent, columns: list[str]):
     """Rows with the two strongest evidences in place of the text."""
     def task(batches):
-        cost, keys, values = sent.value
+        cost, keys, values, sizes = sent.value
         decoder, cache, weights = Decoder(cost), {}, dict(zip(keys.tolist(), values.tolist()))
         for batch in batches:
-            tops = [_two_strongest(t.as_py() or "", decoder, cache, weights) for t in batch.column("text")]
+            tops = [_two_strongest(t.as_py() or "", decoder, cache, weights, sizes) for t in batch.column("text")]
             x = np.array(tops, np.float64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(x[:, 0]), pa.array(x[:, 1])],
@@ -324,10 +367,10 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Language model, feature evidence and regression weights."""
+    """Language model, feature evidence, the features' lengths and regression weights."""
 
-    def __init__(self, cost: np.ndarray, keys: np.ndarray, values: np.ndarray, weights: np.ndarray):
-        self.cost, self.keys, self.values, self.weights = cost, keys, values, weights
+    def __init__(self, cost: np.ndarray, keys: np.ndarray, values: np.ndarray, sizes: list[int], weights: np.ndarray):
+        self.cost, self.keys, self.values, self.sizes, self.weights = cost, keys, values, sizes, weights
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
@@ -350,17 +393,18 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     total = chosen.groupBy("half", "toxic").count().collect()
     n = {(r.half, r.toxic): r["count"] for r in total}
     sent = spark.sparkContext.broadcast(cost)
-    schema = "feature long, c0 long, t0 long, c1 long, t1 long, least long, most long"
+    schema = "feature long, c0 long, t0 long, c1 long, t1 long, least long, most long, size int"
     toxic, clean = (sum(n.get((h, k), 0) for h in (0, 1)) for k in (1, 0))
     prior = (toxic + 0.5) / (toxic + clean + 1)
     table = rows.mapInArrow(_feature_rows(sent), schema).groupBy("feature") \
         .agg(*(F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")),
-             F.min("least").alias("least"), F.max("most").alias("most")) \
+             F.min("least").alias("least"), F.max("most").alias("most"), F.max("size").alias("size")) \
         .where("t0 + t1 >= 2") \
         .where("least != most or least = shiftrightunsigned(feature, 1)") \
         .where((F.col("t0") + F.col("t1") + _SHRINK * prior) / F.expr(f"t0 + t1 + c0 + c1 + {_SHRINK}") > 2 * prior) \
         .orderBy(F.desc(F.expr(f"(t0 + t1) / (t0 + t1 + c0 + c1 + {_SHRINK})")), "feature").limit(max_features).toArrow()
-    f, c0, t0, c1, t1 = (table.column(c).to_numpy() for c in ("feature", "c0", "t0", "c1", "t1"))
+    f, c0, t0, c1, t1, size = (table.column(c).to_numpy() for c in ("feature", "c0", "t0", "c1", "t1", "size"))
+    sizes = np.unique(size).tolist()
     f = f.view(np.uint64)
 
     def kept(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -370,7 +414,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     parts = []
     for half, (t, c) in enumerate(((t1, c1), (t0, c0))):
         other = (n.get((1 - half, 1), 0) + 0.5) / (n.get((1 - half, 1), 0) + n.get((1 - half, 0), 0) + 1)
-        sent = spark.sparkContext.broadcast((cost, *kept(np.where(t >= 1, _evidence(t, c, other), 0.0))))
+        sent = spark.sparkContext.broadcast((cost, *kept(np.where(t >= 1, _evidence(t, c, other), 0.0)), sizes))
         parts.append(rows.where(F.col("half") == half).select("text", F.col("toxic").cast("long").alias("toxic"))
                      .mapInArrow(_summaries(sent, ["toxic"]), "toxic long, x1 double, x2 double"))
     fit = parts[0].union(parts[1]).toArrow()         # at most max_rows rows
@@ -378,12 +422,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     y = fit.column("toxic").to_numpy().astype(float)
     by = np.lexsort((y, x[:, 1], x[:, 0]))           # sums in one order, so reruns agree
     weights = _fit(x[by], y[by])
-    return Model(cost, *kept(_evidence(t0 + t1, c0 + c1, prior)), weights)
+    return Model(cost, *kept(_evidence(t0 + t1, c0 + c1, prior)), sizes, weights)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values))
+    sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values, model.sizes))
     tops = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(_summaries(sent, ["doc_id"]), "doc_id long, x1 double, x2 double")
     b, w1, w2 = map(float, model.weights)
@@ -394,14 +438,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``threshold``."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values))
+    sent = docs.sparkSession.sparkContext.broadcast((model.cost, model.keys, model.values, model.sizes))
     b, w1, w2 = map(float, model.weights)
 
     def task(batches):
-        cost, keys, values = sent.value
+        cost, keys, values, sizes = sent.value
         decoder, cache, weights = Decoder(cost), {}, dict(zip(keys.tolist(), values.tolist()))
         for batch in batches:
-            tops = (_two_strongest(t.as_py() or "", decoder, cache, weights) for t in batch.column("text"))
+            tops = (_two_strongest(t.as_py() or "", decoder, cache, weights, sizes) for t in batch.column("text"))
             clean = [1 / (1 + math.exp(-(b + w1 * x + w2 * y))) < threshold for x, y in tops]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

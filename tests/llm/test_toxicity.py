@@ -83,6 +83,51 @@ def test_disguises_are_restored_and_scored(spark, corpus):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
 
 
+@pytest.fixture(scope="module")
+def model(spark, corpus):
+    return toxicity.train(*frames(spark, *corpus))
+
+
+def test_no_gate_before_the_lattice(spark, model):
+    decoder = toxicity.Decoder(model.cost)
+    for token, word in [("iiddiioott", "idiot"), ("stuupid", "stupid"), ("sccum", "scum"), ("stupid", "stupid")]:
+        assert word in toxicity.readings(token, decoder)
+    for text, word in [("i. d. i. o. t", "idiot"), ("so a s s", "ass"), ("s  t  u  p  i  d..", "stupid"),
+                       ("ii - s s t t u u p p i i d d", "stupid"), ("s.c.u.m", "scum"), ("--s c u m", "scum")]:
+        found = toxicity.document_words(text, decoder, {})
+        assert any(word in x for x in [*found[0], *found[1]]), text
+    for text in ("dog a b", "a-b", "ab c d", "no such thing", ". . .  -", "a     b     c"):
+        assert toxicity.document_words(text, decoder, {})[1] == []
+
+
+def test_spaced_words_within_a_run(spark):
+    raw = lambda w: toxicity.features(w)[0]
+    weights = {raw("stupid"): 3.0, raw("man"): 1.0, toxicity.features("scummy")[1]: 2.0}
+    weigh = lambda x: toxicity.spelled_weight(x, weights, [3, 4, 6])
+    assert weigh("stupidman") == weigh("astupidman") == weigh("stupid") == 3.0
+    assert weigh("aman") == 1.0 and weigh("ascumx") == 2.0 and weigh("st") == 0.0
+    got = toxicity.spelled_features("stupidman")
+    assert {raw(w) for w in ("stupid", "man", "stupidman", "upid")} <= set(got)
+    assert all(got[raw(w)] == (raw(w), len(w)) for w in ("stupid", "man"))
+
+
+def test_spaced_words_score(spark, model):
+    filler = "banero tilu kamo sedi fapi "
+    hidden = ["i d i o t s t u p i d m a n", "iiddiioott stuupid", "i. d. i. o. t s. t. u. p. i. d",
+              "s t u p i d m a n and i d i o t s a l l"]
+    df = spark.createDataFrame(list(enumerate([filler + h for h in hidden] + [filler])), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert min(got[k] for k in range(4)) > got[4]
+
+
+def test_long_runs_of_marks_take_no_time():
+    import time
+    began = time.time()
+    for text in ("." * 5000 + "x1", "a " + "-" * 5000 + "bc", "a." * 5000 + "bc", "x " * 5000 + "yz", ". " * 5000 + "yz"):
+        toxicity.set_apart(text)
+    assert time.time() - began < 5
+
+
 def test_held_out_labels_are_never_read(spark, corpus):
     docs, labels = corpus
     flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
