@@ -4,21 +4,22 @@ Every stage takes (spark, docs, sf_dir) and works on all the rows its
 predecessor kept.  All but the last return the columns of ``documents``:
 
 1. toxicity: documents predicted toxic go.
-2. simhash: of every group of near copies the smallest id stays.
+2. simhash: of every group of near copies one row stays: the smallest id (rows
+   without one come last), among equal ids the smallest text.
 3. suffix: strings of 100 bytes that start earlier elsewhere are cut out of the
    texts (a character cut in two goes as a whole); ``n_chars`` follows the text.
    A document with nothing left stays, with an empty text.
 4. leaks: documents that hold a ten-word window of a benchmark item go.
 5. mixing: how many words of each document a mix by source takes.
 
-Rows without an id are documents too: they are told apart by their text, and
-order after all ids.  Rows that share an id count as one document in stage 2.
-An empty table passes through all stages.
+Every row is a document of its own, also without an id or with another row's:
+stages 2 and 4 write their input once with a number for each row and decide by
+that.  An empty table passes through all stages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamledger.llm.common import materialize, table
@@ -28,12 +29,12 @@ from streamledger.llm.simhash import near_duplicates
 from streamledger.llm.suffix import remove_repeats
 from streamledger.llm.toxicity import drop_toxic, train
 
-_HALF = 1 << 62
+_ROW = "__row"
 
 
-def _key() -> Column:
-    """A document's id, or for rows without one a number past any id."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_HALF) + F.pmod(F.xxhash64("text"), F.lit(_HALF)))
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a number for each row, written so that it never changes."""
+    return materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), label)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +44,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: three-word shingles, two bits."""
-    groups = near_duplicates(docs.select(_key().alias("doc_id"), "text"), shingle=3, max_bits=2)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__key")).distinct()
-    return docs.withColumn("__key", _key()).join(kept, "__key", "left_semi") \
-        .dropDuplicates(["__key"]).select(*docs.columns)
+    rows = _numbered(docs, "simhash-rows")
+    groups = near_duplicates(rows.select(F.col(_ROW).alias("doc_id"), "text"), shingle=3, max_bits=2) \
+        .select(F.col("doc_id").alias(_ROW), F.col("component_id").alias("group"))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").cast("long").alias("id")).alias("place")
+    placed = materialize(groups.join(rows.select(_ROW, place), _ROW), "simhash-places")
+    # The smallest id of each group, and how many rows share that.
+    first = placed.groupBy("group", "place").agg(F.count("*").alias("rows"), F.min(_ROW).alias("least")) \
+        .groupBy("group").agg(F.min(F.struct("place", "rows", "least")).alias("first")).select("group", "first.*")
+    tied = placed.join(first.where("rows > 1"), ["group", "place"]).select(_ROW, "group")
+    by_text = rows.select(_ROW, F.coalesce("text", F.lit("")).alias("text")).join(tied, _ROW) \
+        .groupBy("group").agg(F.min(F.struct("text", _ROW)).alias("first")).select(f"first.{_ROW}")
+    kept = first.where("rows = 1").select(F.col("least").alias(_ROW)).union(by_text)
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
 
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +73,10 @@ def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: ten words."""
-    found = decontaminate(docs.select(_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), window=10)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
-    return docs.withColumn("__key", _key()).join(bad, "__key", "left_anti").select(*docs.columns)
+    rows = _numbered(docs, "leaks-rows")
+    found = decontaminate(rows.select(F.col(_ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), window=10)
+    bad = found.where("contaminated").select(F.col("doc_id").alias(_ROW))
+    return rows.join(bad, _ROW, "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

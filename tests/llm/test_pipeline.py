@@ -105,6 +105,47 @@ def test_cut_characters_go_whole(spark):
     assert got[2].text == "zb" and got[2].n_chars == 2
 
 
+def shared_ids(rnd):
+    say = lambda k: " ".join(rnd.choices(["w%d" % k for k in range(900)], k=k))
+    a, other, third, copies = say(80), say(80), say(80), say(80)
+    return a, [(1, a), (5, a), (5, other), (5, third), (None, say(80)), (None, say(80)), (None, copies), (None, copies),
+               (None, copies + " "), (7, say(80)), (7, say(80)), (9, None), (9, "")]
+
+
+def test_rows_that_share_an_id_are_kept_one_by_one(spark):
+    a, rows = shared_ids(random.Random(4))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in pipeline.simhash(spark, df.repartition(5), "").collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    # one row of each group: the copy of 1, of the nulls' copies, and of the empty texts goes
+    groups = brute.simhash_components([(k, t) for k, (_, t) in enumerate(rows)], 3, 2)
+    best = {}
+    for k, _, group in groups:
+        best[group] = min(best.get(group, rows[k]), rows[k], key=key)
+    assert sorted(map(key, got)) == sorted(map(key, best.values()))
+    assert (1, a) in got and (5, a) not in got and sum(i == 5 for i, _ in got) == 2 and sum(i is None for i, _ in got) == 3
+
+
+def test_ties_among_equal_ids_go_by_text(spark):
+    text = " ".join("w%d" % k for k in range(60))
+    rows = [(3, text.upper()), (3, text), (3, text + " "), (None, text)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    for n in (1, 4):
+        assert [(r.doc_id, r.text) for r in pipeline.simhash(spark, df.repartition(n), "").collect()] == [(3, text.upper())]
+
+
+def test_leaks_go_row_by_row(spark, corpus):
+    root, _ = corpus
+    item = spark.read.parquet(f"{root}/benchmark.parquet").where("text is not null").first().text
+    rows = [(4, "clean one"), (4, "x " + item), (4, "clean two"), (None, item), (None, "clean three"), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in pipeline.leaks(spark, df.repartition(3), root).collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+
+
 def test_empty_tables(spark, corpus):
     root, _ = corpus
     docs = spark.read.parquet(f"{root}/documents.parquet").limit(0)
