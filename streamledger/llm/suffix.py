@@ -19,11 +19,11 @@ How it runs, all as one Spark plan:
 3. ``_merge``: fragments meet by anchor, so equal windows of different shards
    meet in one task.  The windows' fingerprints are merged into one sorted
    array, every window finds its class there by binary search, and equality is
-   verified on the bytes.  The windows of hot anchors (in over ``split`` shards,
-   or in over ``split`` * 64 runs) are dealt one by one instead, by a 128-bit
-   BLAKE2b digest of the whole window that stands for its bytes.  Equal windows
-   still meet, at most one of each shard, and no group holds a whole anchor: all
-   windows of a corpus come to about ``shard_bytes`` a group.
+   verified on the bytes.  The windows of hot anchors (of over ``split`` runs)
+   are dealt one by one instead, by a 128-bit BLAKE2b digest of the whole window
+   that stands for its bytes.  Equal windows still meet, at most one of each
+   shard, and no group holds a whole anchor: all windows of a corpus come to
+   about ``shard_bytes`` a group.
 4. ``_finish``: removed runs go back to their shard, where the documents'
    remaining bytes are counted and hashed.
 
@@ -47,8 +47,7 @@ from .common import blocks_for, materialize, small_batches, total_bytes, utf8
 
 SHARD_BYTES = 1 << 20  # text in a shard; its arrays then fit in the cache
 K = 24                 # anchor k-gram
-SPLIT_SHARDS = 64      # windows of an anchor in more shards than this are dealt by content
-_SPLIT_RUNS = 64       # or with more runs than this, times the shards above
+SPLIT_RUNS = 1 << 15   # windows of an anchor of more runs than this are dealt by content
 _TILE = 1 << 16
 _SALTS = 64            # parts that the texts of one id are dealt to
 _HEAD = 128            # bytes of text that bounds of ranges are made of
@@ -404,8 +403,7 @@ def _shard(length: int, shards: int, split: int):
         buf, offsets = padded(texts)
         lo, hi, h = anchor_runs(buf, offsets, length)
         known = repeated.column("hash").to_numpy().view(np.uint64)
-        hot = (repeated.column("shards").to_numpy() > split) \
-            | (repeated.column("total").to_numpy() > split * _SPLIT_RUNS)
+        hot = repeated.column("total").to_numpy() > split
         by = np.argsort(known)
         known, hot = known[by], hot[by]
         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
@@ -582,7 +580,7 @@ def _finish(length: int, spans_out: bool):
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_BYTES,
-                   split: int = SPLIT_SHARDS, with_text: bool = False,
+                   split: int = SPLIT_RUNS, with_text: bool = False,
                    carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: what remains once repeated strings are removed.
 
@@ -606,12 +604,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
         .mapInArrow(_anchors(length), _ANCHOR)
     # Dealt out once; an anchor has a row for each shard's block at most.
     same = Window.partitionBy("hash")
-    repeated = anchors.select("hash", "shard", F.sum("n").over(same).alias("total"),
-                              F.count("*").over(same).alias("shards")) \
-        .where("total > 1").select("shard", "hash", "shards", "total", *(F.lit(None).cast(t).alias(c) for c, t in _PLACE))
+    repeated = anchors.select("hash", "shard", F.sum("n").over(same).alias("total")) \
+        .where("total > 1").select("shard", "hash", "total", *(F.lit(None).cast(t).alias(c) for c, t in _PLACE))
     places = _places(dealt.select("doc_id", "text", "shard"))
     if places is not None:
-        none = (F.lit(0).cast("long").alias(c) for c in ("hash", "shards", "total"))
+        none = (F.lit(0).cast("long").alias(c) for c in ("hash", "total"))
         repeated = repeated.unionByName(places.select("shard", *none, *(c for c, _ in _PLACE)))
     by_shard = dealt.groupBy("shard")
     pieces = by_shard.cogroup(repeated.groupBy("shard")).applyInArrow(

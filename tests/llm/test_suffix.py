@@ -100,8 +100,7 @@ def test_rows_of_one_id_spread_over_shards(spark, monkeypatch):
     assert most < len(docs) / 4        # two thirds have no id
 
 
-def test_hot_by_runs_in_few_shards(spark, monkeypatch):
-    monkeypatch.setattr(suffix, "_SPLIT_RUNS", 1)
+def test_hot_by_runs_in_few_shards(spark):
     docs = hot_line(80)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert rows(suffix.remove_repeats(df, 100, 8000, 16)) == expect(docs, 100)
