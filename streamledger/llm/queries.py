@@ -14,11 +14,14 @@ from .leaks import decontaminate
 from .mixing import mix
 from .pagetext import extract
 from .preference import format_pairs, swapped_replies
+from .repeats import remove_passages
 from .simhash import near_duplicates
 from .suffix import remove_repeats
 from .tokencount import count_tokens
 from .toxicity import score, train
+from .variants import variants
 from .warc import round_trip
+from .whitening import whiten
 
 # The public byte-pair vocabulary that the token files are made with, and the
 # free id that ends a document in them.
@@ -78,6 +81,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 leading components, with unit variance."""
+    return whiten(table(spark, sf_dir, "embeddings"), columns=16, scale=64, shift=1_000_000)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, each with the form and the root it belongs to."""
+    return variants(table(spark, sf_dir, "documents"), least=5, seen=3, factor=2, every=97)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that start earlier elsewhere go from every document."""
+    return remove_passages(table(spark, sf_dir, "documents"), length=20)
+
+
 LLM_QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_token_counts": op2_token_counts,
@@ -89,6 +107,9 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -164,4 +185,67 @@ LLM_ORACLES: dict[str, str] = {
           FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op13_substring_dedup": """
+        WITH d AS (
+          SELECT row_number() OVER () AS row, doc_id,
+                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        places AS (
+          SELECT row, doc_id, p, array_to_string(ws[p:p + 19], ' ') AS words
+          FROM (SELECT *, unnest(range(1, len(ws) - 18)) AS p FROM d WHERE len(ws) >= 20)),
+        ranked AS (
+          SELECT row, p, row_number() OVER (PARTITION BY words ORDER BY doc_id NULLS LAST, p) AS k FROM places),
+        gone AS (SELECT DISTINCT row, unnest(range(p, p + 20)) AS place FROM ranked WHERE k > 1),
+        word AS (SELECT row, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS place FROM d),
+        kept AS (
+          SELECT row, count(*) AS n, string_agg(w, ' ' ORDER BY place) AS text
+          FROM word ANTI JOIN gone USING (row, place) GROUP BY row)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (row)
+    """,
+    "op12_spelling_variants": """
+        WITH RECURSIVE crc_table AS (
+          SELECT list(list_reduce(list_prepend(b, range(8)),
+                      lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS t
+          FROM (SELECT unnest(range(256)) AS b)),
+        runs AS (
+          SELECT doc_id, run, count(*) AS n
+          FROM (SELECT doc_id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+                FROM documents)
+          GROUP BY doc_id, run),
+        bytes AS (
+          SELECT doc_id, run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+        summed AS (
+          SELECT run, n, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, length(x), 2),
+                     lambda i: (instr('0123456789ABCDEF', x[i]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 1)),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+          FROM bytes, crc_table),
+        w AS (
+          SELECT word, CAST(sum(n) AS BIGINT) AS n
+          FROM (SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n
+                FROM summed)
+          GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+        holes AS (
+          SELECT word, p, word[1:p - 1] || word[p + 1:] AS rest
+          FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM w)),
+        near AS (
+          SELECT a.word, b.word AS other FROM holes a JOIN holes b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT holes.word, w.word FROM holes JOIN w ON rest = w.word
+          UNION SELECT w.word, holes.word FROM holes JOIN w ON rest = w.word),
+        best AS (
+          SELECT near.word, count(*) AS n_near, first(other ORDER BY o.n DESC, other) AS other, max(o.n) AS other_n
+          FROM near JOIN w o ON near.other = o.word GROUP BY near.word),
+        formed AS (
+          SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+                 CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+          FROM w LEFT JOIN best USING (word)),
+        walk AS (
+          SELECT word, word AS root FROM formed
+          UNION SELECT walk.word, formed.form FROM walk JOIN formed ON walk.root = formed.word WHERE formed.form IS NOT NULL),
+        last AS (SELECT walk.word, walk.root FROM walk JOIN formed ON walk.root = formed.word WHERE formed.form IS NULL)
+        SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+        FROM formed JOIN last USING (word)
+    """,
 }
