@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 20
 NULL_BLOCKS = 1 << 12
+# Block totals that one window sums, where blocks are smaller than that.
+FAN = 1 << 12
 # Positions lie within this; blocks of 2**20 are grouped to 2**40 and 2**60.
 SPAN = 1 << 63
 
@@ -94,7 +96,7 @@ def _blocked_total(df, part_keys, pos, value, out, block, cols, span):
     staged = df.select("*", blk_expr.alias(blk), val.alias("__val"))
 
     totals = staged.groupBy(*part_keys, blk).agg(F.sum("__val").alias("__tot"))
-    base = _exclusive_prefix(totals, part_keys, blk, int(block), int(block), span)
+    base = _exclusive_prefix(totals, part_keys, blk, int(block), max(int(block), FAN), span)
 
     upto = Window.partitionBy(*part_keys, blk).orderBy(pos).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -104,24 +106,22 @@ def _blocked_total(df, part_keys, pos, value, out, block, cols, span):
     return joined.select(*cols, (F.col("__base") + F.col("__local")).alias(out))
 
 
-def _exclusive_prefix(totals, part_keys, blk, width, block, span):
+def _exclusive_prefix(totals, part_keys, blk, width, fan, span):
     """Sum of the totals of all earlier blocks of a key, as ``__base``.
 
     Block numbers may be as sparse as positions, so the step is applied again
-    to the blocks: groups of ``block`` block numbers, each summed up by itself,
-    until one group spans all numbers there can be.  No window holds more than
-    ``block`` rows, however the positions lie.
+    to the blocks: groups of ``fan`` block numbers, each summed up by itself,
+    until one group spans all numbers there can be, at as many levels as that
+    takes.  No window holds more than ``fan`` rows, however the positions lie.
     """
     before = lambda *by: Window.partitionBy(*part_keys, *by).orderBy(blk).rowsBetween(
         Window.unboundedPreceding, -1)
-    if width == block and block ** 5 < span:
-        raise ValueError(f"blocks of {block} are too small for positions up to {span}")
-    if width * block >= span:
+    if width * fan >= span:
         return totals.select(*part_keys, blk, F.coalesce(F.sum("__tot").over(before()), F.lit(0)).alias("__base"))
     up = f"{blk}_up"
-    grouped = totals.withColumn(up, F.expr(f"`{blk}` div {block}"))
+    grouped = totals.withColumn(up, F.expr(f"`{blk}` div {fan}"))
     above = grouped.groupBy(*part_keys, up).agg(F.sum("__tot").alias("__tot"))
-    base = _exclusive_prefix(above, part_keys, up, width * block, block, span).withColumnRenamed("__base", "__far")
+    base = _exclusive_prefix(above, part_keys, up, width * fan, fan, span).withColumnRenamed("__base", "__far")
     near = grouped.withColumn("__near", F.coalesce(F.sum("__tot").over(before(up)), F.lit(0)))
     return near.join(base, [*part_keys, up], "inner").select(
         *part_keys, blk, (F.col("__far") + F.col("__near")).alias("__base"))

@@ -23,15 +23,23 @@ def parsed_pairs(messages: DataFrame, strict: bool, keep=("topic", "partition",
         *keep, "p.ok", "p.name", "p.id")
 
 
-def upsert_rows(messages: DataFrame, batch_id_col: str | None = "batch_id") -> DataFrame:
-    """Strictly parsed ``name,order_id`` rows with their upsert order key."""
+def upsert_rows(messages: DataFrame, batch_id_col: str | None = "batch_id", mode: str = "fail") -> DataFrame:
+    """Strictly parsed ``name,order_id`` rows with their upsert order key.
+
+    ``fail``: a message that is no pair fails the task, as the reference's
+    pattern match does.  ``quarantine``: it is kept without a key or name, with
+    its text in ``raw`` (null in all other rows; an absent text is empty).
+    """
     keep = ["topic", "partition", "offset"] + ([batch_id_col] if batch_id_col else [])
-    p = parsed_pairs(messages, True, keep)
-    # the reference's ``val Array(name, order_id) = ...`` fails the batch
-    p = p.where(fail_unless(F.col("ok"), "malformed name,order_id message"))
-    return p.select(
-        F.col("id").alias("order_id"), "name",
-        F.struct(*[F.col(c) if c in keep else F.lit(None) for c in ORDER]).alias("ord"))
+    p = parsed_pairs(messages, True, [*keep, "value"])
+    order = F.struct(*[F.col(c) if c in keep else F.lit(None) for c in ORDER]).alias("ord")
+    if mode == "fail":
+        p = p.where(fail_unless(F.col("ok"), "malformed name,order_id message"))
+        return p.select(F.col("id").alias("order_id"), "name", order)
+    if mode == "quarantine":
+        raw = F.when(~F.col("ok"), F.coalesce("value", F.lit("")))
+        return p.select(F.col("id").alias("order_id"), "name", order, raw.alias("raw"))
+    raise ValueError(f"unknown mode {mode!r}")
 
 
 def upsert(current: DataFrame | None, rows: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streamledger.operators import counts, upsert
 from streamledger.sources import kafka
 from streamledger.sources import log as logsrc
-from streamledger.streaming import jobs, sinks
+from streamledger.streaming import jobs, sinks, tables
 
 
 def known_partitions(text: str | None, topics: str | None) -> list[tuple[str, int]]:
@@ -78,7 +78,7 @@ def _guarded(spark, args, work):
     store = _store(spark, args)
     chk = f"{args.out}/{args.checkpoint}"
     ranges = None if args.feed else kafka.checkpoint_ranges(spark, chk)
-    fn = sinks.guarded(store, args.group, work, ranges)
+    fn = sinks.guarded(store, args.group, work, ranges, claim=True)
     return jobs.run_foreach(open_stream(spark, args, store.current_map(args.group)), fn, chk, args.once)
 
 
@@ -108,12 +108,31 @@ def offsets_count(spark, args):
 
 def idempotent_upsert(spark, args):
     """Keyed upsert of ``name,order_id``, then offsets (K3 K5)."""
-    return _guarded(spark, args, sinks.upsert_work(f"{args.out}/table"))
+    return _guarded(spark, args, tables.upsert_work(f"{args.out}/table", args.bad))
 
 
-def compact_upsert(spark, args):
-    """A new base of the upsert table; run it beside the stream."""
-    sinks.UpsertTable(spark, f"{args.out}/table", _store(spark, args), args.group).compact()
+def _tables(spark, args):
+    store = _store(spark, args)
+    return [kind(spark, f"{args.out}/{name}", store, args.group)
+            for kind, name in ((tables.UpsertTable, "table"), (tables.CountTable, "words"))]
+
+
+def compact_tables(spark, args):
+    """Rows of the group's tables into their bases; run it beside the stream."""
+    for table in _tables(spark, args):
+        table.compact()
+
+
+def vacuum_tables(spark, args):
+    """Remove folders that nothing names, older than ``--grace`` hours."""
+    for table in _tables(spark, args):
+        table.vacuum(args.grace * 3600)
+
+
+def stored_word_count(spark, args):
+    """Running counts that live with the offsets and go on under a new
+    checkpoint (A2 O4)."""
+    return _guarded(spark, args, tables.running_count_work(f"{args.out}/words"))
 
 
 def seed_offsets(spark, args):
@@ -137,7 +156,9 @@ APPS: dict[str, Callable] = {
     "offsets-count": offsets_count,
     "idempotent-upsert": idempotent_upsert,
     "transactional-append": transactional_append,
-    "compact-upsert": compact_upsert,
+    "stored-word-count": stored_word_count,
+    "compact-upsert": compact_tables,
+    "vacuum": vacuum_tables,
     "seed-offsets": seed_offsets,
 }
 
@@ -158,6 +179,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--partitions", default=None, help="current partitions of the topics, a:3,b:1")
     ap.add_argument("--checkpoint", default="checkpoint", help="checkpoint folder under --out")
     ap.add_argument("--mode", default="update", choices=["complete", "update"])
+    ap.add_argument("--bad", default="fail", choices=["fail", "quarantine"], help="messages that are no pair (P6)")
+    ap.add_argument("--grace", type=float, default=168.0, help="hours that vacuum leaves folders alone")
     ap.add_argument("--rows", type=int, default=None, help="rows shown per batch (K2); all if not given")
     ap.add_argument("--once", action="store_true", help="drain the input and stop")
     return ap

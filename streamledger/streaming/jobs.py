@@ -27,7 +27,7 @@ from streamledger.plans.oracles import ORACLES, parts_sql
 from streamledger.schemas import APPEND_ROW, MESSAGE
 from streamledger.session import scratch_dir
 from streamledger.sources import log as logsrc
-from streamledger.streaming import sinks
+from streamledger.streaming import sinks, tables
 
 
 def _start(writer, available_now: bool):
@@ -203,8 +203,8 @@ def q_batch_record_count_stream(spark, sf_dir):
 
 def q_upsert_latest_stream(spark, sf_dir):
     """K3 K5: upsert each batch, then commit its offsets (effectively once)."""
-    out, store = _guarded(spark, sf_dir, sinks.upsert_work)
-    return sinks.UpsertTable(spark, out, store, Q.GROUP_A).view()
+    out, store = _guarded(spark, sf_dir, tables.upsert_work)
+    return tables.UpsertTable(spark, out, store, Q.GROUP_A).view()
 
 
 def q_stream_offsets(spark, sf_dir):
@@ -226,7 +226,7 @@ def q_append_with_offsets(spark, sf_dir):
     return appended_rows(spark, f"{work}/out")
 
 
-def _resumed(spark, sf_dir, work_of, change=lambda s: s):
+def _resumed(spark, sf_dir, work_of, change=lambda s: s, between=lambda out, store: None):
     """Section 3.3: the first part on one checkpoint; the whole log on a *new*
     one, which gets only what lies past the stored offsets."""
     log, work = Q.staged_log(spark, sf_dir), scratch_dir(spark, "resume")
@@ -234,6 +234,7 @@ def _resumed(spark, sf_dir, work_of, change=lambda s: s):
     store = sinks.OffsetStore(spark, f"{work}/offsets")
     first = change(read_feed(spark, f"{work}/feed/*", log.schema))
     run_foreach(first, sinks.guarded(store, Q.GROUP_A, work_of(f"{work}/out")), f"{work}/chk-1")
+    between(f"{work}/out", store)
     write_parts(log, f"{work}/feed", [1])
     fresh = sinks.OffsetStore(spark, f"{work}/offsets")
     whole = change(read_feed(spark, f"{work}/feed/*", log.schema))
@@ -257,8 +258,41 @@ def distinct_keys(stream: DataFrame) -> DataFrame:
 
 def q_resume_upsert_stream(spark, sf_dir):
     """K3 K5 over two checkpoints, every message a key: none may be missing."""
-    out, store = _resumed(spark, sf_dir, sinks.upsert_work, distinct_keys)
-    return sinks.UpsertTable(spark, out, store, Q.GROUP_A).view()
+    out, store = _resumed(spark, sf_dir, tables.upsert_work, distinct_keys)
+    return tables.UpsertTable(spark, out, store, Q.GROUP_A).view()
+
+
+def q_resume_running_word_count_stream(spark, sf_dir):
+    """A2 over two checkpoints: counts kept with the commits go on under the
+    new one, from a base that was compacted in between."""
+    out, store = _resumed(spark, sf_dir, tables.running_count_work,
+                          between=lambda out, store: tables.CountTable(spark, out, store, Q.GROUP_A).compact())
+    return tables.CountTable(spark, out, store, Q.GROUP_A).view()
+
+
+BAD_EVERY = 7           # offsets divisible by it carry no pair in the quarantine queries
+
+
+def damaged(stream: DataFrame) -> DataFrame:
+    """Messages of which some are no ``name,order_id``: the comma is lost."""
+    return stream.withColumn("value", F.when(F.col("offset") % BAD_EVERY == 0, F.replace("value", F.lit(","), F.lit(";")))
+                             .otherwise(F.col("value")))
+
+
+def _with_quarantine(spark, sf_dir):
+    out, store = _resumed(spark, sf_dir, lambda out: tables.upsert_work(out, "quarantine"), damaged,
+                          lambda out, store: tables.UpsertTable(spark, out, store, Q.GROUP_A).compact())
+    return tables.UpsertTable(spark, out, store, Q.GROUP_A)
+
+
+def q_upsert_good_stream(spark, sf_dir):
+    """Bad messages are set aside and the upsert goes on: the table."""
+    return _with_quarantine(spark, sf_dir).view()
+
+
+def q_upsert_quarantine_stream(spark, sf_dir):
+    """The messages set aside, by the commit that covers them."""
+    return _with_quarantine(spark, sf_dir).quarantine()
 
 
 STREAM_QUERIES = {
@@ -270,6 +304,9 @@ STREAM_QUERIES = {
     "append_with_offsets": q_append_with_offsets,
     "resume_from_offsets_stream": q_resume_from_offsets_stream,
     "resume_upsert_stream": q_resume_upsert_stream,
+    "resume_running_word_count_stream": q_resume_running_word_count_stream,
+    "upsert_good_stream": q_upsert_good_stream,
+    "upsert_quarantine_stream": q_upsert_quarantine_stream,
     "offsets_log_stream": q_stream_offsets,
 }
 
@@ -290,5 +327,10 @@ STREAM_ORACLES = {
     "resume_upsert_stream": ORACLES["topic_subscribe"].split("SELECT * FROM L WHERE")[0]
     + "SELECT topic || '-' || CAST(\"partition\" AS VARCHAR) || '-' || CAST(\"offset\" AS VARCHAR) AS order_id, "
       "topic AS name FROM L",
+    "resume_running_word_count_stream": ORACLES["running_word_count"],
+    "upsert_good_stream": parts_sql(ORACLES["upsert_latest"]).replace("WHERE len(fs) = 2", f'WHERE len(fs) = 2 AND "offset" % {BAD_EVERY} <> 0'),
+    "upsert_quarantine_stream": parts_sql(ORACLES["batch_ranges"]).replace(
+        "SELECT * FROM R", f'SELECT batch_id, topic, "partition", "offset", replace(value, \',\', \';\') AS raw FROM LB '
+        f'WHERE "offset" % {BAD_EVERY} = 0'),
     "offsets_log_stream": parts_sql(ORACLES["batch_ranges"]).replace("SELECT * FROM R", _HISTORY),
 }

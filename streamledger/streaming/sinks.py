@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamledger import fsio
-from streamledger.operators import counts, offsets, upsert
+from streamledger.operators import counts, offsets
 from streamledger.schemas import OFFSETS, OFFSETS_LOG
 
 Ranges = Iterable[tuple[str, int, int, int]]
@@ -35,7 +35,8 @@ class Slot(NamedTuple):
     tag: str
 
 
-BatchFn = Callable[[DataFrame, Slot], None]
+# What a work returns, if anything, is noted in its commit.
+BatchFn = Callable[[DataFrame, Slot], dict | None]
 Hook = Callable[[int], None] | None
 
 
@@ -58,38 +59,65 @@ class CommitConflict(RuntimeError):
     """Another writer of the group committed first."""
 
 
+class Fenced(CommitConflict):
+    """A later writer has taken the group over."""
+
+
 _LINE = OFFSETS_LOG + ", tag string, changed boolean, complete bigint"
 
 
 class OffsetStore:
     """``OFFSETS_LOG`` in the shared folder, one small file per commit.
 
-    Commit ``n`` of a group is ``<folder>/<group>/c-<n>.json``, made by exclusive
-    creation, so of two writers one fails.  It holds the offsets of all the
-    group's partitions after the commit (one line each: topic metadata), marks
-    those it changed, and ends with a line that tells it is complete.  The
-    current offsets are the newest file: found from the last one known, or from
-    the hint that every commit leaves, by looking for the next.  The number of
-    file-system calls per batch does not depend on the number of commits.
+    Commit ``n`` of a group is ``<folder>/<group>/c-<n>.json``.  It is put in place
+    whole and only if there is none (``fsio.write_text``), so of two writers one
+    fails, whenever they overlap, and no commit is ever seen in part.  It holds
+    the offsets of all the group's partitions after the commit (one line each:
+    topic metadata), marks those it changed, and ends with a line of its own.
+
+    A writer may ``claim`` the group: it gets the next epoch, one small file like
+    a commit's, and commits of writers with an earlier one fail from then on
+    (``Fenced``).  A commit that came in before the claim counts; the new writer
+    finds it, since its own next number is taken.
+
+    The current offsets are the newest file: found from the last one known, or
+    from the hint that every commit leaves, by looking for the next.  The number
+    of file-system calls per batch does not depend on the number of commits.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._known: dict[str, tuple[int, dict[tuple[str, int], int]]] = {}
+        self._epoch: dict[str, int] = {}
 
     def _path(self, group_id: str, name: str) -> str:
         return f"{self.folder}/{quote(group_id, safe='')}/{name}"
 
     def _load(self, group_id: str, seq: int) -> list[dict] | None:
-        """Lines of a commit, [] if its writer died half way, None if none."""
+        """Lines of a commit, None if there is none."""
         text = fsio.read_text(self.spark, self._path(group_id, f"c-{seq:012d}.json"))
         if text is None:
             return None
         lines = text.splitlines()
-        if not lines or not lines[-1].startswith('{"complete"') or not text.endswith("\n"):
-            return []
+        if not lines or not lines[-1].startswith('{"complete"'):
+            raise RuntimeError(f"group {group_id}: commit {seq} is damaged")
         return [json.loads(x) for x in lines[:-1]]
 
+    def epoch(self, group_id: str) -> int:
+        """The newest epoch claimed (-1: none)."""
+        n = self._epoch.get(group_id, -1)
+        while fsio.read_text(self.spark, self._path(group_id, f"e-{n + 1:06d}")) is not None:
+            n += 1
+        return n
+
+    def claim(self, group_id: str) -> int:
+        """Take the group over from every earlier writer."""
+        n = self.epoch(group_id) + 1
+        while not fsio.write_text(self.spark, self._path(group_id, f"e-{n:06d}"), str(n), overwrite=False):
+            n += 1
+        self._epoch[group_id] = n
+        return n
+
     @staticmethod
     def _state(lines: list[dict]) -> dict[tuple[str, int], int]:
         return {(x["topic"], x["partition"]): x["offset"] for x in lines}
@@ -100,10 +128,10 @@ class OffsetStore:
             hint = fsio.read_text(self.spark, self._path(group_id, "_latest"))
             seq = int(hint) if hint else -1
             lines = self._load(group_id, seq) if seq >= 0 else None
-            self._known[group_id] = (seq, self._state(lines)) if lines else (-1, {})
+            self._known[group_id] = (-1, {}) if lines is None else (seq, self._state(lines))
         seq, state = self._known[group_id]
         while (lines := self._load(group_id, seq + 1)) is not None:
-            seq, state = seq + 1, self._state(lines) if lines else state
+            seq, state = seq + 1, self._state(lines)
         self._known[group_id] = (seq, state)
         return seq, dict(state)
 
@@ -116,27 +144,38 @@ class OffsetStore:
         rows = [(group_id, t, p, o) for (t, p), o in sorted(self.current_map(group_id).items())]
         return self.spark.createDataFrame(rows, OFFSETS)
 
-    def _lines(self, group_id: str | None) -> DataFrame:
-        groups = [quote(group_id, safe="")] if group_id is not None else fsio.folders(self.spark, self.folder)
-        known = [g for g in groups if g in fsio.folders(self.spark, self.folder)]
-        if not known:
-            return self.spark.createDataFrame([], _LINE + ", seq bigint")
-        read = self.spark.read.schema(_LINE).json([f"{self.folder}/{g}" for g in known])
-        return read.withColumn("file", F.col("_metadata.file_path")).withColumn(
+    def commits(self, group_id: str | None = None, after: int = -1) -> DataFrame:
+        """Lines of all commits (of one group: after number ``after``): what they
+        changed, with seq and tag."""
+        if group_id is not None:        # their names are known: nothing is listed
+            paths = [self._path(group_id, f"c-{n:012d}.json") for n in range(after + 1, self.tip(group_id)[0] + 1)]
+        else:
+            paths = [f"{self.folder}/{g}" for g in fsio.folders(self.spark, self.folder)]
+        if not paths:
+            return self.spark.createDataFrame([], _LINE + ", file string, seq bigint")
+        read = self.spark.read.schema(_LINE).option("pathGlobFilter", "c-*.json").json(paths)
+        return read.where("changed").withColumn("file", F.col("_metadata.file_path")).withColumn(
             "seq", F.regexp_extract("file", r"c-(\d+)\.json$", 1).cast("bigint"))
 
-    def commits(self, group_id: str | None = None) -> DataFrame:
-        """Lines of all complete commits: what they changed, with seq and tag."""
-        lines = self._lines(group_id)
-        if "file" not in lines.columns:
-            return lines
-        whole = lines.where("complete is not null").select("file")
-        return lines.where("changed").join(whole, "file", "left_semi")
+    def notes(self, group_id: str, seq: int) -> dict:
+        """What the work of a commit noted."""
+        text = fsio.read_text(self.spark, self._path(group_id, f"c-{seq:012d}.json")) or '{"complete": 0}'
+        last = json.loads(text.splitlines()[-1])
+        return {k: v for k, v in last.items() if k != "complete"}
+
+    def tags(self, group_id: str, after: int = -1) -> list[tuple[int, str]]:
+        """(number, output folder) of the commits after number ``after``: one
+        small file each, read on the driver."""
+        out = []
+        for seq in range(after + 1, self.tip(group_id)[0] + 1):
+            found = {x["tag"] for x in self._load(group_id, seq)} - {""}
+            out += [(seq, t) for t in found]
+        return out
 
     def history(self, group_id: str | None = None) -> DataFrame:
         """Every commit (all groups unless ``group_id`` is given), as
         ``OFFSETS_LOG``; ``batch_id`` is the commit's number."""
-        return self.commits(group_id).select(
+        return self.commits(group_id).where("changed").select(
             "group_id", "topic", "partition", "offset", F.col("seq").alias("batch_id"))
 
     def verdict(self, ranges: Ranges, group_id: str) -> str:
@@ -144,20 +183,23 @@ class OffsetStore:
         now = self.current_map(group_id)
         return offsets.combine_verdicts([offsets.range_verdict(a, b, now.get((t, p))) for t, p, a, b in ranges if b > a])
 
-    def commit(self, ranges: Ranges, group_id: str, slot: Slot | None = None) -> int:
+    def commit(self, ranges: Ranges, group_id: str, slot: Slot | None = None, notes: dict | None = None) -> int:
         """O3: the batch's ranges as the group's next commit, or the one that
-        ``slot`` was reserved for.  Fails if that commit exists already."""
+        ``slot`` was reserved for.  Fails if that commit exists already.  ``notes``
+        go into its last line."""
         seq, state = self.tip(group_id)
         slot = slot or Slot(seq + 1, "")
         if slot.seq != seq + 1:
             raise CommitConflict(f"group {group_id}: commit {slot.seq} was made by another writer")
         ends = {(t, p): b for t, p, a, b in ranges}
-        return self._create(group_id, slot, {**state, **ends}, set(ends))
+        return self._create(group_id, slot, {**state, **ends}, set(ends), notes)
 
-    def _create(self, group_id: str, slot: Slot, state: dict, changed: set) -> int:
+    def _create(self, group_id: str, slot: Slot, state: dict, changed: set, notes: dict | None = None) -> int:
         lines = [json.dumps({"group_id": group_id, "topic": t, "partition": p, "offset": o, "batch_id": slot.seq,
                              "tag": slot.tag, "changed": (t, p) in changed}) for (t, p), o in sorted(state.items())]
-        text = "\n".join([*lines, json.dumps({"complete": len(lines)})]) + "\n"
+        text = "\n".join([*lines, json.dumps({"complete": len(lines), **(notes or {})})]) + "\n"
+        if group_id in self._epoch and self.epoch(group_id) > self._epoch[group_id]:
+            raise Fenced(f"group {group_id}: a later writer has claimed it")
         if not fsio.write_text(self.spark, self._path(group_id, f"c-{slot.seq:012d}.json"), text, overwrite=False):
             raise CommitConflict(f"group {group_id}: commit {slot.seq} was made by another writer")
         fsio.write_text(self.spark, self._path(group_id, "_latest"), str(slot.seq), overwrite=True)
@@ -175,7 +217,7 @@ class OffsetStore:
 
 
 def guarded(store: OffsetStore, group_id: str, work: BatchFn,
-            ranges: Callable[[int], Ranges] | None = None,
+            ranges: Callable[[int], Ranges] | None = None, claim: bool = False,
             before_commit: Hook = None, after_commit: Hook = None):
     """K5 / K6 shape: check the guard, do the work, then commit the offsets.
 
@@ -187,10 +229,15 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
     ``skip``: the batch's offsets are already committed, so its output is
     complete too; nothing is done.  ``raise``: the ranges do not continue the
     stored offsets.  The commit must be the one right after the offsets that
-    the verdict was given on.  ``before_commit`` / ``after_commit`` are test
+    the verdict was given on.  With ``claim`` the first batch takes the group
+    over, so a writer of an earlier run can't commit any more.  ``before_commit`` / ``after_commit`` are test
     hooks that may raise, to simulate a crash on either side of the commit.
     """
+    claimed: list[int] = []
+
     def run(df: DataFrame, batch_id: int) -> None:
+        if claim and not claimed:
+            claimed.append(store.claim(group_id))
         if ranges is not None:
             consumed = [tuple(r) for r in ranges(batch_id)]
         else:       # one row per partition
@@ -202,10 +249,10 @@ def guarded(store: OffsetStore, group_id: str, work: BatchFn,
         if verdict == "raise":
             raise RuntimeError(f"batch {batch_id}: ranges do not continue the stored offsets")
         slot = Slot(seq + 1, f"{seq + 1:012d}-{uuid.uuid4().hex[:12]}")
-        work(df, slot)
+        notes = work(df, slot)
         if before_commit is not None:
             before_commit(batch_id)
-        store.commit(consumed, group_id, slot)
+        store.commit(consumed, group_id, slot, notes)
         if after_commit is not None:
             after_commit(batch_id)
     return run
@@ -217,13 +264,14 @@ def write_tagged(df: DataFrame, folder: str, slot: Slot) -> None:
 
 
 def read_committed(spark: SparkSession, folder: str, store: OffsetStore, group_id: str,
-                   schema: str, after: int = -1) -> DataFrame:
-    """Output that commits after number ``after`` name, with their ``seq``."""
-    if not fsio.folders(spark, folder):
+                   schema: str, after: int = -1, part: str = "") -> DataFrame:
+    """Output that commits after number ``after`` name, with their ``seq``.  Only
+    the folders they name are looked at (in each, the sub-folder ``part``)."""
+    tags = store.tags(group_id, after)
+    if not tags:
         return spark.createDataFrame([], schema + ", seq bigint")
-    tags = store.commits(group_id).where(F.col("seq") > after).select("tag", "seq").distinct()
-    written = spark.read.schema(schema + ", tag string").parquet(folder)
-    return written.join(tags, "tag").drop("tag")
+    read = spark.read.schema(schema).parquet(*[f"{folder}/tag={t}{part}" for _, t in tags])
+    return read.withColumn("seq", F.regexp_extract(F.col("_metadata.file_path"), r"/tag=(\d+)-", 1).cast("bigint"))
 
 
 # --------------------------------------------------------------------- the sinks
@@ -251,51 +299,6 @@ def record_counts(spark: SparkSession, folder: str, store: OffsetStore, group_id
     return read_committed(spark, folder, store, group_id, RECORD_COUNT).select(F.col("seq").alias("batch_id"), "n")
 
 
-UPSERT_ROWS = ("order_id string, name string, "
-               "ord struct<batch_id bigint, offset bigint, topic string, partition int>")
-
-
-class UpsertTable:
-    """K3 table form on plain parquet: each batch appends its parsed rows
-    (O(batch)); ``view`` reduces base and committed rows to the last row per
-    key.  ``compact`` writes a new base and is run beside the stream, on a
-    schedule of its own; the base states the commit it reaches, and rows of
-    later commits come on top.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, store: OffsetStore, group_id: str):
-        self.spark, self.folder, self.store, self.group_id = spark, folder, store, group_id
-
-    def _base(self) -> tuple[int, str | None]:
-        text = fsio.read_text(self.spark, f"{self.folder}/_base")
-        return (int(text.split()[0]), text.split()[1]) if text else (-1, None)
-
-    def state(self) -> DataFrame:
-        reach, base = self._base()
-        rows = read_committed(self.spark, f"{self.folder}/rows", self.store, self.group_id, UPSERT_ROWS, reach) \
-            .select("order_id", "name", "ord")
-        old = self.spark.read.schema(UPSERT_ROWS).parquet(f"{self.folder}/{base}") if base else None
-        return upsert.upsert(old, rows)
-
-    def compact(self) -> None:
-        """A new base up to the last commit."""
-        reach = self.store.tip(self.group_id)[0]
-        name = f"base-{reach:012d}-{uuid.uuid4().hex[:12]}"
-        self.state().write.parquet(f"{self.folder}/{name}")
-        fsio.write_text(self.spark, f"{self.folder}/_base", f"{reach} {name}", overwrite=True)
-
-    def view(self) -> DataFrame:
-        return self.state().select("order_id", "name")
-
-
-def upsert_work(folder: str) -> BatchFn:
-    """K3 work for ``guarded``: append the batch's strictly parsed rows."""
-    def work(df: DataFrame, slot: Slot) -> None:
-        rows = upsert.upsert_rows(df.withColumn("batch_id", F.lit(slot.seq).cast("bigint")))
-        write_tagged(rows, f"{folder}/rows", slot)
-    return work
-
-
 def console_sink(num_rows: int | None = None, truncate: bool = False, summarise=None):
     """K2: print every non-empty batch, whole unless ``num_rows`` is given;
     ``summarise`` is applied to a batch that holds rows (F1)."""

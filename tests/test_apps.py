@@ -8,7 +8,7 @@ from streamledger.operators import counts, upsert
 from streamledger.session import load_table, scratch_dir
 from streamledger.sources import kafka
 from streamledger.sources import log as logsrc
-from streamledger.streaming import apps, jobs, sinks
+from streamledger.streaming import apps, jobs, sinks, tables
 from tests.conftest import SF_SMALL
 
 
@@ -53,7 +53,7 @@ def test_upsert_compact_and_append_apps(spark, feed, workdir):
     log, feed_dir = feed
     _run(spark, "idempotent-upsert", feed_dir, f"{workdir}/u", "--group", "g")
     want = dict(upsert.upsert(None, upsert.upsert_rows(log, None)).select("order_id", "name").collect())
-    view = lambda: dict(sinks.UpsertTable(spark, f"{workdir}/u/table", sinks.OffsetStore(
+    view = lambda: dict(tables.UpsertTable(spark, f"{workdir}/u/table", sinks.OffsetStore(
         spark, f"{workdir}/u/offsets"), "g").view().collect())
     assert view() == want
     _run(spark, "compact-upsert", feed_dir, f"{workdir}/u", "--group", "g")

@@ -8,7 +8,7 @@ from streamledger import fsio
 from streamledger.operators import counts, upsert
 from streamledger.session import load_table, scratch_dir
 from streamledger.sources import log as logsrc
-from streamledger.streaming import jobs, sinks
+from streamledger.streaming import jobs, sinks, tables
 from tests import slices
 from tests.conftest import SF_SMALL
 
@@ -80,13 +80,13 @@ def test_upsert_effectively_once_across_crash(spark, staged, workdir, where):
     feed = f"{workdir}/feed"
     slices.write_slices(spark, table, feed)
     store = sinks.OffsetStore(spark, f"{workdir}/offsets")
-    fn = sinks.guarded(store, "g", sinks.upsert_work(f"{workdir}/t"), **{where: _crash_once(1)})
+    fn = sinks.guarded(store, "g", tables.upsert_work(f"{workdir}/t"), **{where: _crash_once(1)})
     with pytest.raises(StreamingQueryException):
         jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
     # restart from the same checkpoint: the engine replays batch 1
     jobs.run_foreach(slices.read_feed(spark, feed), fn, f"{workdir}/chk")
     want = upsert.upsert(None, upsert.upsert_rows(log)).select("order_id", "name")
-    assert _rows(sinks.UpsertTable(spark, f"{workdir}/t", store, "g").view(), "order_id", "name") == _rows(want, "order_id", "name")
+    assert _rows(tables.UpsertTable(spark, f"{workdir}/t", store, "g").view(), "order_id", "name") == _rows(want, "order_id", "name")
     assert store.current_map("g") == _ends(log)
     assert store.history().groupBy("batch_id", "topic", "partition").count().where("count > 1").count() == 0
 
@@ -102,7 +102,7 @@ def test_resume_on_a_new_checkpoint_loses_nothing(spark, staged, workdir, crash,
     want_keys = log.count()
 
     def run(feed, chk, **hooks):
-        for out, make in (("n", sinks.record_count_work), ("t", sinks.upsert_work)):
+        for out, make in (("n", sinks.record_count_work), ("t", tables.upsert_work)):
             store = sinks.OffsetStore(spark, f"{workdir}/offsets-{out}")
             stream = jobs.distinct_keys(slices.read_feed(spark, f"{workdir}/{feed}"))
             fn = sinks.guarded(store, "g", make(f"{workdir}/{out}"), **{k: _crash_once(0) for k in hooks})
@@ -112,7 +112,7 @@ def test_resume_on_a_new_checkpoint_loses_nothing(spark, staged, workdir, crash,
             jobs.run_foreach(stream, fn, f"{workdir}/{chk}-{out}")
 
     run("feed-1", "chk-1")
-    table_of = lambda: sinks.UpsertTable(spark, f"{workdir}/t", sinks.OffsetStore(spark, f"{workdir}/offsets-t"), "g")
+    table_of = lambda: tables.UpsertTable(spark, f"{workdir}/t", sinks.OffsetStore(spark, f"{workdir}/offsets-t"), "g")
     if compact:
         table_of().compact()
     run("feed-2", "chk-2", **({crash: True} if crash else {}))
@@ -209,14 +209,57 @@ def test_store_calls_per_batch_do_not_grow(spark, workdir, monkeypatch):
     assert fresh.history("nobody").count() == 0
 
 
-def test_half_written_commit_is_skipped(spark, workdir):
+def test_what_a_dead_writer_left_is_no_commit(spark, workdir):
+    """Half a commit under a name of its own is never read; a damaged one stops."""
     store = sinks.OffsetStore(spark, f"{workdir}/offsets")
     store.commit([("t", 0, 0, 5)], "g")
-    fsio.write_text(spark, f"{workdir}/offsets/g/c-000000000001.json", '{"group_id": "g", "topic": "t"', overwrite=False)
+    fsio.write_text(spark, f"{workdir}/offsets/g/.c-000000000001.json.x.tmp", '{"group_id": "g", "topic": "t"', overwrite=True)
     fresh = sinks.OffsetStore(spark, f"{workdir}/offsets")
-    assert fresh.tip("g") == (1, {("t", 0): 5})
-    assert fresh.commit([("t", 0, 5, 9)], "g") == 2
-    assert _rows(sinks.OffsetStore(spark, f"{workdir}/offsets").history("g"), "offset", "batch_id") == [(5, 0), (9, 2)]
+    assert fresh.tip("g") == (0, {("t", 0): 5})
+    assert fresh.commit([("t", 0, 5, 9)], "g") == 1
+    assert _rows(sinks.OffsetStore(spark, f"{workdir}/offsets").history("g"), "offset", "batch_id") == [(5, 0), (9, 1)]
+    fsio.write_text(spark, f"{workdir}/offsets/g/c-000000000002.json", '{"group_id": "g"', overwrite=False)
+    with pytest.raises(RuntimeError, match="damaged"):
+        sinks.OffsetStore(spark, f"{workdir}/offsets").tip("g")
+
+
+@pytest.mark.parametrize("rename", [False, True])
+def test_two_writers_in_the_hard_order(spark, workdir, monkeypatch, rename):
+    """A has written its commit but not put it in place when B commits."""
+    a, b = (sinks.OffsetStore(spark, f"{workdir}/offsets") for _ in "ab")
+    a.commit([("t", 0, 0, 2)], "g")
+    b.tip("g")
+    real, state = fsio._put, {"b": False}
+
+    def slow(spark_, fs, own, p, overwrite):
+        if not state["b"]:
+            state["b"] = True
+            b.commit([("t", 0, 2, 5)], "g")            # overtakes A
+            if rename:                                   # the way of other file systems than the local one
+                class Other:
+                    getScheme = staticmethod(lambda: "other")
+                    getUri, makeQualified = fs.getUri, fs.makeQualified
+                return real(spark_, Other, own, p, overwrite)
+        return real(spark_, fs, own, p, overwrite)
+    monkeypatch.setattr(fsio, "_put", slow)
+    with pytest.raises(sinks.CommitConflict):
+        a.commit([("t", 0, 2, 5)], "g")
+    assert a.verdict([("t", 0, 2, 5)], "g") == "skip"
+    assert _rows(a.history("g"), "offset", "batch_id") == [(2, 0), (5, 1)]
+    assert [f for f in __import__("os").listdir(f"{workdir}/offsets/g") if "c-" in f and f.endswith("tmp")] == []
+
+
+def test_a_claim_fences_earlier_writers(spark, workdir):
+    batch = spark.createDataFrame([("t", 0, 0, "a,1")], BATCH)
+    old, new = (sinks.OffsetStore(spark, f"{workdir}/offsets") for _ in "on")
+    nothing = lambda df, slot: None
+    sinks.guarded(old, "g", nothing, lambda k: [("t", 0, 0, 1)], claim=True)(batch, 0)
+    sinks.guarded(new, "g", nothing, lambda k: [("t", 0, 1, 2)], claim=True)(batch, 0)
+    assert (old.epoch("g"), new.epoch("g")) == (1, 1)
+    with pytest.raises(sinks.Fenced):
+        old.commit([("t", 0, 2, 3)], "g")
+    assert new.commit([("t", 0, 2, 4)], "g") == 2
+    assert old.current_map("g") == {("t", 0): 4}
 
 
 def test_seed_writes_missing_partitions(spark, workdir):
