@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamledger.schemas import PARTITION_KEY
@@ -152,6 +152,30 @@ def from_path(paths: DataFrame) -> DataFrame:
         F.col("data").cast("bigint").alias("offset"))
 
 
+def write_path_tree(current: DataFrame, folder: str) -> None:
+    """The path tree as stored files: one small file for each partition, in
+    ``topic=<t>/group_id=<g>/partition=<p>`` (one row a log partition).  Paths
+    that are there already are replaced, others stay."""
+    rows = current.select("topic", "group_id", "partition", F.col("offset").cast("string").alias("value"))
+    rows.repartition("topic", "group_id", "partition").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "group_id", "partition").text(folder)
+
+
+def read_path_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Current offsets from the files of a path tree: the path gives topic, group
+    and partition, the content the offset."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt") \
+        .load(folder).select("content", F.col("_metadata.file_path").alias("file"))
+
+    def part(name: str) -> Column:
+        found = F.regexp_extract("file", f"/{name}=([^/]*)/", 1)
+        for _ in range(2):          # escaped as a folder name, then as a URI
+            found = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+        return found.alias(name)
+    return files.select(part("group_id"), part("topic"), part("partition").cast("int").alias("partition"),
+                        F.trim(F.regexp_replace(F.decode("content", "UTF-8"), r"\s", "")).cast("bigint").alias("offset"))
+
+
 def to_wide(current: DataFrame, partitions: Iterable[int]) -> DataFrame:
     """Wide row: rowkey ``topic-group``, one column per partition.
 

@@ -216,6 +216,9 @@ FROM C GROUP BY topic || '-' || group_id""",
     "offsets_path_parse": f"""{BASE}
 {current(GROUP_A)}""",
 
+    "offsets_path_files": f"""{BASE}
+{current(GROUP_A)}""",
+
     "parse_pairs_strict": f"""{PAIRS}
 SELECT conv_id, turn, coalesce(len(fs) = 2, false) AS ok,
        CASE WHEN len(fs) = 2 THEN fs[1] END AS name,

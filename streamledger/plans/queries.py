@@ -257,6 +257,13 @@ def q_offsets_path_parse(spark, sf_dir):
     return offsets.from_path(offsets.to_path(_current(spark, sf_dir, GROUP_A)))
 
 
+def q_offsets_path_files(spark, sf_dir):
+    """The path tree written as files, one a partition, and read back."""
+    folder = scratch_dir(spark, "tree")
+    offsets.write_path_tree(_current(spark, sf_dir, GROUP_A), folder)
+    return offsets.read_path_tree(spark, folder)
+
+
 def _pairs(spark, sf_dir, strict):
     conv = load_table(spark, sf_dir, "conversations")
     return conv.select("conv_id", "turn", parse_pair("text", strict).alias("p"))
@@ -318,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "offsets_wide": q_offsets_wide,
     "offsets_unpivot": q_offsets_unpivot,
     "offsets_path_parse": q_offsets_path_parse,
+    "offsets_path_files": q_offsets_path_files,
     "parse_pairs_strict": q_parse_pairs_strict,
     "parse_pairs_lenient": q_parse_pairs_lenient,
     "upsert_latest": q_upsert_latest,

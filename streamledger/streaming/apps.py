@@ -1,7 +1,7 @@
 """The reference's streaming programs as runnable apps.
 
-Each app opens a ``MESSAGE`` stream -- Kafka through Spark's connector, or a
-folder of parquet files (``--feed``) where no broker is available -- and runs
+Each app opens a ``MESSAGE`` stream -- Kafka through Spark's connector, a stored
+log read by offset (``--log``), or a folder of parquet files (``--feed``) -- and runs
 one of the jobs in ``streaming.jobs``.  Offsets live in an ``OffsetStore`` under
 the output folder (K4: in its rows); a new checkpoint starts from them (section
 3.3), other partitions by ``--reset``.
@@ -22,9 +22,12 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamledger.operators import counts, upsert
+from streamledger import fsio
+from streamledger.operators import counts
+from streamledger.schemas import MESSAGE, MESSAGE_COLUMNS
 from streamledger.sources import kafka
 from streamledger.sources import log as logsrc
+from streamledger.sources import stored as storedlog
 from streamledger.streaming import jobs, sinks, tables
 
 
@@ -42,6 +45,12 @@ def open_stream(spark: SparkSession, args: argparse.Namespace,
                 stored: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
     """The input stream.  ``stored``: offsets to go on from (None: the app keeps
     none); partitions without one start by the policy."""
+    if args.log:
+        if stored is None:
+            raise SystemExit("--log is for the apps that keep offsets in a table")
+        schema = spark.read.parquet(args.log).select(*MESSAGE_COLUMNS).schema if fsio.folders(spark, args.log) else MESSAGE
+        return storedlog.read_stream(spark, args.log, schema, topics=args.topics, pattern=args.pattern, policy=args.reset,
+                                     cap=args.max_per_partition, offsets=f"{args.out}/offsets", group=args.group)
     if args.feed:
         if args.max_per_partition is not None:
             raise SystemExit("--max-per-partition needs Kafka: a folder has no offsets to cap by")
@@ -77,9 +86,12 @@ def _guarded(spark, args, work):
     the consumed ranges come from the checkpoint, as the source reported them."""
     store = _store(spark, args)
     chk = f"{args.out}/{args.checkpoint}"
-    ranges = None if args.feed else kafka.checkpoint_ranges(spark, chk)
+    ranges = None if args.feed or args.log else kafka.checkpoint_ranges(spark, chk)
     fn = sinks.guarded(store, args.group, work, ranges, claim=True)
-    return jobs.run_foreach(open_stream(spark, args, store.current_map(args.group)), fn, chk, args.once)
+    stream = open_stream(spark, args, store.current_map(args.group))
+    if args.log and args.once:
+        return jobs.run_batches(stream, fn, chk)
+    return jobs.run_foreach(stream, fn, chk, args.once)
 
 
 def direct_word_count(spark, args):
@@ -113,8 +125,9 @@ def idempotent_upsert(spark, args):
 
 def _tables(spark, args):
     store = _store(spark, args)
-    return [kind(spark, f"{args.out}/{name}", store, args.group)
-            for kind, name in ((tables.UpsertTable, "table"), (tables.CountTable, "words"))]
+    return [kind(spark, f"{args.out}/{name}", store, args.group)      # a group keeps one of them
+            for kind, name in ((tables.UpsertTable, "table"), (tables.CountTable, "words"))
+            if fsio.folders(spark, f"{args.out}/{name}")]
 
 
 def compact_tables(spark, args):
@@ -143,8 +156,8 @@ def seed_offsets(spark, args):
 def transactional_append(spark, args):
     """``name,id`` rows with their offsets through the file sink (K4), from the
     offsets of the rows that are committed."""
-    rows = upsert.offsets_from_rows(jobs.appended_rows(spark, f"{args.out}/rows"), args.group)
-    stored = {(r.topic, r.partition): r.offset for r in rows.collect()}     # a row per log partition
+    rows = jobs.appended_offsets(spark, f"{args.out}/rows").collect()        # a row per log partition
+    stored = {(r.topic, r.partition): r.offset for r in rows}
     return jobs.run_append_with_offsets(
         open_stream(spark, args, stored), f"{args.out}/rows", f"{args.out}/{args.checkpoint}", args.once)
 
@@ -176,6 +189,7 @@ def parser() -> argparse.ArgumentParser:
                     help="messages per partition per batch (S7)")
     ap.add_argument("--out", required=True, help="shared folder for state and output")
     ap.add_argument("--feed", default=None, help="folder of parquet files instead of Kafka")
+    ap.add_argument("--log", default=None, help="stored log, topic=<t>/partition=<p> folders, read by offset")
     ap.add_argument("--partitions", default=None, help="current partitions of the topics, a:3,b:1")
     ap.add_argument("--checkpoint", default="checkpoint", help="checkpoint folder under --out")
     ap.add_argument("--mode", default="update", choices=["complete", "update"])
@@ -188,8 +202,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
-    if not args.feed and not args.bootstrap:
-        raise SystemExit("--bootstrap (Kafka) or --feed is required")
+    if not args.feed and not args.log and not args.bootstrap:
+        raise SystemExit("--bootstrap (Kafka), --log or --feed is required")
     if spark is None:
         spark = SparkSession.builder.appName(f"streamledger {args.app}").getOrCreate()
     q = APPS[args.app](spark, args)

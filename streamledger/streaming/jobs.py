@@ -17,16 +17,19 @@ import hashlib
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamledger import fsio
-from streamledger.operators import counts, upsert
+from streamledger.operators import counts, offsets, upsert
 from streamledger.plans import queries as Q
-from streamledger.plans.oracles import ORACLES, parts_sql
-from streamledger.schemas import APPEND_ROW, MESSAGE
+from streamledger.plans.oracles import ORACLES, SPLIT, parts_sql
+from streamledger.schemas import APPEND_ROW, MESSAGE, OFFSET_RANGE, PARTITION_KEY
 from streamledger.session import scratch_dir
 from streamledger.sources import log as logsrc
+from streamledger.sources import stored
 from streamledger.streaming import sinks, tables
 
 
@@ -104,17 +107,61 @@ def run_append_with_offsets(stream: DataFrame, out: str, checkpoint: str,
     derived from the committed rows, so rows and offsets commit together.
 
     That log numbers batches by checkpoint, so every checkpoint writes to a
-    folder of its own; ``appended_rows`` reads them all.
+    folder of its own; ``appended_rows`` reads them all.  Rows lie in a folder
+    for each log partition, so offsets come from the files' footers
+    (``appended_offsets``).
     """
     rows = upsert.append_rows(stream, mode)
-    return _run(rows.writeStream.format("parquet").option("path", f"{out}/run={run_name(checkpoint)}"),
-                checkpoint, available_now)
+    return _run(rows.writeStream.format("parquet").partitionBy(*PARTITION_KEY)
+                .option("path", f"{out}/run={run_name(checkpoint)}"), checkpoint, available_now)
+
+
+def _appended(spark: SparkSession, path: str) -> DataFrame:
+    """Committed rows of one run; its sink's own log says which files count."""
+    try:
+        held = spark.read.parquet(path).schema
+    except AnalysisException as exc:
+        if "infer schema" not in str(exc):
+            raise
+        return spark.createDataFrame([], APPEND_ROW)          # a run without rows
+    types = {f.name: f for f in StructType.fromDDL(APPEND_ROW)}        # not what folder names look like
+    return spark.read.schema(StructType([types.get(f.name, f) for f in held])).parquet(path)
 
 
 def appended_rows(spark: SparkSession, out: str) -> DataFrame:
-    """Committed rows of all runs; each folder is read by its sink's own log."""
-    runs = [spark.read.parquet(f"{out}/{f}") for f in fsio.folders(spark, out)]
-    return reduce(DataFrame.unionByName, runs) if runs else spark.createDataFrame([], APPEND_ROW)
+    """Committed rows of all runs."""
+    runs = [_appended(spark, f"{out}/{f}") for f in fsio.folders(spark, out)]
+    if not runs:
+        return spark.createDataFrame([], APPEND_ROW)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), runs)
+    first = [f.name for f in StructType.fromDDL(APPEND_ROW)]
+    return rows.select(*first, *[c for c in rows.columns if c not in first])
+
+
+def appended_offsets(spark: SparkSession, out: str) -> DataFrame:
+    """(topic, partition, offset): the next offset after the committed rows, from
+    the maxima in the Parquet footers; no row is read.  Spark answers aggregates
+    so in its newer file reader, which a session of its own turns on."""
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    runs = [footers.read.schema(APPEND_ROW).parquet(f"{out}/{f}").groupBy(*PARTITION_KEY).agg(
+        F.max("offset").alias("last")) for f in fsio.folders(spark, out)]
+    if not runs:
+        return spark.createDataFrame([], "topic string, partition int, offset bigint")
+    return reduce(DataFrame.unionByName, runs).groupBy(*PARTITION_KEY).agg((F.max("last") + 1).alias("offset"))
+
+
+def run_batches(stream: DataFrame, fn, checkpoint: str):
+    """K1 until the input is drained, batch after batch: for sources that cap
+    their batches themselves (``availableNow`` would ask them for one batch)."""
+    q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
+        .trigger(processingTime="0 seconds").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return q
 
 
 # ------------------------------------------------------------- starting offsets
@@ -147,8 +194,7 @@ def resume_from_store(stream: DataFrame, extents: DataFrame, store: sinks.Offset
 
 def resume_from_rows(stream: DataFrame, out: str) -> DataFrame:
     """K4 on a new checkpoint: go on after the rows that are committed."""
-    spark = stream.sparkSession
-    rows = upsert.offsets_from_rows(appended_rows(spark, out), "")
+    rows = appended_offsets(stream.sparkSession, out)
     return start_at(stream, {(r.topic, r.partition): r.offset for r in rows.collect()})
 
 
@@ -295,6 +341,65 @@ def q_upsert_quarantine_stream(spark, sf_dir):
     return _with_quarantine(spark, sf_dir).quarantine()
 
 
+LATE_TOPIC = "click"     # added while the stream runs
+
+
+def range_work(folder: str) -> sinks.BatchFn:
+    """O1 as output: the ranges that the batch's rows span."""
+    def work(df: DataFrame, slot: sinks.Slot) -> None:
+        sinks.write_tagged(offsets.batch_ranges(df), folder, slot)
+    return work
+
+
+def _stored_stream(spark, schema, work: str, **options) -> DataFrame:
+    return stored.read_stream(spark, f"{work}/log", schema, offsets=f"{work}/offsets", group=Q.GROUP_A, **options)
+
+
+def _ranges(spark, work: str, store: sinks.OffsetStore) -> DataFrame:
+    return sinks.read_committed(spark, f"{work}/out", store, Q.GROUP_A, OFFSET_RANGE).withColumnRenamed("seq", "batch_id")
+
+
+def q_capped_log_stream(spark, sf_dir):
+    """S7 S2 O1 O3 on an offset-addressed stream: each batch takes at most
+    ``CAP`` offsets of every partition, whatever the others hold."""
+    log, work = Q.staged_log(spark, sf_dir), scratch_dir(spark, "capped")
+    stored.write_log(log, f"{work}/log")
+    store = sinks.OffsetStore(spark, f"{work}/offsets")
+    run_batches(_stored_stream(spark, log.schema, work, cap=Q.CAP),
+                sinks.guarded(store, Q.GROUP_A, range_work(f"{work}/out")), f"{work}/chk")
+    return _ranges(spark, work, store)
+
+
+def q_added_topic_stream(spark, sf_dir):
+    """S3 S4 O2 O8 on an offset-addressed stream: a topic that matches the
+    pattern is added while the first batch runs, more messages come, and a new
+    checkpoint goes on from the offset table.  How much of each partition was
+    read, and how far."""
+    log, work = Q.staged_log(spark, sf_dir), scratch_dir(spark, "added")
+    late, early = F.col("topic") == LATE_TOPIC, F.col("offset") < SPLIT
+    added: list[int] = []
+
+    def run(checkpoint: str) -> sinks.OffsetStore:
+        store = sinks.OffsetStore(spark, f"{work}/offsets")
+        write_ranges = range_work(f"{work}/out")
+
+        def work_of(df: DataFrame, slot: sinks.Slot) -> None:
+            if not added:
+                added.append(slot.seq)
+                stored.write_log(log.where(late), f"{work}/log")
+            write_ranges(df, slot)
+        run_batches(_stored_stream(spark, log.schema, work, pattern=Q.PATTERN, cap=Q.CAP),
+                    sinks.guarded(store, Q.GROUP_A, work_of, claim=True), f"{work}/{checkpoint}")
+        return store
+
+    stored.write_log(log.where(~late & early), f"{work}/log")
+    run("chk-1")
+    stored.write_log(log.where(~late & ~early), f"{work}/log")
+    store = run("chk-2")
+    return _ranges(spark, work, store).groupBy("topic", "partition").agg(
+        F.sum(F.col("until_offset") - F.col("from_offset")).alias("n_read"), F.max("until_offset").alias("until_offset"))
+
+
 STREAM_QUERIES = {
     "batch_word_count_stream": q_batch_word_count_stream,
     "running_word_count_stream": q_running_word_count_stream,
@@ -307,6 +412,8 @@ STREAM_QUERIES = {
     "resume_running_word_count_stream": q_resume_running_word_count_stream,
     "upsert_good_stream": q_upsert_good_stream,
     "upsert_quarantine_stream": q_upsert_quarantine_stream,
+    "capped_log_stream": q_capped_log_stream,
+    "added_topic_stream": q_added_topic_stream,
     "offsets_log_stream": q_stream_offsets,
 }
 
@@ -328,6 +435,10 @@ STREAM_ORACLES = {
     + "SELECT topic || '-' || CAST(\"partition\" AS VARCHAR) || '-' || CAST(\"offset\" AS VARCHAR) AS order_id, "
       "topic AS name FROM L",
     "resume_running_word_count_stream": ORACLES["running_word_count"],
+    "capped_log_stream": ORACLES["batch_ranges"],
+    "added_topic_stream": ORACLES["batch_ranges"].replace(
+        "SELECT * FROM R", 'SELECT topic, "partition", count(*) AS n_read, max("offset") + 1 AS until_offset FROM L '
+        f"WHERE regexp_full_match(topic, '{Q.PATTERN}') GROUP BY topic, \"partition\""),
     "upsert_good_stream": parts_sql(ORACLES["upsert_latest"]).replace("WHERE len(fs) = 2", f'WHERE len(fs) = 2 AND "offset" % {BAD_EVERY} <> 0'),
     "upsert_quarantine_stream": parts_sql(ORACLES["batch_ranges"]).replace(
         "SELECT * FROM R", f'SELECT batch_id, topic, "partition", "offset", replace(value, \',\', \';\') AS raw FROM LB '
