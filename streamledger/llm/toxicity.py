@@ -17,14 +17,16 @@
 
 Labels are read only for ids with crc32(id as text) mod 5 not 0.  The
 regression is fitted on rows whose features were counted on the other half of
-the labelled rows; the final counts are taken from both halves.  The number of labelled rows is bounded by
-``max_rows`` (lowest hash of the id first), the number of features by
-``max_features`` (strongest first): a fixed model size, whatever the corpus.
+the labelled rows; the final counts are taken from both halves.  The number of
+labelled rows is bounded by ``max_rows`` (lowest hash of the id first), a fixed
+sample whatever the corpus; each is decoded once.
 
 Definitions: null text is empty; an empty text has no features and gets the
 regression's base score; without labelled rows of both kinds the regression is
-its prior.  A null ``doc_id`` is not held out.  Several labels of one id: toxic
-if any says so.  Extra columns are ignored.
+its prior.  A null ``doc_id`` is not held out.  A ``toxic`` above 0 is toxic;
+several labels of one id: toxic if any says so.  A token of any length is
+decoded whole; a word set apart has up to ``_SPELLED`` letters unless it is known
+from elsewhere.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +42,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import materialize, small_batches
 
 CLASSES = 64
 MAX_ROWS = 20_000
-MAX_FEATURES = 200_000
 _PREFIXES = (4, 5, 6)
 _SHRINK = 4.0
-_PIECE = 256            # longest stretch decoded at once
-_CACHE = 120_000
+_CACHE = 120_000        # tokens whose readings a task keeps
+_SEEN = 400_000         # tokens whose evidence a task keeps
 _SPELLED = 64           # letters of a word set apart, where words aren't known yet
 
 # What a character may stand for.
@@ -55,6 +57,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg",
         "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l"}
 # Costs in nats of a substitution, a dropped mark, a shortened run, a kept run.
 _SUBSTITUTE, _DROP, _SHORTEN, _KEEP_RUN = 1.0, 0.7, 0.5, 3.0
+_BY_COST = itemgetter(0)
 
 
 # ------------------------------------------------------- the language model
@@ -105,59 +108,76 @@ class Decoder:
     """Restores words by Viterbi search through a lattice of readings."""
 
     def __init__(self, cost: np.ndarray):
-        self.cost = cost
+        self._cost = cost.tolist()
+        self._known: dict[str, tuple[int, ...]] = {}
 
-    def _classes(self, letters: str) -> list[int]:
-        return _CLASS[np.frombuffer(letters.encode(), np.uint8)].tolist()
-
-    def arcs(self, token: str, at: int) -> list[tuple[str, int, float]]:
-        """Readings of the token from ``at``: (letters, next place, cost)."""
+    def _classes(self, letters: str) -> tuple[int, ...]:
+        got = self._known.get(letters)
+        if got is None:
+            got = tuple(_CLASS[np.frombuffer(letters.encode(), np.uint8)].tolist())
+            if len(letters) <= 4 and len(self._known) < _CACHE:
+                self._known[letters] = got
+        return got
+
+    def arcs(self, token: str, at: int) -> tuple[list[tuple[str, float]], int]:
+        """Readings of the token from ``at`` up to the next place: (letters,
+        cost) each, and that place.  Letters that stand once read as they are."""
         c = token[at]
         end = at + 1
         while end < len(token) and token[end] == c:
             end += 1
-        run, out = end - at, []
+        run = end - at
         if c.isalpha():
             if run == 1:
-                return [(c, end, 0.0)]
-            out = [(c, end, _SHORTEN), (c + c, end, 0.0 if run == 2 else _SHORTEN)]
+                while end < len(token) and token[end].isalpha() and token[end] != token[end + 1:end + 2]:
+                    end += 1
+                return [(token[at:end], 0.0)], end
+            out = [(c, _SHORTEN), (c + c, 0.0 if run == 2 else _SHORTEN)]
             if run > 2:
-                out.append((c * run, end, _KEEP_RUN))
-            return out
+                out.append((c * run, _KEEP_RUN))
+            return out, end
+        out = []
         for letter in LEET.get(c, ""):
-            out.append((letter, end, _SUBSTITUTE))
+            out.append((letter, _SUBSTITUTE))
             if run > 1:
-                out.append((letter * 2, end, _SUBSTITUTE + _SHORTEN))
-        if c.isdigit():
-            out.append((c * run, end, 0.0))
-        else:
-            out.append(("", end, _DROP))
-        return out
+                out.append((letter * 2, _SUBSTITUTE + _SHORTEN))
+        out.append((c * run, 0.0) if c.isdigit() else ("", _DROP))
+        return out, end
 
     def best(self, token: str, n: int = 3) -> list[str]:
-        """The ``n`` likeliest readings of a lower-case token."""
-        if len(token) > _PIECE:
-            parts = [self.best(token[k:k + _PIECE], 1)[0] for k in range(0, len(token), _PIECE)]
-            return ["".join(parts)]
-        # states: place -> {(two classes before): the n best (cost, letters)}
-        states: list[dict] = [{} for _ in range(len(token) + 1)]
-        states[0] = {(0, 0): [(0.0, "")]}
-        for at in range(len(token)):
-            if not states[at]:
-                continue
-            for letters, end, price in self.arcs(token, at):
+        """The ``n`` likeliest readings of a lower-case token of any length."""
+        table, at = self._cost, 0
+        # (two classes before) -> its n best (cost, letters so far, as a chain)
+        states = {(0, 0): [(0.0, None)]}
+        while at < len(token):
+            readings_, at = self.arcs(token, at)
+            further: dict[tuple[int, int], list] = {}
+            for letters, price in readings_:
                 classes = self._classes(letters)
-                for (a, b), held in states[at].items():
+                for (a, b), held in states.items():
                     step = price
                     for c in classes:
-                        step += float(self.cost[a, b, c])
+                        step += table[a][b][c]
                         a, b = b, c
-                    to = states[end].setdefault((a, b), [])
-                    to.extend((cost + step, text + letters) for cost, text in held)
-                    if len(to) > n:
-                        to[:] = heapq.nsmallest(n, to)
-        ends = [(cost + float(self.cost[a, b, 0]), text) for (a, b), held in states[-1].items() for cost, text in held]
-        return [text for _, text in heapq.nsmallest(n, ends)]
+                    to = further.get((a, b))
+                    if to is None:
+                        to = further[a, b] = []
+                    for cost, before in held:
+                        to.append((cost + step, (before, letters)))
+            for to in further.values():
+                if len(to) > n:
+                    to.sort(key=_BY_COST)
+                    del to[n:]
+            states = further
+        ends = sorted(((cost + table[a][b][0], chain) for (a, b), held in states.items() for cost, chain in held), key=_BY_COST)
+        out = []
+        for _, chain in ends[:n]:
+            parts = []
+            while chain:
+                chain, letters = chain
+                parts.append(letters)
+            out.append("".join(reversed(parts)))
+        return out
 
 
 # ------------------------------------------------------------ words, features
@@ -233,18 +253,20 @@ def spelled_weight(letters: str, weights: dict, sizes: list[int]) -> float:
     return top
 
 
-def document_words(text: str, decoder: Decoder, cache: dict) -> tuple[set[str], list[str]]:
-    """All restored words of a text, and its letters set apart."""
+def document_words(text: str, decoder: Decoder, cache: dict) -> tuple[list[tuple[str, ...]], list[str]]:
+    """The words that each different token of a text may stand for, and the
+    text's letters set apart."""
     low = text.lower()
-    words: set[str] = set()
-    for token in set(low.split()):
+    tokens = []
+    for token in sorted(set(low.split())):
         got = cache.get(token)
         if got is None:
             if len(cache) > _CACHE:
                 cache.clear()
-            got = cache[token] = tuple(readings(token, decoder))
-        words.update(got)
-    return words, _apart(low, decoder)
+            got = cache[token] = tuple(sorted(readings(token, decoder)))
+        if got:
+            tokens.append(got)
+    return tokens, _apart(low, decoder)
 
 
 def _apart(low: str, decoder: Decoder) -> list[str]:
@@ -263,17 +285,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def _feature_rows(sent):
+def _labelled_words(sent):
+    """Labelled rows with their restored words in place of the text."""
+    def task(batches):
+        decoder, cache = Decoder(sent.value), {}
+        for batch in batches:
+            found = [document_words(t.as_py() or "", decoder, cache) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), batch.column("half"),
+                 pa.array([[list(t) for t in tokens] for tokens, _ in found], pa.list_(pa.list_(pa.string()))),
+                 pa.array([apart for _, apart in found], pa.list_(pa.string()))], ["toxic", "half", "tokens", "apart"])
+    return task
+
+
+def _feature_rows():
     """A task's features with the number of clean and toxic rows of either half
     that hold them, and the least and greatest hash of the words that brought
     them into toxic rows."""
     def task(batches):
-        decoder, cache = Decoder(sent.value), {}
         hashes: dict[str, np.ndarray] = {}
         feats, own, marks, letters_of = [], [], [], []
         for batch in batches:
-            for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
-                words, apart = document_words(text or "", decoder, cache)
+            for tokens, apart, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("tokens", "apart", "toxic", "half"))):
+                words = {w for t in tokens for w in t}
                 if len(hashes) > _CACHE:
                     hashes.clear()
                 for w in words:
@@ -313,6 +347,12 @@ def _evidence(toxic: np.ndarray, clean: np.ndarray, prior: float) -> np.ndarray:
     return np.log(p / (1 - p)) - math.log(prior / (1 - prior))
 
 
+def _top_two(found: list[float], apart: list[str], weights: dict, sizes: list[int]) -> tuple[float, float]:
+    """The two strongest of the words' evidence and that of letters set apart."""
+    top = heapq.nlargest(2, found + [spelled_weight(letters, weights, sizes) for letters in apart]) + [0.0, 0.0]
+    return top[0], top[1]
+
+
 def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict, sizes: list[int]) -> tuple[float, float]:
     """The evidence of a text's two strongest words.  ``cache`` maps a token to
     its strongest reading's evidence."""
@@ -321,19 +361,27 @@ def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict, size
     for token in set(low.split()):
         e = cache.get(token)
         if e is None:
-            if len(cache) > _CACHE:
+            if len(cache) > _SEEN:
                 cache.clear()
             e = cache[token] = max((_weigh(w, weights) for w in readings(token, decoder)), default=0.0)
         if e:
             found.append(e)
-    for letters in _apart(low, decoder):
-        found.append(spelled_weight(letters, weights, sizes))
-    top = heapq.nlargest(2, found) + [0.0, 0.0]
-    return top[0], top[1]
+    return _top_two(found, _apart(low, decoder), weights, sizes)
 
 
 def _weigh(word: str, weights: dict) -> float:
-    return max((weights.get(f, 0.0) for f in features(word)), default=0.0)
+    """The strongest of a word's ``features``."""
+    raw, get = xxhash.xxh64_intdigest, weights.get
+    whole = word.encode()
+    top = get(raw(b"=" + whole), 0.0)
+    plain = len(whole) == len(word)
+    for k in _PREFIXES:
+        if len(word) < k:
+            break
+        e = get(raw(b"<" + (whole[:k] if plain else word[:k].encode())), 0.0)
+        if e > top:
+            top = e
+    return top
 
 
 def _summaries(sent, columns: list[str]):
@@ -350,6 +398,22 @@ def _summaries(sent, columns: list[str]):
     return task
 
 
+def _labelled_summaries(sent):
+    """The same for labelled rows, whose words are restored already."""
+    def task(batches):
+        keys, values, sizes = sent.value
+        weights = dict(zip(keys.tolist(), values.tolist()))
+        for batch in batches:
+            tops = []
+            for tokens, apart in zip(batch.column("tokens").to_pylist(), batch.column("apart").to_pylist()):
+                found = [max(_weigh(w, weights) for w in t) for t in tokens]
+                tops.append(_top_two([e for e in found if e], apart, weights, sizes))
+            x = np.array(tops, np.float64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array(x[:, 0]), pa.array(x[:, 1])], ["toxic", "x1", "x2"])
+    return task
+
+
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps, with a Gaussian prior around plain
     weights, so that a handful of rows can't mislead it."""
@@ -373,8 +437,7 @@ class Model:
         self.cost, self.keys, self.values, self.sizes, self.weights = cost, keys, values, sizes, weights
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
-          max_features: int = MAX_FEATURES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Language model from all of ``docs``; the rest from labelled rows."""
     spark = docs.sparkSession
     counts = np.zeros(CLASSES ** 3, np.int64)
@@ -382,27 +445,29 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     counts[gathered.column("trigram").to_numpy()] = gathered.column("n").to_numpy()
     cost = language_model(counts)
 
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")) \
         .where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) \
         .withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2)).cast("int"))
     texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # at most max_rows rows of three small columns
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "half")
     total = chosen.groupBy("half", "toxic").count().collect()
     n = {(r.half, r.toxic): r["count"] for r in total}
-    sent = spark.sparkContext.broadcast(cost)
+    # Every labelled text is decoded once.
+    rows = texts.join(chosen, "doc_id").select("text", "toxic", "half").mapInArrow(
+        _labelled_words(spark.sparkContext.broadcast(cost)),
+        "toxic int, half int, tokens array<array<string>>, apart array<string>")
+    rows = materialize(rows, "toxicity-labelled")
     schema = "feature long, c0 long, t0 long, c1 long, t1 long, least long, most long, size int"
     toxic, clean = (sum(n.get((h, k), 0) for h in (0, 1)) for k in (1, 0))
     prior = (toxic + 0.5) / (toxic + clean + 1)
-    table = rows.mapInArrow(_feature_rows(sent), schema).groupBy("feature") \
+    table = rows.mapInArrow(_feature_rows(), schema).groupBy("feature") \
         .agg(*(F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")),
              F.min("least").alias("least"), F.max("most").alias("most"), F.max("size").alias("size")) \
         .where("t0 + t1 >= 2") \
         .where("least != most or least = shiftrightunsigned(feature, 1)") \
         .where((F.col("t0") + F.col("t1") + _SHRINK * prior) / F.expr(f"t0 + t1 + c0 + c1 + {_SHRINK}") > 2 * prior) \
-        .orderBy(F.desc(F.expr(f"(t0 + t1) / (t0 + t1 + c0 + c1 + {_SHRINK})")), "feature").limit(max_features).toArrow()
+        .toArrow()          # words and prefixes of toxic rows among max_rows, seen twice at least
     f, c0, t0, c1, t1, size = (table.column(c).to_numpy() for c in ("feature", "c0", "t0", "c1", "t1", "size"))
     sizes = np.unique(size).tolist()
     f = f.view(np.uint64)
@@ -414,9 +479,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     parts = []
     for half, (t, c) in enumerate(((t1, c1), (t0, c0))):
         other = (n.get((1 - half, 1), 0) + 0.5) / (n.get((1 - half, 1), 0) + n.get((1 - half, 0), 0) + 1)
-        sent = spark.sparkContext.broadcast((cost, *kept(np.where(t >= 1, _evidence(t, c, other), 0.0)), sizes))
-        parts.append(rows.where(F.col("half") == half).select("text", F.col("toxic").cast("long").alias("toxic"))
-                     .mapInArrow(_summaries(sent, ["toxic"]), "toxic long, x1 double, x2 double"))
+        sent = spark.sparkContext.broadcast((*kept(np.where(t >= 1, _evidence(t, c, other), 0.0)), sizes))
+        parts.append(rows.where(F.col("half") == half).select("tokens", "apart", F.col("toxic").cast("long").alias("toxic"))
+                     .mapInArrow(_labelled_summaries(sent), "toxic long, x1 double, x2 double"))
     fit = parts[0].union(parts[1]).toArrow()         # at most max_rows rows
     x = np.column_stack([fit.column(c).to_numpy() for c in ("x1", "x2")])
     y = fit.column("toxic").to_numpy().astype(float)

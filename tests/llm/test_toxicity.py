@@ -95,7 +95,7 @@ def test_no_gate_before_the_lattice(spark, model):
     for text, word in [("i. d. i. o. t", "idiot"), ("so a s s", "ass"), ("s  t  u  p  i  d..", "stupid"),
                        ("ii - s s t t u u p p i i d d", "stupid"), ("s.c.u.m", "scum"), ("--s c u m", "scum")]:
         found = toxicity.document_words(text, decoder, {})
-        assert any(word in x for x in [*found[0], *found[1]]), text
+        assert any(word in x for x in [*(w for t in found[0] for w in t), *found[1]]), text
     for text in ("dog a b", "a-b", "ab c d", "no such thing", ". . .  -", "a     b     c"):
         assert toxicity.document_words(text, decoder, {})[1] == []
 
@@ -145,16 +145,50 @@ def test_viterbi_finds_the_cheapest_reading():
         if at == len(token):
             yield price, text
         else:
-            for letters, end, c in decoder.arcs(token, at):
+            arcs, end = decoder.arcs(token, at)
+            for letters, c in arcs:
                 yield from every(token, end, text + letters, price + c)
 
     def total(price, text):
         c = [0, 0, *decoder._classes(text), 0]
         return price + sum(float(cost[x, y, z]) for x, y, z in zip(c, c[1:], c[2:]))
 
-    for token in ("1d10t", "a$$", "s-t.u_p", "bb66aaa!", "x"):
-        best = min((total(p, t), t) for p, t in every(token, 0, "", 0.0))
-        assert decoder.best(token)[0] == best[1]
+    for token in ("1d10t", "a$$", "s-t.u_p", "bb66aaa!", "x", "plain", "ünder5core", "ab00ba"):
+        ranked = [t for _, t in sorted((total(p, t), t) for p, t in every(token, 0, "", 0.0))]
+        assert decoder.best(token) == ranked[:3]
+
+
+def test_long_tokens_are_decoded_whole(model):
+    import time
+    decoder, began = toxicity.Decoder(model.cost), time.time()
+    for middle in (120, 5000):
+        found = decoder.best("ba" * middle + "s7up1d" + "ba" * middle)
+        assert len(found) == 3 and any("stupid" in t for t in found)
+    assert len(decoder.best("a1" * 5000)) == 3 and time.time() - began < 20
+
+
+def test_scores_equal_a_plain_scorer(spark, corpus, model):
+    docs = corpus[0][600:790] + [(5000 + i, t) for i, t in enumerate(
+        ["", "i d i o t s t u p i d", "s7up1d !!!", "iiii", "a" * 700 + "1d10t", "ünï $cum", "x", "4ss a.s.s", "\u3000", "sc\num"])]
+    decoder, weights = toxicity.Decoder(model.cost), dict(zip(model.keys.tolist(), model.values.tolist()))
+
+    def plain(text):
+        low, found = text.lower(), [0.0, 0.0]
+        for token in set(low.split()):
+            found.append(max((weights.get(f, 0.0) for w in toxicity.readings(token, decoder) for f in toxicity.features(w)), default=0.0))
+        found += [toxicity.spelled_weight(x, weights, model.sizes) for x in toxicity._apart(low, decoder)]
+        x = sorted(found)[-2:]
+        return 1 / (1 + np.exp(-(model.weights[0] + model.weights[1] * x[1] + model.weights[2] * x[0])))
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    assert len(got) == 200 and all(abs(got[i] - plain(t)) < 1e-12 for i, t in docs)
+
+
+def test_labels_other_than_0_and_1(spark, corpus):
+    docs, labels = corpus
+    loud = [(i, q, 7 * t) for i, q, t in labels]
+    one, two = (sorted(map(tuple, toxicity.score(d, toxicity.train(d, l)).collect()))
+                for d, l in (frames(spark, docs, labels), frames(spark, docs, loud)))
+    assert one == two
 
 
 def test_edge_rows(spark):
