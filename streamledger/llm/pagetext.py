@@ -56,27 +56,45 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_HINT = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_ROLE = re.compile(r"role\s*=\s*[\"']?\s*([a-z]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"']+)))?")
+_UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
+# What a name is made of beside the words above (share-buttons).
+_FILLERS = frozenset("site page main top bottom left right box bar list item block section area wrapper container content "
+                     "inner outer button buttons link links form text message msg slot unit widget js col column fixed sticky "
+                     "global primary secondary first last new old thread form count icon icons posts articles stories".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def _named_away(attributes: str) -> bool:
-    """Do class, id or role say that this is no article text?"""
-    if _HIDDEN.search(attributes):
+def attributes_of(raw: str) -> dict[str, str]:
+    """Names (lower case) and values of a tag's attributes; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def _named_away(raw: str) -> bool:
+    """Do class, id, role, style or being hidden say that this is no article text?
+
+    A name of several words counts if all of them are known, or if it holds a
+    word of ``_STEMS``: ``share-buttons`` does, ``social-science`` doesn't.
+    """
+    held = attributes_of(raw)
+    if "hidden" in held or held.get("aria-hidden", "").strip().lower() == "true" or _UNSHOWN.search(held.get("style", "")):
         return True
-    role = _ROLE.search(attributes)
-    if role and role.group(1).lower() in _ROLES:
+    if set(held.get("role", "").lower().split()) & _ROLES:
         return True
-    for groups in _HINT.findall(attributes):
-        for name in "".join(groups).split():
-            parts = [p.lower() for p in _PART.findall(name)]
-            for k, part in enumerate(parts):
-                if part in ("with", "has", "no", "without"):
-                    break                    # content-with-sidebar
-                if part in _NAMES or part.startswith(_STEMS):
-                    return True
+    for name in (held.get("class", "") + " " + held.get("id", "")).split():
+        parts = [p.lower() for p in _PART.findall(name)]
+        for k, part in enumerate(parts):
+            if part in ("with", "has", "no", "without"):
+                parts = parts[:k]            # content-with-sidebar
+                break
+        known = [p in _NAMES or p.startswith(_STEMS) for p in parts]
+        if any(p.startswith(_STEMS) for p in parts) or any(known) and all(
+                k or p in _FILLERS or len(p) < 3 for p, k in zip(parts, known)):
+            return True
     return False
 
 
@@ -85,21 +103,54 @@ class _Page:
     and the pieces of text with the element and block they are in."""
 
     def __init__(self, source: str, names: bool):
-        self.parent, self.tag, self.away = [-1], [""], [False]
+        self.parent, self.tag = [-1], [""]
+        self.own = [0]                 # 1: left out for its tag, 2: for its name
         self.chars, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, int, str]] = []
         self._read(source, names)
+        self.away = self._settle()
 
-    def _open(self, tag: str, away: bool) -> int:
-        up = self.stack[-1]
-        self.parent.append(up)
+    def _open(self, tag: str, own: int) -> int:
+        self.parent.append(self.stack[-1])
         self.tag.append(tag)
-        self.away.append(away or self.away[up])
+        self.own.append(own)
         for column in (self.chars, self.tags, self.link_chars, self.link_tags):
             column.append(0)
         self.stack.append(len(self.tag) - 1)
         return self.stack[-1]
 
+    def _settle(self) -> list[bool]:
+        """What is left out.  A name alone takes nothing away that holds an
+        article, nor, where the page marks none, more text than it leaves; nor
+        does a header take headings out of an article."""
+        n, own = len(self.tag), self.own
+        holds = [tag in ("article", "main") for tag in self.tag]
+        marked = any(holds)
+        skipped, within = [False] * n, [False] * n          # by tag; in an article
+        for i in range(1, n):
+            skipped[i] = skipped[self.parent[i]] or own[i] == 1
+            within[i] = within[self.parent[i]] or self.tag[self.parent[i]] in ("article", "main")
+        chars = [0 if skipped[i] else self.chars[i] for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            chars[up] += chars[i]
+            holds[up] = holds[up] or holds[i] and not skipped[i]
+        away = [False] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            named = own[i] == 2 and not holds[i] and (marked or 2 * chars[i] <= chars[0])
+            away[i] = away[up] or named or own[i] == 1
+            if self.tag[i] in _HEADINGS and within[i] and away[i] and own[i] == 0:
+                # Up to the article, only headers may lie around a heading.
+                while up and self.tag[up] not in ("article", "main") and (
+                        not own[up] or self.tag[up] in ("header", "hgroup") or self._header(up)):
+                    up = self.parent[up]
+                away[i] = self.tag[up] not in ("article", "main") or away[up]
+        return away
+
+    def _header(self, i: int) -> bool:
+        return self.own[i] == 2 and i in self.headers
+
     def _close(self, wanted: tuple[str, ...], fence: frozenset = frozenset()) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
             if self.tag[self.stack[k]] in wanted:
@@ -120,16 +171,20 @@ class _Page:
             self.link_chars[at] += n
 
     def _read(self, source: str, names: bool) -> None:
-        self.stack = [0]
+        self.stack, self.headers = [0], set()
         block, linked, at = 0, False, 0
         low = None
+        last = source.rfind(">") + 1        # no tag ends behind it, so none is looked for
         while True:
-            m = _TOKEN.search(source, at)
+            m = _TOKEN.search(source, at, last)
             if m is None:
-                self._text(source[at:], block, linked)
+                rest = source.find("<!--", max(at, last))
+                self._text(source[at:] if rest < 0 else source[at:rest], block, linked)
                 return
             self._text(source[at:m.start()], block, linked)
             at = m.end()
+            if source.startswith("<!--", m.start()) and not source.endswith("-->", m.start() + 4, at):
+                return                      # a comment that is never closed
             end, tag, attributes = (m.group(1), m.group(2), m.group(3)) if m.group(2) else m.group(4, 5, 6)
             if tag is None:
                 continue
@@ -162,11 +217,14 @@ class _Page:
                 self._close(_SAME[tag], _FENCE - {tag})
             if tag in _CLOSES_P:
                 self._close(("p",), _FENCE)
-            away = tag in _SKIPPED or names and tag not in _KEPT and bool(attributes) and _named_away(attributes)
+            named = names and tag not in _KEPT and tag != "blockquote" and bool(attributes) and _named_away(attributes)
+            own = 1 if tag in _SKIPPED else 2 if named else 0
             if tag in _BLOCK or tag in _SKIPPED:
-                self._open(tag, away)
-            elif away:
-                self._open("~" + tag, True)
+                at_ = self._open(tag, own)
+                if named and "header" in attributes.lower():
+                    self.headers.add(at_)
+            elif named:
+                self._open("~" + tag, own)
 
     def select(self) -> list[int]:
         """The elements that make up the article."""
@@ -185,11 +243,16 @@ class _Page:
                 c, t, lc, lt = chars[i], max(tags[i], 1), link_chars[i], max(link_tags[i], 1)
                 base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
                 density[i] = c / t * max(math.log(c / max(lc, 1) * t / lt), 0.0) / base
+        home = self.parent[:]                    # the next element around that stays
+        for i in range(1, n):
+            if self.away[home[i]]:
+                home[i] = home[home[i]]
         for i in range(1, n):
-            sums[self.parent[i]] += density[i]
+            if not self.away[i]:
+                sums[home[i]] += density[i]
         greatest = sums[:]                       # within each element
         for i in range(n - 1, 0, -1):
-            greatest[self.parent[i]] = max(greatest[self.parent[i]], greatest[i])
+            greatest[home[i]] = max(greatest[home[i]], greatest[i])
         inside = [i >= body and (i == body or self.parent[i] >= body) for i in range(n)]
         heart = max((i for i in range(n) if inside[i] and not self.away[i]), key=lambda i: (sums[i], -i), default=body)
         least, i = density[heart], heart
@@ -199,7 +262,7 @@ class _Page:
         out, todo = [], [body]
         children: dict[int, list[int]] = {}
         for i in range(1, n):
-            children.setdefault(self.parent[i], []).append(i)
+            children.setdefault(home[i], []).append(i)
         while todo:
             i = todo.pop()
             if sums[i] >= greatest[i]:

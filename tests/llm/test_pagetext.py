@@ -60,3 +60,116 @@ def test_query_against_the_articles(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|<footer|$)", source, re.S).group(1).replace("<br>", " ")
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", inner))
         assert got[i] == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("page,kept", [
+    ("<div class='layout sidebar-right'><article><p>{0}</article></div><p>other line here", True),
+    ("<div id='header-and-content'><article><p>{0}</article></div><p>other line here", True),
+    ("<article><p title='a hidden gem'>{0}</article>", True),
+    ("<article><p data-id='comment-12'>{0}</article>", True),
+    ("<article><p data-role='banner'>{0}</article>", True),
+    ("<article><p class='social-science'>{0}</article>", True),
+    ("<article><p>x<blockquote class='reply'><p>{0}</blockquote></article>", True),
+    ("<article><header><h1>{0}</h1>by someone</header><p>text</article>", True),
+    ("<article><div class='article-header'><h2>{0}</h2></div><p>text</article>", True),
+    ("<div class='promo'><p>{0}<p>{0}</div><p>short", True),
+    ("<article><p>text</article><p hidden>{0}", False),
+    ("<article><p>text<p style='display: none'>{0}</article>", False),
+    ("<article><p>text<div class='share-buttons'>{0}</div></article>", False),
+    ("<article><p>text<p aria-hidden=true>{0}</article>", False),
+    ("<article><p>text</article><section id=comments><p>{0}<p>{0}<p>{0}</section>", False),
+    ("<article><p>text<footer><h2>{0}</h2></footer></article>", False),
+    ("<header><h1>{0}</h1></header><article><p>text</article>", False)])
+def test_names_do_not_cost_an_article(page, kept):
+    assert (LONG in main_text(f"<body>{page.format(LONG)}</body>")) == kept
+
+
+def test_unclosed_tags_take_no_time():
+    import time
+    began = time.time()
+    for piece in ("<a ", "<", "<p class='", '<a href="', "<!-", "</"):
+        main_text("<p>start</p>" + piece * ((1 << 20) // len(piece)))
+    assert time.time() - began < 12
+    assert main_text("<p>a</p>x <b y") == "a\nx <b y" and main_text("<p>a</p>x <!-- y <b>") == "a\nx"
+
+
+def brute_density(chars, tags, link_chars, link_tags, ratio):
+    import math
+    c, t, lc, lt = chars, max(tags, 1), link_chars, max(link_tags, 1)
+    return c / t * max(math.log(c / max(lc, 1) * t / lt), 0) / math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
+
+
+def test_densities_equal_a_recursive_version():
+    """The chosen subtree, from nested lists: (tag, children), text, or links."""
+    import random
+    from streamledger.llm.pagetext import _Page
+    rnd = random.Random(3)
+
+    def tree(depth):
+        if depth == 0 or rnd.random() < .2:
+            return "w" * rnd.randint(1, 60)
+        return ("div", [("a", ["l" * rnd.randint(1, 20)]) if rnd.random() < .2 else tree(depth - 1) for _ in range(rnd.randint(1, 4))])
+
+    def markup(node):
+        return node + " " if isinstance(node, str) else f"<{node[0]}>" + "".join(map(markup, node[1])) + f"</{node[0]}>"
+
+    def totals(node, linked=False):
+        if isinstance(node, str):
+            return len(node), 0, len(node) * linked, 0
+        parts = [totals(c, linked or node[0] == "a") for c in node[1]]
+        c, t, lc, lt = (sum(p[k] for p in parts) for k in range(4))
+        inner = sum(1 for c_ in node[1] if not isinstance(c_, str))
+        return c, t + inner, lc, lt + sum(1 for c_ in node[1] if not isinstance(c_, str) and c_[0] == "a")
+
+    def divs(node):
+        return [c for c in node[1] if not isinstance(c, str) and c[0] == "div"]
+
+    for _ in range(60):
+        body = ("body", [("div", [tree(3), tree(2)]), tree(3), "x" * 5])
+        page = _Page(markup(body), True)
+        c, t, lc, lt = totals(body)
+        ratio = lc / max(c, 1)
+        density = {}
+
+        def visit(node):
+            density[id(node)] = brute_density(*totals(node), ratio) if totals(node)[0] else 0.0
+            for child in divs(node):
+                visit(child)
+        visit(body)
+        sums = {}
+
+        def add(node):
+            sums[id(node)] = sum(density[id(k)] for k in divs(node))
+            return max([sums[id(node)], *(add(k) for k in divs(node))])
+        best = add(body)
+
+        def path(node):
+            """Nodes from the body down to the first with the greatest sum."""
+            if sums[id(node)] == best:
+                return [node]
+            for k in divs(node):
+                down = path(k)
+                if down:
+                    return [node, *down]
+            return None
+        least = min(density[id(k)] for k in path(body))
+
+        def choose(node):
+            inner = [node]
+            top = sums[id(node)]
+            stack = divs(node)
+            while stack:
+                k = stack.pop()
+                top = max(top, sums[id(k)])
+                stack += divs(k)
+            if sums[id(node)] >= top:
+                return inner
+            return [x for k in divs(node) if density[id(k)] >= least for x in choose(k)]
+        want = sorted(totals(k) for k in choose(body))
+        n = len(page.tag)
+        cols = [list(col) for col in (page.chars, page.tags, page.link_chars, page.link_tags)]
+        for i in range(n - 1, 0, -1):
+            for col in cols:
+                col[page.parent[i]] += col[i]
+        got = sorted(tuple(col[i] for col in cols) for i in page.select())
+        assert got == want
