@@ -12,7 +12,8 @@ carries its own from shard to shard.
 Each task returns k candidates for a query; they meet by query.
 
 Definitions: a vector that is null, holds a null or a component that is not
-finite, or has no id, takes no part.  Products are taken between vectors of
+finite, or has no id, takes no part.  A finite component whose code is 2**62 or
+more, and a product that doesn't fit into 64 bits, are errors, never dropped.  Products are taken between vectors of
 equal length.  A query's own row is left out, other rows with its id are not.
 Ties go to the smaller id.  Extra columns are ignored.
 """
@@ -79,9 +80,7 @@ class TopK:
         """New candidates: scores[i] are those of query rows[i] with ``ids``."""
         score = np.concatenate((self.scores[rows], scores), axis=1)
         name = np.concatenate((self.ids[rows], np.broadcast_to(ids, scores.shape)), axis=1)
-        by = np.lexsort((name, -score.astype(np.float64)), axis=1) if np.abs(scores).max(initial=0) < _EXACT \
-            else np.array([sorted(range(score.shape[1]), key=lambda j: (-int(score[i, j]), int(name[i, j])))  # noqa: B023
-                           for i in range(len(rows))])
+        by = np.lexsort((name, ~score), axis=1)          # ~ turns 64-bit integers around without overflow
         by = by[:, :self.k]
         self.scores[rows] = np.take_along_axis(score, by, 1)
         self.ids[rows] = np.take_along_axis(name, by, 1)
@@ -92,7 +91,12 @@ def _products(q: np.ndarray, codes: np.ndarray) -> np.ndarray:
     reach = float(np.abs(q).max(initial=0)) * float(np.abs(codes).max(initial=0)) * max(q.shape[1], 1)
     if reach < _EXACT:
         return (q.astype(np.float64) @ codes.astype(np.float64).T).astype(np.int64)
-    return q @ codes.T
+    if reach < 2.0 ** 62:
+        return q @ codes.T
+    exact = q.astype(object) @ codes.astype(object).T
+    if exact.size and (exact.max() >= 2 ** 63 or exact.min() <= _LEAST):
+        raise ArithmeticError("a score is past a 64-bit integer")
+    return exact.astype(np.int64)
 
 
 def search_shard(top: TopK, q: np.ndarray, own: np.ndarray, shard: int, ids: np.ndarray, codes: np.ndarray,
@@ -167,10 +171,12 @@ def _codes(batch: pa.RecordBatch, scale: int):
     flat = column.flatten()
     good = np.asarray(flat.is_valid()) & np.isfinite(flat.fill_null(np.nan).to_numpy(zero_copy_only=False))
     values = np.floor(np.where(good, flat.fill_null(0.0).to_numpy(zero_copy_only=False), 0.0) * scale)
-    good &= np.abs(values) < 2.0 ** 62           # a code is a long
+    large = np.abs(values) >= 2.0 ** 62
     starts = np.concatenate(([0], np.cumsum(np.maximum(sizes, 0))))
     wrong = np.concatenate(([0], np.cumsum(~good)))
     ok = (sizes >= 0) & (wrong[starts[1:]] == wrong[starts[:-1]]) & np.asarray(ids.is_valid())
+    if large.any() and (wrong[starts[1:]] == wrong[starts[:-1]])[np.searchsorted(starts, np.flatnonzero(large), "right") - 1].any():
+        raise ArithmeticError("a component is past the range of integer codes, 2**62")
     names = ids.fill_null(0).to_numpy(zero_copy_only=False)
     for dim in np.unique(sizes[ok]).tolist():
         rows = np.flatnonzero(ok & (sizes == dim))

@@ -59,6 +59,24 @@ def test_large_codes_stay_exact():
     assert top.ids.tolist() == [[6, 4]]
 
 
+def test_old_and_new_scores_are_compared_exactly():
+    top = balltree.TopK(1, 3)
+    top.add(np.array([0]), np.array([[2 ** 60, 2 ** 60 + 1]]), np.array([5, 6]))
+    top.add(np.array([0]), np.array([[3, 4]]), np.array([1, 2]))
+    assert top.ids.tolist() == [[6, 5, 2]] and top.scores.tolist() == [[2 ** 60 + 1, 2 ** 60, 4]]
+
+
+def test_large_components_take_part_or_raise(spark):
+    schema = "vec_id long, embedding array<double>"
+    fits = [(100, [2.0 ** 10, 1.0]), (2, [2.0 ** 50, 0.0]), (3, [2.0 ** 50, 1.0]), (4, [1e300, float("nan")])]
+    got = [tuple(r) for r in balltree.top_k(spark.createDataFrame(fits, schema), scale=1).orderBy("rank").collect()]
+    assert got == [(100, 1, 3, 2 ** 60 + 1), (100, 2, 2, 2 ** 60)]
+    with pytest.raises(Exception, match="a score is past"):
+        balltree.top_k(spark.createDataFrame([(100, [2.0 ** 40]), (2, [2.0 ** 40])], schema), scale=1).collect()
+    with pytest.raises(Exception, match="past the range of integer codes"):
+        balltree.top_k(spark.createDataFrame([(100, [1e300]), (2, [1.0])], schema)).collect()
+
+
 def test_empty_table_and_clashing_columns(spark):
     schema = "vec_id long, embedding array<float>, score string, rank int, shard int"
     assert balltree.top_k(spark.createDataFrame([], schema)).collect() == []
