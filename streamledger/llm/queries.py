@@ -185,6 +185,22 @@ LLM_ORACLES: dict[str, str] = {
           FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op7_warc": """
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+        digested AS (
+          SELECT *, array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      ((CAST('0x' || substr(h, (j // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31) + 1, 1)), '') AS digest
+          FROM p),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY payload ORDER BY page_id NULLS LAST) AS k,
+                 first_value(page_id) OVER (PARTITION BY payload ORDER BY page_id NULLS LAST) AS lead
+          FROM digested)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN k > 1 THEN lead END AS refers_to
+        FROM ranked
+    """,
     "op13_substring_dedup": """
         WITH d AS (
           SELECT row_number() OVER () AS row, doc_id,

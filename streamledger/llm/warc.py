@@ -85,19 +85,32 @@ _LENGTH = re.compile(rb"\r\ncontent-length: *(\d+)", re.I)
 
 def records(stream, piece: int = _PIECE):
     """The records of a gzip stream of one or more members, inflated piece by
-    piece; holds one record at a time."""
+    piece; holds one record at a time.  Zero bytes between or behind members are
+    padding.  An archive that is cut, within a member or a record, is an error."""
     inflate, held, need = zlib.decompressobj(31), bytearray(), 0
-    pending = b""
+    pending, begun = b"", False
     while True:
         raw = pending or stream.read(piece)
-        if not raw and not held:
-            return
         if not raw:
-            raise ValueError("the archive ends within a record")
-        held += inflate.decompress(raw, piece)
-        pending = inflate.unconsumed_tail
+            # all input is read: what the member still holds comes out, and its end
+            left = inflate.decompress(b"", piece) if begun else b""
+            if begun and not left and not inflate.eof:
+                raise ValueError("the archive ends within a gzip member")
+            if not begun:
+                if held:
+                    raise ValueError("the archive ends within a record")
+                return
+            held += left
+        else:
+            if not begun:
+                raw = raw.lstrip(b"\0")
+                pending = b""
+            if raw:
+                begun = True
+                held += inflate.decompress(raw, piece)
+                pending = inflate.unconsumed_tail
         if inflate.eof:
-            pending = inflate.unused_data
+            pending, begun = inflate.unused_data, False
             inflate = zlib.decompressobj(31)
         while True:
             if not need:

@@ -86,6 +86,28 @@ def test_damage_is_noticed():
         warc.parse(good.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))
 
 
+def test_cut_and_padded_archives():
+    """A stream cut anywhere is an error; zero bytes behind or between members are not."""
+    import io
+    raws = [warc.record(i, f"u{i}", f"payload {i} ".encode() * 50, None, False) for i in range(30)]
+    deflate = zlib.compressobj(6, zlib.DEFLATED, 31)
+    flushed = deflate.compress(b"".join(raws[:15])) + deflate.flush(zlib.Z_FULL_FLUSH)
+    whole = flushed + deflate.compress(b"".join(raws[15:])) + deflate.flush()
+    members = b"".join(map(warc._member, raws))
+    read = lambda data, piece=1 << 20: list(warc.records(io.BytesIO(data), piece))
+    for piece in (1, 7, 64, 1 << 20):
+        assert read(whole, piece) == raws and read(members, piece) == raws
+    for padded in (whole + bytes(512), members + bytes(9), bytes(3).join(map(warc._member, raws))):
+        assert read(padded) == read(padded, 5) == raws
+    for cut in (whole[:-1], whole[:-4], whole[:-8], whole[:-9], flushed, whole[:len(whole) // 2], whole[:10],
+                members[:-1], members[:-8], members[:-200]):
+        with pytest.raises(ValueError, match="ends within"):
+            read(cut)
+    with pytest.raises(ValueError, match="within a record"):
+        read(warc._member(raws[0][:-1]))
+    assert read(b"") == read(bytes(100)) == []
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
