@@ -111,8 +111,15 @@ def balance(counts: DataFrame, sources: DataFrame, most: int = 2) -> DataFrame:
             "sid", "target", "scale", "lo", "hi",
             F.when(F.col("done"), F.col("multiplier")).otherwise(step).alias("multiplier"), "done"), "mixing-state")
         if state.where("not done").isEmpty():
-            break
-    return state.select("sid", "multiplier")
+            return state.select("sid", "multiplier")
+    raise ArithmeticError(f"multipliers not found in {_STEPS} steps")
+
+
+def _block(blocks: int) -> Column:
+    """The block that a document is numbered in.  Rows without an id are alike
+    but for their size: they come last, spread over as many blocks again."""
+    without = F.lit(blocks) + F.pmod(F.xxhash64("row"), F.lit(blocks))
+    return F.when(F.col("doc_id").isNull(), without).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
@@ -143,7 +150,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     # A document's number within its (source, size), which may hold any share
     # of the rows: blocks by id, each numbered by itself.
     blocks = max(1, -(-sizes.count() // _BLOCK_ROWS))
-    placed = keyed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    placed = keyed.withColumn("block", _block(blocks))
     ahead = Window.partitionBy("sid", "size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("sid", "size", "block").agg(F.count("*").alias("n")) \
         .withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")

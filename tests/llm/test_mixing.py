@@ -92,3 +92,26 @@ def test_query_on_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
     verify(rows, op6_mixing(spark, sf).collect(), 0.5)
+
+
+def test_rows_without_ids_are_spread_and_reruns_agree(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from streamledger.llm import mixing
+    monkeypatch.setattr(mixing, "_BLOCK_ROWS", 100)
+    rows = [(None if i % 3 else i, "a b c", "s" if i % 2 else "t") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    blocks = df.select("doc_id", F.monotonically_increasing_id().alias("row")).groupBy(mixing._block(30).alias("b")).count().collect()
+    assert len(blocks) == 60 and max(r["count"] for r in blocks) < 200
+    runs = [sorted(((r.doc_id, r.size, r.taken) for r in mixing.mix(d).collect()), key=str)
+            for d in (df.repartition(2), df.repartition(5))]
+    assert runs[0] == runs[1] and len(runs[0]) == 3000
+    assert sum(r[2] for r in runs[0]) == 13500
+
+
+def test_a_dual_that_is_not_solved_is_an_error(spark, monkeypatch):
+    from streamledger.llm import mixing
+    monkeypatch.setattr(mixing, "_STEPS", 1)
+    rows = [(i, "w " * (i % 50 + 1), "st"[i % 2]) for i in range(300)]
+    with pytest.raises(ArithmeticError, match="not found"):
+        mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
