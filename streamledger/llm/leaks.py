@@ -14,7 +14,8 @@ the segment lacks costs nothing more.
 most ``span`` words of one document that begin with a word of the window and
 hold every distinct word of it, in any order.  Only places near the window's
 rarest term in the segment are looked at; which term that is doesn't change
-what is found.
+what is found.  ``decontaminate`` does both in one pass over the index, if it is
+given a ``span``.
 
 Benchmark items are phrases cut into windows of ``window`` words.  They are
 sent to the tasks in blocks of at most ``block_bytes`` of text, one pass over
@@ -23,7 +24,7 @@ the index for each block, so what is broadcast does not grow with them.
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 Null texts have no words.  An item with a null id counts as an occurrence but
 is not listed.  Rows that share an id are handled one by one; a null ``doc_id``
-is kept.  Extra columns are ignored.
+is kept.  Equal benchmark rows are one.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 INDEX = ("segment long, n_tokens long, doc_ids array<long>, doc_starts array<long>, "
          "terms binary, term_starts binary, deltas binary")
-HITS = "segment long, doc_no int, item_id string, spans array<array<int>>"
+HITS = "segment long, doc_no int, item_id string, spans array<array<int>>, near boolean"
 NEAR = "segment long, doc_no int, item_id string, position int"
 
 
@@ -200,14 +201,25 @@ def proximity_matches(index: Postings, terms: np.ndarray, length: int, near: int
     return _near_rarest(index, terms[None, :length], np.array([length]), near)[1]
 
 
+def _in_turn(index: Postings, terms: np.ndarray, lengths: np.ndarray):
+    """Rows whose terms the segment has, in groups whose rarest terms have about
+    ``_CANDIDATES`` places together."""
+    used = np.arange(terms.shape[1]) < lengths[:, None]
+    size = np.where(used, index.counts(terms.ravel()).reshape(terms.shape), np.iinfo(np.int64).max)
+    least = np.where(lengths > 0, size.min(axis=1, initial=np.iinfo(np.int64).max), 0)
+    live = np.flatnonzero(least > 0)
+    if len(live):
+        yield from np.split(live, np.flatnonzero(np.diff(np.cumsum(least[live]) // _CANDIDATES)) + 1)
+
+
 def stretches(index: Postings, terms: np.ndarray, lengths: np.ndarray, span: int):
     """Stretches of at most ``span`` words that begin with one of a row's terms
     and hold them all: (row, first position), ascending."""
     rows, firsts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     width = terms.shape[1]
-    row, at = _near_rarest(index, terms, lengths, span - 1)
-    for k in range(0, len(row), _CANDIDATES):
-        r, p = row[k:k + _CANDIDATES], at[k:k + _CANDIDATES]
+    for group in _in_turn(index, terms, lengths):
+        r, p = _near_rarest(index, terms[group], lengths[group], span - 1)
+        r = group[r]
         lo, _ = index.around(p, span - 1)
         found = []          # where a stretch that holds the rarest term may begin
         for j in range(width):
@@ -253,41 +265,67 @@ def _windows(items: list[list[bytes]], window: int):
     return list(number), table, lengths, starts, flat
 
 
-def _search(sent, window: int):
+def _segments(batches):
+    """The index's segments, ready to search: (segment, postings)."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            get = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
+            yield get("segment"), Postings(get("terms"), get("term_starts"), get("deltas"), get("doc_starts"))
+
+
+def _held(which: np.ndarray, starts: np.ndarray, flat: np.ndarray):
+    """The items that hold the windows ``which``: (index into ``which``, item)."""
+    n = starts[which + 1] - starts[which]
+    own = np.repeat(np.arange(len(which)), n)
+    return own, flat[starts[which][own] + np.arange(len(own)) - (np.cumsum(n) - n)[own]]
+
+
+def _distinct_terms(table: np.ndarray, lengths: np.ndarray):
+    """Windows as sets: each term once."""
+    sets, sizes = np.full_like(table, -1), np.zeros_like(lengths)
+    for row, held in enumerate(table):
+        held = list(dict.fromkeys(held[:lengths[row]].tolist()))
+        sets[row, :len(held)], sizes[row] = held, len(held)
+    return sets, sizes
+
+
+def _search(sent, window: int, span: int | None = None):
+    """One row for each document and item, with its merged spans; with ``span``
+    another, ``near``, for each document and item with a stretch."""
     def task(batches):
         ids, item_words = sent.value
         terms, table, lengths, starts, flat = _windows(item_words, window)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                get = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
-                index = Postings(get("terms"), get("term_starts"), get("deltas"), get("doc_starts"))
-                code = np.append(index.code(terms), -1)
-                which, at = phrase_matches(index, code[table], lengths)
-                doc = np.searchsorted(index.doc_starts, at, side="right") - 1
-                # one row for each document and item, with its merged spans
-                n = starts[which + 1] - starts[which]
-                own = np.repeat(np.arange(len(which)), n)
-                item = flat[np.repeat(starts[which] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-                            + np.arange(int(n.sum()))] if len(which) else np.empty(0, np.int64)
-                lo = (at - index.doc_starts[doc])[own]
-                hi, doc = lo + lengths[which][own], doc[own]
-                by = np.lexsort((lo, item, doc))
-                out: list[tuple[int, int, list]] = []
-                for d, i, a, b in zip(*(x[by].tolist() for x in (doc, item, lo, hi))):
-                    if out and out[-1][:2] == (d, i):
-                        spans = out[-1][2]
-                        if a <= spans[-1][1]:
-                            spans[-1][1] = max(b, spans[-1][1])
-                        else:
-                            spans.append([a, b])
+        sets, sizes = _distinct_terms(table, lengths) if span else (None, None)
+        for segment, index in _segments(batches):
+            code = np.append(index.code(terms), -1)
+            which, at = phrase_matches(index, code[table], lengths)
+            doc = np.searchsorted(index.doc_starts, at, side="right") - 1
+            own, item = _held(which, starts, flat)
+            lo = (at - index.doc_starts[doc])[own]
+            hi, doc = lo + lengths[which][own], doc[own]
+            by = np.lexsort((lo, item, doc))
+            out: list[tuple[int, int, list | None]] = []
+            for d, i, a, b in zip(*(x[by].tolist() for x in (doc, item, lo, hi))):
+                if out and out[-1][:2] == (d, i):
+                    spans = out[-1][2]
+                    if a <= spans[-1][1]:
+                        spans[-1][1] = max(b, spans[-1][1])
                     else:
-                        out.append((d, i, [[a, b]]))
-                cols = list(zip(*out)) or [[], [], []]
-                segment = get("segment")
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([segment] * len(out), pa.int64()), pa.array(cols[0], pa.int32()),
-                    pa.array([ids[i] for i in cols[1]], pa.string()), pa.array(cols[2], pa.list_(pa.list_(pa.int32())))],
-                    ["segment", "doc_no", "item_id", "spans"])
+                        spans.append([a, b])
+                else:
+                    out.append((d, i, [[a, b]]))
+            if span and index.n and len(table):
+                which, at = stretches(index, code[sets], sizes, span)
+                own, item = _held(which, starts, flat)
+                doc = np.searchsorted(index.doc_starts, at, side="right") - 1
+                both = np.unique(doc[own] * np.int64(len(ids)) + item)
+                out += [(d, i, None) for d, i in zip(*(x.tolist() for x in np.divmod(both, len(ids))))]
+            cols = list(zip(*out)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([segment] * len(out), pa.int64()), pa.array(cols[0], pa.int32()),
+                pa.array([ids[i] for i in cols[1]], pa.string()), pa.array(cols[2], pa.list_(pa.list_(pa.int32()))),
+                pa.array([s is None for s in cols[2]], pa.bool_())],
+                ["segment", "doc_no", "item_id", "spans", "near"])
     return task
 
 
@@ -295,34 +333,31 @@ def _proximity(sent, window: int, span: int):
     def task(batches):
         ids, item_words = sent.value
         terms, table, lengths, starts, flat = _windows(item_words, window)
-        for row, held in enumerate(table):          # each term once
-            held = list(dict.fromkeys(held[:lengths[row]].tolist()))
-            table[row], lengths[row] = held + [-1] * (table.shape[1] - len(held)), len(held)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                get = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
-                index = Postings(get("terms"), get("term_starts"), get("deltas"), get("doc_starts"))
-                code = np.append(index.code(terms), -1)
-                if index.n == 0 or len(table) == 0:
-                    continue
-                which, at = stretches(index, code[table], lengths, span)
-                n = starts[which + 1] - starts[which]
-                own = np.repeat(np.arange(len(which)), n)
-                item = flat[starts[which][own] + np.arange(len(own)) - (np.cumsum(n) - n)[own]]
-                item, at = np.unique(np.stack((item, at[own])), axis=1) if len(own) else (item, at)
-                doc = np.searchsorted(index.doc_starts, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), get("segment"), np.int64)), pa.array(doc.astype(np.int32)),
-                    pa.array([ids[i] for i in item.tolist()], pa.string()),
-                    pa.array((at - index.doc_starts[doc]).astype(np.int32))],
-                    ["segment", "doc_no", "item_id", "position"])
+        sets, sizes = _distinct_terms(table, lengths)
+        for segment, index in _segments(batches):
+            if index.n == 0 or len(table) == 0:
+                continue
+            which, at = stretches(index, np.append(index.code(terms), -1)[sets], sizes, span)
+            own, item = _held(which, starts, flat)
+            item, at = np.unique(np.stack((item, at[own])), axis=1) if len(own) else (item, at)
+            doc = np.searchsorted(index.doc_starts, at, side="right") - 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(at), segment, np.int64)), pa.array(doc.astype(np.int32)),
+                pa.array([ids[i] for i in item.tolist()], pa.string()),
+                pa.array((at - index.doc_starts[doc]).astype(np.int32))],
+                ["segment", "doc_no", "item_id", "position"])
     return task
 
 
+def _check_span(window: int, span: int) -> None:
+    if span < window:
+        raise ValueError("span must be at least window, or exact phrases would be missed")
+
+
 def _by_block(index: DataFrame, items: DataFrame, block_bytes: int, task, schema: str) -> DataFrame:
     """``task`` of every block of items, over all segments."""
     texts = items.select(F.col("item_id").cast("string").alias("item_id"),
-                         F.col("text").cast("string").alias("text")).where(F.octet_length("text") > 0)
+                         F.col("text").cast("string").alias("text")).where(F.octet_length("text") > 0).distinct()
     blocks = blocks_for(total_bytes(texts, "text"), block_bytes)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     found = None
@@ -339,7 +374,7 @@ def search(index: DataFrame, items: DataFrame, window: int = 10,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Occurrences of the items' windows: rows (segment, doc_no, item_id,
     spans), spans as [first word, one past the last)."""
-    return _by_block(index, items, block_bytes, lambda sent: _search(sent, window), HITS)
+    return _by_block(index, items, block_bytes, lambda sent: _search(sent, window), HITS).drop("near")
 
 
 def proximity(index: DataFrame, items: DataFrame, window: int = 10, span: int = 12,
@@ -347,43 +382,54 @@ def proximity(index: DataFrame, items: DataFrame, window: int = 10, span: int =
     """Stretches of at most ``span`` words that hold all words of one of the
     items' windows, in any order: rows (segment, doc_no, item_id, position),
     position being the stretch's first word.  A position is listed once for
-    each row of ``items``."""
-    if span < window:
-        raise ValueError("span must be at least window, or exact phrases would be missed")
+    each different row of ``items``."""
+    _check_span(window, span)
     return _by_block(index, items, block_bytes, lambda sent: _proximity(sent, window, span), NEAR)
 
 
+def _ids_digest(items) -> tuple[int, str]:
+    ids = sorted({x for x in items or () if x is not None})
+    return len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()
+
+
 def _digest(batches):
-    """Union of spans and the list of items of each document."""
-    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    """Union of spans and the lists of items of each document."""
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near", "near_sha256"]
     for batch in batches:
         rows = []
-        for i, n, lists, items in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_words", "lists", "items"))):
+        for i, n, lists, items, near in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_words", "lists", "items", "near"))):
             hit, end = 0, 0
             for a, b in sorted(map(tuple, (s for spans in lists or () for s in spans))):
                 hit += max(b - max(a, end), 0)
                 end = max(end, b)
-            ids = sorted({x for x in items or () if x is not None})
-            rows.append((i, n, hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), hit > 0))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-        cols = list(zip(*rows)) or [[]] * 6
+            rows.append((i, n, hit, *_ids_digest(items), hit > 0, *_ids_digest(near)))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.string()]
+        cols = list(zip(*rows)) or [[]] * 8
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, span: int | None = None,
                   segment_bytes: int = SEGMENT_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated."""
+    contaminated.  With ``span`` also n_near and near_sha256, the same of the
+    items with a window whose words all stand within ``span`` words of the
+    document, in any order (so of those with an exact occurrence too)."""
+    if span is not None:
+        _check_span(window, span)
     index = materialize(build_index(docs, segment_bytes), "leaks-index")
     # A document's hits are bounded by its words and the items.
-    per_doc = search(index, benchmark, window, block_bytes).groupBy("segment", "doc_no").agg(
-        F.collect_list("spans").alias("lists"), F.collect_set("item_id").alias("items"))
+    per_doc = _by_block(index, benchmark, block_bytes, lambda sent: _search(sent, window, span), HITS) \
+        .groupBy("segment", "doc_no").agg(
+            F.collect_list("spans").alias("lists"), F.collect_set(F.when(~F.col("near"), F.col("item_id"))).alias("items"),
+            F.collect_set(F.when(F.col("near"), F.col("item_id"))).alias("near"))
     # An id's place in its segment is the document's number there.
     every = index.select(
         "segment", F.posexplode(F.arrays_zip(
             "doc_ids", F.slice("doc_starts", F.lit(1), F.size("doc_ids")).alias("lo"),
             F.slice("doc_starts", F.lit(2), F.size("doc_ids")).alias("hi"))).alias("doc_no", "doc")) \
         .select("segment", "doc_no", F.col("doc.doc_ids").alias("doc_id"), (F.col("doc.hi") - F.col("doc.lo")).alias("n_words"))
-    out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return every.join(per_doc, ["segment", "doc_no"], "left") \
-        .select("doc_id", "n_words", "lists", "items").mapInArrow(_digest, out)
+    out = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+           "n_near long, near_sha256 string")
+    found = every.join(per_doc, ["segment", "doc_no"], "left") \
+        .select("doc_id", "n_words", "lists", "items", "near").mapInArrow(_digest, out)
+    return found if span else found.drop("n_near", "near_sha256")

@@ -72,8 +72,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten-word windows of benchmark items, found in whole documents."""
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    """Ten-word windows of benchmark items, found in whole documents; also with
+    their words moved or parted, within twelve words."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, span=12)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,11 +136,29 @@ LLM_ORACLES: dict[str, str] = {
           FROM (SELECT row, unnest(range(p, p + size)) AS place FROM (SELECT DISTINCT row, p, size FROM hits)) GROUP BY row),
         items AS (
           SELECT row, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
-          FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY row)
+          FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY row),
+        sets AS (
+          SELECT row_number() OVER () AS set_no, item_id, terms
+          FROM (SELECT DISTINCT item_id, list_sort(list_distinct(string_split(words, ' '))) AS terms
+                FROM windows WHERE item_id IS NOT NULL)),
+        term AS (SELECT set_no, unnest(terms) AS word FROM sets),
+        word AS (SELECT row, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+        often AS (SELECT word, count(*) AS n FROM word SEMI JOIN term USING (word) GROUP BY word),
+        rare AS (SELECT set_no, arg_min(word, coalesce(n, 0)) AS word FROM term LEFT JOIN often USING (word) GROUP BY set_no),
+        around AS (
+          SELECT row, item_id, terms, p, ws[greatest(p - 11, 1):p + 11] AS part, least(p - 1, 11) AS back
+          FROM word JOIN rare USING (word) JOIN sets USING (set_no) JOIN d USING (row)
+          WHERE list_has_all(ws[greatest(p - 11, 1):p + 11], terms)),
+        near AS (
+          SELECT row, count(*) AS n_near, string_agg(name, ',' ORDER BY name) AS near_names
+          FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS name
+                FROM (SELECT *, unnest(range(1, back + 2)) AS f FROM around)
+                WHERE list_has_all(part[f:f + 11], terms)) GROUP BY row)
         SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AS contaminated
-        FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row)
+               coalesce(n_hit, 0) > 0 AS contaminated,
+               CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, sha256(coalesce(near_names, '')) AS near_sha256
+        FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row) LEFT JOIN near USING (row)
     """,
     "op4_preference_format": """
         WITH turns AS (

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -9,10 +10,11 @@ from streamledger.llm.queries import op9_decontamination
 from . import brute
 
 COLS = "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+NEAR = (*COLS, "n_near", "near_sha256")
 
 
-def rows(df):
-    return sorted((tuple(r[c] for c in COLS) for r in df.collect()), key=str)
+def rows(df, cols=COLS):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
 
 
 def corpus(seed):
@@ -38,10 +40,40 @@ def test_matches_brute_force(spark, seed, segment, block):
     docs, items = corpus(seed)
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = spark.createDataFrame(items, "item_id long, text string")
-    assert rows(leaks.decontaminate(d, b, 10, segment, block)) == sorted(
+    assert rows(leaks.decontaminate(d, b, 10, None, segment, block)) == sorted(
         brute.decontaminate(docs, items, 10), key=str)
 
 
+@pytest.mark.parametrize("seed,window,span,segment,block", [(1, 10, 12, 1 << 20, 1 << 20), (2, 4, 7, 300, 200)])
+def test_near_columns_against_brute_force(spark, monkeypatch, seed, window, span, segment, block):
+    monkeypatch.setattr(leaks, "_CANDIDATES", 50)
+    docs, items = corpus(seed)
+    d = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(docs)], "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = leaks.decontaminate(d, b, window, span, segment, block)
+    want = {}
+    for k, i, _ in near_by_brute_force([(k, t) for k, (_, t) in enumerate(docs)], [x for x in items if x[0] is not None], window, span):
+        want.setdefault(k, set()).add(str(i))
+    for r in got.collect():
+        ids = sorted(want.get(r.doc_id, ()))
+        assert (r.n_near, r.near_sha256) == (len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest())
+        assert r.n_near >= r.n_items
+    assert rows(got) == rows(leaks.decontaminate(d, b, window, None, segment, block))
+    with pytest.raises(ValueError):
+        leaks.decontaminate(d, b, 10, 9)
+
+
+def test_equal_benchmark_rows_are_sent_once(spark):
+    b = spark.createDataFrame([(1, "a b c")] * 500 + [(2, "a b c")], "item_id long, text string")
+    d = spark.createDataFrame([(1, "x a b c y"), (2, "c z a b"), (3, "c a")], "doc_id long, text string")
+    sent = []
+    index = leaks.materialize(leaks.build_index(d), "leaks-test")
+    leaks._by_block(index, b, 1 << 20, lambda s: sent.append(len(s.value[0])) or leaks._search(s, 10, 12), leaks.HITS).collect()
+    assert sent == [2]
+    got = {r.doc_id: (r.n_hit, r.n_items, r.n_near) for r in leaks.decontaminate(d, b, 10, 12).collect()}
+    assert got == {1: (3, 2, 2), 2: (0, 0, 2), 3: (0, 0, 0)}
+
+
 def test_index_holds_every_token(spark):
     docs, _ = corpus(4)
     d = spark.createDataFrame(docs, "doc_id long, text string")
@@ -120,7 +152,7 @@ def test_empty_tables_and_clashing_columns(spark):
     b = spark.createDataFrame(items, "item_id long, text string")
     assert leaks.decontaminate(none, b).collect() == []
     d = spark.createDataFrame([(1, "a b", "s", 1, 2)], schema)
-    assert rows(leaks.decontaminate(d, b.limit(0)))[0][:4] == (1, 2, 0, 0)
+    assert rows(leaks.decontaminate(d, b.limit(0), span=12))[0][:4] == (1, 2, 0, 0)
 
 
 def test_query_against_sql(spark):
@@ -131,8 +163,8 @@ def test_query_against_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
-    sql = f"select {', '.join(COLS)} from ({LLM_ORACLES['op9_decontamination']})"
-    assert sorted(con.execute(sql).fetchall(), key=str) == rows(op9_decontamination(spark, sf))
+    sql = f"select {', '.join(NEAR)} from ({LLM_ORACLES['op9_decontamination']})"
+    assert sorted(con.execute(sql).fetchall(), key=str) == rows(op9_decontamination(spark, sf), NEAR)
 
 
 def test_query_on_table(spark):
