@@ -26,6 +26,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` with a number for each row, written so that it never changes, and
+    the name of that column."""
+    row = free_name(df, "row")
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
 def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """``df``, after lowering the session's Arrow batch size to ``rows``: a batch
     of texts is held by the JVM and by Python at once, and texts may be long."""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, materialize, small_batches, total_bytes, utf8
+from .common import blocks_for, materialize, numbered, small_batches, total_bytes, utf8
 
 SEGMENT_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20       # benchmark text sent to the tasks at once
@@ -433,3 +433,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, span:
     found = every.join(per_doc, ["segment", "doc_no"], "left") \
         .select("doc_id", "n_words", "lists", "items", "near").mapInArrow(_digest, out)
     return found if span else found.drop("n_near", "near_sha256")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """``docs``, all columns, without the rows that hold a window of an item;
+    rows that share an id, or have none, are judged one by one."""
+    rows, row = numbered(docs, "leaks-rows")
+    found = decontaminate(rows.select(F.col(row).alias("doc_id"), "text"), benchmark, window)
+    bad = found.where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(bad, row, "left_anti").select(*docs.columns)

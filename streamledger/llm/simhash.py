@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, utf8
+from .common import materialize, numbered, small_batches, utf8
 from .components import components
 
 SEED = 42
@@ -130,3 +130,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     by_print = rooted.join(ids, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs``, all columns, with one row of each component: the smallest id
+    (rows without one come last), among equal ids the smallest text.  Every row
+    is a document of its own, also without an id or with another row's."""
+    rows, row = numbered(docs, "simhash-rows")
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle, max_bits) \
+        .select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").cast("long").alias("id")).alias("place")
+    placed = materialize(groups.join(rows.select(F.col(row).alias("row"), place), "row"), "simhash-places")
+    # The smallest id of each group, and how many rows share that.
+    first = placed.groupBy("group", "place").agg(F.count("*").alias("rows"), F.min("row").alias("least")) \
+        .groupBy("group").agg(F.min(F.struct("place", "rows", "least")).alias("first")).select("group", "first.*")
+    tied = placed.join(first.where("rows > 1"), ["group", "place"]).select("row", "group")
+    texts = rows.select(F.col(row).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    by_text = texts.join(tied, "row").groupBy("group").agg(F.min(F.struct("text", "row")).alias("first")).select("first.row")
+    kept = first.where("rows = 1").select(F.col("least").alias("row")).union(by_text)
+    return rows.join(kept.withColumnRenamed("row", row), row, "left_semi").select(*docs.columns)

@@ -146,6 +146,18 @@ def test_leaks_go_row_by_row(spark, corpus):
     assert sorted(got, key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
 
 
+def test_extra_columns_keep_their_values(spark, corpus):
+    """Columns named like those the stages use on the way pass through as they are."""
+    root, _ = corpus
+    names = ["row", "row_", "__row", "null", "__null", "NULL_", "group", "place", "least", "late", "fp", "kept_text", "carried_text", "segment"]
+    docs = spark.read.parquet(f"{root}/documents.parquet").where("doc_id < 30 or doc_id >= 350 or doc_id is null")
+    docs = docs.select("*", *(F.lit(k).alias(c) for k, c in enumerate(names)))
+    for stage in (pipeline.simhash, pipeline.suffix, pipeline.leaks):
+        got = stage(spark, docs, root)
+        assert got.columns == docs.columns
+        assert got.select(*names).distinct().collect() == [tuple(range(len(names)))]
+
+
 def test_empty_tables(spark, corpus):
     root, _ = corpus
     docs = spark.read.parquet(f"{root}/documents.parquet").limit(0)
