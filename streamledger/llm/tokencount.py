@@ -30,6 +30,7 @@ from .common import materialize, small_batches
 from .files import own_name, random_reader, writer
 
 FILE_TOKENS = 16 << 20
+FILE_DOCUMENTS = 1 << 18    # a file is also closed by these: its ids are one row
 BLOCK_TOKENS = 1 << 20
 _PIECE = 1 << 18            # characters encoded at a time
 
@@ -57,10 +58,19 @@ def _encode(pairs, text: str):
         at = end
 
 
+def _check_ids(pairs, separator: int, dtype: str) -> None:
+    ids = set(pairs._mergeable_ranks.values())
+    if separator in ids:
+        raise ValueError(f"the separator {separator} is a token of the vocabulary")
+    if not 0 <= max(separator, *ids) <= np.iinfo(dtype).max:
+        raise ValueError(f"{dtype} does not hold all ids")
+
+
 def write(docs: DataFrame, folder: str, vocabulary: str, separator: int, dtype: str = "<u2",
-          file_tokens: int = FILE_TOKENS) -> DataFrame:
+          file_tokens: int = FILE_TOKENS, file_documents: int = FILE_DOCUMENTS) -> DataFrame:
     """Token files of ``docs`` (doc_id, text) under ``folder``; returns their
-    (path, tokens, doc_ids)."""
+    (path, tokens, doc_ids).  A separator that is a token of the vocabulary, or
+    ids that ``dtype`` does not hold, are errors."""
     def task(batches):
         pairs, count, state = None, 0, None
 
@@ -72,7 +82,9 @@ def write(docs: DataFrame, folder: str, vocabulary: str, separator: int, dtype:
                 ["path", "tokens", "doc_ids"])
 
         for batch in batches:
-            pairs = pairs or encoder(vocabulary)
+            if pairs is None:
+                pairs = encoder(vocabulary)
+                _check_ids(pairs, separator, dtype)
             for i, text in zip(batch.column("doc_id"), batch.column("text")):
                 if state is None:
                     path = own_name(folder, count, ".tokens")
@@ -83,7 +95,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, separator: int, dtype:
                     state[1].write(np.array(ids, dtype).tobytes())
                     state[3] += len(ids)
                 state[4].append(i.as_py())
-                if state[3] >= file_tokens:
+                if state[3] >= file_tokens or len(state[4]) >= file_documents:
                     yield close()
                     state = None
         if state is not None:

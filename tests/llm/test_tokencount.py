@@ -59,3 +59,22 @@ def test_query_on_table(spark):
     want = sorted((r.doc_id, len(pairs.encode_ordinary(r.text)))
                   for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     assert sorted(map(tuple, op2_token_counts(spark, sf).collect())) == want
+
+
+def test_files_close_by_documents_too(spark):
+    """Empty documents are a token each; no file holds more than ``file_documents``."""
+    rows = [(i, "" if i % 7 else "some words") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folder = scratch_dir(spark, "tokens-many")
+    files = tokencount.materialize(tokencount.write(df, folder, VOCABULARY, 50256, file_documents=64), "tokens-test")
+    sizes = [len(r.doc_ids) for r in files.collect()]
+    assert max(sizes) == 64 and sum(sizes) == 500
+    assert tokencount.scan(files, 50256).groupBy().sum("n_tokens").first()[0] == sum(not i % 7 for i, _ in rows) * 2
+
+
+def test_separator_and_ids_are_checked():
+    pairs = tokencount.encoder(VOCABULARY)
+    tokencount._check_ids(pairs, 50256, "<u2")
+    for separator, dtype in ((0, "<u2"), (70000, "<u2"), (50256, "<i2")):
+        with pytest.raises(ValueError):
+            tokencount._check_ids(pairs, separator, dtype)
