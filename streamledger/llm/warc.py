@@ -14,7 +14,8 @@ payloads are always responses.
 
 Definitions: the payload of a null page is empty; a null page id is written as
 ``null``, orders after all ids and is read back as null; rows that share an id
-are separate records; a null url is left out; blanks and control characters in
+are separate records, each with a record id of its own (the page id, a digest of
+what the row holds, the number of the copy); a null url is left out; blanks and control characters in
 a url are percent-encoded.  Extra columns are ignored.
 """
 
@@ -50,8 +51,8 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _name(page_id: int | None) -> str:
-    return f"<{_PAGE}{'null' if page_id is None else page_id}>"
+def _name(page_id: int | None, tail: str) -> str:
+    return f"<{_PAGE}{'null' if page_id is None else page_id}#{tail}>"
 
 
 def _id(name: str) -> int | None:
@@ -59,17 +60,19 @@ def _id(name: str) -> int | None:
     return None if tail == "null" else int(tail)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One record, as bytes."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool,
+           own: str = "", lead: str = "") -> bytes:
+    """One record, as bytes; ``own`` and ``lead`` tell its id and that of the
+    record it refers to from others of the same pages."""
     http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             f"Content-Length: {len(payload)}\r\n\r\n").encode()
     block = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_name(page_id)}",
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_name(page_id, own)}",
             f"WARC-Date: {_DATE}"]
     if url is not None:
         head.append("WARC-Target-URI: " + urllib.parse.quote(url, safe="%/:=&?~#+!$,;'@()*[]|{}\\^`\"<>"))
     if revisit:
-        head += [f"WARC-Refers-To: {_name(refers_to)}",
+        head += [f"WARC-Refers-To: {_name(refers_to, lead)}",
                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += [f"WARC-Payload-Digest: sha1:{digest(payload)}", "Content-Type: application/http; msgtype=response",
              f"Content-Length: {len(block)}", "", ""]
@@ -146,11 +149,13 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
     light = rows.where(F.octet_length("payload") >= least).select("name", "page_id", "key").distinct()
     lead = light.groupBy("key").agg(F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "name")).alias("lead"))
     roles = light.join(lead, "key").select(
-        "name", (F.col("lead.name") == F.col("name")).alias("leads"), F.col("lead.page_id").alias("refers_to"))
+        "name", (F.col("lead.name") == F.col("name")).alias("leads"), F.col("lead.page_id").alias("refers_to"),
+        F.sha1("lead.name").alias("lead"))
     # ... which are dealt out once, by name.
     alike = rows.groupBy("name").agg(F.first("page_id").alias("page_id"), F.first("url").alias("url"),
                                      F.first("payload").alias("payload"), F.count("*").alias("n"))
-    marked = alike.join(roles, "name", "left").select("page_id", "url", "payload", "n", "leads", "refers_to")
+    marked = alike.join(roles, "name", "left").select(
+        "page_id", "url", "payload", "n", "leads", "refers_to", F.sha1("name").alias("own"), "lead")
 
     def task(batches):
         # a file is written as one stream, closed when it is full
@@ -163,8 +168,8 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], ["path", "records"])
 
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "n", "leads", "refers_to"))):
-                i, url, payload, n, leads, to = (x.as_py() for x in row)
+            for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "n", "leads", "refers_to", "own", "lead"))):
+                i, url, payload, n, leads, to, own, lead = (x.as_py() for x in row)
                 for k in range(n):
                     if state is None:
                         path = own_name(folder, count, ".warc.gz")
@@ -172,7 +177,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_
                         state = [path, context.__enter__(), context, zlib.compressobj(6, zlib.DEFLATED, 31), 0, 0]
                         count += 1
                     # no role: a payload too small to be shared
-                    raw = record(i, url, payload, to, leads is not None and not (leads and k == 0))
+                    raw = record(i, url, payload, to, leads is not None and not (leads and k == 0), f"{own}-{k}", f"{lead}-0")
                     state[1].write(state[3].compress(raw))
                     state[4] += 1
                     state[5] += len(raw)

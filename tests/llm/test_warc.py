@@ -120,3 +120,22 @@ def test_query_against_sql(spark):
     want = brute(rows, 0)
     assert sorted(map(tuple, op7_warc(spark, sf).select(*COLS).collect()), key=str) == want
     assert "op7_warc" not in LLM_ORACLES or sorted(con.execute(LLM_ORACLES["op7_warc"]).fetchall(), key=str) == want
+
+
+def test_record_ids_are_unique_and_references_lead_to_responses(spark):
+    rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (1, "v", "<p>a"), (1, "u", "<p>b"), (None, None, "<p>a"), (None, "w", "<p>b"),
+            (None, "w", "<p>b"), (2, None, None), (2, None, "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    archives = warc.write(df, warc.scratch_dir(spark, "warc-ids")).collect()
+    heads = []
+    for r in archives:
+        with warc.reader(r.path) as source:
+            heads += [warc._head(raw[:raw.index(b"\r\n\r\n")]) for raw in warc.records(source)]
+    kinds = {h["warc-record-id"]: h["warc-type"] for h in heads}
+    digests = {h["warc-record-id"]: h["warc-payload-digest"] for h in heads}
+    assert len(kinds) == len(rows) == len(heads)
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert len(revisits) == len(rows) - 3
+    for h in revisits:
+        assert kinds[h["warc-refers-to"]] == "response" and digests[h["warc-refers-to"]] == h["warc-payload-digest"]
+    assert {warc._id(h["warc-record-id"]) for h in heads} == {1, 2, None}
