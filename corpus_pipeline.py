@@ -22,20 +22,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamledger.llm.common import materialize, table
-from streamledger.llm.leaks import decontaminate
+from streamledger.llm.common import free_name, materialize, table
+from streamledger.llm.leaks import drop_contaminated
 from streamledger.llm.mixing import mix
-from streamledger.llm.simhash import near_duplicates
+from streamledger.llm.simhash import drop_near_duplicates
 from streamledger.llm.suffix import remove_repeats
 from streamledger.llm.toxicity import drop_toxic, train
 
-_ROW = "__row"
-
-
-def _numbered(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` with a number for each row, written so that it never changes."""
-    return materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), label)
-
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8, trained on these documents' labels."""
@@ -44,27 +37,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: three-word shingles, two bits."""
-    rows = _numbered(docs, "simhash-rows")
-    groups = near_duplicates(rows.select(F.col(_ROW).alias("doc_id"), "text"), shingle=3, max_bits=2) \
-        .select(F.col("doc_id").alias(_ROW), F.col("component_id").alias("group"))
-    place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").cast("long").alias("id")).alias("place")
-    placed = materialize(groups.join(rows.select(_ROW, place), _ROW), "simhash-places")
-    # The smallest id of each group, and how many rows share that.
-    first = placed.groupBy("group", "place").agg(F.count("*").alias("rows"), F.min(_ROW).alias("least")) \
-        .groupBy("group").agg(F.min(F.struct("place", "rows", "least")).alias("first")).select("group", "first.*")
-    tied = placed.join(first.where("rows > 1"), ["group", "place"]).select(_ROW, "group")
-    by_text = rows.select(_ROW, F.coalesce("text", F.lit("")).alias("text")).join(tied, _ROW) \
-        .groupBy("group").agg(F.min(F.struct("text", _ROW)).alias("first")).select(f"first.{_ROW}")
-    kept = first.where("rows = 1").select(F.col("least").alias(_ROW)).union(by_text)
-    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
+    return drop_near_duplicates(docs, shingle=3, max_bits=2)
 
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: 100 bytes."""
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    marked = docs.withColumn("__null", F.col("text").isNull())
-    cut = remove_repeats(marked, length=100, with_text=True, carry=(*others, "__null"))
-    text = F.when(~F.col("carried___null"), F.col("kept_text"))
+    null = free_name(docs, "null")
+    marked = docs.withColumn(null, F.col("text").isNull())
+    cut = remove_repeats(marked, length=100, with_text=True, carry=(*others, null))
+    text = F.when(~F.col("carried_" + null), F.col("kept_text"))
     size = F.char_length(F.coalesce(text, F.lit("")))
     return cut.select(*(
         text.alias(c) if c == "text" else size.cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
@@ -73,10 +55,7 @@ def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: ten words."""
-    rows = _numbered(docs, "leaks-rows")
-    found = decontaminate(rows.select(F.col(_ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), window=10)
-    bad = found.where("contaminated").select(F.col("doc_id").alias(_ROW))
-    return rows.join(bad, _ROW, "left_anti").select(*docs.columns)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
