@@ -184,10 +184,21 @@ LLM_ORACLES: dict[str, str] = {
           SELECT c.*, CASE WHEN s.split IS NULL OR turn < s.split THEN 'prompt' ELSE 'chosen' END AS part
           FROM chosen c LEFT JOIN split s USING (pair_id)
           UNION ALL
-          SELECT r.*, 'rejected' AS part FROM rejected r JOIN split s USING (pair_id) WHERE turn >= s.split)
-        SELECT pair_id, part, turn, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
-               CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS INT) AS loss_mask
-        FROM parts
+          SELECT r.*, 'rejected' AS part FROM rejected r JOIN split s USING (pair_id) WHERE turn >= s.split),
+        turned AS (
+          SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+                 part <> 'prompt' AND role = 'assistant' AS learned
+          FROM parts),
+        spans AS (
+          SELECT *, CAST(sum(length(rendered)) OVER (
+                   PARTITION BY pair_id, part ORDER BY turn, substr(md5(length(role) || ':' || role || text), 1, 15)
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS span_end
+          FROM turned)
+        SELECT pair_id, part, turn, role, rendered, CAST(learned AS INT) AS loss_mask,
+               span_end - length(rendered) AS span_start, span_end,
+               CASE WHEN learned THEN span_end - length(rendered) + length(role) + 5 END AS learn_start,
+               CASE WHEN learned THEN span_end END AS learn_end
+        FROM spans
     """,
     "op3_topk_search": """
         WITH codes AS (
