@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from streamledger.plans.queries import (
     ASSIGNED, CAP, CURRENT_TOPICS, GROUP_A, GROUP_B, GROUP_B_LAST_BATCH,
-    GROUP_B_PARTITIONS, PARTITIONS, PATTERN, SPLIT, SUBSCRIBED)
+    GROUP_B_PARTITIONS, PARTITIONS, PARTS, PATTERN, SPLIT, SUBSCRIBED)
 
 WS_CHARS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 WS_RX = r"[ \t\n\x0B\f\r]+"
@@ -253,6 +253,12 @@ FROM P WHERE len(fs) >= 2 GROUP BY topic, "partition\"""",
 
 
 def parts_sql(sql: str) -> str:
-    """An oracle with the log's parts for its batches (stream queries)."""
+    """An oracle with the log's two parts for its batches (resumed stream queries)."""
     parts = f'LB AS (SELECT *, CAST(CASE WHEN "offset" < {SPLIT} THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM L)'
     return sql.replace(LB, parts)
+
+
+def even_parts_sql(sql: str) -> str:
+    """An oracle with even shares of every partition for its batches (stream queries)."""
+    size = 'max("offset") OVER (PARTITION BY topic, "partition") + 1'
+    return sql.replace(LB, f'LB AS (SELECT *, CAST({PARTS} * "offset" // ({size}) AS BIGINT) AS batch_id FROM L)')

@@ -37,7 +37,8 @@ GROUP_B = "stream-b"    # stopped after batch 1, never read partition 2 (D8)
 GROUP_B_PARTITIONS = (0, 1)
 GROUP_B_LAST_BATCH = 1
 CURRENT_TOPICS = "click,purchase,view"     # O6 topic filter
-SPLIT = 400                                # streams: offsets below are part 0
+SPLIT = 400                                # resumed streams: offsets below are part 0
+PARTS = 4                                  # streams: even shares of every partition, one after the other
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +76,7 @@ def batched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_of(offset):
-    """The part of the log that an offset lies in (stream queries)."""
+    """The part of the log that an offset lies in (resumed stream queries)."""
     return F.when(offset < SPLIT, 0).otherwise(1)
 
 
@@ -99,6 +100,18 @@ def staged_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged_log(spark, sf_dir)).write.parquet(path))
 
 
+def staged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with the ``part`` of its partition that a message lies in, a
+    folder per part (stream queries)."""
+    def write(path: str) -> None:
+        log, sizes = staged_log(spark, sf_dir).alias("m"), staged_extents(spark, sf_dir).alias("e")
+        same = F.expr("m.topic <=> e.topic and m.partition <=> e.partition")
+        log.join(sizes, same).select("m.*", F.expr(f"{PARTS} * m.offset div e.latest").alias("part")) \
+            .write.partitionBy("part").parquet(path)
+
+    return _staged(spark, sf_dir, "parts", write)
+
+
 def _current(spark, sf_dir, group, topics=None):
     return offsets.current_offsets(staged_offsets(spark, sf_dir), group, topics)
 

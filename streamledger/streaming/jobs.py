@@ -6,9 +6,10 @@ a checkpoint folder and output folders in the shared checkpoint root, and
 runs until the input is drained (``availableNow``) or forever.
 
 The ``STREAM_QUERIES`` registered with the driver write the log derived from
-``events`` into a plain folder in two parts, one after the other, with an empty
-part behind them; each part becomes a micro-batch.  The ``resume`` queries stop
-after the first part and go on with a new checkpoint, from stored offsets only.
+``events`` into a plain folder in four parts (even shares of every partition),
+one after the other, with an empty part behind them; each part becomes a
+micro-batch.  The ``resume`` queries have two parts: they stop after the first
+and go on with a new checkpoint, from stored offsets only.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql.types import StructType
 from streamledger import fsio
 from streamledger.operators import counts, offsets, upsert
 from streamledger.plans import queries as Q
-from streamledger.plans.oracles import ORACLES, SPLIT, parts_sql
+from streamledger.plans.oracles import ORACLES, SPLIT, even_parts_sql, parts_sql
 from streamledger.schemas import APPEND_ROW, MESSAGE, OFFSET_RANGE, PARTITION_KEY
 from streamledger.session import scratch_dir
 from streamledger.sources import log as logsrc
@@ -201,16 +202,17 @@ def resume_from_rows(stream: DataFrame, out: str) -> DataFrame:
 # --- registered stream queries ------------------------------------------
 
 def write_parts(log: DataFrame, feed: str, parts) -> None:
-    """The log's parts as folders of a feed; part 2 is empty."""
+    """The log's two parts as folders of a feed; part 2 is empty."""
     for k in parts:
         log.where(Q.part_of(F.col("offset")) == k).write.parquet(f"{feed}/part-{k}")
 
 
 def _drain(spark, sf_dir, run):
-    """Run a job over the log's parts, one after the other (O8: one checkpoint)."""
-    log, work = Q.staged_log(spark, sf_dir), scratch_dir(spark, "stream")
-    for k in (0, 1, 2):
-        write_parts(log, f"{work}/feed", [k])
+    """Run a job over even parts of the log, one after the other, with an empty
+    one behind them (O8: one checkpoint)."""
+    log, parts, work = Q.staged_log(spark, sf_dir), Q.staged_parts(spark, sf_dir), scratch_dir(spark, "stream")
+    for k in range(Q.PARTS + 1):
+        parts.where(F.col("part") == k).select(*log.columns).write.parquet(f"{work}/feed/part-{k}")
         run(read_feed(spark, f"{work}/feed/*", log.schema), work)
     return work
 
@@ -422,11 +424,11 @@ _HISTORY = ("SELECT 'stream-a' AS group_id, topic, \"partition\", until_offset A
 # A stream over the parts must equal the batch query over the whole log, with
 # the part as the batch.
 STREAM_ORACLES = {
-    "batch_word_count_stream": parts_sql(ORACLES["batch_word_count"]),
+    "batch_word_count_stream": even_parts_sql(ORACLES["batch_word_count"]),
     "running_word_count_stream": ORACLES["running_word_count"],
-    "running_word_count_update_stream": parts_sql(ORACLES["running_word_count_update"]),
-    "batch_record_count_stream": parts_sql(ORACLES["batch_record_count"]),
-    "upsert_latest_stream": parts_sql(ORACLES["upsert_latest"]),
+    "running_word_count_update_stream": even_parts_sql(ORACLES["running_word_count_update"]),
+    "batch_record_count_stream": even_parts_sql(ORACLES["batch_record_count"]),
+    "upsert_latest_stream": even_parts_sql(ORACLES["upsert_latest"]),
     "append_with_offsets": ORACLES["append_rows"],
     "resume_from_offsets_stream": parts_sql(ORACLES["batch_ranges"]).replace(
         "SELECT * FROM R", f"SELECT h.*, c.n FROM ({_HISTORY}) h JOIN "
@@ -443,5 +445,5 @@ STREAM_ORACLES = {
     "upsert_quarantine_stream": parts_sql(ORACLES["batch_ranges"]).replace(
         "SELECT * FROM R", f'SELECT batch_id, topic, "partition", "offset", replace(value, \',\', \';\') AS raw FROM LB '
         f'WHERE "offset" % {BAD_EVERY} = 0'),
-    "offsets_log_stream": parts_sql(ORACLES["batch_ranges"]).replace("SELECT * FROM R", _HISTORY),
+    "offsets_log_stream": even_parts_sql(ORACLES["batch_ranges"]).replace("SELECT * FROM R", _HISTORY),
 }
