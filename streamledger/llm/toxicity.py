@@ -50,6 +50,10 @@ _PREFIXES = (4, 5, 6)
 _SHRINK = 4.0
 _CACHE = 120_000        # tokens whose readings a task keeps
 _SEEN = 400_000         # tokens whose evidence a task keeps
+_LONG = 64              # letters of a token that is kept
+_HELD = 1 << 19         # features, or words, that a task holds at once
+_ROWS = 16              # rows whose words are Python objects at once
+_OUT = 1 << 16          # rows of an Arrow batch of features
 _SPELLED = 64           # letters of a word set apart, where words aren't known yet
 
 # What a character may stand for.
@@ -227,20 +231,28 @@ def feature_sizes(word: str) -> list[int]:
     return [len(word), *(k for k in _PREFIXES if len(word) >= k)]
 
 
-def spelled_features(letters: str) -> dict[int, tuple[int, int]]:
+def spelled_arrays(letters: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes that letters set apart bring in, with the word that brought each
     and the feature's letters: stretches as words, and the prefixes of what is
-    left from each letter on."""
+    left from each letter on.  Of equal hashes the last one counts."""
     raw = xxhash.xxh64_intdigest
-    out = {}
+    most = max(len(letters) - 2, 0) * (_SPELLED - 2 + len(_PREFIXES))
+    found, own, sizes, n = np.empty(most, np.uint64), np.empty(most, np.uint64), np.empty(most, np.int32), 0
     for k in range(len(letters) - 2):
-        for size in range(3, min(_SPELLED, len(letters) - k) + 1):
-            word = raw(("=" + letters[k:k + size]).encode())
-            out[word] = word, size
         rest = letters[k:k + _SPELLED]
-        held = features(rest)
-        out.update((f, (held[0], size)) for f, size in zip(held, feature_sizes(rest)))
-    return out
+        words = [raw(("=" + rest[:size]).encode()) for size in range(3, len(rest) + 1)]
+        prefixes = [raw(("<" + rest[:size]).encode()) for size in _PREFIXES if len(rest) >= size]
+        end = n + len(words) + len(prefixes)
+        found[n:end], own[n:end] = words + prefixes, words + [words[-1]] * len(prefixes)
+        sizes[n:end] = [*range(3, len(rest) + 1), *_PREFIXES[:len(prefixes)]]
+        n = end
+    return found[:n], own[:n], sizes[:n]
+
+
+def spelled_features(letters: str) -> dict[int, tuple[int, int]]:
+    """``spelled_arrays`` as hash -> (word, letters)."""
+    found, own, sizes = (x.tolist() for x in spelled_arrays(letters))
+    return dict(zip(found, zip(own, sizes)))
 
 
 def spelled_weight(letters: str, weights: dict, sizes: list[int]) -> float:
@@ -261,9 +273,11 @@ def document_words(text: str, decoder: Decoder, cache: dict) -> tuple[list[tuple
     for token in sorted(set(low.split())):
         got = cache.get(token)
         if got is None:
-            if len(cache) > _CACHE:
-                cache.clear()
-            got = cache[token] = tuple(sorted(readings(token, decoder)))
+            got = tuple(sorted(readings(token, decoder)))
+            if len(token) <= _LONG:
+                if len(cache) > _CACHE:
+                    cache.clear()
+                cache[token] = got
         if got:
             tokens.append(got)
     return tokens, _apart(low, decoder)
@@ -285,59 +299,109 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def _by_rows(batches):
+    """Batches of few rows, so that few rows' words are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def _labelled_words(sent):
     """Labelled rows with their restored words in place of the text."""
     def task(batches):
         decoder, cache = Decoder(sent.value), {}
         for batch in batches:
-            found = [document_words(t.as_py() or "", decoder, cache) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), batch.column("half"),
-                 pa.array([[list(t) for t in tokens] for tokens, _ in found], pa.list_(pa.list_(pa.string()))),
-                 pa.array([apart for _, apart in found], pa.list_(pa.string()))], ["toxic", "half", "tokens", "apart"])
+            found, held, first = [], 0, 0
+            for at, t in enumerate(batch.column("text"), 1):
+                found.append(document_words(t.as_py() or "", decoder, cache))
+                held += len(found[-1][0])
+                if held < _HELD and at < batch.num_rows:
+                    continue
+                rows = batch.slice(first, at - first)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("toxic"), rows.column("half"),
+                     pa.array([tokens for tokens, _ in found], pa.list_(pa.list_(pa.string()))),
+                     pa.array([apart for _, apart in found], pa.list_(pa.string()))], ["toxic", "half", "tokens", "apart"])
+                found, held, first = [], 0, at
     return task
 
 
+def _counted(f: np.ndarray, counts: list[np.ndarray], least: np.ndarray, most: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """One row per feature: sums of the counts, the least and greatest word."""
+    by = np.argsort(f, kind="stable")
+    f = f[by]
+    at = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
+    return [f[at], *(np.add.reduceat(c[by], at, dtype=np.int64) for c in counts),
+            np.minimum.reduceat(least[by], at), np.maximum.reduceat(most[by], at), size[by][at]]
+
+
 def _feature_rows():
     """A task's features with the number of clean and toxic rows of either half
     that hold them, and the least and greatest hash of the words that brought
-    them into toxic rows."""
+    them into toxic rows.  However many features its rows have, a task holds
+    ``_HELD`` or so at once: it counts them together and passes on what has
+    piled up, so a feature may have several rows."""
+    def document(words: set[str], apart: list[str], hashes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Features of a row, each once, with the word that brought it and its letters."""
+        if len(hashes) > _CACHE:
+            hashes.clear()
+        held = []
+        for w in words:
+            h = hashes.get(w)
+            if h is None:
+                h = np.array(features(w), np.uint64)
+                if len(w) <= _LONG:
+                    hashes[w] = h
+            held.append(h)
+        spelled = [spelled_arrays(letters) for letters in apart]
+        f = np.concatenate([*held, *(x[0][::-1] for x in reversed(spelled))])
+        f, at = np.unique(f, return_index=True)
+        own = np.concatenate([np.array([h[0] for h in held for _ in h], np.uint64), *(x[1][::-1] for x in reversed(spelled))])[at]
+        size = np.concatenate([np.array([k for w in words for k in feature_sizes(w)], np.int32),
+                               *(x[2][::-1] for x in reversed(spelled))])[at]
+        return f, own, size
+
+    def table(raw: list, kept: list | None) -> list[np.ndarray]:
+        """Rows of features, counted together with what is counted already."""
+        f = np.concatenate([x[0] for x in raw])
+        w = (np.concatenate([x[1] for x in raw]) >> np.uint64(1)).view(np.int64)
+        m = np.repeat(np.array([x[3] for x in raw], np.int8), [len(x[0]) for x in raw])
+        size, toxic = np.concatenate([x[2] for x in raw]), m % 2 == 1
+        new = _counted(f, [m == k for k in range(4)], np.where(toxic, w, np.iinfo(np.int64).max), np.where(toxic, w, -1), size)
+        if kept is None:
+            return new
+        f, *counts, least, most, size = (np.concatenate(x) for x in zip(kept, new))
+        return _counted(f, counts, least, most, size)
+
+    def batches_of(found: list[np.ndarray]):
+        whole = pa.RecordBatch.from_arrays(
+            [pa.array(found[0].view(np.int64)), *map(pa.array, found[1:])],
+            ["feature", "c0", "t0", "c1", "t1", "least", "most", "size"])
+        for at in range(0, whole.num_rows, _OUT):
+            yield whole.slice(at, _OUT)
+
     def task(batches):
         hashes: dict[str, np.ndarray] = {}
-        feats, own, marks, letters_of = [], [], [], []
-        for batch in batches:
+        raw, n, kept = [], 0, None
+        for batch in _by_rows(batches):
             for tokens, apart, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("tokens", "apart", "toxic", "half"))):
                 words = {w for t in tokens for w in t}
-                if len(hashes) > _CACHE:
-                    hashes.clear()
-                for w in words:
-                    if w not in hashes:
-                        hashes[w] = np.array(features(w), np.uint64)
-                spelled: dict[int, tuple[int, int]] = {}
-                for letters in apart:
-                    spelled |= spelled_features(letters)
-                held = [hashes[w] for w in words]
-                if held or spelled:
-                    f, at = np.unique(np.concatenate([*held, np.array(list(spelled), np.uint64)]), return_index=True)
-                    brought = [h[0] for h in held for _ in h] + [word for word, _ in spelled.values()]
-                    size = [k for w in words for k in feature_sizes(w)] + [k for _, k in spelled.values()]
-                    feats.append(f)
-                    own.append(np.array(brought, np.uint64)[at])
-                    marks.append(np.full(len(f), half * 2 + toxic, np.int8))
-                    letters_of.append(np.array(size, np.int32)[at])
-        if not feats:
-            return
-        f, w, m = np.concatenate(feats), np.concatenate(own) >> np.uint64(1), np.concatenate(marks)
-        by = np.argsort(f, kind="stable")
-        f, w, m, size = f[by], w[by].view(np.int64), m[by], np.concatenate(letters_of)[by]
-        at = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
-        toxic = m % 2 == 1
-        yield pa.RecordBatch.from_arrays([
-            pa.array(f[at].view(np.int64)),
-            *(pa.array(np.add.reduceat(m == k, at, dtype=np.int64)) for k in range(4)),
-            pa.array(np.minimum.reduceat(np.where(toxic, w, np.iinfo(np.int64).max), at)),
-            pa.array(np.maximum.reduceat(np.where(toxic, w, -1), at)), pa.array(size[at])],
-            ["feature", "c0", "t0", "c1", "t1", "least", "most", "size"])
+                if not words and not apart:
+                    continue
+                f, own, size = document(words, apart, hashes)
+                if not len(f):
+                    continue
+                raw.append((f, own, size, half * 2 + toxic))
+                n += len(f)
+                if n >= _HELD:
+                    kept, raw, n = table(raw, kept), [], 0
+                    if len(kept[0]) >= _HELD:
+                        yield from batches_of(kept)
+                        kept = None
+        if raw:
+            kept = table(raw, kept)
+        if kept is not None:
+            yield from batches_of(kept)
     return task
 
 
@@ -361,9 +425,11 @@ def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict, size
     for token in set(low.split()):
         e = cache.get(token)
         if e is None:
-            if len(cache) > _SEEN:
-                cache.clear()
-            e = cache[token] = max((_weigh(w, weights) for w in readings(token, decoder)), default=0.0)
+            e = max((_weigh(w, weights) for w in readings(token, decoder)), default=0.0)
+            if len(token) <= _LONG:
+                if len(cache) > _SEEN:
+                    cache.clear()
+                cache[token] = e
         if e:
             found.append(e)
     return _top_two(found, _apart(low, decoder), weights, sizes)
@@ -403,7 +469,7 @@ def _labelled_summaries(sent):
     def task(batches):
         keys, values, sizes = sent.value
         weights = dict(zip(keys.tolist(), values.tolist()))
-        for batch in batches:
+        for batch in _by_rows(batches):
             tops = []
             for tokens, apart in zip(batch.column("tokens").to_pylist(), batch.column("apart").to_pylist()):
                 found = [max(_weigh(w, weights) for w in t) for t in tokens]

@@ -208,3 +208,49 @@ def test_query_on_table(spark):
     held = [(got[r.doc_id].predicted, r.toxic) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
             if got[r.doc_id].held_out]
     assert sum(p == t for p, t in held) / len(held) > 0.9
+
+
+def feature_batch(rows):
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+         pa.array([r[2] for r in rows], pa.list_(pa.list_(pa.string()))), pa.array([r[3] for r in rows], pa.list_(pa.string()))],
+        ["toxic", "half", "tokens", "apart"])
+
+
+def test_features_of_many_rows_are_counted_in_bounded_memory(monkeypatch):
+    """Rows with many features: a task passes them on in parts, and their sums are
+    those of every row at once."""
+    import tracemalloc
+    monkeypatch.setattr(toxicity, "_HELD", 1 << 14, raising=False)
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(2), rnd.randrange(2), [["word", rnd.choice(["words", "wording"])]] * (k % 3), ["".join(rnd.choices("abcdefghij", k=200)), "st"][:k % 4])
+            for k in range(75)]
+    found = lambda: toxicity._feature_rows()(feature_batch(rows[at:at + 25]) for at in (0, 25, 50))
+    tracemalloc.start()
+    try:
+        n = sum(1 for _ in found())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20 and n > 1
+    got, size = {}, {}
+    for part in found():
+        for f, c0, t0, c1, t1, least, most, k in zip(*(c.to_pylist() for c in part.columns)):
+            a = got.setdefault(f, [0, 0, 0, 0, least, most])
+            got[f] = [*(x + y for x, y in zip(a, (c0, t0, c1, t1))), min(a[4], least), max(a[5], most)]
+            assert size.setdefault(f, k) == k
+    want = {}
+    for toxic, half, tokens, apart in rows:
+        held = {}
+        for letters in apart:
+            held |= {f: word for f, (word, _) in toxicity.spelled_features(letters).items()}
+        words = {w for t in tokens for w in t}
+        for w in reversed(list(words)):
+            held |= dict.fromkeys(toxicity.features(w), toxicity.features(w)[0])
+        for f, word in held.items():
+            a = want.setdefault(f - (1 << 64) if f >> 63 else f, [0, 0, 0, 0, (1 << 63) - 1, -1])
+            a[half * 2 + toxic] += 1
+            if toxic:
+                a[4:] = min(a[4], word >> 1), max(a[5], word >> 1)
+    assert got == want
