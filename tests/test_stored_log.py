@@ -179,3 +179,40 @@ def test_path_tree_files_round_trip(spark, workdir):
     assert {tuple(r) for r in offsets.read_path_tree(spark, f"{workdir}/tree").collect()} == {tuple(r) for r in current.collect()}
     offsets.write_path_tree(current.limit(1).withColumn("offset", F.lit(9).cast("bigint")), f"{workdir}/tree")
     assert sorted(r.offset for r in offsets.read_path_tree(spark, f"{workdir}/tree").collect()) == [0, 7, 9]
+
+
+def test_a_batch_reads_about_what_it_takes(spark, workdir, monkeypatch):
+    """However long the log: short row groups, files of bounded length, and small
+    ranges of several partitions in one task."""
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(stored, "FILE_ROWS", 20_000, raising=False)
+    stored.write_log(messages(spark, {("t", 0): 50_000, ("u", 1): 30_000}).coalesce(1), f"{workdir}/log")
+    held = stored.Files(f"{workdir}/log").list()
+    assert [(a, b) for a, b, _ in held["t", 0]] == [(0, 20_000), (20_000, 40_000), (40_000, 50_000)]
+    reader = stored.Reader(messages(spark, {("t", 0): 1}).schema, {"path": f"{workdir}/log", "offsets": f"{workdir}/o", "group": "g"})
+    (part,) = reader.partitions({"t": {"0": 19_900}, "u": {"1": 100}}, {"t": {"0": 20_100}, "u": {"1": 300}})
+    read = []
+    real = pq.ParquetFile.iter_batches
+
+    def asked(self, *a, **k):
+        read.append(sum(self.metadata.row_group(g).num_rows for g in k["row_groups"]))
+        return real(self, *a, **k)
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", asked)
+    got = [x for b in reader.read(part) for x in zip(b.column("topic").to_pylist(), b.column("offset").to_pylist())]
+    assert got == [("t", o) for o in range(19_900, 20_100)] + [("u", o) for o in range(100, 300)]
+    assert len(read) == 3 and max(read) <= 4096
+    assert len(reader.partitions({"t": {"0": 0}}, {"t": {"0": 50_000}})) == 1
+    assert [len(x.ranges) for x in stored.tasks([stored.Range("t", 0, "p", 0, n) for n in (3, 4, 9, 1, 1, 20, 2)], 8)] == [2, 1, 2, 1, 1]
+
+
+def test_ranges_are_not_counted_twice(spark, workdir):
+    """The guard has counted what a batch's rows span; its rows aren't read again."""
+    broken = messages(spark, {("t", 0): 5}).withColumn("offset", F.raise_error(F.lit("read again")).cast("bigint"))
+    spans = (("t", 0, 0, 5), (None, 2, 7, 9))
+    jobs.range_work(f"{workdir}/out")(broken, sinks.Slot(3, "000000000003-x", spans))
+    got = spark.read.parquet(f"{workdir}/out/tag=000000000003-x")
+    assert {tuple(r) for r in got.collect()} == set(spans)
+    assert [t.simpleString() for t in (f.dataType for f in got.schema)] == ["string", "int", "bigint", "bigint"]
+    seen = []
+    sinks.guarded(sinks.OffsetStore(spark, f"{workdir}/offsets"), "g", lambda df, slot: seen.append(slot.ranges))(messages(spark, {("t", 0): 5}), 0)
+    assert seen == [(("t", 0, 0, 5),)]
