@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from streamledger import fsio
 from streamledger.operators import offsets
 from streamledger.sources import stored
 from streamledger.streaming import apps, jobs, progress, sinks
@@ -216,3 +217,63 @@ def test_ranges_are_not_counted_twice(spark, workdir):
     seen = []
     sinks.guarded(sinks.OffsetStore(spark, f"{workdir}/offsets"), "g", lambda df, slot: seen.append(slot.ranges))(messages(spark, {("t", 0): 5}), 0)
     assert seen == [(("t", 0, 0, 5),)]
+
+
+def test_a_small_batch_takes_one_stage(spark, workdir):
+    """A batch that one task reads is counted without a shuffle, and its ranges
+    are written without a job; one of several tasks is counted as before."""
+    sc, store = spark.sparkContext, sinks.OffsetStore(spark, f"{workdir}/offsets")
+    fn = sinks.guarded(store, "g", jobs.range_work(f"{workdir}/out"))
+    sizes = {("t", 0): 40, ("u", 1): 25}
+    small = messages(spark, sizes).coalesce(1)
+    sc.setJobGroup("small batch", "")
+    try:
+        fn(small, 0)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    done = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("small batch")]
+    assert [len(j.stageIds) for j in done] == [1]
+    fn(messages(spark, sizes, first=0).where("topic = 't'").withColumn("offset", F.col("offset") + 40).repartition(3), 1)
+    rows = sinks.read_committed(spark, f"{workdir}/out", store, "g", jobs.OFFSET_RANGE)
+    assert {tuple(r) for r in rows.collect()} == {("t", 0, 0, 40, 0), ("u", 1, 0, 25, 0), ("t", 0, 40, 80, 1)}
+    fn(messages(spark, sizes).where("false"), 2)                 # no rows: no commit
+    assert store.tip("g")[0] == 1
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_small_files(spark, workdir, monkeypatch, local):
+    """The same of both ways: whole or not at all, never replaced unasked, nothing
+    left behind, read by Spark."""
+    if not local:
+        monkeypatch.setattr(fsio, "_local", lambda fs, p: None)
+    path = f"{workdir}/a b%2F/x.json"
+    assert fsio.read_text(spark, path) is None
+    assert fsio.write_text(spark, path, '{"a": "\u00e4"}\r\n', overwrite=False)
+    assert not fsio.write_text(spark, path, "2", overwrite=False)
+    assert fsio.read_text(spark, path) == '{"a": "\u00e4"}\r\n'
+    assert [r.a for r in spark.read.schema("a string").json(path).collect()] == ["\u00e4"]
+    assert fsio.write_bytes(spark, path, b"3", overwrite=True) and fsio.read_text(spark, path) == "3"
+    assert [f for f in __import__("os").listdir(f"{workdir}/a b%2F") if not f.endswith(".crc")] == ["x.json"]
+
+
+def test_a_local_checkpoint_is_written_without_processes(spark, workdir):
+    """Restarts go on from it, and the session is left as it was."""
+    stored.write_log(messages(spark, {("t", 0): 30}), f"{workdir}/log")
+    seen = []
+
+    class Writer:
+        def start(self):
+            seen.append(spark.conf.get(jobs.MANAGER, None))
+    jobs._start_batches(Writer(), spark, f"{workdir}/chk")
+    spark.conf.set(jobs.MANAGER, "own.Choice")
+    try:
+        jobs._start_batches(Writer(), spark, f"{workdir}/chk")
+    finally:
+        spark.conf.unset(jobs.MANAGER)
+    assert seen == [jobs.BY_FILE_SYSTEM, "own.Choice"] and spark.conf.get(jobs.MANAGER, None) is None
+    c = Consumer(spark, workdir, cap=20)
+    c.run()
+    stored.write_log(messages(spark, {("t", 0): 15}, first=30), f"{workdir}/log")
+    c.run()
+    assert c.seen == [{("t", 0): (0, 20)}, {("t", 0): (20, 30)}, {("t", 0): (30, 45)}]
