@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Shuffle files of what runs inside go when it ends.  Otherwise they stay,
+    beside all that is written later, until the driver next collects garbage.
+    Only for writes: a frame that is run again would be shuffled again."""
+    conf, key = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if held is None:
+            conf.unset(key)
+        else:
+            conf.set(key, held)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

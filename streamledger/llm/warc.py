@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import materialize, small_batches, utf8
+from .common import materialize, shuffles_freed, small_batches, utf8
 from .files import own_name, random_reader, reader, writer
 
 FILE_BYTES = 16 << 20       # inflated bytes of an archive
@@ -262,6 +262,8 @@ def round_trip(pages: DataFrame, least: int = 0, folder: str | None = None) -> D
     """Write ``pages``, normalise the archives, read them back: a row a page."""
     folder = folder or scratch_dir(pages.sparkSession, "warc")
     run = uuid.uuid4().hex[:8]
-    archives = materialize(write(pages, f"{folder}/whole-{run}", least), "warc-files")
+    # the shuffled payloads have to go before they are written a second time
+    with shuffles_freed(pages.sparkSession):
+        archives = materialize(write(pages, f"{folder}/whole-{run}", least), "warc-files")
     index = materialize(normalise(archives, f"{folder}/members-{run}"), "warc-index")
     return read(index)

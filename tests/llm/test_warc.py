@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import json
 import random
+import time
 import zlib
 
 import duckdb
@@ -139,3 +140,33 @@ def test_record_ids_are_unique_and_references_lead_to_responses(spark):
     for h in revisits:
         assert kinds[h["warc-refers-to"]] == "response" and digests[h["warc-refers-to"]] == h["warc-payload-digest"]
     assert {warc._id(h["warc-record-id"]) for h in heads} == {1, 2, None}
+
+
+@pytest.mark.parametrize("held", [None, "false"])
+def test_shuffled_payloads_are_gone_before_members_are_written(spark, monkeypatch, held):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = store.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    def normalise(archives, folder, real=warc.normalise):
+        until = time.time() + 5                             # files are removed in the background
+        while (left := shuffled() - before) and time.time() < until:
+            time.sleep(0.1)
+        seen.append((archives.count(), left))
+        return real(archives, folder)
+
+    monkeypatch.setattr(warc, "normalise", normalise)
+    if held:
+        spark.conf.set(key, held)
+    try:
+        df = spark.createDataFrame(ROWS, "page_id long, url string, html string").repartition(3)
+        before, seen = shuffled(), []
+        got = warc.round_trip(df).select(*COLS).collect()
+        assert spark.conf.get(key, None) == held            # and the session is left as it was
+    finally:
+        spark.conf.unset(key)
+    assert seen[0][0] > 0 and seen[0][1] == set()
+    assert sorted(map(tuple, got), key=str) == brute(ROWS, 0)
