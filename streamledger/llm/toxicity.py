@@ -183,25 +183,43 @@ class Decoder:
             out.append("".join(reversed(parts)))
         return out
 
+    def likely(self, token: str, n: int = 3) -> list[str]:
+        """What ``best`` finds, in any order: a lattice of no more than ``n``
+        readings needs no search."""
+        found: list[list[str]] = [[]]
+        at = 0
+        while at < len(token):
+            readings_, at = self.arcs(token, at)
+            if len(readings_) == 1:
+                for parts in found:
+                    parts.append(readings_[0][0])
+            elif len(found) * len(readings_) <= n:
+                found = [[*parts, letters] for parts in found for letters, _ in readings_]
+            else:
+                return self.best(token, n)
+        return ["".join(parts) for parts in found]
+
 
 # ------------------------------------------------------------ words, features
 
-_EDGES = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
+_CORE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1")
 # Three or more characters with marks or up to three blanks between them.
 # Marks and characters differ and blanks are never given back, so the time
-# grows with the text even where nothing matches.
+# grows with the text even where nothing matches.  A blank comes first, so that
+# the search passes over all else at once.
 _GAP = r"(?:[ \t]{1,3}+(?:[.\-_*][ \t]{0,3}+)*+|(?:[.\-_*][ \t]{0,3}+)++)"
-_SET_APART = re.compile(r"(?<![^\s])[.\-_*]*+(?:[^\s.\-_*]" + _GAP + r"){2,}[^\s.\-_*][.\-_*]*+(?![^\s])")
+_SET_APART = re.compile(r"\s[.\-_*]*+(?:[^\s.\-_*]" + _GAP + r"){2,}[^\s.\-_*][.\-_*]*+(?![^\s])")
 
 
 def readings(token: str, decoder: Decoder) -> set[str]:
     """The words a lower-case token may stand for: its own letters, and what a
     disguise in it hides."""
-    lead, core, trail = _EDGES.match(token).groups()
-    if core.isalpha() and not lead and not trail and not _RUN.search(core):
-        return {core}
+    if token.isalpha():
+        return {token, *decoder.likely(token)} if _RUN.search(token) else {token}
+    found = _CORE.search(token)
+    lead, core, trail = (token[:found.start()], found.group(), token[found.end():]) if found else (token, "", "")
     out = set(_LETTERS.findall(core))
     hidden = core
     if lead and lead[-1] in LEET and lead[-2:-1] != lead[-1]:
@@ -209,13 +227,13 @@ def readings(token: str, decoder: Decoder) -> set[str]:
     if trail and trail[0] in "$@+" and trail[:3] != trail[0] * 3:
         hidden += trail[0] * (2 if trail[:2] == trail[0] * 2 else 1)
     if any(c.isalpha() for c in hidden) and (not hidden.isalpha() or _RUN.search(hidden)):
-        out.update(decoder.best(hidden))
+        out.update(decoder.likely(hidden))
     return out
 
 
 def set_apart(text: str) -> list[str]:
     """Letters written one by one: ``s t u p i d`` -> ``stupid``."""
-    return [re.sub(r"[\s.\-_*]+", "", m.group()) for m in _SET_APART.finditer(text)]
+    return [re.sub(r"[\s.\-_*]+", "", m.group()) for m in _SET_APART.finditer(" " + text)]
 
 
 def features(word: str) -> list[int]:
@@ -289,7 +307,7 @@ def _apart(low: str, decoder: Decoder) -> list[str]:
         if found.isalpha():
             out.add(found)
         if not found.isalpha() or _RUN.search(found):
-            out.update(decoder.best(found))
+            out.update(decoder.likely(found))
     return sorted(out)
 
 
@@ -349,17 +367,18 @@ def _feature_rows():
         for w in words:
             h = hashes.get(w)
             if h is None:
-                h = np.array(features(w), np.uint64)
+                found = features(w)
+                h = np.array([found, found[:1] * len(found), feature_sizes(w)], np.uint64)
                 if len(w) <= _LONG:
                     hashes[w] = h
             held.append(h)
-        spelled = [spelled_arrays(letters) for letters in apart]
-        f = np.concatenate([*held, *(x[0][::-1] for x in reversed(spelled))])
+        whole = np.concatenate(held, axis=1) if held else np.empty((3, 0), np.uint64)
+        f, own, size = whole[0], whole[1], whole[2].astype(np.int32)
+        if apart:
+            spelled = [spelled_arrays(letters) for letters in reversed(apart)]
+            f, own, size = (np.concatenate([x, *(y[k][::-1] for y in spelled)]) for k, x in enumerate((f, own, size)))
         f, at = np.unique(f, return_index=True)
-        own = np.concatenate([np.array([h[0] for h in held for _ in h], np.uint64), *(x[1][::-1] for x in reversed(spelled))])[at]
-        size = np.concatenate([np.array([k for w in words for k in feature_sizes(w)], np.int32),
-                               *(x[2][::-1] for x in reversed(spelled))])[at]
-        return f, own, size
+        return f, own[at], size[at]
 
     def table(raw: list, kept: list | None) -> list[np.ndarray]:
         """Rows of features, counted together with what is counted already."""
@@ -417,46 +436,60 @@ def _top_two(found: list[float], apart: list[str], weights: dict, sizes: list[in
     return top[0], top[1]
 
 
-def _two_strongest(text: str, decoder: Decoder, cache: dict, weights: dict, sizes: list[int]) -> tuple[float, float]:
-    """The evidence of a text's two strongest words.  ``cache`` maps a token to
-    its strongest reading's evidence."""
-    low = text.lower()
-    found = []
-    for token in set(low.split()):
-        e = cache.get(token)
+def _weigher(weights: dict):
+    """A function that gives the strongest of a word's ``features``.  It keeps
+    what a word's beginning gives, which many words share."""
+    raw, get, starts = xxhash.xxh64_intdigest, weights.get, {}
+    least, most = _PREFIXES[0], _PREFIXES[-1]
+
+    def weigh(word: str) -> float:
+        top = get(raw(("=" + word).encode()), 0.0)
+        if len(word) < least:
+            return top
+        start = word[:most]
+        e = starts.get(start)
         if e is None:
-            e = max((_weigh(w, weights) for w in readings(token, decoder)), default=0.0)
-            if len(token) <= _LONG:
-                if len(cache) > _SEEN:
-                    cache.clear()
-                cache[token] = e
-        if e:
-            found.append(e)
-    return _top_two(found, _apart(low, decoder), weights, sizes)
-
-
-def _weigh(word: str, weights: dict) -> float:
-    """The strongest of a word's ``features``."""
-    raw, get = xxhash.xxh64_intdigest, weights.get
-    whole = word.encode()
-    top = get(raw(b"=" + whole), 0.0)
-    plain = len(whole) == len(word)
-    for k in _PREFIXES:
-        if len(word) < k:
-            break
-        e = get(raw(b"<" + (whole[:k] if plain else word[:k].encode())), 0.0)
-        if e > top:
-            top = e
-    return top
+            e = max(get(raw(("<" + start[:k]).encode()), 0.0) for k in _PREFIXES if len(start) >= k)
+            if len(starts) >= _CACHE:
+                starts.clear()
+            starts[start] = e
+        return e if e > top else top
+    return weigh
+
+
+def _scorer(cost: np.ndarray, keys: np.ndarray, values: np.ndarray, sizes: list[int]):
+    """A function that gives the evidence of a text's two strongest words.  It
+    keeps the evidence of tokens, as a mere set of those that have none."""
+    decoder, weights = Decoder(cost), dict(zip(keys.tolist(), values.tolist()))
+    weigh, cache, without = _weigher(weights), {}, set()
+
+    def strongest(text: str) -> tuple[float, float]:
+        low = text.lower()
+        found = []
+        for token in set(low.split()) - without:
+            e = cache.get(token)
+            if e is None:
+                e = max(map(weigh, readings(token, decoder)), default=0.0)
+                if len(token) <= _LONG:
+                    if len(cache) + len(without) > _SEEN:
+                        cache.clear()
+                        without.clear()
+                    if e:
+                        cache[token] = e
+                    else:
+                        without.add(token)
+            if e:
+                found.append(e)
+        return _top_two(found, _apart(low, decoder), weights, sizes)
+    return strongest
 
 
 def _summaries(sent, columns: list[str]):
     """Rows with the two strongest evidences in place of the text."""
     def task(batches):
-        cost, keys, values, sizes = sent.value
-        decoder, cache, weights = Decoder(cost), {}, dict(zip(keys.tolist(), values.tolist()))
+        strongest = _scorer(*sent.value)
         for batch in batches:
-            tops = [_two_strongest(t.as_py() or "", decoder, cache, weights, sizes) for t in batch.column("text")]
+            tops = [strongest(t.as_py() or "") for t in batch.column("text")]
             x = np.array(tops, np.float64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(x[:, 0]), pa.array(x[:, 1])],
@@ -469,10 +502,22 @@ def _labelled_summaries(sent):
     def task(batches):
         keys, values, sizes = sent.value
         weights = dict(zip(keys.tolist(), values.tolist()))
+        weigh, seen = _weigher(weights), {}
+
+        def known(word: str) -> float:
+            e = seen.get(word)
+            if e is None:
+                e = weigh(word)
+                if len(word) <= _LONG:
+                    if len(seen) > _CACHE:
+                        seen.clear()
+                    seen[word] = e
+            return e
+
         for batch in _by_rows(batches):
             tops = []
             for tokens, apart in zip(batch.column("tokens").to_pylist(), batch.column("apart").to_pylist()):
-                found = [max(_weigh(w, weights) for w in t) for t in tokens]
+                found = [known(t[0]) if len(t) == 1 else max(map(known, t)) for t in tokens]
                 tops.append(_top_two([e for e in found if e], apart, weights, sizes))
             x = np.array(tops, np.float64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -573,10 +618,9 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     b, w1, w2 = map(float, model.weights)
 
     def task(batches):
-        cost, keys, values, sizes = sent.value
-        decoder, cache, weights = Decoder(cost), {}, dict(zip(keys.tolist(), values.tolist()))
+        strongest = _scorer(*sent.value)
         for batch in batches:
-            tops = (_two_strongest(t.as_py() or "", decoder, cache, weights, sizes) for t in batch.column("text"))
+            tops = (strongest(t.as_py() or "") for t in batch.column("text"))
             clean = [1 / (1 + math.exp(-(b + w1 * x + w2 * y))) < threshold for x, y in tops]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -254,3 +254,42 @@ def test_features_of_many_rows_are_counted_in_bounded_memory(monkeypatch):
             if toxic:
                 a[4:] = min(a[4], word >> 1), max(a[5], word >> 1)
     assert got == want
+
+
+def test_few_readings_need_no_search(model, monkeypatch):
+    decoder, rnd = toxicity.Decoder(model.cost), random.Random(8)
+    tokens = ["".join(rnd.choices("aabst150$@!|.-_#éß", k=rnd.randint(1, 7))) for _ in range(3000)]
+    assert all(set(decoder.likely(t)) == set(decoder.best(t)) for t in tokens)
+    searched = []
+    monkeypatch.setattr(decoder, "best", lambda token, n=3: searched.append(token) or [])
+    for token, words in [("missed", {"missed", "mised"}), ("missed,", {"missed", "mised"}), ("ab-cd", {"ab", "cd", "abcd"}),
+                         ("sooo!", {"so", "soo", "sooo"}), ("plain...", {"plain"}), ("...", set())]:
+        assert toxicity.readings(token, decoder) == words and not searched
+    toxicity.readings("coffee", decoder)
+    assert searched == ["coffee"]
+
+
+def test_words_share_what_their_beginning_gives(monkeypatch):
+    rnd, hashed = random.Random(9), []
+    words = ["".join(rnd.choices("abé", k=rnd.randint(1, 9))) for _ in range(2000)]
+    weights = {f: rnd.random() for w in words[:300] for f in toxicity.features(w) if rnd.random() < .5}
+    plain = [max(weights.get(f, 0.0) for f in toxicity.features(w)) for w in words]
+    weigh = toxicity._weigher(weights)
+    assert [weigh(w) for w in words] == plain
+    monkeypatch.setattr(toxicity, "_CACHE", 7)
+    weigh = toxicity._weigher(weights)
+    assert [weigh(w) for w in words] == plain
+    real = toxicity.xxhash.xxh64_intdigest
+    monkeypatch.setattr(toxicity.xxhash, "xxh64_intdigest", lambda raw: hashed.append(raw) or real(raw))
+    weigh = toxicity._weigher(weights)
+    for w in ("abcdefg", "abcdefgh", "abcdefi"):
+        weigh(w)
+    assert len(hashed) == 3 + 3
+
+
+def test_a_scorer_keeps_little_and_scores_alike(corpus, model, monkeypatch):
+    texts = [t for _, t in corpus[0][450:800]] + ["", "i d i o t " + "ab" * 90, "s7up1d", "s7up1d s7up1d $cum..."]
+    parts = (model.cost, model.keys, model.values, model.sizes)
+    one = list(map(toxicity._scorer(*parts), texts))
+    monkeypatch.setattr(toxicity, "_SEEN", 20)
+    assert list(map(toxicity._scorer(*parts), texts)) == one and len(set(one)) > 5
