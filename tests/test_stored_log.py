@@ -277,3 +277,86 @@ def test_a_local_checkpoint_is_written_without_processes(spark, workdir):
     stored.write_log(messages(spark, {("t", 0): 15}, first=30), f"{workdir}/log")
     c.run()
     assert c.seen == [{("t", 0): (0, 20)}, {("t", 0): (20, 30)}, {("t", 0): (30, 45)}]
+
+
+def test_a_worker_keeps_what_the_next_batches_read(spark, workdir, monkeypatch):
+    """Footers and short row groups are decoded once for the batches that lie in
+    them, within bounds; each batch still gets its own rows, in one Arrow batch."""
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(stored, "_GROUPS", stored.Kept(stored.KEPT_BYTES))
+    monkeypatch.setattr(stored, "_FOOTERS", stored.Kept(stored.KEPT_FOOTERS))
+    sizes = {("t", 0): 6000, ("u", 1): 2000}
+    stored.write_log(messages(spark, sizes).coalesce(1), f"{workdir}/log")
+    asked = []
+    real = pq.ParquetFile.iter_batches
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", lambda self, *a, **k: asked.append(k["row_groups"]) or real(self, *a, **k))
+    options = {"path": f"{workdir}/log", "offsets": f"{workdir}/o", "group": "g", "cap": 200}
+    reader = stored.Reader(messages(spark, {("t", 0): 1}).schema, options)
+
+    def drained():
+        at, sent, got = reader.initialOffset(), [], []
+        for _ in range(30):
+            end = reader.latestOffset()
+            for part in reader.partitions(at, end):
+                sent.append(list(reader.read(part)))
+                got += [x for b in sent[-1] for x in zip(*(b.column(c).to_pylist() for c in ("topic", "partition", "offset", "value")))]
+            at = end
+        return sent, got
+    sent, got = drained()
+    assert sorted(got) == sorted((t, p, o, f"a,{o}") for (t, p), n in sizes.items() for o in range(n))
+    assert len(sent) == 30 and {len(b) for b in sent} == {1}
+    assert len(asked) == 4 and stored._FOOTERS.held == 2          # 40 ranges of three row groups; [0, 1] is one more
+    assert 0 < stored._GROUPS.held <= stored.KEPT_BYTES
+
+    for bound in ("KEPT_GROUP", "KEPT_BYTES"):              # too much to be kept: read again
+        monkeypatch.setattr(stored, "_GROUPS", stored.Kept(0 if bound == "KEPT_BYTES" else stored.KEPT_BYTES))
+        monkeypatch.setattr(stored, "KEPT_GROUP", 0 if bound == "KEPT_GROUP" else 1 << 20)
+        asked.clear()
+        reader = stored.Reader(messages(spark, {("t", 0): 1}).schema, options)
+        assert drained()[1] == got and len(asked) == 40 and stored._GROUPS.held == 0
+
+
+def test_what_is_kept_is_bounded():
+    kept = stored.Kept(10)
+    for k in range(5):
+        kept.put(k, str(k), 4)
+    assert kept.held == 8 and [kept.get(k) for k in range(5)] == [None, None, None, "3", "4"]
+    kept.get(3)
+    kept.put(5, "5", 4)                                         # the one that wasn't asked for goes
+    assert kept.get(3) == "3" and kept.get(4) is None
+    kept.put(3, "new", 2)
+    assert kept.held == 6 and kept.get(3) == "new"
+    kept.put(6, "more than all", 11)
+    assert kept.held == 0 and kept.get(6) is None
+
+
+def test_a_worker_acknowledges_its_task_at_once(spark, workdir, monkeypatch):
+    """When it gets the reader, that is before it waits for the partition; its
+    connections stay as they are."""
+    import pickle
+    import socket
+    reader = stored.Reader(messages(spark, {("t", 0): 1}).schema, {"path": f"{workdir}/log", "offsets": f"{workdir}/o", "group": "g"})
+    seen = []
+
+    class Watched(socket.socket):
+        def setsockopt(self, *a):
+            seen.append((self.getsockname(), *a))
+            super().setsockopt(*a)
+    listener = socket.create_server(("127.0.0.1", 0))
+    near = socket.create_connection(listener.getsockname())
+    far, _ = listener.accept()
+    one, other = socket.socketpair()
+    try:
+        monkeypatch.setattr(stored.socket, "socket", Watched)
+        again = pickle.loads(pickle.dumps(reader))
+        monkeypatch.undo()
+        assert again.columns == reader.columns and again.path == reader.path
+        quick = (socket.IPPROTO_TCP, socket.TCP_QUICKACK, 1)
+        assert (near.getsockname(), *quick) in seen and (far.getsockname(), *quick) in seen
+        assert all(x[1:] == quick for x in seen) and one.getsockname() not in [x[0] for x in seen]
+        for a, b in ((near, far), (one, other)):
+            a.sendall(b"x")
+            assert b.recv(1) == b"x"
+    finally:
+        for s in (listener, near, far, one, other):
+            s.close()
