@@ -1,5 +1,7 @@
 """The offset-addressed stream over a stored log."""
 
+import os
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -360,3 +362,31 @@ def test_a_worker_acknowledges_its_task_at_once(spark, workdir, monkeypatch):
     finally:
         for s in (listener, near, far, one, other):
             s.close()
+
+
+def test_a_batch_takes_few_calls_of_the_gateway(spark, workdir, monkeypatch):
+    """Each is a message to the JVM and back; local files take none."""
+    store = sinks.OffsetStore(spark, f"{workdir}/offsets")
+    fn = sinks.guarded(store, "g", jobs.range_work(f"{workdir}/out"), claim=True)
+    client = type(spark.sparkContext._gateway._gateway_client)
+    calls, real = [], client.send_command
+    batches = [messages(spark, {("t", 0): 20, ("u", 1): 20}, first=20 * k).coalesce(1) for k in range(4)]
+    for k, df in enumerate(batches):
+        if k == 2:
+            monkeypatch.setattr(client, "send_command", lambda self, *a, **b: calls.append(a[0]) or real(self, *a, **b))
+            monkeypatch.setattr(fsio, "_open", None)
+        fn(df, k)
+    monkeypatch.undo()
+    assert store.current_map("g") == {("t", 0): 80, ("u", 1): 80}
+    assert len(sinks.read_committed(spark, f"{workdir}/out", store, "g", jobs.OFFSET_RANGE).collect()) == 8
+    assert len([c for c in calls if not c.startswith("m\n")]) < 2 * 60, len(calls)     # m: what Python lets go
+
+
+def test_names_of_local_files(spark, workdir):
+    """As Hadoop reads them, whether asked with a scheme or without."""
+    for path in (f"{workdir}/a b%2F/x+y.json", f"file:{workdir}/n/x", f"file://{workdir}/n//y"):
+        assert fsio.write_text(spark, path, path, overwrite=False) and fsio.read_text(spark, path) == path
+        fs, p = fsio._open(spark, path)
+        assert fs.exists(p) and os.path.samefile(fsio._local_name(spark, path), fsio._name(fs, p))
+    assert fsio._local_name(spark, "relative/x") == f"{os.getcwd()}/relative/x"
+    assert [fsio._ROOT.match(x) for x in ("hdfs://host/x", "s3a://b/x", "//x", "x/y", "host:80/x")][:4] == [None] * 4
